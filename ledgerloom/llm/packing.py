@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tokenizing import encoder, ids_crc32
+from .tokenizing import encoded, ids_crc32
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 #: Documents that one group has on average.
@@ -101,15 +101,13 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int
     """One row per piece. A group's ids travel once, as bytes; `sequence_id` is unique over all groups."""
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     groups = max(1, -(-slim.count() // group_docs))
-    end = np.array([end_id], "<u4").tobytes()
 
-    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer_path).encode
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(2).to_pylist()
-            for at in range(0, len(texts), 256):
-                ids = [encode(x) + end for x in texts[at : at + 256]]
-                yield pa.RecordBatch.from_arrays([batch.column(0)[at : at + 256], batch.column(1)[at : at + 256], pa.array([_narrow(x) for x in ids], pa.binary())], names=["grp", "doc_id", "ids"])
+            for at in range(0, len(batch), 512):
+                part = batch.slice(at, 512)
+                ids = [_narrow(x) for x in encoded(tokenizer_path, part.column(2).cast(pa.binary()).to_pylist(), end_id)]
+                yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.array(ids, pa.binary())], names=["grp", "doc_id", "ids"])
 
     def sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, used, keys, ids, size = None, 0, [], [], 0
@@ -128,13 +126,12 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int
             yield _pieces((group << GROUP_BITS) + used, keys, ids, capacity)[0]
 
     drawn = F.pmod(F.xxhash64("doc_id", F.length("text"), F.lit(seed)), F.lit(groups)).alias("grp")
-    return slim.select(drawn, "doc_id", "text").mapInArrow(encoded, "grp bigint, doc_id bigint, ids binary").repartition("grp").sortWithinPartitions("grp", "doc_id", F.crc32("ids")).mapInArrow(sequences, PIECES)
+    return slim.select(drawn, "doc_id", "text").mapInArrow(coded, "grp bigint, doc_id bigint, ids binary").repartition("grp").sortWithinPartitions("grp", "doc_id", F.crc32("ids")).mapInArrow(sequences, PIECES)
 
 
-def _narrow(ids: bytes) -> bytes:
+def _narrow(ids: np.ndarray) -> bytes:
     """Two bytes an id where all ids allow it; a leading byte says which."""
-    wide = np.frombuffer(ids, "<u4")
-    return b"\x02" + wide.astype("<u2").tobytes() if not len(wide) or wide.max() < 65536 else b"\x04" + ids
+    return b"\x02" + ids.astype("<u2").tobytes() if not len(ids) or ids.max() < 65536 else b"\x04" + ids.tobytes()
 
 
 def _wide(value: bytes) -> np.ndarray:
@@ -148,7 +145,7 @@ def _pieces(first: int, keys: list, values: list[bytes], capacity: int) -> tuple
     for number, sequence in enumerate(sequences, first):
         offset = 0
         for doc, start, length in sequence:
-            rows.append((keys[doc], start, length, ids_crc32(ids[doc][start : start + length].tobytes()), len(ids[doc]), number, offset))
+            rows.append((keys[doc], start, length, ids_crc32(ids[doc][start : start + length]), len(ids[doc]), number, offset))
             offset += length
     names = [c.split()[0] for c in PIECES.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=names), len(sequences)

@@ -25,43 +25,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import scratch_path
-from .tokenizing import encoder, ids_crc32
+from .tokenizing import encoded, ids_crc32
 
 STORED = "doc_id bigint, n_tokens bigint, file_start bigint, file_no int, ids array<int>"
-#: Bytes of ids in one batch that a task hands back.
-BATCH_BYTES = 8 << 20
+#: Ids in one batch that a task hands back.
+BATCH_IDS = 1 << 20
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", files: int | None = None) -> None:
     """Encode `docs` and write the ORC files to `path`. `files`: how many ranges; by default as many as the session's shuffle partitions."""
-    end = np.array([end_id], "<u4").tobytes()
 
-    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        number, start, encode = TaskContext.get().partitionId(), 0, encoder(tokenizer_path).encode
-        keys, counts, starts, held, size = [], [], [], [], 0
+        number, start = TaskContext.get().partitionId(), 0
+        keys, held, size = [], [], 0
 
         def batch() -> pa.RecordBatch:
-            flat = pa.Array.from_buffers(pa.int32(), size // 4, [None, pa.py_buffer(b"".join(held))])
-            offsets = np.zeros(len(counts) + 1, np.int32)
-            np.cumsum(counts, out=offsets[1:])
-            return pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(counts, pa.int64()), pa.array(starts, pa.int64()), pa.array([number] * len(keys), pa.int32()), pa.ListArray.from_arrays(pa.array(offsets), flat)],
-                names=["doc_id", "n_tokens", "file_start", "file_no", "ids"],
-            )
+            counts = np.fromiter(map(len, held), np.int64, len(held))
+            offsets = np.concatenate([[0], np.cumsum(counts)])
+            ids = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(np.concatenate(held).view(np.int32)))
+            return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(counts), pa.array(start + offsets[:-1]), pa.array([number] * len(keys), pa.int32()), ids], names=["doc_id", "n_tokens", "file_start", "file_no", "ids"])
 
         for got in batches:
-            for key, text in zip(got.column(0).to_pylist(), got.column(1).to_pylist(), strict=True):
-                ids = encode(text) + end
+            for key, ids in zip(got.column(0).to_pylist(), encoded(tokenizer_path, got.column(1).cast(pa.binary()).to_pylist(), end_id), strict=True):
                 keys.append(key)
-                counts.append(len(ids) // 4)
-                starts.append(start)
                 held.append(ids)
-                start, size = start + len(ids) // 4, size + len(ids)
-                if size >= BATCH_BYTES:
+                size += len(ids)
+                if size >= BATCH_IDS:
                     yield batch()
-                    keys, counts, starts, held, size = [], [], [], [], 0
+                    start, keys, held, size = start + size, [], [], 0
         if keys:
             yield batch()
 
@@ -69,7 +62,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
     ranged = slim.repartitionByRange(files, "doc_id") if files else slim.repartitionByRange("doc_id")
     (
         ranged.sortWithinPartitions("doc_id", "text")
-        .mapInArrow(encoded, STORED)
+        .mapInArrow(rows, STORED)
         .write.option("compression", "zstd")
         .option("orc.create.index", "true")
         .option("orc.row.index.stride", "1000")
@@ -98,7 +91,7 @@ def token_digest(tokens: DataFrame) -> DataFrame:
             lists = batch.column(3)
             flat = np.asarray(lists.values, dtype="<u4")
             at = np.asarray(lists.offsets)
-            crcs = [ids_crc32(flat[a:b].tobytes()) for a, b in zip(at[:-1], at[1:], strict=True)]
+            crcs = [ids_crc32(flat[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(crcs, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return tokens.mapInArrow(digest, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")

@@ -1,52 +1,58 @@
-"""Whole-text encoding with a public tokenizer file, through a bounded cache.
-
-A text is cut only where the file's own pre-tokenizer always cuts, so the ids
-of the pieces, joined, are the ids of the text. A piece that the cache lacks
-is encoded by the tokenizers library: plain Latin-1 words go straight to its
-BPE model, everything else through its full `encode`.
+"""Whole-text encoding with a public tokenizer file, many texts at a time.
+
+Texts are cut only where the file's own pre-tokenizer always cuts, so the ids
+of the pieces, joined, are the ids of the text. The pieces of a run of texts
+are told apart by 64-bit codes and their lengths in numpy; each different one
+is looked up once in a bounded cache, and the ids are gathered. A piece that
+the cache lacks is encoded by the tokenizers library: plain Latin-1 words go
+straight to its BPE model, everything else through its full `encode`.
 """
 
 from __future__ import annotations
 
 import json
-import re
 import zlib
+from array import array
 
 import numpy as np
 
-#: Entries in each of the two generations of a cache.
-CACHE_WORDS = 250_000
+from .common import ASCII_LOWER, ASCII_SPACES
+from .wordcode import byte_codes, chunks
+
+#: Entries of a cache. A full one is begun anew once it has missed twice as often as it has entries.
+CACHE_PIECES = 400_000
 #: Longer pieces are encoded each time and not kept.
-CACHE_CHARS = 40
-_SPACES = re.compile("[^ \t\n\r\x0b\x0c]+")
-_BEFORE_WORD = re.compile(r"(?= \S)")
-_SEPARATORS = "\x1c\x1d\x1e\x1f"
+CACHE_BYTES = 40
+
+_SPACE = np.zeros(256, bool)
+_SPACE[list(ASCII_SPACES)] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[65:91] = _LETTER[97:123] = True
+#: Printable ASCII, and the first bytes of two-byte characters from U+00C0: none of these begins white space.
+_VISIBLE = np.zeros(256, bool)
+_VISIBLE[0x21:0x7F] = _VISIBLE[0xC3:0xE0] = True
 
 
 class _Cache(dict):
-    """Piece to little-endian 32-bit ids. When the young generation is full it becomes the old one."""
+    """Piece to ids as bytes."""
 
     def __init__(self, make):
         super().__init__()
-        self.make, self.old = make, {}
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.old.get(piece)
-        if ids is None:
-            ids = self.make(piece)
-            if len(piece) > CACHE_CHARS:
-                return ids
-        if len(self) >= CACHE_WORDS:
-            self.old = dict(self)
-            self.clear()
-        self[piece] = ids
+        self.make, self.missed = make, 0
+
+    def __missing__(self, piece: bytes) -> bytes:
+        ids = self.make(piece)
+        if len(self) < CACHE_PIECES:
+            if len(piece) <= CACHE_BYTES:
+                self[piece] = ids
+        else:
+            self.missed += 1
+            if self.missed > 2 * CACHE_PIECES:
+                self.clear()
+                self.missed = 0
         return ids
 
 
-class _Irregular(Exception):
-    pass
-
-
 def _byte_letters() -> list[str]:
     """The printable letter that byte-level vocabularies use for each byte."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -55,7 +61,7 @@ def _byte_letters() -> list[str]:
 
 
 class TextEncoder:
-    """`encode(text)` gives the ids of the whole text as little-endian unsigned 32-bit integers."""
+    """Ids of whole texts by the tokenizer of one file."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -66,49 +72,78 @@ class TextEncoder:
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.model = self.tokenizer.model
         pre, normal = spec["pre_tokenizer"] or {}, json.dumps(spec["normalizer"])
-        self.led = pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and spec["normalizer"] is None
-        self.dropped = '"Lowercase"' in normal and '"Replace"' in normal and pre.get("type") == "Sequence" and pre["pretokenizers"][0].get("invert") is True and spec["model"].get("end_of_word_suffix")
-        self.letters = {b: c for b, c in enumerate(_byte_letters())}
-        self.parts = _Cache(self._part)
-        self.pieces = _Cache(self._led_piece if self.led else self._piece)
-
-    def _part(self, part: str) -> bytes:
-        """One pre-token: a run of Latin-1 letters, with a leading space where the file keeps it."""
-        letters = part.encode("utf-8").decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.model.tokenize(letters)], "<u4").tobytes()
-
-    def _full(self, piece: str) -> bytes:
-        return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _piece(self, piece: str) -> bytes:
-        word, end = (piece[:-1], piece[-1]) if piece[-1] in ".,;:!?" else (piece, "")
-        bare = word[1:] if self.led and word[:1] == " " else word
-        if not bare.isalpha() or max(bare) > "\xff":
-            return self._full(piece)
-        ids = self.parts[word if self.led else word.lower()]
-        return ids + self.parts[end] if end else ids
-
-    def _led_piece(self, piece: str) -> bytes:
-        if not piece or piece[0].isspace():
-            raise _Irregular
-        return self._piece(" " + piece)
-
-    def encode(self, text: str | None) -> bytes:
-        if not text:
+        #: White space stays, a single space as part of the word after it.
+        self.led = pre.get("type") == "ByteLevel" and bool(pre.get("use_regex")) and not pre.get("add_prefix_space") and spec["normalizer"] is None
+        #: White space is dropped and letters are lower-cased.
+        self.dropped = '"Lowercase"' in normal and '"Replace"' in normal and pre.get("type") == "Sequence" and pre["pretokenizers"][0].get("invert") is True and bool(spec["model"].get("end_of_word_suffix"))
+        self.letters = dict(enumerate(_byte_letters()))
+        self.cache = _Cache(self._piece)
+
+    def _piece(self, piece: bytes) -> bytes:
+        text = piece.decode("utf-8", "surrogatepass")
+        bare = text[1:] if self.led and text[:1] == " " else text
+        if bare.isalpha() and max(bare) <= "\xff" and (self.led or bare.islower() or bare.isascii()):
+            return array("I", [t.id for t in self.model.tokenize(piece.decode("latin-1").translate(self.letters))]).tobytes()
+        if self.dropped and not piece.strip(ASCII_SPACES):
             return b""
-        if self.led:
-            first, *rest = text.split(" ")
-            try:
-                return (self._full(first) if first else b"") + b"".join(map(self.pieces.__getitem__, rest))
-            except _Irregular:
-                return b"".join(map(self._any, _BEFORE_WORD.split(text)))
-        if self.dropped:
-            plain = not any(c in text for c in _SEPARATORS)
-            return b"".join(map(self.pieces.__getitem__, text.split() if plain else _SPACES.findall(text)))
-        return self._full(text)
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _any(self, piece: str) -> bytes:
-        return self.pieces[piece[1:]] if piece[:1] == " " and piece[1:2].strip() and " " not in piece[1:] else self._full(piece) if piece else b""
+    def _cuts(self, raw: np.ndarray) -> np.ndarray:
+        """Whether a piece may begin at each byte."""
+        before, after = np.roll(raw, 1), np.roll(raw, -1)
+        wide = (np.roll(raw, 2) == 0xC3) & (before >= 0x80) & (before != 0x97) & (before != 0xB7)  # the byte before ends a Latin-1 letter
+        stop = ((raw == 0x2E) | (raw == 0x2C)) & (_LETTER[before] | wide)
+        if self.dropped:
+            gap = _SPACE[raw]
+            return stop | gap | _SPACE[before]
+        word = (raw == 0x20) & _VISIBLE[after]
+        shown = (_VISIBLE[before] & (before < 0x7F)) | wide
+        line = (raw == 0x0A) & shown & _VISIBLE[after]
+        return stop | word | line | np.roll(line, 1)
+
+    def encode_many(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of all texts, one after another, and how many each text has."""
+        if not (self.led or self.dropped):
+            each = [self.tokenizer.encode((x or b"").decode("utf-8"), add_special_tokens=False).ids for x in texts]
+            return np.array([i for ids in each for i in ids], np.uint32), np.array([len(ids) for ids in each], np.int64)
+        data = b"\0".join(x or b"" for x in texts)
+        if self.dropped:
+            data = data.translate(ASCII_LOWER)
+        lengths = np.fromiter((len(x or b"") for x in texts), np.int64, len(texts))
+        if not data:
+            return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
+        raw = np.frombuffer(data, np.uint8)
+        begins = np.cumsum(lengths + 1) - lengths - 1
+        edge = self._cuts(raw)
+        edge[begins[begins < len(raw)]] = True
+        between = (begins + lengths)[:-1]  # the zero bytes that join texts
+        edge[between] = True
+        starts = np.flatnonzero(edge)
+        if starts[0] != 0:
+            starts = np.concatenate([[0], starts])
+        sizes = np.diff(np.append(starts, len(raw)))
+        joint = np.zeros(len(raw) + 1, bool)
+        joint[between] = True
+        real = ~joint[starts]
+        if self.dropped:
+            real &= ~((sizes == 1) & _SPACE[raw[starts]])
+        codes = byte_codes(raw, starts) + sizes.astype(np.uint64)
+        starts, sizes, codes = starts[real], sizes[real], codes[real]
+        _, first, which = np.unique(codes, return_index=True, return_inverse=True)
+        cache = self.cache
+        found = [cache[data[a:b]] for a, b in zip(starts[first].tolist(), (starts[first] + sizes[first]).tolist(), strict=True)]
+        held = np.fromiter(map(len, found), np.int32, len(found)) >> 2
+        flat = np.frombuffer(b"".join(found), np.uint32)
+        from_ = (np.cumsum(held, dtype=np.int32) - held)[which]
+        n = held[which]
+        ends = np.cumsum(n, dtype=np.int32)
+        total = int(ends[-1]) if len(ends) else 0
+        at = np.arange(total, dtype=np.int32) + np.repeat(from_ - (ends - n), n)
+        of = np.searchsorted(begins, starts, side="right") - 1
+        return flat[at], np.bincount(of, n, len(texts)).astype(np.int64)
+
+    def encode(self, text: str | None) -> list[int]:
+        return self.encode_many([(text or "").encode("utf-8", "surrogatepass")])[0].tolist()
 
 
 _encoders: dict[str, TextEncoder] = {}
@@ -121,5 +156,15 @@ def encoder(path: str) -> TextEncoder:
     return _encoders[path]
 
 
-def ids_crc32(ids: bytes) -> int:
-    return zlib.crc32(ids) & 0xFFFFFFFF
+def encoded(path: str, texts: list[bytes | None], end_id: int):
+    """For each text its ids and `end_id`, as little-endian unsigned 32-bit numbers."""
+    encode, end = encoder(path).encode_many, np.array([end_id], "<u4")
+    for _, some in chunks(texts):
+        ids, counts = encode(some)
+        ends = np.cumsum(counts)
+        for a, b in zip((ends - counts).tolist(), ends.tolist(), strict=True):
+            yield np.concatenate([ids[a:b], end])
+
+
+def ids_crc32(ids: np.ndarray) -> int:
+    return zlib.crc32(np.ascontiguousarray(ids, "<u4").tobytes()) & 0xFFFFFFFF
