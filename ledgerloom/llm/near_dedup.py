@@ -19,6 +19,10 @@ one fingerprint, comparing only with those not reached yet, and emit a
 spanning forest. A bucket of more than BUCKET fingerprints is cut into chunks
 of which every two meet in a task of their own: all pairs are still tested.
 
+For a similarity threshold (`similar_groups`), where distances are larger than
+blocks and pivots can tell apart, buckets are sampled bits of 256-bit
+fingerprints; the rest is the same.
+
 Defined cases: a null text counts as empty. Texts without words have
 fingerprint zero and are linked like any other; texts shorter than a shingle
 are one shingle. A component's id is its smallest document id, null ids
@@ -37,11 +41,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import ASCII_LOWER, saved
-from .graph import components
+from .graph import components, stars
+from .wordcode import mixed
 
 PIVOTS = 16
 #: Fingerprints that one bucket holds before it is cut into chunks.
 BUCKET = 20_000
+#: Rows that a task links at once, but for one bucket.
+ROWS = 100_000
 #: Buckets up to this size test all pairs at once.
 SMALL = 12
 #: Chance pairs per fingerprint that the choice of blocks allows for.
@@ -62,9 +69,9 @@ def shingle_hashes(text: bytes, words: int = 4) -> list[int]:
     return [xxh64_intdigest(joined[a:b], SEED) for a, b in zip(starts, (ends[words - 1 :] - 1).tolist(), strict=True)]
 
 
-def majority(hashes: list[int]) -> int:
+def majority(hashes: list[int] | np.ndarray) -> int:
     """The unsigned fingerprint: a bit is set if it is in over half of the hashes."""
-    if not hashes:
+    if not len(hashes):
         return 0
     count = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 65536):
@@ -97,20 +104,20 @@ def block_masks(prints: int, distance: int) -> list[int]:
     return masks
 
 
-def pivots(count: int = PIVOTS) -> np.ndarray:
-    return np.random.default_rng(11).integers(0, 2**64, count, np.uint64)
+def pivots(lanes: int = 1, count: int = PIVOTS) -> np.ndarray:
+    return np.random.default_rng(11).integers(0, 2**64, (count, lanes), np.uint64)
 
 
 def distance_table(prints: np.ndarray, reference: np.ndarray) -> np.ndarray:
-    """Hamming distances of each fingerprint (row) to each reference fingerprint (column)."""
-    return np.bitwise_count(prints[:, None] ^ reference[None, :]).astype(np.int8)
+    """Hamming distances of each fingerprint (row, of several 64-bit lanes) to each reference fingerprint (column)."""
+    return np.stack([np.bitwise_count(prints ^ r).sum(1, dtype=np.int16) for r in reference], 1)
 
 
 def close(prints: np.ndarray, table: np.ndarray, i: np.ndarray | int, j: np.ndarray, distance: int) -> np.ndarray:
     """Which of the pairs (i, j) are within the distance: by the table first, then survivors by their bits."""
     passed = np.flatnonzero((np.abs(table[i] - table[j]) <= distance).all(-1))
     left = prints[i[passed]] if isinstance(i, np.ndarray) else prints[i]
-    return passed[np.bitwise_count(left ^ prints[j[passed]]) <= distance]
+    return passed[np.bitwise_count(left ^ prints[j[passed]]).sum(1, dtype=np.int16) <= distance]
 
 
 def bucket_links(prints: np.ndarray, distance: int, reference: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -131,16 +138,14 @@ def bucket_links(prints: np.ndarray, distance: int, reference: np.ndarray) -> tu
 
 
 def sorted_links(keys: np.ndarray, prints: np.ndarray, distance: int, reference: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links within each run of equal keys; fingerprints of both ends."""
-    edge = np.flatnonzero(np.diff(keys)) + 1
-    starts = np.concatenate([[0], edge])
+    """Row numbers of links within each run of equal keys."""
+    starts = np.concatenate([[0], np.flatnonzero(np.diff(keys)) + 1])
     sizes = np.diff(np.append(starts, len(keys)))
     a, b = [], []
-    big = starts[sizes > SMALL]
-    for s, n in zip(big, sizes[sizes > SMALL], strict=True):
+    for s, n in zip(starts[sizes > SMALL], sizes[sizes > SMALL], strict=True):
         i, j = bucket_links(prints[s : s + n], distance, reference)
-        a.append(prints[s + i])
-        b.append(prints[s + j])
+        a.append(s + i)
+        b.append(s + j)
     rows = np.flatnonzero(np.repeat((sizes > 1) & (sizes <= SMALL), sizes))
     table = distance_table(prints[rows], reference)
     prints, keys = prints[rows], keys[rows]
@@ -148,53 +153,51 @@ def sorted_links(keys: np.ndarray, prints: np.ndarray, distance: int, reference:
         i = np.flatnonzero(keys[:-lag] == keys[lag:]) if len(keys) > lag else np.zeros(0, np.int64)
         if not len(i):
             break
-        hit = close(prints, table, i, i + lag, distance)
-        a.append(prints[i[hit]])
-        b.append(prints[i[hit] + lag])
-    return (np.concatenate(a), np.concatenate(b)) if a else (prints[:0], prints[:0])
+        hit = i[close(prints, table, i, i + lag, distance)]
+        a.append(rows[hit])
+        b.append(rows[hit + lag])
+    return (np.concatenate(a), np.concatenate(b)) if a else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
-def links(prints: DataFrame, distance: int = 4, bucket: int = BUCKET) -> DataFrame:
-    """`prints` (fp, all different) to links (child, root) that connect what pairs within `distance` bits connect."""
-    masks = block_masks(prints.count(), distance)
-    as_long = [m - 2**64 if m >= 2**63 else m for m in masks]
-    keyed = prints.select("fp", F.posexplode(F.array(*(F.lit(m).cast("long") for m in as_long))).alias("choice", "mask")).select("fp", "choice", F.col("fp").bitwiseAND(F.col("mask")).alias("block"))
-    full = keyed.groupBy("choice", "block").agg(F.count("*").alias("n")).where(F.col("n") > bucket).withColumn("parts", F.ceil(F.col("n") / bucket).cast("int")).drop("n")
+def _bucketed(keyed: DataFrame, lanes: list[str], distance: int, bucket: int) -> DataFrame:
+    """`keyed` (key, root, lanes) to links (child, root) between roots that pairs within the distance, sharing a key, connect."""
+    full = keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > bucket).select("key", F.ceil(F.col("n") / bucket).cast("int").alias("parts"))
     full = saved(full, "full-buckets")
-    if full.isEmpty():
-        dealt = keyed.withColumns({"x": F.lit(0), "y": F.lit(0)})
-    else:
+    if not full.isEmpty():
         # Chunk r of p meets every chunk of its bucket: in the tasks (min, max) of the two.
-        part = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
-        meets = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: F.struct(F.least(o, F.col("part")).alias("x"), F.greatest(o, F.col("part")).alias("y")))
-        dealt = (
-            keyed.join(full, ["choice", "block"], "left")
-            .withColumn("parts", F.coalesce("parts", F.lit(1)))
-            .withColumn("part", part)
-            .select("fp", "choice", "block", F.explode(meets).alias("m"))
-            .select("fp", "choice", "block", "m.x", "m.y")
-        )
-    # Rows of one bucket and task are neighbours after sorting by this number.
-    key = F.xxhash64("choice", "block", "x", "y").alias("key")
+        part = F.pmod(F.xxhash64(*lanes), F.col("parts")).cast("int")
+        meets = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: F.xxhash64("key", F.least(o, F.col("part")), F.greatest(o, F.col("part"))))
+        keyed = keyed.join(full, "key", "left").withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("part", part).select(F.explode(meets).alias("key"), "root", *lanes)
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reference = pivots()
-        keys, fps = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        reference = pivots(len(lanes))
+        held: list[np.ndarray] = []
 
-        def batch(k: np.ndarray, p: np.ndarray) -> pa.RecordBatch:
-            a, b = sorted_links(k, p.view(np.uint64), distance, reference)
-            return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["child", "root"])
+        def batch(rows: np.ndarray) -> pa.RecordBatch:
+            a, b = sorted_links(rows[:, 0], np.ascontiguousarray(rows[:, 2:]).view(np.uint64), distance, reference)
+            child, root = stars(rows[a, 1], rows[b, 1])
+            return pa.RecordBatch.from_arrays([pa.array(child), pa.array(root)], names=["child", "root"])
 
+        size = 0
         for got in batches:
-            keys, fps = np.concatenate([keys, got.column(0).to_numpy()]), np.concatenate([fps, got.column(1).to_numpy()])
-            if len(keys) >= 100_000 and keys[-1] != keys[0]:
-                cut = int(np.searchsorted(keys, keys[-1]))  # the last run may go on
-                yield batch(keys[:cut], fps[:cut])
-                keys, fps = keys[cut:], fps[cut:]
-        if len(keys):
-            yield batch(keys, fps)
+            held.append(np.stack([c.to_numpy() for c in got.columns], 1))
+            size += len(held[-1])
+            if size >= ROWS and held[-1][-1, 0] != held[0][0, 0]:
+                rows = np.concatenate(held)
+                cut = int(np.searchsorted(rows[:, 0], rows[-1, 0]))  # the last run may go on
+                yield batch(rows[:cut])
+                held, size = [rows[cut:]], len(rows) - cut
+        if size:
+            yield batch(np.concatenate(held))
 
-    return dealt.select(key, "fp").repartition("key").sortWithinPartitions("key").mapInArrow(found, "child bigint, root bigint").distinct()
+    return keyed.select("key", "root", *lanes).repartition("key").sortWithinPartitions("key").mapInArrow(found, "child bigint, root bigint")
+
+
+def links(prints: DataFrame, distance: int = 4, bucket: int = BUCKET) -> DataFrame:
+    """`prints` (fp, all different) to links (child, root) that connect what pairs within `distance` bits connect."""
+    masks = [m - 2**64 if m >= 2**63 else m for m in block_masks(prints.count(), distance)]
+    keys = F.explode(F.array(*(F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m).cast("long"))) for i, m in enumerate(masks))))
+    return _bucketed(prints.select(keys.alias("key"), F.col("fp").alias("root"), "fp"), ["fp"], distance, bucket)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, distance: int = 4) -> DataFrame:
@@ -208,9 +211,81 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return printed.join(labels, F.col("fp") == F.col("node")).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+# ---- near-duplicates by a similarity threshold ---------------------------------------------------------------------------
+
+LANES = ["l0", "l1", "l2", "l3"]
+WIDTH = 64 * len(LANES)
+#: Chance that a pair just at the threshold shares no bucket.
+MISSED = 0.08
+
+
+def wide_print(text: bytes, words: int) -> np.ndarray:
+    """Majority fingerprints of four hashes of each shingle, drawn from one: 256 bits."""
+    hashes = np.array(shingle_hashes(text, words), np.uint64)
+    return np.array([majority(mixed(hashes + np.uint64(lane))) if lane else majority(hashes) for lane in range(len(LANES))], np.uint64)
+
+
+def expected_distance(similarity: float, width: int = WIDTH) -> float:
+    """Differing bits of two shingle sets of a Jaccard similarity: the angle between them, as a share of the half circle."""
+    return width * np.arccos(2 * similarity / (1 + similarity)) / np.pi
+
+
+def sampled_masks(prints: int, similarity: float) -> list[list[int]]:
+    """Bit samples, as one mask per lane: of so many bits that chance meetings stay few, and as many as find all but MISSED of pairs at the threshold."""
+    bits = int(np.clip(np.ceil(np.log2(max(prints, 2))), 16, 24))
+    met = (1 - expected_distance(similarity) / WIDTH) ** bits
+    rng, out = np.random.default_rng(23), []
+    for _ in range(int(np.ceil(np.log(MISSED) / np.log(1 - met)))):
+        chosen = rng.choice(WIDTH, bits, replace=False)
+        masks = [sum(1 << int(b % 64) for b in chosen if b // 64 == lane) for lane in range(len(LANES))]
+        out.append([m - 2**64 if m >= 2**63 else m for m in masks])
+    return out
+
+
+def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, bucket: int = BUCKET) -> DataFrame:
+    """doc_id and component_id of texts connected by pairs whose SimHash similarity reaches the threshold.
+
+    At such a threshold fingerprints differ in many bits: no block is sure to agree, and pivot distances discard
+    little. Buckets are therefore samples of bits of a fingerprint four times as wide, whose distance estimates the
+    similarity. A first eighth of the samples finds most groups; the others add links between different groups only.
+    """
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+
+    def printed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prints = np.array([wide_print(x.as_py() or b"", words) for x in batch.column(1).cast(pa.binary())], np.uint64).reshape(-1, len(LANES)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(np.ascontiguousarray(prints[:, i])) for i in range(len(LANES)))], names=["doc_id", *LANES])
+
+    rows = saved(slim.mapInArrow(printed, "doc_id bigint, " + ", ".join(f"{c} bigint" for c in LANES)).withColumn("node", F.xxhash64(*LANES)), "wide-prints")
+    nodes = saved(rows.groupBy("node", *LANES).agg(F.min("doc_id").alias("least")), "nodes")
+    masks, limit = sampled_masks(nodes.count(), similarity), int(expected_distance(similarity) + 0.8 * np.sqrt(expected_distance(similarity)))
+    first = max(1, len(masks) // 8)
+    roots = None
+    for wave in (masks[:first], masks[first:]):
+        if roots is None:
+            rooted = nodes.withColumn("root", F.col("node"))
+        else:
+            rooted = nodes.join(roots.withColumnRenamed("child", "node"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+        keys = F.explode(F.array(*(F.xxhash64(F.lit(i), *(F.col(c).bitwiseAND(F.lit(m).cast("long")) for c, m in zip(LANES, lanes, strict=True))) for i, lanes in enumerate(wave))))
+        found = _bucketed(rooted.select(keys.alias("key"), "root", *LANES), LANES, limit, bucket)
+        roots = components(found if roots is None else found.unionByName(roots))
+    labelled = nodes.join(roots.withColumnRenamed("child", "node"), "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
+    named = labelled.groupBy("root").agg(F.min("least").alias("component_id")).withColumnRenamed("root", "name")
+    labels = labelled.join(named, F.col("root") == F.col("name")).select("node", "component_id")
+    return rows.join(labels, "node").select("doc_id", "component_id")
+
+
+def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """`docs` with the row of smallest id of each group of similar texts; as `drop_near_duplicates` otherwise."""
+    return _without(docs, id_col, similar_groups(docs, id_col, text_col, words, similarity))
+
+
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, distance: int = 4) -> DataFrame:
     """`docs` with the row of smallest id of each component; all columns as they were. Rows without an id cannot be told apart and stay."""
-    found = near_duplicates(docs, id_col, text_col, words, distance)
+    return _without(docs, id_col, near_duplicates(docs, id_col, text_col, words, distance))
+
+
+def _without(docs: DataFrame, id_col: str, found: DataFrame) -> DataFrame:
     gone = found.where("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()
     names = docs.columns
     renamed = docs.toDF(*(f"c{i}" for i in range(len(names))))
