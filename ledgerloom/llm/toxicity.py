@@ -4,7 +4,8 @@ Two bigram models, one of toxic and one of ordinary text, share the counts
 they back off to: P_c(w | v) interpolates the class's discounted bigrams with
 the class's discounted words, and those with continuation counts pooled over
 both classes, so an expression that one class has not seen costs it no more
-than the other. A text's feature is the difference of the two
+than the other. Expressions too rare, or too alike in both classes, to tell
+them apart have shared counts at every level. A text's feature is the difference of the two
 log-likelihoods, normalised by its length; a logistic curve, fitted on
 labelled texts that the counts leave out, turns it into a probability.
 
@@ -21,34 +22,40 @@ labels of both classes every score is 0. An empty table gives no rows.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .wordcode import LETTERS, chunks, mixed, paired, word_codes
+from .common import saved
+from .wordcode import LETTERS, chunks, paired, word_codes
 
 #: Labelled rows of each class that a model learns from at most.
 SAMPLE = 20_000
 #: Slots of the word and bigram tables, as powers of two.
-WORD_BITS, PAIR_BITS = 20, 21
+WORD_BITS, PAIR_BITS = 18, 19
 #: One labelled row in so many fits the curve instead of the counts.
 CURVE_FOLD = 4
-_COUNTS = "kind int, slot int, ordinary bigint, toxic bigint"
+#: Counts taken off an expression, counts added before classes are compared, and how far apart they have to be.
+DISCOUNT, PRIOR, WORD_FACTOR, PAIR_FACTOR = 1.0, 3.0, 4.0, 20.0
+#: Pairs that a task gathers before it hands them on.
+PAIRS_HELD = 1_000_000
+#: Word slots in one block of summed tables.
+BLOCK = 4096
 
 
 @dataclass
 class Model:
-    """Per word slot: both classes' log word probabilities, back-off weights and totals; per pair slot: both classes' discounted counts."""
+    """For both classes, word probabilities by word slot and discounted probabilities by pair slot; back-off weights by word slot."""
 
     words: np.ndarray
     weights: np.ndarray
-    totals: np.ndarray
     pairs: np.ndarray
-    curve: np.ndarray
 
     def evidence(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """For each text: toxic minus ordinary log-likelihood, and the number of words."""
@@ -58,16 +65,24 @@ class Model:
             if not len(codes):
                 continue
             word, before, pair = _slots(codes, of)
-            p = self.pairs[:, pair] / np.maximum(self.totals[:, before], 1) + self.weights[:, before] * self.words[:, word]
+            p = self.pairs[:, pair] + self.weights[before] * self.words[:, word]
             logs = np.log(p[1]) - np.log(p[0])
             gain[first : first + len(some)] = np.bincount(of, logs, len(some))
             count[first : first + len(some)] = np.bincount(of, minlength=len(some))
         return gain, count
 
+
+@dataclass
+class Classifier:
+    """A broadcast model and the curve over its evidence; without a model every score is 0."""
+
+    model: Broadcast | None
+    curve: np.ndarray
+
     def scores(self, texts: list[bytes | None]) -> np.ndarray:
-        if not len(self.curve):
+        if self.model is None:
             return np.zeros(len(texts))
-        return 1 / (1 + np.exp(-np.clip(_features(*self.evidence(texts)) @ self.curve, -40, 40)))
+        return 1 / (1 + np.exp(-np.clip(_features(*self.model.value.evidence(texts)) @ self.curve, -40, 40)))
 
 
 def _slots(codes: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -91,6 +106,16 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of one task: words by slot, and pairs by their own slot and both words' slots."""
     words = np.zeros((2, 1 << WORD_BITS), np.int64)
     pairs: list[list[np.ndarray]] = [[], []]
+    size = 0
+
+    def merged() -> Iterator[pa.RecordBatch]:
+        for c in (0, 1):
+            if pairs[c]:
+                key, n = np.unique(np.concatenate(pairs[c]), return_counts=True)
+                zero = np.zeros(len(n), np.int64)
+                both = (n, zero) if c == 0 else (zero, n)
+                yield pa.RecordBatch.from_arrays([pa.array((key >> (2 * WORD_BITS)) + 1), pa.array(key & ((1 << 2 * WORD_BITS) - 1)), *map(pa.array, both)], names=["pair", "words", "ordinary", "toxic"])
+
     for batch in batches:
         label = np.asarray(batch.column(1).to_pylist(), np.int64)
         for first, some in chunks(_bytes(batch.column(0))):
@@ -100,64 +125,95 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for c in (0, 1):
                 mine = kind == c
                 words[c] += np.bincount(word[mine], minlength=1 << WORD_BITS)
-                key = (pair[mine] << (2 * WORD_BITS)) | (before[mine] << WORD_BITS) | word[mine]
-                pairs[c].append(np.stack(np.unique(key, return_counts=True)))
+                pairs[c].append((pair[mine] << (2 * WORD_BITS)) | (before[mine] << WORD_BITS) | word[mine])
+            size += len(codes)
+            if size > PAIRS_HELD:
+                yield from merged()
+                pairs, size = [[], []], 0
+    yield from merged()
     seen = np.flatnonzero(words.any(0))
     yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(seen), np.int64)), pa.array(seen), pa.array(words[0][seen]), pa.array(words[1][seen])], names=["pair", "words", "ordinary", "toxic"])
-    for c in (0, 1):
-        if not pairs[c]:
-            continue
-        key, n = np.concatenate(pairs[c], 1)
-        key, of = np.unique(key, return_inverse=True)
-        n = np.bincount(of, n).astype(np.int64)
-        zero = np.zeros(len(n), np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array((key >> (2 * WORD_BITS)) + 1), pa.array(key & ((1 << 2 * WORD_BITS) - 1)), pa.array(n if c == 0 else zero), pa.array(n if c == 1 else zero)], names=["pair", "words", "ordinary", "toxic"])
 
 
-def _count_tables(sample: DataFrame) -> DataFrame:
-    """Summed over tasks, by slot: kind 0 words, 1 pairs, 2 and 3 distinct pairs by first and by second word, 4 pairs by first word."""
+def _tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One task's part of the tables by word slot, in blocks, and its pairs seen more than once.
+
+    Tables: words (2), distinct pairs by first word (2), pairs by first word (2), distinct pairs by second word (1).
+    """
+    table = np.zeros((7, 1 << WORD_BITS), np.int64)
+    for batch in batches:
+        pair, both = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        n = np.stack([batch.column(2).to_numpy(), batch.column(3).to_numpy()])
+        single = pair == 0
+        for c in (0, 1):
+            table[c] += np.bincount(both[single], n[c, single], 1 << WORD_BITS).astype(np.int64)
+        pair, both, n = pair[~single] - 1, both[~single], n[:, ~single]
+        before, word = both >> WORD_BITS, both & ((1 << WORD_BITS) - 1)
+        for c in (0, 1):
+            table[2 + c] += np.bincount(before[n[c] > 0], minlength=1 << WORD_BITS)
+            table[4 + c] += np.bincount(before, n[c], 1 << WORD_BITS).astype(np.int64)
+        table[6] += np.bincount(word, minlength=1 << WORD_BITS)
+        often = np.flatnonzero(n.sum(0) > 1)  # a pair seen once is all discount and tells the classes nothing
+        rows = np.stack([pair[often], before[often], *n[:, often]], 1)
+        for a in range(0, len(rows), 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([zlib.compress(rows[a : a + (1 << 16)].tobytes(), 1)], pa.binary())], names=["block", "data"])
+    for block in range(table.shape[1] // BLOCK):
+        part = table[:, block * BLOCK : (block + 1) * BLOCK]
+        if part.any():
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], names=["block", "data"])
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for block, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            part = np.frombuffer(zlib.decompress(data), np.int64)
+            total[block] = total[block] + part if block in total else part
+    for block, part in total.items():
+        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], names=["block", "data"])
+
+
+def _counts(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The tables of `_tables` over the whole sample, and the pairs: slot, first word's slot, and both classes' counts."""
     parts = sample.mapInArrow(_counted, "pair bigint, words bigint, ordinary bigint, toxic bigint")
     summed = parts.groupBy("pair", "words").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
-    pair, before, word = F.col("pair") > 0, F.shiftright("words", WORD_BITS), F.col("words").bitwiseAND((1 << WORD_BITS) - 1)
-    types = [(F.col("ordinary") > 0).cast("long"), (F.col("toxic") > 0).cast("long")]
-    rows = F.when(
-        pair,
-        F.array(
-            F.struct(F.lit(1).alias("kind"), (F.col("pair") - 1).alias("slot"), F.col("ordinary").alias("ordinary"), F.col("toxic").alias("toxic")),
-            F.struct(F.lit(2).alias("kind"), before.alias("slot"), types[0].alias("ordinary"), types[1].alias("toxic")),
-            F.struct(F.lit(3).alias("kind"), word.alias("slot"), F.lit(1).cast("long").alias("ordinary"), F.lit(0).cast("long").alias("toxic")),
-            F.struct(F.lit(4).alias("kind"), before.alias("slot"), F.col("ordinary").alias("ordinary"), F.col("toxic").alias("toxic")),
-        ),
-    ).otherwise(F.array(F.struct(F.lit(0).alias("kind"), F.col("words").alias("slot"), F.col("ordinary").alias("ordinary"), F.col("toxic").alias("toxic"))))
-    flat = summed.select(F.explode(rows).alias("r")).select("r.*")
-    # A pair seen once is all discount and tells the classes nothing; the types above have counted it.
-    return flat.groupBy("kind", "slot").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")).where("kind != 1 OR ordinary + toxic > 1").select(F.col("kind").cast("int"), F.col("slot").cast("int"), "ordinary", "toxic")
-
-
-def _discount(counts: np.ndarray) -> float:
-    once, twice = (counts == 1).sum(), (counts == 2).sum()
-    return float(np.clip(once / max(once + 2 * twice, 1), 0.3, 0.95))
-
-
-def _model(table: pa.Table) -> Model:
-    kind, slot = table["kind"].to_numpy(), table["slot"].to_numpy()
-    both = np.stack([table["ordinary"].to_numpy(), table["toxic"].to_numpy()]).astype(np.float64)
-
-    def dense(k: int, bits: int) -> np.ndarray:
-        out = np.zeros((2, 1 << bits))
-        out[:, slot[kind == k]] = both[:, kind == k]
-        return out
-
-    words, pairs, after, shared, context = dense(0, WORD_BITS), dense(1, PAIR_BITS), dense(2, WORD_BITS), dense(3, WORD_BITS)[0], dense(4, WORD_BITS)
-    totals = np.maximum(words.sum(1, keepdims=True), 1)
+    made = saved(summed.mapInArrow(_tables, "block int, data binary"), "toxicity-counts")
+    table, pairs = np.zeros((7, 1 << WORD_BITS)), [np.zeros((0, 4), np.int64)]
+    blocks = made.where("block >= 0").repartition("block").mapInArrow(_summed, "block int, data binary")
+    for row in blocks.toLocalIterator():
+        table[:, row.block * BLOCK : (row.block + 1) * BLOCK] = np.frombuffer(zlib.decompress(row.data), np.int64).reshape(7, BLOCK)
+    for row in made.where("block < 0").toLocalIterator():
+        pairs.append(np.frombuffer(zlib.decompress(row.data), np.int64).reshape(-1, 4))
+    return table, np.concatenate(pairs)
+
+
+def _rates(counts: np.ndarray, totals: np.ndarray, factor: float) -> np.ndarray:
+    """Class rates of expressions, after discounting; the pooled rate for both where the classes differ by less than `factor`.
+
+    An expression's counts are compared with those that pooling would give it, both raised by PRIOR, so that
+    rare expressions share their counts and only ones that a class clearly prefers tell the classes apart.
+    """
+    totals = np.maximum(totals, 1)
+    pooled = counts.sum(0) / totals.sum(0)
+    ratio = (counts + PRIOR) / (pooled * totals + PRIOR)
+    apart = np.maximum(ratio[1] / ratio[0], ratio[0] / ratio[1]) > factor
+    return np.maximum(np.where(apart, counts / totals, pooled) - DISCOUNT / totals.min(0), 0)
+
+
+def _model(table: np.ndarray, pairs: np.ndarray) -> Model:
+    words, context, shared = table[0:2], table[4:6], table[6]
     backoff = (shared + 0.5) / (shared.sum() + 0.5 * len(shared))
-    cut = _discount(words.sum(0))
-    kept = np.maximum(words - cut, 0) / totals
-    unigram = kept + (1 - kept.sum(1, keepdims=True)) * backoff
-    less = _discount(pairs.sum(0)[pairs.sum(0) > 0])
-    discounted = np.maximum(pairs - less, 0)
-    weights = np.where(context > 0, np.minimum(1, less * after / np.maximum(context, 1)), 1)
-    return Model(unigram.astype(np.float32), weights.astype(np.float32), context.astype(np.float32), discounted.astype(np.float32), np.zeros(0))
+    kept = _rates(words, words.sum(1, keepdims=True), WORD_FACTOR)
+    unigram = kept + (1 - kept.sum(1).mean()) * backoff
+    before = pairs[:, 1]
+    follow = _rates(pairs[:, 2:].T.astype(float), context[:, before], PAIR_FACTOR)
+    slots, held = np.zeros((2, 1 << PAIR_BITS)), np.zeros((2, 1 << WORD_BITS))
+    for c in (0, 1):
+        np.add.at(slots[c], pairs[:, 0], follow[c])
+        np.add.at(held[c], before, follow[c])
+    # What discounting leaves goes to the words, by one weight per context for both classes.
+    weights = np.clip(1 - held.mean(0), 0.05, 1)
+    return Model(unigram.astype(np.float32), weights.astype(np.float32), slots.astype(np.float32))
 
 
 def _fit_curve(x: np.ndarray, y: np.ndarray, odds: float) -> np.ndarray:
@@ -173,19 +229,17 @@ def _fit_curve(x: np.ndarray, y: np.ndarray, odds: float) -> np.ndarray:
     return curve
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Classifier:
     """Learn from `labels` (doc_id, toxic), already restricted to the rows that may be learned from."""
     spark = docs.sparkSession
     marked = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     sizes = {r["toxic"]: r["n"] for r in marked.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(sizes) < 2:
-        empty = np.zeros((2, 1), np.float32)
-        return Model(empty, empty, empty, empty, np.zeros(0))
+        return Classifier(None, np.zeros(0))
     drawn = [marked.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for c in (0, 1)]
     chosen = F.broadcast(drawn[0].unionByName(drawn[1]))  # 2 * sample rows at most
     texts = docs.select(F.col("doc_id").alias("key"), "text").join(chosen, F.col("key") == F.col("doc_id")).select("text", "toxic", (F.pmod(F.xxhash64("key", F.lit(1)), F.lit(CURVE_FOLD)) == 0).alias("curve"))
-    model = _model(_count_tables(texts.where("NOT curve").select("text", "toxic")).toArrow())
-    shared = spark.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast(_model(*_counts(texts.where("NOT curve").select("text", "toxic"))))
 
     def evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -195,29 +249,27 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     seen = texts.where("curve").select("text", "toxic").mapInArrow(evidence, "toxic int, gain double, count double").toArrow()
     y = seen["toxic"].to_numpy().astype(np.float64)
     odds = (sizes[1] / min(sizes[1], sample)) / (sizes[0] / min(sizes[0], sample))
-    model.curve = _fit_curve(_features(seen["gain"].to_numpy(), seen["count"].to_numpy()), y, odds)
-    return model
+    return Classifier(shared, _fit_curve(_features(seen["gain"].to_numpy(), seen["count"].to_numpy()), y, odds))
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: Classifier, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of `docs`: the id and the score."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shared.value.scores(_bytes(batch.column(1))))], names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.scores(_bytes(batch.column(1))))], names=["doc_id", "score"])
 
     return slim.mapInArrow(scored, "doc_id bigint, score double")
 
 
-def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
+def drop_toxic(docs: DataFrame, model: Classifier, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
     """`docs` without the rows whose score reaches the threshold; all columns as they were."""
-    shared, at, names = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col), docs.columns
+    at, names = docs.columns.index(text_col), docs.columns
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(shared.value.scores(_bytes(batch.column(at))) < threshold))
+            yield batch.filter(pa.array(model.scores(_bytes(batch.column(at))) < threshold))
 
     renamed = docs.toDF(*(f"c{i}" for i in range(len(names))))
     return renamed.mapInArrow(kept, renamed.schema).toDF(*names)
