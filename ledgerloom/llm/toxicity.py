@@ -102,6 +102,13 @@ def _bytes(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
+def _sliced(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches small enough that their texts are held once at a time."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.slice(at, rows)
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of one task: words by slot, and pairs by their own slot and both words' slots."""
     words = np.zeros((2, 1 << WORD_BITS), np.int64)
@@ -116,7 +123,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 both = (n, zero) if c == 0 else (zero, n)
                 yield pa.RecordBatch.from_arrays([pa.array((key >> (2 * WORD_BITS)) + 1), pa.array(key & ((1 << 2 * WORD_BITS) - 1)), *map(pa.array, both)], names=["pair", "words", "ordinary", "toxic"])
 
-    for batch in batches:
+    for batch in _sliced(batches):
         label = np.asarray(batch.column(1).to_pylist(), np.int64)
         for first, some in chunks(_bytes(batch.column(0))):
             codes, of = word_codes(some, LETTERS)
@@ -257,7 +264,7 @@ def score(docs: DataFrame, model: Classifier, id_col: str = "doc_id", text_col:
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _sliced(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.scores(_bytes(batch.column(1))))], names=["doc_id", "score"])
 
     return slim.mapInArrow(scored, "doc_id bigint, score double")
@@ -268,7 +275,7 @@ def drop_toxic(docs: DataFrame, model: Classifier, threshold: float = 0.3, text_
     at, names = docs.columns.index(text_col), docs.columns
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _sliced(batches):
             yield batch.filter(pa.array(model.scores(_bytes(batch.column(at))) < threshold))
 
     renamed = docs.toDF(*(f"c{i}" for i in range(len(names))))
