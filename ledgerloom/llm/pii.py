@@ -53,6 +53,8 @@ CHECKS = (
 #: Words near a candidate that hint at its kind.
 CUES = ("e-?mail|mailto|contact|write to", r"\bip\b|host|server|address", "card|visa|credit|payment", "phone|call|tel\\b|mobile|fax")
 FEATURES = ("gen", "digits", "sep", "lead", "prev", "next", "cue")
+#: Matches in one block of positions.
+BLOCK = 128
 #: Values that each feature takes at most; their product bounds what the driver gets.
 SIZES = (6, 22, 6, 4, 5, 5, 5)
 CELLS = int(np.prod(SIZES))
@@ -63,6 +65,11 @@ def _char_class(c: str) -> str:
     return rf"CASE WHEN {c} = '' THEN 0 WHEN {c} RLIKE '^\\s' THEN 1 WHEN {c} RLIKE '^[0-9]' THEN 2 WHEN {c} RLIKE '^\\p{{L}}' THEN 3 ELSE 4 END"
 
 
+def _bound(name: str, value: str, body: str) -> str:
+    """SQL in which `body` uses `value` by name: it is computed once a row, not once an element."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
 def _spans(gen: int) -> str:
     """SQL for the spans of generator `gen`, from its matches m{gen} and the text between them g{gen}."""
     kind = f"{gen}" if gen < 4 else "0" if gen == 4 else "CASE WHEN digits BETWEEN 12 AND 19 THEN 2 ELSE 3 END"
@@ -72,17 +79,16 @@ def _spans(gen: int) -> str:
     sep = f"CASE WHEN {marks} = '' THEN 0 WHEN {marks} RLIKE '^[.]+$' THEN 1 WHEN {marks} RLIKE '^[ ]+$' THEN 2 WHEN {marks} RLIKE '^-+$' THEN 3 WHEN {marks} RLIKE '^[ ()+-]+$' THEN 4 ELSE 5 END"
     lead = "CASE WHEN m RLIKE '^[+]' THEN 1 WHEN m RLIKE '^[3-6]' THEN 2 WHEN m RLIKE '^[0-9(]' THEN 3 ELSE 0 END"
     cue = "CASE " + " ".join(f"WHEN c RLIKE '(?i){w}' THEN {i + 1}" for i, w in enumerate(s.replace("\\", "\\\\") for s in CUES)) + " ELSE 0 END"
-    walk = f"""aggregate(sequence(0, size(m{gen}) - 1), named_struct('at', 0, 'spans', cast(array() AS array<struct<i:int,start:int,end:int>>)),
-        (acc, i) -> named_struct('at', acc.at + length(g{gen}[i]) + length(m{gen}[i]),
-            'spans', concat(acc.spans, array(named_struct('i', i, 'start', acc.at + length(g{gen}[i]), 'end', acc.at + length(g{gen}[i]) + length(m{gen}[i]))))), acc -> acc.spans)"""
-
-    def bound(name: str, value: str, body: str) -> str:
-        return f"transform(array({value}), {name} -> {body})[0]"
-
-    body = f"""named_struct('kind', {kind}, 'start', s.start, 'end', s.end, 'ok', coalesce({check}, false),
+    body = f"""named_struct('kind', {kind}, 'start', s.a, 'end', s.a + length(m), 'ok', coalesce({check}, false),
         'gen', {gen}, 'digits', digits, 'sep', {sep}, 'lead', {lead}, 'prev', {_char_class("right(c, 1)")}, 'next', {_char_class(f"left(g{gen}[s.i + 1], 1)")}, 'cue', {cue})"""
-    each = bound("m", f"m{gen}[s.i]", bound("c", f"right(g{gen}[s.i], 24)", bound("digits", digits, body)))
-    return f"CASE WHEN size(m{gen}) = 0 THEN array() ELSE transform({walk}, s -> {each}) END"
+    each = _bound("m", f"m{gen}[s.i]", _bound("c", f"right(g{gen}[s.i], 24)", _bound("digits", digits, body)))
+    # Where a match begins: sums of lengths over whole blocks before it, then within its block, so time stays near linear in the matches.
+    lengths = f"zip_with(m{gen}, slice(g{gen}, 1, size(m{gen})), (m, g) -> length(g) + length(m))"
+    sums = f"transform(sequence(0, (size(l) - 1) DIV {BLOCK}), b -> aggregate(slice(l, b * {BLOCK} + 1, {BLOCK}), 0, (t, x) -> t + x))"
+    blocks = f"aggregate({sums}, array(0), (t, x) -> concat(t, array(element_at(t, -1) + x)))"
+    begin = f"named_struct('i', i, 'a', z[i DIV {BLOCK}] + aggregate(slice(l, (i DIV {BLOCK}) * {BLOCK} + 1, i % {BLOCK}), 0, (t, x) -> t + x) + length(g{gen}[i]))"
+    places = _bound("l", lengths, _bound("z", blocks, f"transform(sequence(0, size(l) - 1), i -> {begin})"))
+    return f"CASE WHEN size(m{gen}) = 0 THEN array() ELSE transform({places}, s -> {each}) END"
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -147,8 +153,9 @@ class Trees:
 
 def train(found: DataFrame, precision: float = PRECISION) -> tuple[Trees, list[float]] | None:
     """Trees and per-kind thresholds from all candidates: those that agree with an accepted base span against the others."""
-    row = found.select(F.explode("c").alias("x"), F.expr("filter(c, b -> b.ok)").alias("base"))
-    hit = row.select("x.*", F.expr("exists(base, b -> b.kind = x.kind AND b.start <= x.start AND x.end <= b.end)").cast("long").alias("hit"))
+    fields = ", ".join(f"'{f}', x.{f}" for f in ("kind", *FEATURES))
+    hit = _bound("base", "filter(c, y -> y.ok)", f"transform(c, x -> named_struct({fields}, 'hit', cast(x.ok OR exists(base, b -> b.kind = x.kind AND b.start <= x.start AND x.end <= b.end) AS bigint)))")
+    hit = found.select(F.explode(F.expr(hit)).alias("x")).select("x.*")
     cells = hit.groupBy("kind", *FEATURES).agg(F.sum("hit").alias("pos"), F.count("*").alias("n")).collect()
     x = np.array([[r[f] for f in FEATURES] for r in cells], np.int64).reshape(-1, len(FEATURES))
     pos = np.array([r["pos"] for r in cells], float)
@@ -174,24 +181,18 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """One row per row of `docs`: doc_id, base counts per kind, base_sha256, all spans as kind:start:end, and n_added."""
     found = saved(candidates(docs, id_col, text_col), "candidates")
     learned = train(found, precision)
-    split = found.select("doc_id", F.expr("filter(c, x -> x.ok)").alias("base"), F.expr("filter(c, x -> NOT x.ok)").alias("rest"))
+    base = "array_sort(transform(base, x -> named_struct('start', x.start, 'kind', x.kind, 'end', x.end)))"
     if learned:
         trees, limits = learned
         limit = "CASE x.kind " + " ".join(f"WHEN {k} THEN {'1e300' if v == float('inf') else repr(v)}D" for k, v in enumerate(limits)) + " END"
         near = "b.start < x.end AND x.start < b.end"
-        split = (
-            split.withColumn("rest", F.expr(f"filter(rest, x -> NOT exists(base, b -> {near}))"))
-            .withColumn("rest", F.expr(f"transform(rest, x -> named_struct('kind', x.kind, 'start', x.start, 'end', x.end, 'over', ({trees.sql('x')}) - ({limit})))"))
-            .withColumn("rest", F.expr("array_distinct(filter(rest, x -> x.over >= 0))"))
-            .withColumn("rest", F.expr(f"filter(rest, x -> NOT exists(rest, b -> {near} AND (b.over, b.end - b.start, -b.start, -b.kind) > (x.over, x.end - x.start, -x.start, -x.kind)))"))
-        )
+        better = "named_struct('a', b.over, 'b', b.end - b.start, 'c', -b.start, 'd', -b.kind) > named_struct('a', x.over, 'b', x.end - x.start, 'c', -x.start, 'd', -x.kind)"
+        scored = f"transform(filter(c, x -> NOT x.ok), x -> named_struct('kind', x.kind, 'start', x.start, 'end', x.end, 'over', ({trees.sql('x')}) - ({limit})))"
+        added = f"array_distinct(filter(filter({scored}, x -> x.over >= 0), x -> NOT exists(base, b -> {near})))"
+        rest = _bound("good", added, f"transform(filter(good, x -> NOT exists(good, b -> {near} AND {better})), x -> named_struct('start', x.start, 'kind', x.kind, 'end', x.end))")
     else:
-        split = split.withColumn("rest", F.expr("cast(array() AS array<struct<kind:int,start:int,end:int>>)"))
-    spans = split.select(
-        "doc_id",
-        F.expr("array_sort(transform(base, x -> named_struct('start', x.start, 'kind', x.kind, 'end', x.end)))").alias("base"),
-        F.expr("transform(rest, x -> named_struct('start', x.start, 'kind', x.kind, 'end', x.end))").alias("rest"),
-    )
+        rest = "cast(array() AS array<struct<start:int,kind:int,end:int>>)"
+    spans = found.select("doc_id", F.expr(_bound("base", "filter(c, x -> x.ok)", f"named_struct('base', {base}, 'rest', {rest})")).alias("s")).select("doc_id", "s.base", "s.rest")
     names = "array(" + ", ".join(f"'{k}'" for k in KINDS) + ")"
 
     def text(spans: str) -> str:
