@@ -20,8 +20,9 @@ spanning forest. A bucket of more than BUCKET fingerprints is cut into chunks
 of which every two meet in a task of their own: all pairs are still tested.
 
 For a similarity threshold (`similar_groups`), where distances are larger than
-blocks and pivots can tell apart, buckets are sampled bits of 256-bit
-fingerprints; the rest is the same.
+blocks and pivots can tell apart, texts that share a band of minimum hashes
+are candidates, and each is verified by the Jaccard similarity of the two
+whole shingle sets. Of pairs just at 0.8 about one in 20,000 shares no band.
 
 Defined cases: a null text counts as empty. Texts without words have
 fingerprint zero and are linked like any other; texts shorter than a shingle
@@ -42,7 +43,7 @@ from pyspark.sql import functions as F
 
 from .common import ASCII_LOWER, saved
 from .graph import components, stars
-from .wordcode import mixed
+from .wordcode import mixed, paired
 
 PIVOTS = 16
 #: Fingerprints that one bucket holds before it is cut into chunks.
@@ -159,36 +160,45 @@ def sorted_links(keys: np.ndarray, prints: np.ndarray, distance: int, reference:
     return (np.concatenate(a), np.concatenate(b)) if a else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
+def _cut(keyed: DataFrame, by: list[str], bucket: int) -> DataFrame:
+    """`keyed` (key and others) with buckets of more than `bucket` rows cut into chunks, of which every two share a key."""
+    full = keyed.groupBy("key").agg(F.count("*").alias("n_key")).where(F.col("n_key") > bucket).select("key", F.ceil(F.col("n_key") / bucket).cast("int").alias("parts"))
+    full = saved(full, "full-buckets")
+    if full.isEmpty():
+        return keyed
+    # Chunk r of p meets every chunk of its bucket: in the tasks (min, max) of the two.
+    part = F.pmod(F.xxhash64(*by), F.col("parts")).cast("int")
+    meets = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: F.xxhash64("key", F.least(o, F.col("part")), F.greatest(o, F.col("part"))))
+    others = [c for c in keyed.columns if c != "key"]
+    return keyed.join(full, "key", "left").withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("part", part).select(F.explode(meets).alias("key"), *others)
+
+
+def _whole_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """Rows (of long columns, sorted by the first) of about ROWS at a time, no run of equal keys cut."""
+    held: list[np.ndarray] = []
+    size = 0
+    for got in batches:
+        held.append(np.stack([c.to_numpy() for c in got.columns], 1))
+        size += len(held[-1])
+        if size >= ROWS and held[-1][-1, 0] != held[0][0, 0]:
+            rows = np.concatenate(held)
+            cut = int(np.searchsorted(rows[:, 0], rows[-1, 0]))  # the last run may go on
+            yield rows[:cut]
+            held, size = [rows[cut:]], len(rows) - cut
+    if size:
+        yield np.concatenate(held)
+
+
 def _bucketed(keyed: DataFrame, lanes: list[str], distance: int, bucket: int) -> DataFrame:
     """`keyed` (key, root, lanes) to links (child, root) between roots that pairs within the distance, sharing a key, connect."""
-    full = keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > bucket).select("key", F.ceil(F.col("n") / bucket).cast("int").alias("parts"))
-    full = saved(full, "full-buckets")
-    if not full.isEmpty():
-        # Chunk r of p meets every chunk of its bucket: in the tasks (min, max) of the two.
-        part = F.pmod(F.xxhash64(*lanes), F.col("parts")).cast("int")
-        meets = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: F.xxhash64("key", F.least(o, F.col("part")), F.greatest(o, F.col("part"))))
-        keyed = keyed.join(full, "key", "left").withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("part", part).select(F.explode(meets).alias("key"), "root", *lanes)
+    keyed = _cut(keyed, lanes, bucket)
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reference = pivots(len(lanes))
-        held: list[np.ndarray] = []
-
-        def batch(rows: np.ndarray) -> pa.RecordBatch:
+        for rows in _whole_runs(batches):
             a, b = sorted_links(rows[:, 0], np.ascontiguousarray(rows[:, 2:]).view(np.uint64), distance, reference)
             child, root = stars(rows[a, 1], rows[b, 1])
-            return pa.RecordBatch.from_arrays([pa.array(child), pa.array(root)], names=["child", "root"])
-
-        size = 0
-        for got in batches:
-            held.append(np.stack([c.to_numpy() for c in got.columns], 1))
-            size += len(held[-1])
-            if size >= ROWS and held[-1][-1, 0] != held[0][0, 0]:
-                rows = np.concatenate(held)
-                cut = int(np.searchsorted(rows[:, 0], rows[-1, 0]))  # the last run may go on
-                yield batch(rows[:cut])
-                held, size = [rows[cut:]], len(rows) - cut
-        if size:
-            yield batch(np.concatenate(held))
+            yield pa.RecordBatch.from_arrays([pa.array(child), pa.array(root)], names=["child", "root"])
 
     return keyed.select("key", "root", *lanes).repartition("key").sortWithinPartitions("key").mapInArrow(found, "child bigint, root bigint")
 
@@ -215,8 +225,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 LANES = ["l0", "l1", "l2", "l3"]
 WIDTH = 64 * len(LANES)
-#: Chance that a pair just at the threshold shares no bucket.
-MISSED = 0.08
+#: Minimum hashes of a text; BANDS times BAND of them make its buckets, two bits of each its sketch.
+HASHES, BANDS, BAND = 128, 25, 5
+#: Deviations by which the sketches of a pair at the threshold may differ from their mean: exceeded about twice in a million.
+SLACK = 5.0
 
 
 def wide_print(text: bytes, words: int) -> np.ndarray:
@@ -230,49 +242,184 @@ def expected_distance(similarity: float, width: int = WIDTH) -> float:
     return width * np.arccos(2 * similarity / (1 + similarity)) / np.pi
 
 
-def sampled_masks(prints: int, similarity: float) -> list[list[int]]:
-    """Bit samples, as one mask per lane: of so many bits that chance meetings stay few, and as many as find all but MISSED of pairs at the threshold."""
-    bits = int(np.clip(np.ceil(np.log2(max(prints, 2))), 16, 24))
-    met = (1 - expected_distance(similarity) / WIDTH) ** bits
-    rng, out = np.random.default_rng(23), []
-    for _ in range(int(np.ceil(np.log(MISSED) / np.log(1 - met)))):
-        chosen = rng.choice(WIDTH, bits, replace=False)
-        masks = [sum(1 << int(b % 64) for b in chosen if b // 64 == lane) for lane in range(len(LANES))]
-        out.append([m - 2**64 if m >= 2**63 else m for m in masks])
+def shingle_set(text: bytes, words: int) -> np.ndarray:
+    """The different shingle hashes of a text, in order."""
+    return np.unique(np.array(shingle_hashes(text, words), np.uint64))
+
+
+def min_hashes(sets: list[np.ndarray], piece: int = 1 << 16) -> np.ndarray:
+    """HASHES minimum hashes of each set (row); of two sets each is equal with the chance of their Jaccard similarity."""
+    rng = np.random.default_rng(29)
+    factors, terms = rng.integers(0, 2**64, (2, HASHES), np.uint64)
+    factors |= np.uint64(1)
+    out = np.zeros((len(sets), HASHES), np.uint64)
+    first = 0
+    while first < len(sets):
+        last, size = first, 0
+        while last < len(sets) and (size == 0 or size + len(sets[last]) <= piece):
+            size += max(1, len(sets[last]))
+            last += 1
+        some = [x if len(x) else np.zeros(1, np.uint64) for x in sets[first:last]]
+        joined = np.concatenate(some)
+        starts = np.cumsum([0, *map(len, some[:-1])])
+        for i in range(HASHES):
+            out[first:last, i] = np.minimum.reduceat(joined * factors[i] + terms[i], starts)
+        first = last
     return out
 
 
+def bands(signatures: np.ndarray) -> np.ndarray:
+    """A code of each run of BAND minimum hashes, different from run to run."""
+    parts = signatures[:, : BANDS * BAND].reshape(-1, BANDS, BAND)
+    codes = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), parts.shape[:2])
+    for i in range(BAND):
+        codes = paired(codes, parts[:, :, i])
+    return codes
+
+
+def sketches(signatures: np.ndarray) -> np.ndarray:
+    """Two bits of each minimum hash, 32 to a lane."""
+    bits = (mixed(signatures) & np.uint64(3)).reshape(-1, len(LANES), 32) << (2 * np.arange(32, dtype=np.uint64))
+    return np.bitwise_or.reduce(bits, 2)
+
+
+def apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many of their minimum hashes two sketches (rows) show to be different."""
+    x = a ^ b
+    return np.bitwise_count((x | (x >> np.uint64(1))) & np.uint64(0x5555555555555555)).sum(-1, dtype=np.int16)
+
+
+def sketch_limit(similarity: float) -> float:
+    share = 0.75 * (1 - similarity)
+    return HASHES * share + SLACK * np.sqrt(HASHES * share * (1 - share))
+
+
+def _met(rows: np.ndarray, similarity: float, star: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers of pairs to verify within each run of equal keys. `rows`: key, root, node, size, lanes.
+
+    In a star only with the run's first row; otherwise all pairs of different roots.
+    """
+    keys, roots, sizes, prints = rows[:, 0], rows[:, 1], rows[:, 3], np.ascontiguousarray(rows[:, 4:]).view(np.uint64)
+    limit = sketch_limit(similarity)
+
+    def near(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        fit = (roots[i] != roots[j]) & (np.minimum(sizes[i], sizes[j]) + 1e-9 >= similarity * np.maximum(sizes[i], sizes[j]))
+        i, j = i[fit], j[fit]
+        hit = apart(prints[i], prints[j]) <= limit
+        return np.stack([i[hit], j[hit]])
+
+    starts = np.concatenate([[0], np.flatnonzero(np.diff(keys)) + 1])
+    counts = np.diff(np.append(starts, len(keys)))
+    if star:
+        return tuple(near(np.repeat(starts, counts), np.arange(len(keys))))
+    pairs = [np.zeros((2, 0), np.int64)]
+    mixed_runs = np.minimum.reduceat(roots, starts) != np.maximum.reduceat(roots, starts)
+    for s, n in zip(starts[mixed_runs & (counts > SMALL)].tolist(), counts[mixed_runs & (counts > SMALL)].tolist(), strict=True):
+        for i in range(s, s + n - 1):
+            j = np.arange(i + 1, s + n)
+            pairs.append(near(np.full(len(j), i), j))
+    small = np.flatnonzero(np.repeat(mixed_runs & (counts <= SMALL), counts))
+    for lag in range(1, SMALL):
+        if len(small) <= lag:
+            break
+        same = keys[small[:-lag]] == keys[small[lag:]]
+        pairs.append(near(small[:-lag][same], small[lag:][same]))
+    return tuple(np.concatenate(pairs, 1))
+
+
+def _candidates(keyed: DataFrame, similarity: float, star: bool, bucket: int) -> DataFrame:
+    """`keyed` (key, root, node, size, lanes) to the different pairs of nodes (a, b) to verify."""
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _whole_runs(batches):
+            i, j = _met(rows, similarity, star)
+            for at in range(0, len(i), ROWS):
+                a, b = rows[i[at : at + ROWS], 2], rows[j[at : at + ROWS], 2]
+                pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+    cut = _cut(keyed, ["node"], bucket).select("key", "root", "node", "size", *LANES)
+    return cut.repartition("key").sortWithinPartitions("key", "node").mapInArrow(found, "a bigint, b bigint").distinct()
+
+
+def _of_nodes(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """`rows` (node and others) of the `wanted` (node, all different), and a few more: by a bitmap, before anything is shuffled."""
+    size = 1 << max(10, int(16 * wanted.count()).bit_length())
+    at = F.col("node").bitwiseAND(F.lit(size - 1))
+    words = wanted.select(F.shiftright(at, 6).alias("word"), F.expr(f"shiftleft(1L, int((node & {size - 1}L) & 63))").alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    bitmap = np.zeros(size // 64, np.uint64)
+    bitmap[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
+    held, node = rows.sparkSession.sparkContext.broadcast(bitmap), rows.columns.index("node")
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column(node).to_numpy().view(np.uint64) & np.uint64(size - 1)
+            yield batch.filter(pa.array((held.value[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)))
+
+    return rows.mapInArrow(kept, rows.schema)
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Those of `pairs` (a, b) whose `sets` (node, shingles) reach the Jaccard similarity, as links."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    known = _of_nodes(sets, wanted).groupBy("node").agg(F.first("shingles").alias("shingles"))
+    known = saved(known, "wanted-sets")
+    left = known.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
+    right = known.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
+    both = F.size(F.array_intersect("sa", "sb"))
+    joined = pairs.join(left, "a").join(right, "b").select("a", "b", both.alias("both"), (F.size("sa") + F.size("sb")).alias("sizes"))
+    return joined.where(F.col("both") + 1e-9 >= similarity * (F.col("sizes") - F.col("both"))).select(F.col("b").alias("child"), F.col("a").alias("root"))
+
+
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, bucket: int = BUCKET) -> DataFrame:
-    """doc_id and component_id of texts connected by pairs whose SimHash similarity reaches the threshold.
+    """doc_id and component_id of texts connected by pairs whose shingle sets have a Jaccard similarity of the threshold at least.
 
-    At such a threshold fingerprints differ in many bits: no block is sure to agree, and pivot distances discard
-    little. Buckets are therefore samples of bits of a fingerprint four times as wide, whose distance estimates the
-    similarity. A first eighth of the samples finds most groups; the others add links between different groups only.
+    Texts meet in buckets of equal bands of minimum hashes; pairs whose sketches and sizes allow the similarity are
+    verified on their whole shingle sets. Equal sets are one node. First each text of a bucket is compared with the
+    bucket's first, which connects most groups; then all pairs that are in different groups still.
     """
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    lanes = ", ".join(f"{c} bigint" for c in LANES)
 
     def printed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            prints = np.array([wide_print(x.as_py() or b"", words) for x in batch.column(1).cast(pa.binary())], np.uint64).reshape(-1, len(LANES)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(np.ascontiguousarray(prints[:, i])) for i in range(len(LANES)))], names=["doc_id", *LANES])
-
-    rows = saved(slim.mapInArrow(printed, "doc_id bigint, " + ", ".join(f"{c} bigint" for c in LANES)).withColumn("node", F.xxhash64(*LANES)), "wide-prints")
-    nodes = saved(rows.groupBy("node", *LANES).agg(F.min("doc_id").alias("least")), "nodes")
-    masks, limit = sampled_masks(nodes.count(), similarity), int(expected_distance(similarity) + 0.8 * np.sqrt(expected_distance(similarity)))
-    first = max(1, len(masks) // 8)
+        from xxhash import xxh64_intdigest
+
+        for whole in batches:
+            for at in range(0, len(whole), 1000):
+                batch = whole.slice(at, 1000)
+                sets = [shingle_set(x.as_py() or b"", words) for x in batch.column(1).cast(pa.binary())]
+                signed = min_hashes(sets)
+                drawn = sketches(signed).view(np.int64)
+                sizes = np.array([len(x) for x in sets], np.int64)
+                nodes = np.array([xxh64_intdigest(x.tobytes(), SEED) for x in sets], np.uint64).view(np.int64)
+                every = np.concatenate(sets).view(np.int64)
+                columns = [
+                    batch.column(0),
+                    pa.array(nodes),
+                    pa.array(sizes),
+                    *(pa.array(np.ascontiguousarray(drawn[:, i])) for i in range(len(LANES))),
+                    pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * BANDS), pa.array(bands(signed).view(np.int64).reshape(-1))),
+                    pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(every)),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "node", "size", *LANES, "bands", "shingles"])
+
+    rows = saved(slim.mapInArrow(printed, f"doc_id bigint, node bigint, size bigint, {lanes}, bands array<bigint>, shingles array<bigint>"), "shingle-sets")
+    first = [F.first(c).alias(c) for c in ("size", *LANES, "bands")]
+    nodes = saved(rows.groupBy("node").agg(F.min("doc_id").alias("least"), *first), "nodes")
     roots = None
-    for wave in (masks[:first], masks[first:]):
+    for star in (True, False):
         if roots is None:
             rooted = nodes.withColumn("root", F.col("node"))
         else:
             rooted = nodes.join(roots.withColumnRenamed("child", "node"), "node", "left").withColumn("root", F.coalesce("root", "node"))
-        keys = F.explode(F.array(*(F.xxhash64(F.lit(i), *(F.col(c).bitwiseAND(F.lit(m).cast("long")) for c, m in zip(LANES, lanes, strict=True))) for i, lanes in enumerate(wave))))
-        found = _bucketed(rooted.select(keys.alias("key"), "root", *LANES), LANES, limit, bucket)
+        keyed = rooted.select(F.explode("bands").alias("key"), "root", "node", "size", *LANES)
+        pairs = saved(_candidates(keyed, similarity, star, bucket), "pairs")
+        found = _verified(pairs, rows.select("node", "shingles"), similarity)
         roots = components(found if roots is None else found.unionByName(roots))
     labelled = nodes.join(roots.withColumnRenamed("child", "node"), "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     named = labelled.groupBy("root").agg(F.min("least").alias("component_id")).withColumnRenamed("root", "name")
     labels = labelled.join(named, F.col("root") == F.col("name")).select("node", "component_id")
-    return rows.join(labels, "node").select("doc_id", "component_id")
+    return rows.select("doc_id", "node").join(labels, "node").select("doc_id", "component_id")
 
 
 def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:

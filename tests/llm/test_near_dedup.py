@@ -157,3 +157,46 @@ def test_similar_hard_rows(hard, empty):
     assert {r.component_id for r in got if r.doc_id in (1, 2, 11)} == {1}
     assert {r.component_id for r in got if r.doc_id in (3, 4, 5)} == {3}
     assert similar_groups(empty).collect() == []
+
+
+def set_similarity(x, y):
+    a, b = ({tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in (x.split(), y.split()))
+    return len(a & b) / len(a | b)
+
+
+def pairs_about_the_threshold(seed, count):
+    """Pairs of texts of unlike lengths, changed in runs of words so that their similarity is between 0.75 and 0.9."""
+    rnd, out = random.Random(seed), []
+    while len(out) < count:
+        n = rnd.choice([60, 120, 300, 600])
+        base = [f"w{rnd.randrange(5000)}" for _ in range(n)]
+        other, at = list(base), rnd.randrange(n // 2)
+        run = max(1, int(n * rnd.uniform(0.02, 0.14)))
+        other[at : at + run] = [f"v{rnd.randrange(10**6)}" for _ in range(run)]
+        x, y = " ".join(base), " ".join(other)
+        if 0.75 <= set_similarity(x, y) <= 0.9:
+            out.append((x, y))
+    return out
+
+
+@pytest.mark.parametrize("bucket", [BUCKET, 2])
+def test_similar_groups_equal_brute_force_about_the_threshold(spark, bucket):
+    """Just the pairs that reach 0.8 are grouped: none below, and all above."""
+    pairs = pairs_about_the_threshold(4, 400)
+    rows = [(2 * i + k, text) for i, pair in enumerate(pairs) for k, text in enumerate(pair)]
+    got = {r.doc_id: r.component_id for r in similar_groups(spark.createDataFrame(rows, "doc_id bigint, text string"), bucket=bucket).collect()}
+    want = {2 * i + k: 2 * i if set_similarity(*pair) >= 0.8 else 2 * i + k for i, pair in enumerate(pairs) for k in (0, 1)}
+    assert 100 < sum(k != c for k, c in want.items()) < 300
+    assert got == want
+
+
+def test_links_that_the_first_text_of_a_bucket_does_not_give(spark):
+    """Texts in a chain, each near its neighbours only, are one group whichever of them is first in a bucket."""
+    rnd = random.Random(8)
+    text, rows = [f"w{i}" for i in range(400)], []
+    for i in range(30):
+        rows.append((i, " ".join(text)))
+        text[12 * i : 12 * i + 30] = [f"v{rnd.randrange(10**9)}" for _ in range(30)]
+    assert set_similarity(rows[0][1], rows[1][1]) >= 0.8 > set_similarity(rows[0][1], rows[3][1])
+    got = similar_groups(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert len(got) == 30 and {r.component_id for r in got} == {0}
