@@ -15,8 +15,11 @@ is the sum of log10(n(w) + 0.5) and of one matrix entry per transition.
 
 Counts of all words come from one aggregation over all training text. Words
 are 64-bit codes. The HEAD most frequent (whole counts only, so never more)
-are broadcast, CLUSTERED of them at most with classes; all others share one, and
-their counts reach the documents by a join, whatever their number.
+are broadcast. Exchange clustering moves CLUSTERED of them at most; every other
+word seen LEAST_SEEN times then gets the best class for its own contexts by the
+finished class counts, in a distributed table, and class bigrams are counted
+anew. Counts and classes of words outside the head reach the documents by a
+join, whatever their number.
 
 Defined cases: a null text counts as empty and is one end token. Words not in
 the training text have count 0. With no training text all probabilities are
@@ -37,9 +40,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import saved
+from .near_dedup import _whole_runs
 from .wordcode import CodeIndex, chunks, word_codes
 
-#: Words with counts that are broadcast, and words that clustering places.
+#: Words with counts that are broadcast, and words that clustering moves; the others are placed once it is done.
 HEAD, CLUSTERED = 1 << 18, 1 << 15
 CLASSES, ROUNDS = 30, 3
 #: Words seen less often say too little of their contexts: they are of the class of others, which so learns where rare words stand.
@@ -214,6 +218,108 @@ def exchange(classes: np.ndarray, context: np.ndarray, pairs: np.ndarray, free:
     return classes
 
 
+def _placed(texts: DataFrame, known: Broadcast, classes: np.ndarray, pairs: np.ndarray, kinds: int) -> DataFrame:
+    """The words of the class of others, seen often enough, to code, n and the class (of the first `kinds`) that suits their contexts best."""
+    other, end, label = kinds, kinds + 1, classes.astype(np.uint8)
+    width = 2 * (kinds + 2)
+
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index, held, size = known.value, [], 0
+
+        def merged() -> pa.RecordBatch:
+            words, at = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
+            key, place = np.unique(at * width + np.concatenate([h[1] for h in held]), return_inverse=True)
+            n = np.bincount(place, np.concatenate([h[2] for h in held])).astype(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(_shifted(words[key // width])), pa.array(key % width), pa.array(n)], names=["code", "slot", "n"])
+
+        for batch in batches:
+            for _, some in chunks(_bytes(batch.column(0))):
+                codes, _ = _with_ends(some)
+                kind = label[index.find(codes)].astype(np.int64)
+                kind[codes == END] = end
+                mine = np.flatnonzero(kind == other)
+                words, at = np.unique(codes[mine], return_inverse=True)
+                before, after = np.concatenate([[end], kind[:-1]])[mine], np.append(kind[1:], end)[mine]
+                key, n = np.unique(np.concatenate([at * width + before, at * width + kinds + 2 + after]), return_counts=True)
+                held.append((words[key // width], key % width, n))
+                size += len(key)
+                if size > 500_000:
+                    yield merged()
+                    held, size = [], 0
+        if size:
+            yield merged()
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _whole_runs(batches):
+            codes, at = np.unique(rows[:, 0], return_inverse=True)
+            context = np.bincount(at * width + rows[:, 1], rows[:, 2], len(codes) * width).reshape(-1, width)
+            seen = context.sum(1).astype(np.int64) // 2  # each occurrence has one context before and one after
+            often = np.flatnonzero(seen >= LEAST_SEEN)
+            for first in range(0, len(often), 512):
+                some = often[first : first + 512]
+                chosen = exchange(np.full(len(some), other), context[some].reshape(-1, 2, kinds + 2), pairs, kinds, len(some))
+                yield pa.RecordBatch.from_arrays([pa.array(codes[some]), pa.array(seen[some]), pa.array(chosen.astype(np.int32))], names=["code", "n", "kind"])
+
+    slots = texts.mapInArrow(met, "code bigint, slot bigint, n bigint")
+    return slots.repartition("code").sortWithinPartitions("code").mapInArrow(best, "code bigint, n bigint, kind int")
+
+
+def _tail_moves(codes: np.ndarray, word: np.ndarray, kind: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different transitions to or from words outside the head, by text, and how often each is met.
+
+    A transition has `left` and `right`, either a code or, as bits 1 and 2 of `form` say, a class number.
+    """
+    end = kind[np.flatnonzero(codes == END)[0]]
+    tail = (word < 0) & (codes != END)
+    token = np.where(tail, _shifted(codes), kind)
+    left, left_tail = np.concatenate([[end], token[:-1]]), np.concatenate([[False], tail[:-1]])
+    at = np.flatnonzero(tail | left_tail)
+    rows = np.rec.fromarrays([of[at], left[at], token[at], (~left_tail[at] + 2 * ~tail[at].astype(bool)).astype(np.int8)], names="of,left,right,form")
+    return np.unique(rows, return_counts=True)
+
+
+_MOVES = "`left` bigint, `right` bigint, form tinyint"
+
+
+def _changed(moves: DataFrame, tail: DataFrame, other: int) -> DataFrame:
+    """`moves` (_MOVES and others) to the others, a, b, a0, b0: the classes of both sides, and those if the tail were all of the class of others."""
+    others = [c for c in moves.columns if c not in ("left", "right", "form")]
+    lefts, rights = (tail.select(F.col("code").alias(side), F.col("kind").cast("long").alias(name)) for side, name in (("left", "a"), ("right", "b")))
+    rest = F.lit(other).cast("long")
+
+    def of(form: int) -> DataFrame:
+        got = moves.where(F.col("form") == form)
+        got = got.withColumn("a", F.col("left")) if form & 1 else got.join(lefts, "left", "left")
+        got = got.withColumn("b", F.col("right")) if form & 2 else got.join(rights, "right", "left")
+        before = [F.col(k) if form & bit else rest for k, bit in (("a", 1), ("b", 2))]
+        return got.select(*others, F.coalesce("a", rest).alias("a"), F.coalesce("b", rest).alias("b"), before[0].alias("a0"), before[1].alias("b0")).where("a != a0 OR b != b0")
+
+    return of(0).unionByName(of(1)).unionByName(of(2))
+
+
+def _tail_pairs(texts: DataFrame, known: Broadcast, classes: np.ndarray, tail: DataFrame, kinds: int) -> np.ndarray:
+    """What class bigrams change by when words of `tail` leave the class of others."""
+    end, label = kinds + 1, classes.astype(np.uint8)
+
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = known.value
+        for batch in batches:
+            for _, some in chunks(_bytes(batch.column(0))):
+                codes, of = _with_ends(some)
+                word = index.find(codes)
+                kind = label[word].astype(np.int64)
+                kind[codes == END] = end
+                moves, n = _tail_moves(codes, word, kind, np.zeros_like(of))
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(moves[c])) for c in ("left", "right", "form")] + [pa.array(n.astype(np.int64))], names=["left", "right", "form", "n"])
+
+    moves = saved(texts.mapInArrow(met, f"{_MOVES}, n bigint").groupBy("left", "right", "form").agg(F.sum("n").alias("n")), "tail-moves")
+    change = np.zeros((kinds + 2, kinds + 2))
+    for r in _changed(moves, tail, kinds).groupBy("a", "b", "a0", "b0").agg(F.sum("n").alias("n")).collect():
+        change[r.a, r.b] += r.n
+        change[r.a0, r.b0] -= r.n
+    return change
+
+
 def _class_weight(pairs: np.ndarray, share: np.ndarray, mass: np.ndarray, base: float, steps: int = 25) -> float:
     """The interpolation weight of most likelihood, by EM over class bigrams of which each token sees all others."""
     weight, moves = 0.5, (np.maximum(pairs - 1, 0) + PRIOR * share) / (np.maximum(pairs.sum(1, keepdims=True) - 1, 0) + PRIOR)
@@ -224,8 +330,8 @@ def _class_weight(pairs: np.ndarray, share: np.ndarray, mass: np.ndarray, base:
     return min(weight, 0.99)
 
 
-def fit(texts: DataFrame, counts: DataFrame, head: int = HEAD, clustered: int = CLUSTERED, kinds: int = CLASSES, rounds: int = ROUNDS) -> tuple[Model, int]:
-    """The model of `texts` (text) whose `token_counts` are `counts`, and the count from which a word is in the head."""
+def fit(texts: DataFrame, counts: DataFrame, head: int = HEAD, clustered: int = CLUSTERED, kinds: int = CLASSES, rounds: int = ROUNDS) -> tuple[Model, int, DataFrame | None]:
+    """The model of `texts` (text) whose `token_counts` are `counts`, the count from which a word is in the head, and the classes of words outside it (code, n, kind), if any."""
     totals = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count("*").alias("types")).first()
     codes, n, floor = _head(counts, head)
     known = texts.sparkSession.sparkContext.broadcast(CodeIndex(codes))  # once for all rounds
@@ -242,30 +348,47 @@ def fit(texts: DataFrame, counts: DataFrame, head: int = HEAD, clustered: int =
             best = (likelihood, classes.copy(), pairs)
         if not last:
             classes[:clustered] = exchange(classes[:clustered], context, pairs, kinds)
+    tail = None
     if best is not None:
         _, classes, pairs = best
+        placed = saved(_placed(texts, known, classes, pairs, kinds), "placed-words")
+        here = placed.where(F.col("n") >= floor).toArrow()  # of the head, so never more
+        classes[known.value.find(here["code"].to_numpy().view(np.uint64))] = here["kind"].to_numpy()
+        tail = placed.where(F.col("n") < floor)
+        tail = None if tail.isEmpty() else tail
+        if len(here) or tail is not None:
+            _, pairs = _class_contexts(texts, known, classes, 0, kinds + 2)
+        if tail is not None:
+            pairs = pairs + _tail_pairs(texts, known, classes, tail, kinds)
     base = totals["tokens"] + 0.5 * (totals["types"] + 1)
     kind = classes[:-1].copy()
     kind[codes == END] = end
     mass, types = np.bincount(kind, n + 0.5, kinds + 2), np.bincount(kind, minlength=kinds + 2)
-    # Words outside the head, and the unknown one, are of the class of others.
+    # Words outside the head that are not placed, and the unknown one, are of the class of others.
     tail_types = totals["types"] - len(codes)
     mass[other] += totals["tokens"] - int(n.sum()) + 0.5 * tail_types + 0.5
+    types[other] += tail_types
+    for r in tail.groupBy("kind").agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect() if tail is not None else []:
+        mass[r.kind] += r.n + 0.5 * r.words
+        mass[other] -= r.n + 0.5 * r.words
+        types[r.kind] += r.words
+        types[other] -= r.words
     share = (pairs.sum(0) + 0.5 * (types + 1)) / (pairs.sum() + 0.5 * (types + 1).sum())
     followed = pairs.sum(1, keepdims=True)
     weight = _class_weight(pairs, share, mass, base)
     moves = (pairs + PRIOR * share) / (followed + PRIOR)
     table = np.log10(weight * moves / np.maximum(mass, 0.5) + (1 - weight) / base)
-    return Model(known, np.log10(n + 0.5), classes.astype(np.uint8), table, totals["tokens"], totals["types"]), floor
+    return Model(known, np.log10(n + 0.5), classes.astype(np.uint8), table, totals["tokens"], totals["types"]), floor, tail
 
 
-def score_texts(docs: DataFrame, model: Model, floor: int, counts: DataFrame) -> DataFrame:
+def score_texts(docs: DataFrame, model: Model, floor: int, counts: DataFrame, placed: DataFrame | None = None) -> DataFrame:
     """`docs` (doc_id, text, and any others) with n_tokens, n_known, base_score and score instead of the text."""
     kept = [c for c in docs.columns if c != "text"]
     from pyspark.sql import types as T
 
-    schema = T.StructType([*(docs.schema[c] for c in kept), *T._parse_datatype_string("n_tokens bigint, n_known bigint, logs double, moves double, codes array<bigint>, times array<int>").fields])
-    at = docs.columns.index("text")
+    schema = T.StructType([*(docs.schema[c] for c in kept), *T._parse_datatype_string("n_tokens bigint, n_known bigint, logs double, moves double, codes array<bigint>, times array<int>, tail array<struct<" + _MOVES.replace(" bigint", ": bigint").replace(" tinyint", ": tinyint") + ", n: int>>").fields])
+    at, deep = docs.columns.index("text"), placed is not None
+    moves_type = pa.list_(pa.struct([("left", pa.int64()), ("right", pa.int64()), ("form", pa.int8()), ("n", pa.int32())]))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, index = model, model.known.value
@@ -285,6 +408,13 @@ def score_texts(docs: DataFrame, model: Model, floor: int, counts: DataFrame) ->
                 key = np.rec.fromarrays([of[rest], codes[rest]])
                 pairs, times = np.unique(key, return_counts=True)
                 offsets = np.searchsorted(pairs["f0"], np.arange(size + 1)).astype(np.int32)
+                if deep:
+                    met, n = _tail_moves(codes, word, kind, of)
+                    cells = [pa.array(np.ascontiguousarray(met[c])) for c in ("left", "right", "form")] + [pa.array(n.astype(np.int32))]
+                    ends = np.searchsorted(met["of"], np.arange(size + 1)).astype(np.int32)
+                    tail = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(cells, names=["left", "right", "form", "n"]))
+                else:
+                    tail = pa.nulls(size, moves_type)
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(c[first : first + size] for c in others),
@@ -294,6 +424,7 @@ def score_texts(docs: DataFrame, model: Model, floor: int, counts: DataFrame) ->
                         pa.array(np.bincount(of, moves, size)),
                         pa.ListArray.from_arrays(pa.array(offsets), pa.array(_shifted(np.ascontiguousarray(pairs["f1"])))),
                         pa.ListArray.from_arrays(pa.array(offsets), pa.array(times.astype(np.int32))),
+                        tail,
                     ],
                     names=schema.names,
                 )
@@ -305,6 +436,14 @@ def score_texts(docs: DataFrame, model: Model, floor: int, counts: DataFrame) ->
     hits = rare.join(tail, F.col("code") == F.col("_code"), "left")
     sums = hits.groupBy("_row").agg(F.sum(F.when(F.col("n").isNotNull(), F.col("times"))).alias("more"), F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("logs_more")).withColumnRenamed("_row", "_of")
     logs = F.col("logs") + F.coalesce("logs_more", F.lit(0.0))
+    if deep:
+        side = range(len(model.table))
+        table = docs.sparkSession.createDataFrame([(a, b, float(model.table[a, b])) for a in side for b in side], "x bigint, y bigint, move double")
+        now, before = (F.broadcast(table.toDF(f"x{i}", f"y{i}", f"m{i}")) for i in (1, 0))
+        changed = _changed(half.select("_row", F.explode("tail").alias("t")).select("_row", "t.*"), placed, len(model.table) - 2)
+        changed = changed.join(now, (F.col("a") == F.col("x1")) & (F.col("b") == F.col("y1"))).join(before, (F.col("a0") == F.col("x0")) & (F.col("b0") == F.col("y0")))
+        gains = changed.groupBy(F.col("_row").alias("_gained")).agg(F.sum(F.col("n") * (F.col("m1") - F.col("m0"))).alias("gain"))
+        half = half.join(gains, F.col("_row") == F.col("_gained"), "left").withColumn("moves", F.col("moves") + F.coalesce("gain", F.lit(0.0)))
     return half.join(sums, F.col("_row") == F.col("_of"), "left").select(
         *kept,
         "n_tokens",
@@ -320,5 +459,5 @@ def lm_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_co
     slim = docs.select(F.col(id_col).alias("doc_id"), held_out.alias("held_out"), F.col(text_col).alias("text"))
     training = slim.where("NOT held_out").select("text")
     counts = saved(token_counts(training), "token-counts")
-    model, floor = fit(training, counts, **options)
-    return score_texts(slim, model, floor, counts)
+    model, floor, placed = fit(training, counts, **options)
+    return score_texts(slim, model, floor, counts, placed)

@@ -157,3 +157,20 @@ def test_driver_queries(spark, sf_dir, texts):
     assert sorted(r.doc_id for r in got) == sorted(texts)
     assert all(r.held_out == (fold(r.doc_id, 4) == 2) and r.predicted == (r.score >= 0.3) for r in got)
     assert set(op4_lm_score(spark, sf_dir).columns) >= {"doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"}
+
+
+def test_words_beyond_the_clustered_have_classes_of_their_own(spark):
+    """Of a word beyond the clustered, in the head or outside, its contexts are learnt; the head's size does not matter."""
+    rng = np.random.default_rng(6)
+    things, deeds = ([f"{kind}{i}" for i in range(150)] for kind in ("thing", "deed"))
+    weights = 1 / np.arange(1, 151)
+    rows = [(i, " ".join(w for a, b in zip(rng.choice(things, 40, p=weights / weights.sum()), rng.choice(deeds, 40, p=weights / weights.sum())) for w in (a, b)), False) for i in range(150)]
+    rows += [(1000, "thing0 " + " ".join(f"deed{i} thing{i}" for i in range(60, 90)), True), (1001, "thing0 " + " ".join(f"thing{i} deed{i}" for i in range(60, 90)) , True)]
+    rows += [(1002, "thing70 deed71 never thing72 thing73 seen", True)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, held boolean")
+    whole, small = ({r.doc_id: r for r in lm_scores(docs, F.col("held"), kinds=4, clustered=20, head=head).collect()} for head in (1 << 18, 40))
+    assert set(whole) == set(small) == {r[0] for r in rows}
+    for k in whole:
+        assert abs(whole[k].score - small[k].score) < 1e-6 and whole[k].n_known == small[k].n_known
+    # The same words but one: in the order of all texts each is about twice as likely as by itself.
+    assert all(got[1000].score - got[1000].base_score > 30 * 2 * np.log10(1.5) for got in (whole, small))
