@@ -8,16 +8,20 @@ Each leaf takes a prefix of the token stream of its seeded epochs: whole
 epochs, then the beginning of one more, in an order drawn anew per epoch. The
 document that reaches the budget counts with the tokens still wanted.
 
-The order is a hash, cut into ranges. One aggregation gives tokens per leaf
-and range; only the documents of the one range per leaf in which the prefix
-ends are sorted, so no leaf is ever gathered in one task. What is broadcast
-has one row per leaf, and the leaves are bounded: sources, languages and
-domains that the plan does not name share a leaf named `other`.
+The order is a hash of id and text. One pass over the texts counts tokens and
+writes slim rows (leaf, hash, tokens); everything is planned on those. Where a
+leaf's prefix ends is found by descent: each round sums the tokens of 256
+ranges of the hash a leaf, and goes on inside the range in which the prefix
+ends, until that has RANGE_DOCS documents at most or the hash has no more
+bits, so no leaf is ever gathered in one task, whatever its size. A last pass
+over the texts takes what lies before the end. What is broadcast has one row
+per leaf, and the leaves are bounded: sources, languages and domains that the
+plan does not name share a leaf named `other`.
 
 Defined cases: null or unnamed domains, languages and sources count as
 `other`; a null text has no tokens. Documents without tokens are taken where
 their place in the order lies inside the prefix. Ties of the order (repeated
-rows) are broken by id and tokens, equal rows staying interchangeable. An
+rows) are broken by tokens, equal rows staying interchangeable. An
 empty table, or a budget of zero, gives no rows.
 """
 
@@ -25,12 +29,18 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
+
+from .common import saved
+from .wordcode import ANY
 
 OTHER = "other"
-#: Documents that one range of the order holds on average, and the most ranges there are.
-RANGE_DOCS, MAX_RANGE_BITS = 4096, 16
+#: Documents that the range in which a prefix ends holds at most before it is sorted, and bits of the order that a round looks at.
+RANGE_DOCS, BITS = 4096, 8
 
 
 @dataclass(frozen=True)
@@ -89,10 +99,17 @@ def budgets(supply: dict[tuple[str, str, str], int], plan: Plan, budget: int) ->
     return out
 
 
-def token_count(text: Column) -> Column:
-    """Runs of characters other than ASCII white space."""
-    bare = F.trim(F.translate(F.coalesce(text, F.lit("")), "\t\n\x0b\x0c\r", "     "))
-    return F.when(bare == "", F.lit(0)).otherwise(F.size(F.split(bare, " +"))).cast("long")
+@F.arrow_udf(LongType())
+def token_count(text: pa.Array) -> pa.Array:
+    """Runs of characters other than ASCII white space; none in a null."""
+    text = text.fill_null("")
+    ends = np.frombuffer(text.buffers()[1], np.int32)[text.offset : text.offset + len(text) + 1] if len(text) else np.zeros(1, np.int32)
+    raw = np.frombuffer(text.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+    begins = ANY[raw]
+    begins[1:] &= ~begins[:-1]
+    at = (ends[:-1] - ends[0])[np.diff(ends) > 0]
+    begins[at] = ANY[raw[at]]  # what stands before is another text's
+    return pa.array(np.diff(np.searchsorted(np.flatnonzero(begins), ends - ends[0])))
 
 
 def _named(column: Column, names: dict[str, float]) -> Column:
@@ -104,39 +121,32 @@ def mix(docs: DataFrame, plan: Plan, domain: Column, budget_share: float = 1.0,
 
     The budget is `budget_share` times the tokens of `docs`. `domain` is an expression over the columns of `docs`.
     """
-    spark, names = docs.sparkSession, docs.columns
-    leaf = {"domain": _named(domain, plan.domains), "lang": _named(F.col(lang_col), plan.languages), "source": _named(F.col(source_col), plan.sources)}
-    key = F.col(id_col)
-    known = docs.select(*(F.col(n).alias(f"c{i}") for i, n in enumerate(names)), *(c.alias(f"_{n}") for n, c in leaf.items()), token_count(F.col(text_col)).alias("_n"), key.alias("_id"))
-    slim = known.select("_domain", "_lang", "_source", "_n", "_id")
+    spark, names, leaf = docs.sparkSession, docs.columns, ["_domain", "_lang", "_source"]
+    kinds = [_named(domain, plan.domains), _named(F.col(lang_col), plan.languages), _named(F.col(source_col), plan.sources)]
+    here = [*(c.alias(n) for c, n in zip(kinds, leaf, strict=True)), F.xxhash64(id_col, text_col).alias("_key")]
+    slim = saved(docs.select(*here, token_count(text_col).alias("_n")), "mixture")
 
-    totals = slim.groupBy("_domain", "_lang", "_source").agg(F.sum("_n").alias("tokens"), F.count("*").alias("docs")).collect()
+    totals = slim.groupBy(*leaf).agg(F.sum("_n").alias("tokens"), F.count("*").alias("docs")).collect()
     supply = {(r["_domain"], r["_lang"], r["_source"]): r["tokens"] for r in totals}
     wanted = budgets(supply, plan, int(budget_share * sum(supply.values())))
-    bits = min(MAX_RANGE_BITS, max(0, (max((r["docs"] for r in totals), default=0) // RANGE_DOCS).bit_length()))
-    leaves = [(*k, *divmod(wanted[k], supply[k])) for k in supply if supply[k]]
-    table = spark.createDataFrame(leaves, "domain string, lang string, source string, whole long, rest long")
-
-    def placed(df: DataFrame, leaf_rows: DataFrame) -> DataFrame:
-        at = F.xxhash64("_id", F.lit(plan.seed), F.col("whole"))
-        joined = df.join(F.broadcast(leaf_rows), (F.col("_domain") == F.col("domain")) & (F.col("_lang") == F.col("lang")) & (F.col("_source") == F.col("source")))
-        return joined.withColumn("_at", at).withColumn("_range", F.shiftrightunsigned("_at", 64 - bits) if bits else F.lit(0).cast("long"))
-
-    ranges = placed(slim, table).groupBy("domain", "lang", "source", "rest", "_range").agg(F.sum("_n").alias("held"))
-    before = F.sum("held").over(Window.partitionBy("domain", "lang", "source").orderBy("_range").rowsBetween(Window.unboundedPreceding, 0)) - F.col("held")
-    ends = {
-        (r["domain"], r["lang"], r["source"]): (r["_range"], r["before"])
-        for r in ranges.withColumn("before", before).where("before < rest AND rest <= before + held").collect()
-    }
-    last = spark.createDataFrame([(*row, *ends.get(row[:3], (-1, 0))) for row in leaves], "domain string, lang string, source string, whole long, rest long, end_range long, before long")
-
-    drawn = placed(known, last)
-    # In the range where the prefix ends, in order; elsewhere a document is in it as a whole or not at all.
-    edge = drawn.where("_range = end_range")
-    order = Window.partitionBy("_domain", "_lang", "_source").orderBy("_at", "_id", "_n").rowsBetween(Window.unboundedPreceding, 0)
-    edge = edge.withColumn("_part", F.least("_n", F.col("rest") - F.col("before") - (F.sum("_n").over(order) - F.col("_n"))))
-    inside = drawn.where("_range != end_range").withColumn("_part", F.when(F.col("_range") < F.col("end_range"), F.col("_n")).otherwise(F.lit(-1)))
-    both = inside.unionByName(edge).withColumn("_more", ((F.col("_part") > 0) | ((F.col("_part") == 0) & (F.col("_n") == 0))).cast("long"))
+    parts = {k: divmod(wanted[k], n) for k, n in supply.items() if n}
+    ends = _ends(slim, leaf, parts, plan.seed, max((r["docs"] for r in totals), default=0))
+    last = [(*k, whole, rest, *ends.get(k, (None, 0, 0))) for k, (whole, rest) in parts.items()]
+    table = spark.createDataFrame(last, "domain string, lang string, source string, whole long, rest long, end long, before long, ties long")
+
+    known = docs.select(*(F.col(n).alias(f"c{i}") for i, n in enumerate(names)), *here)
+    drawn = _placed(known, leaf, table, plan.seed).where((F.col("whole") > 0) | (F.col("_at") <= F.col("end")))
+    drawn = drawn.withColumn("_n", token_count(f"c{names.index(text_col)}"))
+    left = F.col("rest") - F.col("before")
+    part = F.when(F.col("_at") < F.col("end"), F.col("_n")).when(F.col("_at") == F.col("end"), F.least("_n", left)).otherwise(-1)
+    if any(e[2] > 1 for e in ends.values()):
+        tied = drawn.where("_at = end")
+        order = Window.partitionBy(*leaf).orderBy("_n").rowsBetween(Window.unboundedPreceding, 0)
+        tied = tied.withColumn("_part", F.least("_n", left - F.sum("_n").over(order) + F.col("_n")))
+        both = drawn.where("end IS NULL OR _at != end").withColumn("_part", F.coalesce(part, F.lit(-1))).unionByName(tied)
+    else:
+        both = drawn.withColumn("_part", F.coalesce(part, F.lit(-1)))
+    both = both.withColumn("_more", ((F.col("_part") > 0) | ((F.col("_part") == 0) & (F.col("_n") == 0))).cast("long"))
     times = F.filter(F.sequence(F.lit(0).cast("long"), F.col("whole")), lambda e: (e < F.col("whole")) | (F.col("_more") == 1))
     return both.withColumn("epoch", F.explode(times)).select(
         *(f"c{i}" for i in range(len(names))),
@@ -147,3 +157,43 @@ def mix(docs: DataFrame, plan: Plan, domain: Column, budget_share: float = 1.0,
         "epoch",
         F.when(F.col("epoch") < F.col("whole"), F.col("_n")).otherwise(F.col("_part")).alias("taken"),
     )
+
+
+def _placed(rows: DataFrame, leaf: list[str], table: DataFrame, seed: int) -> DataFrame:
+    """`rows` with their leaf's row of `table` and their place `_at` in the leaf's last epoch."""
+    same = [F.col(a) == F.col(b) for a, b in zip(leaf, ("domain", "lang", "source"), strict=True)]
+    return rows.join(F.broadcast(table), same).withColumn("_at", F.xxhash64("_key", F.lit(seed), F.col("whole")))
+
+
+def _ends(slim: DataFrame, leaf: list[str], parts: dict[tuple, tuple[int, int]], seed: int, docs: int) -> dict[tuple, tuple[int, int, int]]:
+    """For each leaf that has a part of an epoch: the place where that ends, the tokens before it, and how many rows share it.
+
+    `docs` are those of the largest leaf. The driver gets 2**BITS rows a leaf and round.
+    """
+    spark, bits = slim.sparkSession, 0
+    open_ = {k: (0, 0) for k, (_, rest) in parts.items() if rest}  # the range looked at, and the tokens before it
+
+    def inside() -> DataFrame:
+        rows = [(*k, *parts[k], at, before) for k, (at, before) in open_.items()]
+        table = spark.createDataFrame(rows, "domain string, lang string, source string, whole long, rest long, range long, before long")
+        found = _placed(slim, leaf, table, seed)
+        return found.where(F.shiftright("_at", 64 - bits) == F.col("range")) if bits else found
+
+    while open_ and docs > RANGE_DOCS and bits < 64:
+        docs, found = 0, {}
+        for r in inside().groupBy(*leaf, F.shiftright("_at", 64 - bits - BITS).alias("child")).agg(F.sum("_n").alias("n"), F.count("*").alias("docs")).collect():
+            found.setdefault(tuple(r[n] for n in leaf), []).append((r["child"], r["n"], r["docs"]))
+        for k, children in found.items():
+            before = open_[k][1]
+            for child, n, held in sorted(children):
+                if before + n >= parts[k][1]:
+                    open_[k], docs = (child, before), max(docs, held)
+                    break
+                before += n
+        bits += BITS
+    if not open_:
+        return {}
+    places = inside().groupBy(*leaf, "rest", "before", "_at").agg(F.sum("_n").alias("n"), F.count("*").alias("ties"))
+    upto = F.col("before") + F.sum("n").over(Window.partitionBy(*leaf).orderBy("_at").rowsBetween(Window.unboundedPreceding, 0))
+    ends = places.withColumn("upto", upto).where("upto - n < rest AND rest <= upto").collect()
+    return {tuple(r[n] for n in leaf): (r["_at"], r["upto"] - r["n"], r["ties"]) for r in ends}

@@ -6,7 +6,8 @@ group every document gives whole sequences while it is long enough; the tails
 are placed longest first, each into the first open bin with room, which a
 tournament tree of bin capacities finds in logarithmic time. Then the emptiest
 bins are dissolved into the gaps of the fuller ones, cutting their pieces, so
-that one sequence a group is padded at most.
+that one sequence a group is padded at most. As pieces may be cut, that alone
+would give little padding; first fit keeps most tails whole.
 
 Defined cases: a null text counts as empty and gives the end id alone. Rows
 that repeat a document id are packed each for itself. An empty table gives no
@@ -22,11 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tokenizing import encoded, ids_crc32
+from .tokenizing import encoded, ids_crc32, narrow, wide
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
-#: Documents that one group has on average.
-GROUP_DOCS = 512
+#: Documents that one group has on average, and groups that one task packs.
+GROUP_DOCS, TASK_GROUPS = 512, 16
 #: Sequences of one group are numbered from group * 2**GROUP_BITS.
 GROUP_BITS = 32
 #: Bytes of ids that a part of a group has at most, but for one document.
@@ -106,7 +107,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int
         for batch in batches:
             for at in range(0, len(batch), 512):
                 part = batch.slice(at, 512)
-                ids = [_narrow(x) for x in encoded(tokenizer_path, part.column(2).cast(pa.binary()).to_pylist(), end_id)]
+                ids = [narrow(x) for x in encoded(tokenizer_path, part.column(2).cast(pa.binary()).to_pylist(), end_id)]
                 yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.array(ids, pa.binary())], names=["grp", "doc_id", "ids"])
 
     def sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,21 +127,12 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int
             yield _pieces((group << GROUP_BITS) + used, keys, ids, capacity)[0]
 
     drawn = F.pmod(F.xxhash64("doc_id", F.length("text"), F.lit(seed)), F.lit(groups)).alias("grp")
-    return slim.select(drawn, "doc_id", "text").mapInArrow(coded, "grp bigint, doc_id bigint, ids binary").repartition("grp").sortWithinPartitions("grp", "doc_id", F.crc32("ids")).mapInArrow(sequences, PIECES)
-
-
-def _narrow(ids: np.ndarray) -> bytes:
-    """Two bytes an id where all ids allow it; a leading byte says which."""
-    return b"\x02" + ids.astype("<u2").tobytes() if not len(ids) or ids.max() < 65536 else b"\x04" + ids.tobytes()
-
-
-def _wide(value: bytes) -> np.ndarray:
-    return np.frombuffer(value, "<u2", offset=1).astype("<u4") if value[0] == 2 else np.frombuffer(value, "<u4", offset=1)
+    return slim.select(drawn, "doc_id", "text").mapInArrow(coded, "grp bigint, doc_id bigint, ids binary").repartition(-(-groups // TASK_GROUPS), "grp").sortWithinPartitions("grp", "doc_id", F.crc32("ids")).mapInArrow(sequences, PIECES)
 
 
 def _pieces(first: int, keys: list, values: list[bytes], capacity: int) -> tuple[pa.RecordBatch, int]:
     """The pieces of the documents' sequences, numbered from `first`, and how many sequences there are."""
-    ids = [_wide(v) for v in values]
+    ids = [wide(v) for v in values]
     rows, sequences = [], packed([len(x) for x in ids], capacity)
     for number, sequence in enumerate(sequences, first):
         offset = 0

@@ -1,17 +1,20 @@
 """Token ids of whole documents in ORC files, in ascending document order.
 
-Layout: documents are range-partitioned and sorted by id; each task encodes
-its range and writes one file. A file's rows hold the document id, the id
-count, where the document starts within its file, the file's number and the
-ids as 32-bit integers, which ORC stores with run-length encoding. Every
-stripe carries row indexes and a Bloom filter on the document id, so a reader
-prunes stripes by range or by key, and stripes are read in parallel. The
-global start of a document is its file's base, a running sum over one total
-per file, plus its start within the file.
+Layout: documents are encoded where they are read; their ids, two bytes each
+where the vocabulary allows it, go to a scratch table, so that no encoding is
+repeated. That table is range-partitioned and sorted by id, and each task
+writes one file. A file's rows hold the document id, the id count, where the
+document starts within its file, the file's number and the ids as 32-bit
+integers, which ORC stores with run-length encoding. Every stripe carries row
+indexes and a Bloom filter on the document id, so a reader prunes stripes by
+range or by key, and stripes are read in parallel. The global start of a
+document is its file's base, a running sum over one total per file, plus its
+start within the file.
 
 Defined cases: a null text counts as empty; every document, empty ones too,
 ends with the end id. A null document id sorts first. Rows that repeat an id
-are all stored, ordered by text. An empty table gives no rows. Columns other
+are all stored, ordered by a checksum of their ids, and may be in several
+files. An empty table gives no rows. Columns other
 than the id and the text are ignored.
 """
 
@@ -24,44 +27,49 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import scratch_path
-from .tokenizing import encoded, ids_crc32
+from .common import saved, scratch_path
+from .tokenizing import encoded, ids_crc32, narrow, wide
 
 STORED = "doc_id bigint, n_tokens bigint, file_start bigint, file_no int, ids array<int>"
-#: Ids in one batch that a task hands back.
-BATCH_IDS = 1 << 20
+#: Ids in one batch that a task hands back, and ids that one file holds on average.
+BATCH_IDS, FILE_IDS = 1 << 20, 1 << 22
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", files: int | None = None) -> None:
-    """Encode `docs` and write the ORC files to `path`. `files`: how many ranges; by default as many as the session's shuffle partitions."""
+    """Encode `docs` and write the ORC files to `path`. `files`: how many ranges; by default they follow the number of ids."""
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), 512):
+                part = batch.slice(at, 512)
+                ids = list(encoded(tokenizer_path, part.column(1).cast(pa.binary()).to_pylist(), end_id))
+                crcs, counts = map(ids_crc32, ids), map(len, ids)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counts, pa.int32()), pa.array(crcs, pa.int64()), pa.array(map(narrow, ids), pa.binary())], names=["doc_id", "n", "crc", "ids"])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         number, start = TaskContext.get().partitionId(), 0
-        keys, held, size = [], [], 0
-
-        def batch() -> pa.RecordBatch:
-            counts = np.fromiter(map(len, held), np.int64, len(held))
-            offsets = np.concatenate([[0], np.cumsum(counts)])
-            ids = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(np.concatenate(held).view(np.int32)))
-            return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(counts), pa.array(start + offsets[:-1]), pa.array([number] * len(keys), pa.int32()), ids], names=["doc_id", "n_tokens", "file_start", "file_no", "ids"])
-
         for got in batches:
-            for key, ids in zip(got.column(0).to_pylist(), encoded(tokenizer_path, got.column(1).cast(pa.binary()).to_pylist(), end_id), strict=True):
-                keys.append(key)
-                held.append(ids)
-                size += len(ids)
-                if size >= BATCH_IDS:
-                    yield batch()
-                    start, keys, held, size = start + size, [], [], 0
-        if keys:
-            yield batch()
+            counts = np.asarray(got.column(1).to_numpy(), np.int64)
+            ends = np.cumsum(counts)
+            first = 0
+            while first < len(got):
+                last = max(first + 1, int(np.searchsorted(ends, ends[first] - counts[first] + BATCH_IDS, side="right")))
+                offsets = np.concatenate([[0], ends[first:last] - ends[first] + counts[first]])
+                ids = np.concatenate([wide(x.as_buffer()) for x in got.column(2)[first:last]])
+                lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids.view(np.int32)))
+                yield pa.RecordBatch.from_arrays([got.column(0)[first:last], pa.array(counts[first:last]), pa.array(start + offsets[:-1]), pa.array([number] * (last - first), pa.int32()), lists], names=["doc_id", "n_tokens", "file_start", "file_no", "ids"])
+                start += int(offsets[-1])
+                first = last
 
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    ranged = slim.repartitionByRange(files, "doc_id") if files else slim.repartitionByRange("doc_id")
+    held = saved(slim.mapInArrow(coded, "doc_id bigint, n int, crc bigint, ids binary"), "encoded")
+    total = held.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    ranged = held.repartitionByRange(files or max(1, -(-total // FILE_IDS)), "doc_id", "crc")
     (
-        ranged.sortWithinPartitions("doc_id", "text")
+        ranged.sortWithinPartitions("doc_id", "crc")
+        .select("doc_id", "n", "ids")
         .mapInArrow(rows, STORED)
         .write.option("compression", "zstd")
         .option("orc.create.index", "true")

@@ -2,27 +2,25 @@
 
 Texts are cut only where the file's own pre-tokenizer always cuts, so the ids
 of the pieces, joined, are the ids of the text. The pieces of a run of texts
-are told apart by 64-bit codes and their lengths in numpy; each different one
-is looked up once in a bounded cache, and the ids are gathered. A piece that
-the cache lacks is encoded by the tokenizers library: plain Latin-1 words go
-straight to its BPE model, everything else through its full `encode`.
+have 64-bit codes, which are looked up in a table of bounded size, all at once
+in numpy, and the ids are gathered. A piece that the table lacks is encoded by
+the tokenizers library: plain Latin-1 words go straight to its BPE model,
+everything else through its full `encode`.
 """
 
 from __future__ import annotations
 
 import json
 import zlib
-from array import array
+from collections.abc import Callable
 
 import numpy as np
 
 from .common import ASCII_LOWER, ASCII_SPACES
-from .wordcode import byte_codes, chunks
+from .wordcode import chunks, piece_codes
 
-#: Entries of a cache. A full one is begun anew once it has missed twice as often as it has entries.
-CACHE_PIECES = 400_000
-#: Longer pieces are encoded each time and not kept.
-CACHE_BYTES = 40
+#: Pieces and ids that a table keeps from one run of texts to the next; a fuller one is begun anew.
+PIECES, POOL = 850_000, 4_000_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[list(ASCII_SPACES)] = True
@@ -33,24 +31,63 @@ _VISIBLE = np.zeros(256, bool)
 _VISIBLE[0x21:0x7F] = _VISIBLE[0xC3:0xE0] = True
 
 
-class _Cache(dict):
-    """Piece to ids as bytes."""
-
-    def __init__(self, make):
-        super().__init__()
-        self.make, self.missed = make, 0
-
-    def __missing__(self, piece: bytes) -> bytes:
-        ids = self.make(piece)
-        if len(self) < CACHE_PIECES:
-            if len(piece) <= CACHE_BYTES:
-                self[piece] = ids
-        else:
-            self.missed += 1
-            if self.missed > 2 * CACHE_PIECES:
-                self.clear()
-                self.missed = 0
-        return ids
+class PieceTable:
+    """Ids of pieces by their codes: open addressing with linear probing, and one pool that holds the ids."""
+
+    def __init__(self, bits: int = 21):
+        self.bits = bits
+        self.clear()
+
+    def clear(self) -> None:
+        self.codes = np.zeros(1 << self.bits, np.uint64)
+        self.first = np.zeros(1 << self.bits, np.int32)
+        self.size = np.full(1 << self.bits, -1, np.int32)  # -1: an empty slot
+        self.pool = np.zeros(1 << 16, np.uint32)
+        self.used = self.held = 0
+
+    def find(self, codes: np.ndarray) -> np.ndarray:
+        """The slot of each code, -1 where it is not held."""
+        mask = np.uint64(len(self.codes) - 1)
+        slots = (codes & mask).astype(np.int64)
+        found = np.where((self.codes[slots] == codes) & (self.size[slots] >= 0), slots, -1)
+        left = np.flatnonzero((found < 0) & (self.size[slots] >= 0))
+        while len(left):
+            slots[left] = (slots[left] + 1) & int(mask)
+            here = slots[left]
+            taken = self.size[here] >= 0
+            hit = taken & (self.codes[here] == codes[left])
+            found[left[hit]] = here[hit]
+            left = left[taken & ~hit]
+        return found
+
+    def add(self, codes: np.ndarray, ids: list[int], counts: list[int]) -> None:
+        """New, all different codes; `ids` are those of all of them, one after another."""
+        sizes = np.array(counts, np.int32)
+        if 2 * (self.held + len(codes)) > len(self.codes):
+            old = np.flatnonzero(self.size >= 0)
+            kept = self.codes[old], self.first[old], self.size[old]
+            width = 1 << (4 * (self.held + len(codes))).bit_length()
+            self.codes, self.first, self.size = np.zeros(width, np.uint64), np.zeros(width, np.int32), np.full(width, -1, np.int32)
+            self._place(*kept)
+        if self.used + len(ids) > len(self.pool):
+            self.pool = np.concatenate([self.pool[: self.used], np.zeros(self.used + 2 * len(ids), np.uint32)])
+        self.pool[self.used : self.used + len(ids)] = ids
+        self._place(codes, (self.used + np.cumsum(sizes) - sizes).astype(np.int32), sizes)
+        self.used += len(ids)
+        self.held += len(codes)
+
+    def _place(self, codes: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> None:
+        mask = len(self.codes) - 1
+        slots, left = (codes & np.uint64(mask)).astype(np.int64), np.arange(len(codes))
+        while len(left):
+            free = left[self.size[slots[left]] < 0]
+            self.first[slots[free]] = free  # of several that want a slot, the last one stays
+            won = free[self.first[slots[free]] == free]
+            self.codes[slots[won]], self.size[slots[won]], self.first[slots[won]] = codes[won], sizes[won], first[won]
+            lost = np.ones(len(codes), bool)
+            lost[won] = False
+            left = left[lost[left]]
+            slots[left] = (slots[left] + 1) & mask
 
 
 def _byte_letters() -> list[str]:
@@ -77,16 +114,19 @@ class TextEncoder:
         #: White space is dropped and letters are lower-cased.
         self.dropped = '"Lowercase"' in normal and '"Replace"' in normal and pre.get("type") == "Sequence" and pre["pretokenizers"][0].get("invert") is True and bool(spec["model"].get("end_of_word_suffix"))
         self.letters = dict(enumerate(_byte_letters()))
-        self.cache = _Cache(self._piece)
+        self.table = PieceTable()
 
-    def _piece(self, piece: bytes) -> bytes:
+    def _piece(self, piece: bytes) -> list[int]:
+        word = piece[1:] if self.led and piece[:1] == b" " else piece
+        if word.isalpha():  # of ASCII letters
+            return [t.id for t in self.model.tokenize(("\u0120" if len(word) < len(piece) else "") + word.decode())]
         text = piece.decode("utf-8", "surrogatepass")
         bare = text[1:] if self.led and text[:1] == " " else text
         if bare.isalpha() and max(bare) <= "\xff" and (self.led or bare.islower() or bare.isascii()):
-            return array("I", [t.id for t in self.model.tokenize(piece.decode("latin-1").translate(self.letters))]).tobytes()
+            return [t.id for t in self.model.tokenize(piece.decode("latin-1").translate(self.letters))]
         if self.dropped and not piece.strip(ASCII_SPACES):
-            return b""
-        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+            return []
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def _cuts(self, raw: np.ndarray) -> np.ndarray:
         """Whether a piece may begin at each byte."""
@@ -127,20 +167,36 @@ class TextEncoder:
         real = ~joint[starts]
         if self.dropped:
             real &= ~((sizes == 1) & _SPACE[raw[starts]])
-        codes = byte_codes(raw, starts) + sizes.astype(np.uint64)
-        starts, sizes, codes = starts[real], sizes[real], codes[real]
-        _, first, which = np.unique(codes, return_index=True, return_inverse=True)
-        cache = self.cache
-        found = [cache[data[a:b]] for a, b in zip(starts[first].tolist(), (starts[first] + sizes[first]).tolist(), strict=True)]
-        held = np.fromiter(map(len, found), np.int32, len(found)) >> 2
-        flat = np.frombuffer(b"".join(found), np.uint32)
-        from_ = (np.cumsum(held, dtype=np.int32) - held)[which]
-        n = held[which]
-        ends = np.cumsum(n, dtype=np.int32)
+        starts, sizes = starts[real], sizes[real]
+        slots = self._slots(data, starts, sizes)
+        n, from_ = self.table.size[slots], self.table.first[slots]
+        ends = np.cumsum(n, dtype=np.int64)
         total = int(ends[-1]) if len(ends) else 0
-        at = np.arange(total, dtype=np.int32) + np.repeat(from_ - (ends - n), n)
+        at = np.arange(total) + np.repeat(from_ - (ends - n), n)
         of = np.searchsorted(begins, starts, side="right") - 1
-        return flat[at], np.bincount(of, n, len(texts)).astype(np.int64)
+        return self.table.pool[at], np.bincount(of, n, len(texts)).astype(np.int64)
+
+    def _slots(self, data: bytes, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Where the table holds each piece, which it does by then."""
+        table = self.table
+        if table.held > PIECES or table.used > POOL:
+            table.clear()
+        codes = piece_codes(data, starts, sizes)
+        slots = table.find(codes)
+        lacking = np.flatnonzero(slots < 0)
+        if len(lacking):
+            new, first = np.unique(codes[lacking], return_index=True)
+            some = lacking[first]
+            ids: list[int] = []
+            counts: list[int] = []
+            piece: Callable[[bytes], list[int]] = self._piece
+            for a, b in zip(starts[some].tolist(), (starts[some] + sizes[some]).tolist(), strict=True):
+                got = piece(data[a:b])
+                ids += got
+                counts.append(len(got))
+            table.add(new, ids, counts)
+            slots = table.find(codes)
+        return slots
 
     def encode(self, text: str | None) -> list[int]:
         return self.encode_many([(text or "").encode("utf-8", "surrogatepass")])[0].tolist()
@@ -168,3 +224,13 @@ def encoded(path: str, texts: list[bytes | None], end_id: int):
 
 def ids_crc32(ids: np.ndarray) -> int:
     return zlib.crc32(np.ascontiguousarray(ids, "<u4").tobytes()) & 0xFFFFFFFF
+
+
+def narrow(ids: np.ndarray) -> bytes:
+    """Two bytes an id where all ids allow it; a leading byte says which."""
+    return b"\x02" + ids.astype("<u2").tobytes() if not len(ids) or ids.max() < 65536 else b"\x04" + ids.tobytes()
+
+
+def wide(value) -> np.ndarray:
+    """The ids that `narrow` has made bytes."""
+    return np.frombuffer(value, "<u2", offset=1).astype("<u4") if value[0] in (2, b"\x02") else np.frombuffer(value, "<u4", offset=1)

@@ -1,8 +1,9 @@
 """Words of many texts at once: boundaries and 64-bit codes in numpy.
 
-A code is a polynomial over the word's bytes modulo 2**64, mixed afterwards;
-equal words have equal codes, and for vocabularies of some millions of words
-the chance of any clash is below one in a million.
+A code mixes the word's size and its bytes, eight at a time; equal words have
+equal codes, words of up to eight bytes never share one with another of their
+size, and for vocabularies of some millions of words the chance of any clash
+is below one in a million.
 """
 
 from __future__ import annotations
@@ -10,12 +11,16 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+from xxhash import xxh64_intdigest
 
 from .common import ASCII_LOWER, ASCII_SPACES
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _ODD = np.uint64(0xD6E8FEB86659FD93)
-_powers = np.ones(1, np.uint64)
+#: Masks of the first n of eight bytes.
+_FIRST = np.array([(1 << (8 * n)) - 1 for n in range(9)], np.uint64)
+#: Longer pieces are hashed one at a time.
+_LONG = 64
 
 #: True for bytes that belong to a word: everything but ASCII white space, or letters only.
 ANY = np.ones(256, bool)
@@ -34,43 +39,34 @@ def paired(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return mixed(first * _BASE + second)
 
 
-def _up_to(length: int) -> np.ndarray:
-    global _powers
-    if len(_powers) < length:
-        _powers = np.full(max(length, 256), _BASE)
-        _powers[0] = 1
-        np.multiply.accumulate(_powers, out=_powers)
-    return _powers
-
-
-def byte_codes(raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Codes of the pieces that begin at `starts`, the first of which is 0."""
-    mark = np.zeros(len(raw), np.int32)
-    mark[starts] = starts
-    at = np.arange(len(raw), dtype=np.int32) - np.maximum.accumulate(mark)
-    weight = _up_to(int(at.max()) + 1)[at]
-    weight *= raw.astype(np.uint64) + np.uint64(1)
-    return mixed(np.add.reduceat(weight, starts))
+def piece_codes(data: bytes, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Codes of the pieces of `data` that begin at `starts`: their sizes, then eight bytes at a time."""
+    padded = data + bytes(8)
+    eights = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    codes = sizes.astype(np.uint64)
+    left, at, size = slice(None), starts, np.minimum(sizes, _LONG)
+    for _ in range(_LONG // 8):
+        codes[left] = paired(codes[left], eights[at] & _FIRST[np.minimum(size, 8)])
+        more = np.flatnonzero(size > 8)
+        if not len(more):
+            break
+        left = more if isinstance(left, slice) else left[more]
+        at, size = at[more] + 8, size[more] - 8
+    for i in np.flatnonzero(sizes > _LONG).tolist():
+        codes[i] = xxh64_intdigest(data[starts[i] : starts[i] + sizes[i]])
+    return codes
 
 
 def word_codes(texts: list[bytes | None], members: np.ndarray = ANY) -> tuple[np.ndarray, np.ndarray]:
     """Codes of all words in order, and the number of the text that each is from. A-Z counts as a-z."""
     data = b"\n".join(x or b"" for x in texts).translate(ASCII_LOWER)
-    raw = np.frombuffer(data, np.uint8)
-    inside = members[raw]
+    inside = members[np.frombuffer(data, np.uint8)]
     if not inside.any():
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    edge = np.diff(inside.view(np.int8), prepend=np.int8(0))
-    starts = np.flatnonzero(edge == 1)
-    here = np.arange(len(raw), dtype=np.int32)
-    at = here - np.maximum.accumulate(np.where(edge == 1, here, np.int32(0)))
-    at[~inside] = 0
-    weight = _up_to(int(at.max()) + 1)[at]
-    weight *= raw.astype(np.uint64) + np.uint64(1)
-    weight[~inside] = 0
-    codes = mixed(np.add.reduceat(weight, starts))
+    edges = np.flatnonzero(np.diff(inside.view(np.int8), prepend=np.int8(0), append=np.int8(0)))
+    starts, ends = edges[::2], edges[1::2]
     lengths = np.fromiter((len(x or b"") + 1 for x in texts), np.int64, len(texts))
-    return codes, np.searchsorted(np.cumsum(lengths), starts, side="right")
+    return piece_codes(data, starts, ends - starts), np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(starts, np.cumsum(lengths)), prepend=0))
 
 
 def word_code(word: str) -> int:

@@ -1,6 +1,7 @@
 import struct
 import zlib
 from collections import defaultdict
+from functools import cache
 
 import public_tokenizers
 import pytest
@@ -23,9 +24,15 @@ def pair(request):
     return TextEncoder(path), plain
 
 
-def plain_ids(path, text, end):
+@cache
+def library(path):
     plain = Tokenizer.from_file(path)
     plain.encode_special_tokens = True
+    return plain
+
+
+def plain_ids(path, text, end):
+    plain = library(path)
     ids = [*plain.encode(text or "", add_special_tokens=False).ids, end]
     return ids
 
@@ -51,8 +58,8 @@ def test_encoder_on_documents(pair, texts):
 def check_store(got, docs):
     path, start = public_tokenizers.path("byte_bpe_50k.json"), 0
     want = []
-    for key, text in sorted(docs, key=lambda d: (d[0] is not None, d[0] or 0, d[1] is not None, d[1] or "")):
-        ids = plain_ids(path, text, 0)
+    coded = [(key, plain_ids(path, text, 0)) for key, text in docs]
+    for key, ids in sorted(coded, key=lambda d: (d[0] is not None, d[0] or 0, crc(d[1]))):
         want.append((key, start, len(ids), crc(ids)))
         start += len(ids)
     assert sorted(map(tuple, got.collect()), key=lambda r: r[1]) == want
@@ -75,6 +82,11 @@ def test_store_prunes_and_keeps_ids(spark, sf_dir, texts, tmp_path):
 
     files = sorted(tmp_path.glob("tokens/*.orc"))
     assert len(files) == 3
+    reader = spark._jvm.org.apache.orc.OrcFile.createReader(spark._jvm.org.apache.hadoop.fs.Path(f"file://{files[0]}"), spark._jvm.org.apache.orc.OrcFile.readerOptions(spark._jsc.hadoopConfiguration()))
+    footer = reader.rows().readStripeFooter(reader.getStripes().get(0))
+    kinds = {footer.getStreams(i).getKind().toString() for i in range(footer.getStreamsCount())}
+    assert {"ROW_INDEX", "BLOOM_FILTER_UTF8"} <= kinds
+    assert "EqualTo(doc_id,7)" in stored.where("doc_id = 7")._jdf.queryExecution().toString()
     ranges = [(min(t), max(t)) for t in (orc.ORCFile(f).read(["doc_id"])["doc_id"].to_pylist() for f in files)]
     assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:], strict=False))
 
