@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.lm_score import exchange, lm_scores
+from ledgerloom.llm.lm_score import exchange, likelihood, lm_scores
 from ledgerloom.llm.queries import op1_toxicity, op4_lm_score
 from ledgerloom.llm.toxicity import drop_toxic, fit, score
 from ledgerloom.llm.wordcode import LETTERS, CodeIndex, word_codes
@@ -69,36 +69,119 @@ def test_lm_hard_rows(hard, empty):
 
 
 def test_probabilities_sum_to_one(spark):
-    """Over the vocabulary, the end and one unknown word, after a known word."""
-    text = "a b a c b a d a b c a b a b c c d a"
-    vocabulary = ["a", "b", "c", "d", "?"]
-    docs = spark.createDataFrame([(0, text, False)] + [(i + 1, f"a {w}", True) for i, w in enumerate(vocabulary)] + [(9, "a", True), (10, "a a a", True)], "doc_id bigint, text string, held boolean")
-    got = {r.doc_id: r.score for r in lm_scores(docs, F.col("held"), kinds=2, rounds=1, clustered=2).collect()}
-    # P("a a a") / P("a a") = P(a | a); it gives the unknown P(end | a) and with it the others' P(w | a) * P(end | w).
-    assert all(s < 0 for s in got.values())
-    a_after_a = 10 ** (got[10] - got[1])
-    assert 0 < a_after_a < 1
-    assert sum(10 ** (got[i] - got[9]) for i in range(1, 6)) < 1 / a_after_a
-
-
-def test_exchange_groups_words_by_context():
-    rng = np.random.default_rng(1)
-    # Words 0-9 follow only words 10-19 and the reverse; classes start mixed up.
-    classes = rng.integers(0, 2, 20)
-    for _ in range(3):
-        pairs = np.zeros((4, 4))
-        context = np.zeros((20, 2, 4))
-        for a in range(20):
-            for b in range(20):
-                if (a < 10) != (b < 10):
-                    n = rng.integers(1, 5)
-                    pairs[classes[a], classes[b]] += n
-                    context[b, 0, classes[a]] += n
-                    context[a, 1, classes[b]] += n
-        classes = exchange(classes, context, pairs, 2, batch=1)
+    """Over the vocabulary, the end and one unknown word, after each word; by scores alone."""
+    text = "a b a c a b a d a b c a b a b c c d a e f"
+    vocabulary = [*"abcdef", "?"]
+    docs = [(0, text, False), (1, "", True)] + [(100 + 10 * i + j, f"{v} {w}", True) for i, v in enumerate(vocabulary) for j, w in enumerate(vocabulary)] + [(10 + i, v, True) for i, v in enumerate(vocabulary)]
+    for options in ({"kinds": 2, "clustered": 3}, {"kinds": 3, "clustered": 2, "head": 5}, {"kinds": 2, "head": 0}):
+        got = {r.doc_id: 10**r.score for r in lm_scores(spark.createDataFrame(docs, "doc_id bigint, text string, held boolean"), F.col("held"), rounds=1, **options).collect()}
+        n = len(vocabulary)
+        # With A[v, w] = P(v w end), a[v] = P(v end) and e[w] = P(end | w): A = first * P(w | v) * e[w].
+        ends = np.array([got[10 + i] for i in range(n)])
+        both = np.array([[got[100 + 10 * i + j] for j in range(n)] for i in range(n)])
+        # P(w | v) e[w] = both[v, w] e[v] / ends[v]; rows that sum to one with e[v] give as many equations as unknown e.
+        ratio = both / ends[:, None]
+        # Sum over w of ratio[v, w] e[v] / e[w] + e[v] = 1, solved by iteration from what it gives for first words.
+        e = np.full(n, 0.1)
+        for _ in range(4000):
+            e = 0.5 * e + 0.5 / (1 + (ratio / e[None, :]).sum(1))
+        first = ends / e
+        assert first.sum() + got[1] == pytest.approx(1, abs=1e-6)
+
+
+def brute_scores(rows, held, classes, pairs, weight_table):
+    """Scores by the written formula, word by word."""
+    counts = Counter()
+    for key, text in rows:
+        if not held(key):
+            counts.update([*words(text), None])
+    out = {}
+    for key, text in rows:
+        total, before = 0.0, classes(None)
+        for w in [*words(text), None]:
+            total += math.log10((counts[w] + 0.5) * weight_table[before, classes(w)])
+            before = classes(w)
+        out[key] = total
+    return out
+
+
+def test_score_by_the_formula(spark, sf_dir, texts, monkeypatch):
+    """The model's label and table, once known, give each score word by word; and the table follows from counted bigrams."""
+    from ledgerloom.llm import lm_score
+
+    kept = {}
+    plain = lm_score.score_texts
+    monkeypatch.setattr(lm_score, "score_texts", lambda t, m, r: kept.update(model=m) or plain(t, m, r))
+    placed = lm_score._placed
+    monkeypatch.setattr(lm_score, "_placed", lambda *a: kept.update(placed=(p := placed(*a))) or p)
+    rows = sorted(texts.items())
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r.score for r in lm_scores(docs, F.col("doc_id") % 5 == 1, kinds=5, clustered=40, head=2000).collect()}
+    model = kept["model"]
+    counts = Counter(w for k, t in rows if k % 5 != 1 for w in words(t))
+    floor = -(-model.tokens // 2000)
+    codes = {w: int(word_codes([w.encode()])[0][0]) for w in {w for _, t in rows for w in words(t)}}
+    order = sorted((w for w in counts if counts[w] >= floor), key=lambda w: (-counts[w], codes[w]))
+    placed = {r.code % 2**64: r.kind for r in kept["placed"].collect()}
+    numbers = {w: i + 1 for i, w in enumerate(order)}
+    classes = lambda w: 6 if w is None else int(model.label[numbers[w]]) if w in numbers else placed.get(codes[w], 5)
+    want = brute_scores(rows, lambda k: k % 5 == 1, classes, None, 10**model.table)
+    assert all(got[k] == pytest.approx(want[k], rel=1e-9) for k in want)
+    pairs, mass, types = np.zeros((7, 7)), np.zeros(7), np.zeros(7)
+    for k, t in rows:
+        before = None
+        for w in [*words(t), None] if k % 5 != 1 else ():
+            pairs[classes(before), classes(w)] += 1
+            before = w
+    for w, n in [*counts.items(), (None, model.ends), ("", 0)]:
+        c = 5 if w == "" else classes(w)
+        mass[c] += n + 0.5
+        types[c] += 1
+    assert np.allclose(10**model.table, lm_score.transitions(pairs, mass, types, model.base_divisor), rtol=1e-9)
+
+
+def contexts(bigrams, classes, kinds):
+    """Contexts without self-bigrams, those, and class bigrams, from a matrix of word bigrams."""
+    n = len(classes)
+    one = np.eye(kinds)[classes]
+    off = bigrams * (1 - np.eye(n))
+    return np.stack([off.T @ one, off @ one], 1), np.diag(bigrams).astype(float), one.T @ bigrams @ one
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_exchange_groups_words_by_context(seed):
+    """Words 0-9 follow only words 10-19 and the reverse; classes start mixed up."""
+    rng = np.random.default_rng(seed)
+    halves = np.not_equal.outer(np.arange(20) < 10, np.arange(20) < 10)
+    bigrams = rng.integers(1, 5, (20, 20)) * halves
+    found = []
+    for start in range(5):  # a search by single moves: the best of some starts
+        classes = rng.integers(0, 2, 20)
+        for round_ in range(12):
+            context, again, pairs = contexts(bigrams, classes, 4)
+            found.append((likelihood(pairs), classes.copy()))
+            mine = np.flatnonzero(rng.random(20) < 0.5)
+            classes[mine] = exchange(classes[mine], context[mine], pairs, 2, batch=1, again=again[mine])
+    best = max(found, key=lambda x: x[0])
+    classes = best[1]
     assert len(set(classes[:10])) == 1 and len(set(classes[10:])) == 1 and classes[0] != classes[10]
 
 
+@pytest.mark.parametrize("seed", range(20))
+def test_a_move_never_lowers_the_likelihood(seed):
+    """Each single word, with contexts that are up to date, goes where the exact likelihood is largest."""
+    rng = np.random.default_rng(seed)
+    bigrams = rng.poisson(0.6, (25, 25)) * rng.integers(1, 6, (25, 25))
+    classes = rng.integers(0, 4, 25)
+    for _ in range(2):
+        for w in range(25):
+            context, again, pairs = contexts(bigrams, classes, 5)
+            [moved] = exchange(classes[w : w + 1], context[w : w + 1], pairs, 4, again=again[w : w + 1])
+            worth = [likelihood(contexts(bigrams, np.where(np.arange(25) == w, c, classes), 5)[2]) for c in range(4)]
+            assert worth[moved] == pytest.approx(max(worth), abs=1e-6)
+            classes[w] = moved
+
+
 def test_word_codes():
     texts = [b"Ab  cd\tab", None, b"", b"x" * 5000 + b" " + b"x" * 4999, "é É".encode()]
     codes, of = word_codes(texts)
@@ -168,7 +251,7 @@ def test_words_beyond_the_clustered_have_classes_of_their_own(spark):
     rows += [(1000, "thing0 " + " ".join(f"deed{i} thing{i}" for i in range(60, 90)), True), (1001, "thing0 " + " ".join(f"thing{i} deed{i}" for i in range(60, 90)) , True)]
     rows += [(1002, "thing70 deed71 never thing72 thing73 seen", True)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, held boolean")
-    whole, small = ({r.doc_id: r for r in lm_scores(docs, F.col("held"), kinds=4, clustered=20, head=head).collect()} for head in (1 << 18, 40))
+    whole, small = ({r.doc_id: r for r in lm_scores(docs, F.col("held"), kinds=4, clustered=20, head=head).collect()} for head in (1 << 21, 400))
     assert set(whole) == set(small) == {r[0] for r in rows}
     for k in whole:
         assert abs(whole[k].score - small[k].score) < 1e-6 and whole[k].n_known == small[k].n_known
