@@ -19,10 +19,13 @@ one fingerprint, comparing only with those not reached yet, and emit a
 spanning forest. A bucket of more than BUCKET fingerprints is cut into chunks
 of which every two meet in a task of their own: all pairs are still tested.
 
-For a similarity threshold (`similar_groups`), where distances are larger than
-blocks and pivots can tell apart, texts that share a band of minimum hashes
-are candidates, and each is verified by the Jaccard similarity of the two
-whole shingle sets. Of pairs just at 0.8 about one in 20,000 shares no band.
+For a similarity threshold (`similar_groups`) distances are larger than blocks
+and pivots can tell apart: at a Jaccard similarity of 0.8 a sixth of the bits
+differ, as few blocks agree as by chance, and no pivot's distances are further
+apart. There texts that share a band of minimum hashes and whose sketches
+allow the similarity are joined into families, and in each family the Jaccard
+similarity of whole shingle sets decides. Of pairs just at 0.8 about one in
+20,000 shares no band.
 
 Defined cases: a null text counts as empty. Texts without words have
 fingerprint zero and are linked like any other; texts shorter than a shingle
@@ -38,12 +41,12 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import ASCII_LOWER, saved
 from .graph import components, stars
-from .wordcode import mixed, paired
+from .wordcode import chunks, mixed, paired, word_codes
 
 PIVOTS = 16
 #: Fingerprints that one bucket holds before it is cut into chunks.
@@ -81,17 +84,21 @@ def majority(hashes: list[int] | np.ndarray) -> int:
     return int(np.packbits(2 * count > len(hashes), bitorder="little").view("<u8")[0])
 
 
+def _slim(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4) -> DataFrame:
-    """doc_id and the fingerprint's 64 bits as a signed long `fp`, one row per row of `docs`."""
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    """doc_id, a hash of the text and the fingerprint's 64 bits as a signed long `fp`, one row per row of `docs`."""
+    slim = _slim(docs, id_col, text_col)
 
     def printed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary())
+            texts = batch.column(2).cast(pa.binary())
             prints = np.fromiter((majority(shingle_hashes(x.as_py() or b"", words)) for x in texts), np.uint64, len(texts))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(prints.view(np.int64))], names=["doc_id", "text_hash", "fp"])
 
-    return slim.mapInArrow(printed, "doc_id bigint, fp bigint")
+    return slim.mapInArrow(printed, "doc_id bigint, text_hash bigint, fp bigint")
 
 
 def block_masks(prints: int, distance: int) -> list[int]:
@@ -160,9 +167,9 @@ def sorted_links(keys: np.ndarray, prints: np.ndarray, distance: int, reference:
     return (np.concatenate(a), np.concatenate(b)) if a else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
-def _cut(keyed: DataFrame, by: list[str], bucket: int) -> DataFrame:
-    """`keyed` (key and others) with buckets of more than `bucket` rows cut into chunks, of which every two share a key."""
-    full = keyed.groupBy("key").agg(F.count("*").alias("n_key")).where(F.col("n_key") > bucket).select("key", F.ceil(F.col("n_key") / bucket).cast("int").alias("parts"))
+def _cut(keyed: DataFrame, by: list[str], bucket: int, weight: Column | None = None) -> DataFrame:
+    """`keyed` (key and others) with buckets of more than `bucket` rows, or of that `weight`, cut into chunks, of which every two share a key."""
+    full = keyed.groupBy("key").agg((F.count("*") if weight is None else F.sum(weight)).alias("n_key")).where(F.col("n_key") > bucket).select("key", F.ceil(F.col("n_key") / bucket).cast("int").alias("parts"))
     full = saved(full, "full-buckets")
     if full.isEmpty():
         return keyed
@@ -211,40 +218,54 @@ def links(prints: DataFrame, distance: int = 4, bucket: int = BUCKET) -> DataFra
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, distance: int = 4) -> DataFrame:
-    """One row per row of `docs`: doc_id, fingerprint (16 hex digits) and component_id, the smallest document id that links reach."""
+    """One row per row of `docs`: doc_id, fingerprint (16 hex digits), component_id, the smallest document id that links reach, and text_hash."""
     printed = saved(fingerprints(docs, id_col, text_col, words), "fingerprints")
     nodes = saved(printed.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
     roots = components(links(nodes.select("fp"), distance))
     rooted = nodes.join(roots, F.col("fp") == F.col("child"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id")).withColumnRenamed("root", "name")
     labels = rooted.join(named, F.col("root") == F.col("name")).select(F.col("fp").alias("node"), "component_id")
-    return printed.join(labels, F.col("fp") == F.col("node")).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return printed.join(labels, F.col("fp") == F.col("node")).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "text_hash")
 
 
 # ---- near-duplicates by a similarity threshold ---------------------------------------------------------------------------
 
 LANES = ["l0", "l1", "l2", "l3"]
-WIDTH = 64 * len(LANES)
+#: Shingles of a family that one task holds, and then another so many.
+FAMILY = 1 << 20
 #: Minimum hashes of a text; BANDS times BAND of them make its buckets, two bits of each its sketch.
 HASHES, BANDS, BAND = 128, 25, 5
 #: Deviations by which the sketches of a pair at the threshold may differ from their mean: exceeded about twice in a million.
 SLACK = 5.0
 
 
-def wide_print(text: bytes, words: int) -> np.ndarray:
-    """Majority fingerprints of four hashes of each shingle, drawn from one: 256 bits."""
-    hashes = np.array(shingle_hashes(text, words), np.uint64)
-    return np.array([majority(mixed(hashes + np.uint64(lane))) if lane else majority(hashes) for lane in range(len(LANES))], np.uint64)
+def shingle_sets(texts: list[bytes | None], words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of the different shingles of each text, in order, one text after another; and how many each has."""
+    codes, of = word_codes(texts)
+    n = np.bincount(of, minlength=len(texts))
+    begin = np.cumsum(n) - n
+    place = np.arange(len(codes)) - begin[of]
+    runs = np.zeros(len(codes), np.uint64)
+    for i in range(words):  # a text of fewer words is one shingle, of those it has
+        at = np.flatnonzero(place + i < n[of])
+        runs[at] = paired(runs[at], codes[at + i])
+    whole = (place + words <= n[of]) | ((place == 0) & (n[of] < words))
+    runs, of = runs[whole], of[whole]
+    order = np.lexsort((runs, of))
+    runs, of = runs[order], of[order]
+    new = np.append(True, (runs[1:] != runs[:-1]) | (of[1:] != of[:-1]))[: len(runs)]
+    return runs[new], np.bincount(of[new], minlength=len(texts))
 
 
-def expected_distance(similarity: float, width: int = WIDTH) -> float:
-    """Differing bits of two shingle sets of a Jaccard similarity: the angle between them, as a share of the half circle."""
-    return width * np.arccos(2 * similarity / (1 + similarity)) / np.pi
+def _split(flat: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
+    return np.split(flat, np.cumsum(counts)[:-1]) if len(counts) else []
 
 
-def shingle_set(text: bytes, words: int) -> np.ndarray:
-    """The different shingle hashes of a text, in order."""
-    return np.unique(np.array(shingle_hashes(text, words), np.uint64))
+def _node(shingles: np.ndarray) -> int:
+    """A number for a set of shingles, as a signed long."""
+    from xxhash import xxh64_intdigest
+
+    return int(np.uint64(xxh64_intdigest(shingles.tobytes(), SEED)).view(np.int64))
 
 
 def min_hashes(sets: list[np.ndarray], piece: int = 1 << 16) -> np.ndarray:
@@ -294,146 +315,187 @@ def sketch_limit(similarity: float) -> float:
     return HASHES * share + SLACK * np.sqrt(HASHES * share * (1 - share))
 
 
-def _met(rows: np.ndarray, similarity: float, star: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Row numbers of pairs to verify within each run of equal keys. `rows`: key, root, node, size, lanes.
-
-    In a star only with the run's first row; otherwise all pairs of different roots.
-    """
-    keys, roots, sizes, prints = rows[:, 0], rows[:, 1], rows[:, 3], np.ascontiguousarray(rows[:, 4:]).view(np.uint64)
+def _sketch_links(rows: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers of links that connect, in each run of equal keys, what sketches and sizes allow to be similar. `rows`: key, node, size, lanes."""
+    keys, sizes, prints = rows[:, 0], rows[:, 2], np.ascontiguousarray(rows[:, 3:]).view(np.uint64)
     limit = sketch_limit(similarity)
 
-    def near(i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        fit = (roots[i] != roots[j]) & (np.minimum(sizes[i], sizes[j]) + 1e-9 >= similarity * np.maximum(sizes[i], sizes[j]))
-        i, j = i[fit], j[fit]
-        hit = apart(prints[i], prints[j]) <= limit
-        return np.stack([i[hit], j[hit]])
+    def near(i, j: np.ndarray) -> np.ndarray:
+        fit = np.minimum(sizes[i], sizes[j]) + 1e-9 >= similarity * np.maximum(sizes[i], sizes[j])
+        return fit & (apart(prints[i], prints[j]) <= limit)
 
     starts = np.concatenate([[0], np.flatnonzero(np.diff(keys)) + 1])
     counts = np.diff(np.append(starts, len(keys)))
-    if star:
-        return tuple(near(np.repeat(starts, counts), np.arange(len(keys))))
-    pairs = [np.zeros((2, 0), np.int64)]
-    mixed_runs = np.minimum.reduceat(roots, starts) != np.maximum.reduceat(roots, starts)
-    for s, n in zip(starts[mixed_runs & (counts > SMALL)].tolist(), counts[mixed_runs & (counts > SMALL)].tolist(), strict=True):
-        for i in range(s, s + n - 1):
-            j = np.arange(i + 1, s + n)
-            pairs.append(near(np.full(len(j), i), j))
-    small = np.flatnonzero(np.repeat(mixed_runs & (counts <= SMALL), counts))
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for s, n in zip(starts[counts > SMALL].tolist(), counts[counts > SMALL].tolist(), strict=True):
+        left = np.arange(s, s + n)
+        while len(left) > 1:
+            frontier, left = [left[0]], left[1:]
+            while frontier and len(left):
+                node = frontier.pop()
+                hit = near(node, left)
+                if hit.any():
+                    a.append(np.full(int(hit.sum()), node))
+                    b.append(left[hit])
+                    frontier.extend(left[hit].tolist())
+                    left = left[~hit]
+    small = np.flatnonzero(np.repeat((counts > 1) & (counts <= SMALL), counts))
     for lag in range(1, SMALL):
         if len(small) <= lag:
             break
-        same = keys[small[:-lag]] == keys[small[lag:]]
-        pairs.append(near(small[:-lag][same], small[lag:][same]))
-    return tuple(np.concatenate(pairs, 1))
+        i, j = small[:-lag], small[lag:]
+        i, j = i[keys[i] == keys[j]], j[keys[i] == keys[j]]
+        hit = near(i, j)
+        a.append(i[hit])
+        b.append(j[hit])
+    return np.concatenate(a), np.concatenate(b)
 
 
-def _candidates(keyed: DataFrame, similarity: float, star: bool, bucket: int) -> DataFrame:
-    """`keyed` (key, root, node, size, lanes) to the different pairs of nodes (a, b) to verify."""
+def _families(nodes: DataFrame, similarity: float, bucket: int) -> DataFrame:
+    """`nodes` (node, size, lanes, bands) to child and root: families that hold all pairs of nodes whose bands and sketches allow the similarity."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _whole_runs(batches):
-            i, j = _met(rows, similarity, star)
-            for at in range(0, len(i), ROWS):
-                a, b = rows[i[at : at + ROWS], 2], rows[j[at : at + ROWS], 2]
-                pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
-
-    cut = _cut(keyed, ["node"], bucket).select("key", "root", "node", "size", *LANES)
-    return cut.repartition("key").sortWithinPartitions("key", "node").mapInArrow(found, "a bigint, b bigint").distinct()
-
+            i, j = _sketch_links(rows, similarity)
+            child, root = stars(rows[i, 1], rows[j, 1])
+            yield pa.RecordBatch.from_arrays([pa.array(child), pa.array(root)], names=["child", "root"])
 
-def _of_nodes(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """`rows` (node and others) of the `wanted` (node, all different), and a few more: by a bitmap, before anything is shuffled."""
+    keyed = _cut(nodes.select(F.explode("bands").alias("key"), "node", "size", *LANES), ["node"], bucket)
+    return components(keyed.select("key", "node", "size", *LANES).repartition("key").sortWithinPartitions("key").mapInArrow(found, "child bigint, root bigint"))
+
+
+def set_links(sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of links that connect whatever pairs of the sets with that Jaccard similarity connect, by an index of what they have in common."""
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    of = np.repeat(np.arange(len(sets)), sizes)
+    values, which, n = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    holders = of[np.argsort(which, kind="stable")]  # of each value in turn
+    begin = np.cumsum(n) - n
+    common = n[which] > 1
+    mine = _split(which[common], np.bincount(of[common], minlength=len(sets)))
+    left, a, b = np.ones(len(sets), bool), [], []
+    while left.any():
+        frontier = [int(left.argmax())]
+        left[frontier[0]] = False
+        while frontier and left.any():
+            i = frontier.pop()
+            count = n[mine[i]]
+            at = np.arange(count.sum()) + np.repeat(begin[mine[i]] - (np.cumsum(count) - count), count)
+            both = np.bincount(holders[at], minlength=len(sets))
+            hit = np.flatnonzero(left & (both + 1e-9 >= similarity * (sizes[i] + sizes - both)) & (both > 0))
+            a += [i] * len(hit)
+            b += hit.tolist()
+            left[hit] = False
+            frontier += hit.tolist()
+    return np.array(a, np.int64), np.array(b, np.int64)
+
+
+def _wanted(slim: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """The shingle sets of the `wanted` nodes (node, all different), and of a few more, as node and bytes: made again from the texts.
+
+    A bitmap of 16 to 32 bits a wanted node picks them before anything is shuffled.
+    """
     size = 1 << max(10, int(16 * wanted.count()).bit_length())
     at = F.col("node").bitwiseAND(F.lit(size - 1))
-    words = wanted.select(F.shiftright(at, 6).alias("word"), F.expr(f"shiftleft(1L, int((node & {size - 1}L) & 63))").alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    words_ = wanted.select(F.shiftright(at, 6).alias("word"), F.expr(f"shiftleft(1L, int((node & {size - 1}L) & 63))").alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
     bitmap = np.zeros(size // 64, np.uint64)
-    bitmap[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
-    held, node = rows.sparkSession.sparkContext.broadcast(bitmap), rows.columns.index("node")
+    bitmap[words_["word"].to_numpy()] = words_["bits"].to_numpy().view(np.uint64)
+    held = slim.sparkSession.sparkContext.broadcast(bitmap)
 
-    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            at = batch.column(node).to_numpy().view(np.uint64) & np.uint64(size - 1)
-            yield batch.filter(pa.array((held.value[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)))
+            for _, texts in chunks(batch.column(0).cast(pa.binary()).to_pylist()):
+                sets = _split(*shingle_sets(texts, words))
+                nodes = np.fromiter(map(_node, sets), np.int64, len(sets))
+                at = nodes.view(np.uint64) & np.uint64(size - 1)
+                some = np.flatnonzero(held.value[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).tolist()
+                some = [i for i in some if nodes[i] not in seen]  # copies within a task; others are found below
+                seen.update(nodes[some].tolist() if len(seen) < 1 << 17 else ())
+                yield pa.RecordBatch.from_arrays([pa.array(nodes[some]), pa.array([sets[i].tobytes() for i in some], pa.binary())], names=["node", "shingles"])
+
+    return slim.select("text").mapInArrow(made, "node bigint, shingles binary").groupBy("node").agg(F.first("shingles").alias("shingles"))
 
-    return rows.mapInArrow(kept, rows.schema)
 
+def _verified(members: DataFrame, similarity: float, shingles: int) -> DataFrame:
+    """`members` (key: a family, node, shingles) to links between nodes of a family that reach the Jaccard similarity."""
+    weight = F.length("shingles") / 8
+    cut = _cut(members, ["node"], shingles, weight).select("key", "node", "shingles")
 
-def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Those of `pairs` (a, b) whose `sets` (node, shingles) reach the Jaccard similarity, as links."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    known = _of_nodes(sets, wanted).groupBy("node").agg(F.first("shingles").alias("shingles"))
-    known = saved(known, "wanted-sets")
-    left = known.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-    right = known.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    both = F.size(F.array_intersect("sa", "sb"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", both.alias("both"), (F.size("sa") + F.size("sb")).alias("sizes"))
-    return joined.where(F.col("both") + 1e-9 >= similarity * (F.col("sizes") - F.col("both"))).select(F.col("b").alias("child"), F.col("a").alias("root"))
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, nodes, sets = None, [], []
 
+        def linked() -> Iterator[pa.RecordBatch]:
+            if len(nodes) > 1:
+                a, b = set_links(sets, similarity)
+                at = np.array(nodes, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(at[b]), pa.array(at[a])], names=["child", "root"])
+
+        for batch in batches:
+            for k, node, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                if k != key:
+                    yield from linked()
+                    key, nodes, sets = k, [], []
+                nodes.append(node)
+                sets.append(np.frombuffer(value.as_py(), np.uint64))
+        yield from linked()
 
-def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, bucket: int = BUCKET) -> DataFrame:
-    """doc_id and component_id of texts connected by pairs whose shingle sets have a Jaccard similarity of the threshold at least.
+    return cut.repartition("key").sortWithinPartitions("key", "node").mapInArrow(found, "child bigint, root bigint")
 
-    Texts meet in buckets of equal bands of minimum hashes; pairs whose sketches and sizes allow the similarity are
-    verified on their whole shingle sets. Equal sets are one node. First each text of a bucket is compared with the
-    bucket's first, which connects most groups; then all pairs that are in different groups still.
+
+def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, bucket: int = BUCKET, family: int = FAMILY) -> DataFrame:
+    """doc_id, component_id and text_hash of texts connected by pairs whose shingle sets have a Jaccard similarity of the threshold at least.
+
+    Equal sets are one node. Nodes meet in buckets of equal bands of minimum hashes; what sketches and sizes allow to be
+    similar there makes families, by spanning links, never by all pairs. A family's whole shingle sets then meet once, in
+    chunks of `family` shingles, of which every two share a task.
     """
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    slim = _slim(docs, id_col, text_col)
     lanes = ", ".join(f"{c} bigint" for c in LANES)
 
     def printed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh64_intdigest
-
-        for whole in batches:
-            for at in range(0, len(whole), 1000):
-                batch = whole.slice(at, 1000)
-                sets = [shingle_set(x.as_py() or b"", words) for x in batch.column(1).cast(pa.binary())]
+        for batch in batches:
+            for first, texts in chunks(batch.column(2).cast(pa.binary()).to_pylist()):
+                flat, sizes = shingle_sets(texts, words)
+                sets = _split(flat, sizes)
                 signed = min_hashes(sets)
                 drawn = sketches(signed).view(np.int64)
-                sizes = np.array([len(x) for x in sets], np.int64)
-                nodes = np.array([xxh64_intdigest(x.tobytes(), SEED) for x in sets], np.uint64).view(np.int64)
-                every = np.concatenate(sets).view(np.int64)
                 columns = [
-                    batch.column(0),
-                    pa.array(nodes),
-                    pa.array(sizes),
+                    *(c.slice(first, len(texts)) for c in batch.columns[:2]),
+                    pa.array([_node(x) for x in sets], pa.int64()),
+                    pa.array(sizes, pa.int64()),
                     *(pa.array(np.ascontiguousarray(drawn[:, i])) for i in range(len(LANES))),
                     pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * BANDS), pa.array(bands(signed).view(np.int64).reshape(-1))),
-                    pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(every)),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "node", "size", *LANES, "bands", "shingles"])
-
-    rows = saved(slim.mapInArrow(printed, f"doc_id bigint, node bigint, size bigint, {lanes}, bands array<bigint>, shingles array<bigint>"), "shingle-sets")
-    first = [F.first(c).alias(c) for c in ("size", *LANES, "bands")]
-    nodes = saved(rows.groupBy("node").agg(F.min("doc_id").alias("least"), *first), "nodes")
-    roots = None
-    for star in (True, False):
-        if roots is None:
-            rooted = nodes.withColumn("root", F.col("node"))
-        else:
-            rooted = nodes.join(roots.withColumnRenamed("child", "node"), "node", "left").withColumn("root", F.coalesce("root", "node"))
-        keyed = rooted.select(F.explode("bands").alias("key"), "root", "node", "size", *LANES)
-        pairs = saved(_candidates(keyed, similarity, star, bucket), "pairs")
-        found = _verified(pairs, rows.select("node", "shingles"), similarity)
-        roots = components(found if roots is None else found.unionByName(roots))
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_hash", "node", "size", *LANES, "bands"])
+
+    rows = saved(slim.mapInArrow(printed, f"doc_id bigint, text_hash bigint, node bigint, size bigint, {lanes}, bands array<bigint>"), "shingle-prints")
+    nodes = saved(rows.groupBy("node").agg(F.min("doc_id").alias("least"), *(F.first(c).alias(c) for c in ("size", *LANES, "bands"))), "nodes")
+    families = _families(nodes, similarity, bucket)
+    members = families.select(F.col("root").alias("key"), F.col("child").alias("node")).unionByName(families.select(F.col("root").alias("key"), F.col("root").alias("node")).distinct())
+    sets = _wanted(slim, members.select("node"), words)
+    held = saved(members.join(sets, "node"), "families")
+    roots = components(_verified(held, similarity, family))
     labelled = nodes.join(roots.withColumnRenamed("child", "node"), "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     named = labelled.groupBy("root").agg(F.min("least").alias("component_id")).withColumnRenamed("root", "name")
     labels = labelled.join(named, F.col("root") == F.col("name")).select("node", "component_id")
-    return rows.select("doc_id", "node").join(labels, "node").select("doc_id", "component_id")
+    return rows.select("doc_id", "text_hash", "node").join(labels, "node").select("doc_id", "component_id", "text_hash")
 
 
 def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
     """`docs` with the row of smallest id of each group of similar texts; as `drop_near_duplicates` otherwise."""
-    return _without(docs, id_col, similar_groups(docs, id_col, text_col, words, similarity))
+    return _without(docs, id_col, text_col, similar_groups(docs, id_col, text_col, words, similarity))
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, distance: int = 4) -> DataFrame:
     """`docs` with the row of smallest id of each component; all columns as they were. Rows without an id cannot be told apart and stay."""
-    return _without(docs, id_col, near_duplicates(docs, id_col, text_col, words, distance))
+    return _without(docs, id_col, text_col, near_duplicates(docs, id_col, text_col, words, distance))
 
 
-def _without(docs: DataFrame, id_col: str, found: DataFrame) -> DataFrame:
-    gone = found.where("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()
+def _without(docs: DataFrame, id_col: str, text_col: str, found: DataFrame) -> DataFrame:
+    """`docs` without rows of another id than their component's. Rows are told apart by id and text, so an id may have several texts."""
+    gone = found.where("doc_id != component_id").select(F.col("doc_id").alias("_gone"), F.col("text_hash").alias("_text")).distinct()
     names = docs.columns
     renamed = docs.toDF(*(f"c{i}" for i in range(len(names))))
-    return renamed.join(gone, F.col(f"c{names.index(id_col)}").cast("long") == F.col("_gone"), "left_anti").toDF(*names)
+    same = (F.col(f"c{names.index(id_col)}").cast("long") == F.col("_gone")) & (F.xxhash64(f"c{names.index(text_col)}") == F.col("_text"))
+    return renamed.join(gone, same, "left_anti").toDF(*names)

@@ -92,7 +92,7 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .near_dedup import near_duplicates
 
-    return near_duplicates(documents(spark, sf_dir), words=4, distance=4)
+    return near_duplicates(documents(spark, sf_dir), words=4, distance=4).drop("text_hash")
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.graph import components
-from ledgerloom.llm.near_dedup import BUCKET, block_masks, bucket_links, drop_near_duplicates, expected_distance, links, near_duplicates, pivots, similar_groups, sorted_links, wide_print
+from ledgerloom.llm.near_dedup import BUCKET, block_masks, bucket_links, drop_near_duplicates, drop_similar, links, near_duplicates, pivots, set_links, similar_groups, sorted_links
 
 
 def fingerprint(text, words=4):
@@ -43,10 +43,10 @@ def brute(rows, distance=4):
 
 def test_against_brute_force(spark, sf_dir, texts, hard, empty):
     got = near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    assert sorted(map(tuple, got.collect()), key=str) == brute([(k, t) for k, t in texts.items()])
+    assert sorted((tuple(r)[:3] for r in got.collect()), key=str) == brute([(k, t) for k, t in texts.items()])
     rows = [(r.doc_id, r.text if r.doc_id != 6 else "word word word word") for r in hard.collect()]
     small = spark.createDataFrame(rows, "doc_id bigint, text string")
-    assert sorted(map(tuple, near_duplicates(small).collect()), key=str) == sorted(brute_nullable(rows), key=str)
+    assert sorted((tuple(r)[:3] for r in near_duplicates(small).collect()), key=str) == sorted(brute_nullable(rows), key=str)
     assert near_duplicates(empty).collect() == []
 
 
@@ -140,15 +140,37 @@ def test_similar_groups(spark, bucket):
     assert missed <= 0.05 * len(got)
 
 
-def test_wide_prints_estimate_similarity():
-    rnd = random.Random(2)
-    base = [f"w{rnd.randrange(5000)}" for _ in range(2000)]
-    for share in (0.01, 0.02, 0.04):
-        other = edited(rnd, base, share)
-        a, b = ({tuple(x[i : i + 5]) for i in range(len(x) - 4)} for x in (base, other))
-        similarity = len(a & b) / len(a | b)
-        bits = sum(int(x ^ y).bit_count() for x, y in zip(*(wide_print(" ".join(t).encode(), 5) for t in (base, other)), strict=True))
-        assert abs(bits - expected_distance(similarity)) < 25
+def test_dropping_tells_rows_of_an_id_apart(spark):
+    """An id with several texts loses only those that duplicate another id's."""
+    rows = [(1, "a b c d e f g h"), (2, "a b c d e f g h"), (2, "one two three four five six seven"), (None, "a b c d e f g h"), (3, None), (4, "")]
+    for drop in (drop_near_duplicates, drop_similar):
+        got = drop(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+        assert sorted(map(tuple, got), key=str) == sorted([rows[0], rows[2], rows[3], rows[4]], key=str)
+
+
+@pytest.mark.parametrize("family", [1 << 20, 400])
+def test_dense_family_equals_brute_force(spark, family):
+    """Many texts near each other, about as many pairs above the threshold as below; in one chunk and in several."""
+    rnd = random.Random(31)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(120):
+        words, at = list(base), rnd.randrange(100)
+        words[at : at + rnd.randrange(1, 14)] = [f"v{rnd.randrange(10**6)}" for _ in range(rnd.randrange(1, 14))]
+        rows.append((i, " ".join(words)))
+    similar = [(a, b) for a, x in rows for b, y in rows if a < b and set_similarity(x, y) >= 0.8]
+    assert len(rows) < len(similar) < 0.9 * 120 * 119 / 2
+    got = {r.doc_id: r.component_id for r in similar_groups(spark.createDataFrame(rows, "doc_id bigint, text string"), family=family).collect()}
+    assert got == roots(range(120), similar)
+
+
+def test_set_links_equal_all_pairs():
+    rng = np.random.default_rng(5)
+    for n in (2, 30, 80):
+        sets = [np.unique(rng.integers(0, 40, rng.integers(1, 30))).astype(np.uint64) for _ in range(n)]
+        want = [(i, j) for i, x in enumerate(sets) for j, y in enumerate(sets) if i < j and len(np.intersect1d(x, y)) >= 0.5 * len(np.union1d(x, y))]
+        a, b = set_links(sets, 0.5)
+        assert roots(range(n), zip(a.tolist(), b.tolist(), strict=True)) == roots(range(n), want)
 
 
 def test_similar_hard_rows(hard, empty):
