@@ -2,11 +2,16 @@
 
 Vectors are dealt to shards of bounded size by a hash of their id. A shard's
 graph is hierarchical: every vector is in layer 0, and one in BRANCH of a
-layer's vectors is in the next. Neighbours are chosen among a vector's
-nearest in its layer so that they point in different directions, links go
-both ways, and each layer is one flat array of neighbour numbers with a fixed
-number of places per vector. A search descends greedily from the top layer
-and keeps a beam in layer 0; many queries walk together, as numpy arrays.
+layer's vectors is in the next. Vectors are inserted in a drawn order, those of
+the upper layers first, a block at a time. A new one chooses, among the POOL
+nearest that came before it, neighbours that point in different directions;
+links go both ways, and one whose places are full keeps the most diverse. The
+first to come thus are linked across the whole shard. What came before is
+searched exhaustively: at a shard's size one matrix product a block costs less
+than a beam, and finds no worse. Each layer is one flat array of neighbour
+numbers with a fixed number of places per vector. A search keeps a small beam
+in the upper layers, hands all of it down, and keeps a wide one in layer 0;
+many queries walk together, as numpy arrays.
 
 Graphs are built once and written as one row per shard. Every query visits
 every shard, in blocks that stream past one loaded shard at a time, so the
@@ -17,9 +22,13 @@ over shards merges them.
 Equal vectors of a shard are one graph node with their k + 1 smallest ids.
 That loses nothing, since ties go to smaller ids.
 
+With N vectors, the N / 100 queries of a hundredth each visit N / SHARD shards:
+work grows with N squared over SHARD, each visit with the logarithm of SHARD.
+
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite
-components take no part, nor do rows without an id. A row that repeats an id
-and vector counts once. A query returns all candidates where there are fewer
+components take no part, nor do rows without an id, nor vectors of another
+length than most have (of lengths as common, the smallest). Of rows that
+repeat an id the smallest vector, component by component, counts. A query returns all candidates where there are fewer
 than k. An empty table gives no rows. Other columns are ignored.
 """
 
@@ -35,36 +44,34 @@ from pyspark.sql import functions as F
 
 from .common import saved
 
-#: Vectors of one shard on average.
-SHARD = 8192
-#: Neighbours per vector in layer 0 (half in others), nearest ones to choose from, and the beam of a search.
-PLACES, POOL, BEAM, BRANCH = 32, 48, 128, 16
+#: Vectors of one shard on average; where there are fewer than that for each core, shards are smaller, down to LEAST.
+SHARD, LEAST = 1 << 16, 8192
+#: Neighbours per vector in layer 0 (half in others), nearest ones to choose from, and beams of a search in the upper layers and in layer 0.
+PLACES, POOL, UPPER, BEAM, BRANCH = 32, 48, 16, 128, 16
 NODES = 64  # queries that walk together
+INSERTED = 256  # vectors inserted together
 
 
 class Graph:
-    """A shard's vectors, neighbour arrays by layer, and the ids of each node."""
+    """A shard's vectors in the order of insertion, neighbour arrays of the first so many by layer, and the row that each vector was."""
 
-    def __init__(self, vectors: np.ndarray, layers: list[np.ndarray], members: list[np.ndarray]):
-        self.vectors, self.layers, self.members = vectors, layers, members
+    def __init__(self, vectors: np.ndarray, layers: list[np.ndarray], rows: np.ndarray):
+        self.vectors, self.layers, self.rows = vectors, layers, rows
 
     @classmethod
     def build(cls, vectors: np.ndarray, seed: int = 3) -> Graph:
-        n = len(vectors)
-        order = np.random.default_rng(seed).permutation(n)
-        layers, members = [], []
+        order = np.random.default_rng(seed).permutation(len(vectors))
+        ordered, layers = np.ascontiguousarray(vectors[order], np.float32), []
         while True:
-            count = max(1, n // BRANCH ** len(layers))
-            mine = np.sort(order[:count])
-            members.append(mine.astype(np.int32))
-            layers.append(_neighbours(vectors[mine], PLACES if not layers else PLACES // 2))
+            count = max(1, len(vectors) // BRANCH ** len(layers))
+            layers.append(_inserted(ordered[:count], PLACES if not layers else PLACES // 2))
             if count <= BRANCH:
-                return cls(vectors, layers, members)
+                return cls(ordered, layers, order)
 
     def pack(self) -> bytes:
         import pickle
 
-        return pickle.dumps((self.vectors, self.layers, self.members), pickle.HIGHEST_PROTOCOL)
+        return pickle.dumps((self.vectors, self.layers, self.rows), pickle.HIGHEST_PROTOCOL)
 
     @classmethod
     def unpack(cls, data: bytes) -> Graph:
@@ -72,100 +79,98 @@ class Graph:
 
         return cls(*pickle.loads(data))
 
-    def search(self, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
-        """For each query the nodes of its final beam (-1: none) and their squared distances, nearest first."""
+    def search(self, queries: np.ndarray, beam: int) -> np.ndarray:
+        """For each query the rows that its final beam holds (-1: none), nearest first."""
         q = queries.astype(np.float32)
-        at = np.zeros(len(q), np.int64)  # place within the top layer
+        at = np.broadcast_to(np.arange(len(self.layers[-1])), (len(q), len(self.layers[-1])))  # the top layer's, all of them
         for level in range(len(self.layers) - 1, 0, -1):
-            at = self._descend(q, level, at)
-            at = np.searchsorted(self.members[level - 1], self.members[level][at])
-        return self._beam(q, at, min(beam, len(self.vectors)))
+            at = self._beam(q, at, level, min(UPPER, len(self.layers[level])))
+        nodes = self._beam(q, at, 0, min(beam, len(self.vectors)))
+        return np.where(nodes < 0, -1, self.rows[nodes])
 
     def _far(self, q: np.ndarray, nodes: np.ndarray) -> np.ndarray:
         """Squared distances from each query to its row of nodes; a missing node is infinitely far."""
         gap = self.vectors[np.maximum(nodes, 0)] - q[:, None, :]
         return np.where(nodes < 0, np.float32(np.inf), np.einsum("qnd,qnd->qn", gap, gap))
 
-    def _descend(self, q: np.ndarray, level: int, at: np.ndarray) -> np.ndarray:
-        members, near = self.members[level], self.layers[level]
-        best = self._far(q, members[at][:, None])[:, 0]
-        moving = np.arange(len(q))
-        while len(moving):
-            steps = near[at[moving]]
-            far = self._far(q[moving], np.where(steps < 0, -1, members[np.maximum(steps, 0)]))
-            pick = far.argmin(1)
-            dist = far[np.arange(len(moving)), pick]
-            better = dist < best[moving]
-            at[moving[better]] = steps[better, pick[better]]
-            best[moving[better]] = dist[better]
-            moving = moving[better]
-        return at
-
-    def _beam(self, q: np.ndarray, entry: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
-        near, n, rows = self.layers[0], len(self.vectors), np.arange(len(q))
+    def _beam(self, q: np.ndarray, entries: np.ndarray, level: int, beam: int) -> np.ndarray:
+        """The nodes (-1: none) of a beam that starts from each query's entries, nearest first."""
+        near, n, rows = self.layers[level], len(self.layers[level]), np.arange(len(q))[:, None]
         seen = np.zeros((len(q), n + 1), bool)  # the last column stands for missing neighbours
+        seen[rows, entries] = True
         seen[:, n] = True
-        seen[rows, entry] = True
-        nodes = np.full((len(q), beam), -1, np.int64)
-        far = np.full((len(q), beam), np.inf, np.float32)
-        open_ = np.zeros((len(q), beam), bool)
-        nodes[:, 0], far[:, 0], open_[:, 0] = entry, self._far(q, entry[:, None])[:, 0], True
-        while len(rows := np.flatnonzero(open_.any(1))):
-            first = open_[rows].argmax(1)  # beams are sorted
-            open_[rows, first] = False
-            steps = near[nodes[rows, first]]
-            steps = np.where(seen[rows[:, None], steps], -1, steps)
-            seen[rows[:, None], steps] = True
-            both = np.concatenate([far[rows], self._far(q[rows], steps)], 1)
+        far = self._far(q, entries)
+        nodes = np.concatenate([entries, np.full((len(q), beam), -1)], 1)
+        far = np.concatenate([far, np.full((len(q), beam), np.inf, np.float32)], 1)
+        keep = np.argsort(far, 1, kind="stable")[:, :beam]
+        nodes, far = nodes[rows, keep], far[rows, keep]
+        open_ = nodes >= 0
+        while len(some := np.flatnonzero(open_.any(1))):
+            first = open_[some].argmax(1)  # beams are sorted
+            open_[some, first] = False
+            steps = near[nodes[some, first]]
+            steps = np.where(seen[some[:, None], steps], -1, steps)
+            seen[some[:, None], steps] = True
+            both = np.concatenate([far[some], self._far(q[some], steps)], 1)
             keep = np.argsort(both, 1, kind="stable")[:, :beam]
-            take = np.arange(len(rows))[:, None]
-            far[rows] = both[take, keep]
-            nodes[rows] = np.concatenate([nodes[rows], steps], 1)[take, keep]
-            open_[rows] = np.concatenate([open_[rows], steps >= 0], 1)[take, keep]
-        return nodes, far
-
-
-def _neighbours(x: np.ndarray, places: int) -> np.ndarray:
-    """Neighbour numbers of each row of `x`, -1 where a place is empty: diverse near ones, then those that chose the row."""
-    n = len(x)
+            take = np.arange(len(some))[:, None]
+            far[some] = both[take, keep]
+            nodes[some] = np.concatenate([nodes[some], steps], 1)[take, keep]
+            open_[some] = np.concatenate([open_[some], steps >= 0], 1)[take, keep]
+        return nodes
+
+
+def _diverse(x: np.ndarray, of: np.ndarray, pool: np.ndarray, places: int) -> np.ndarray:
+    """For each vector `of`, up to `places` of its row of `pool` (-1: none): those nearer to it than to any kept before, then the nearest of the rest."""
+    vectors = x[np.maximum(pool, 0)]
+    gap = vectors - x[of][:, None, :]
+    far = np.where(pool < 0, np.inf, np.einsum("npd,npd->np", gap, gap))
+    order = np.argsort(far, 1, kind="stable")
+    rows = np.arange(len(of))[:, None]
+    pool, far, vectors = pool[rows, order], far[rows, order], vectors[rows, order]
+    square = np.einsum("npd,npd->np", vectors, vectors)
+    between = square[:, :, None] + square[:, None, :] - 2 * (vectors @ vectors.transpose(0, 2, 1))
+    kept = np.zeros(pool.shape, bool)
+    for p in range(pool.shape[1]):
+        blocked = (kept[:, :p] & (between[:, p, :p] < far[:, p, None])).any(1)
+        kept[:, p] = ~blocked & (pool[:, p] >= 0) & (kept[:, :p].sum(1) < places)
+    rank = np.argsort(np.where(kept, 0, np.where(pool >= 0, 1, 2)), 1, kind="stable")[:, :places]
+    return pool[rows, rank]
+
+
+def _inserted(x: np.ndarray, places: int) -> np.ndarray:
+    """Neighbour numbers of each row of `x`, -1 where a place is empty, after inserting the rows in order."""
+    n, half = len(x), max(1, places // 2)
     out = np.full((n, places), -1, np.int32)
-    if n < 2:
-        return out
-    pool = min(POOL, n - 1)
+    used = np.zeros(n, np.int64)
     norm = np.einsum("nd,nd->n", x, x)
-    half = max(1, places // 2)
-    chosen = np.full((n, half), -1, np.int32)
-    for a in range(0, n, 512):
-        block = norm[a : a + 512, None] + norm[None, :] - 2 * (x[a : a + 512] @ x.T)
-        rows = np.arange(len(block))
-        block[rows, a + rows] = np.inf
-        near = np.argpartition(block, pool - 1, 1)[:, :pool] if pool < n else np.argsort(block, 1)[:, :pool]
-        dist = np.take_along_axis(block, near, 1)
-        order = np.argsort(dist, 1, kind="stable")
-        near, dist = np.take_along_axis(near, order, 1), np.take_along_axis(dist, order, 1)
-        vectors = x[near]
-        inner = np.einsum("npd,nqd->npq", vectors, vectors)
-        square = np.einsum("npp->np", inner)
-        between = square[:, :, None] + square[:, None, :] - 2 * inner
-        picked = np.zeros((len(block), pool), bool)
-        for p in range(pool):
-            # Kept if nearer to the vector than to any kept before it.
-            blocked = (picked[:, :p] & (between[:, p, :p] < dist[:, p, None])).any(1)
-            picked[:, p] = ~blocked & (picked.sum(1) < half)
-        # Places that diversity leaves empty go to the nearest of the rest.
-        rank = np.argsort(np.where(picked, 0, 1), 1, kind="stable")[:, :half]
-        chosen[a : a + len(block), : rank.shape[1]] = np.take_along_axis(near, rank, 1)
-    out[:, :half] = chosen
-    to, of = chosen.ravel(), np.repeat(np.arange(n, dtype=np.int32), half)
-    of, to = of[to >= 0], to[to >= 0]
-    new = ~(chosen[to] == of[:, None]).any(1)
-    of, to = of[new], to[new]
-    gap = x[of] - x[to]
-    order = np.lexsort((np.einsum("nd,nd->n", gap, gap), to))
-    of, to = of[order], to[order]
-    place = np.arange(len(to)) - np.searchsorted(to, to)
-    fits = place < places - half
-    out[to[fits], half + place[fits]] = of[fits]
+    for a in range(0, n, INSERTED):
+        b = min(a + INSERTED, n)
+        far = norm[a:b, None] + norm[None, :b] - 2 * (x[a:b] @ x[:b].T)
+        far[:, a:][np.triu_indices(b - a)] = np.inf  # only what came before
+        size = min(POOL, b)
+        pool = np.argpartition(far, size - 1, 1)[:, :size] if size < b else np.broadcast_to(np.arange(b), far.shape)
+        pool = np.where(np.isinf(np.take_along_axis(far, pool, 1)), -1, pool)
+        chosen = _diverse(x, np.arange(a, b), pool, half)
+        out[a:b, : chosen.shape[1]] = chosen
+        used[a:b] = (chosen >= 0).sum(1)
+        # The way back: into free places, or the most diverse of all where there are too few.
+        to, of = chosen.ravel(), np.repeat(np.arange(a, b, dtype=np.int32), chosen.shape[1])
+        of, to = of[to >= 0], to[to >= 0]
+        order = np.argsort(to, kind="stable")
+        of, to = of[order], to[order]
+        place = np.arange(len(to)) - np.searchsorted(to, to)
+        ends, more = np.unique(to, return_counts=True)
+        fits = used[to] + np.repeat(more, more) <= places
+        out[to[fits], (used[to] + place)[fits]] = of[fits]
+        full = ends[used[ends] + more > places]
+        for first in range(0, len(full), 512):
+            some = full[first : first + 512]
+            mine = np.isin(to, some)
+            wider = np.full((len(some), int(more[np.isin(ends, some)].max())), -1, np.int32)
+            wider[np.searchsorted(some, to[mine]), place[mine]] = of[mine]
+            out[some] = _diverse(x, some, np.concatenate([out[some], wider], 1), places)
+        used[ends] = np.minimum(used[ends] + more, places)
     return out
 
 
@@ -174,7 +179,10 @@ def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
     bad = F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     some = F.exists("vector", lambda x: x != 0)
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector"))
-    return rows.where(F.col("id").isNotNull() & F.col("vector").isNotNull()).where(~bad & some)
+    rows = rows.where(F.col("id").isNotNull() & F.col("vector").isNotNull()).where(~bad & some)
+    lengths = rows.groupBy(F.size("vector").alias("length")).agg(F.count("*").alias("n"))
+    most = lengths.orderBy(F.desc("n"), "length").first()
+    return rows.where(F.size("vector") == (most["length"] if most else 0))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -185,7 +193,8 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 def build_index(vectors: DataFrame, shard_rows: int = SHARD, keep: int = 11) -> DataFrame:
     """`vectors` (id, vector) to one row per shard: its number, its graph, its vectors as stored, and up to `keep` smallest ids of each."""
-    shards = max(1, math.ceil(vectors.count() / shard_rows))
+    count = vectors.count()
+    shards = max(1, math.ceil(count / shard_rows), min(vectors.sparkSession.sparkContext.defaultParallelism, count // LEAST))
 
     def built(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
@@ -202,11 +211,13 @@ def build_index(vectors: DataFrame, shard_rows: int = SHARD, keep: int = 11) ->
         import pickle
 
         ids, rows = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+        if len(np.unique(ids)) < len(ids):
+            order = np.lexsort((*rows.T[::-1], ids))
+            order = order[np.append(True, np.diff(ids[order]) != 0)]
+            ids, rows = ids[order], rows[order]
         distinct, of = np.unique(rows, axis=0, return_inverse=True)
         of = of.ravel()
         order = np.lexsort((ids, of))
-        once = np.append(True, (np.diff(of[order]) != 0) | (np.diff(ids[order]) != 0))
-        order = order[once]
         place = np.arange(len(order)) - np.searchsorted(of[order], of[order])
         order = order[place < keep]
         graph = Graph.build(distinct.astype(np.float32))
@@ -224,7 +235,7 @@ def search_index(index: DataFrame, queries: DataFrame, k: int = 10, beam: int =
     if shards is None:
         return queries.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     empty, none = F.lit(None).cast("binary"), F.lit(None)
-    asked = queries.dropDuplicates(["id"]).select(F.explode(F.sequence(F.lit(0), F.lit(shards))).alias("shard"), empty.alias("graph"), empty.alias("rows"), F.col("id"), F.col("vector").cast("array<double>").alias("vector"))
+    asked = queries.groupBy("id").agg(F.min("vector").alias("vector")).select(F.explode(F.sequence(F.lit(0), F.lit(shards))).alias("shard"), empty.alias("graph"), empty.alias("rows"), F.col("id"), F.col("vector").cast("array<double>").alias("vector"))
     held = index.select("shard", "graph", "rows", none.cast("long").alias("id"), none.cast("array<double>").alias("vector"))
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,7 +256,7 @@ def search_index(index: DataFrame, queries: DataFrame, k: int = 10, beam: int =
                         yield nearest(graph, distinct, names, part.column(3).to_numpy(), _matrix(part.column(4)))
 
     def nearest(graph: Graph, distinct: np.ndarray, names: tuple, ids: np.ndarray, q: np.ndarray) -> pa.RecordBatch:
-        nodes, _ = graph.search(q, max(beam, 2 * k))
+        nodes = graph.search(q, max(beam, 2 * k))
         ends = np.searchsorted(names[0], np.arange(len(distinct) + 1))
         out = []
         for own, vector, mine in zip(ids, q, nodes, strict=True):

@@ -56,11 +56,42 @@ def test_a_common_vector(spark):
     assert [r.vec_id for r in got] == [0, 3, 6, 9, 12, 15, 18, 21, 24, 27] and all(r.score == 0 for r in got)
 
 
+def test_lengths_and_repeated_ids(spark):
+    """Only vectors of the commonest length take part; of an id with several, the smallest."""
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0, 0.0]), (2, [2.0, 0.0]), (3, [1.0]), (4, [3.0, 1.0]), (4, [3.0, 0.0]), (5, [1.0, 0.0, 0.0, 1.0]), (0, [0.5, 9.0])]
+    got = nearest_neighbours(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), F.col("id") == 0).orderBy("rank").collect()
+    first = math.sqrt(1.5**2 + 81)
+    assert [(r.vec_id, r.score) for r in got] == [(2, first), (4, math.sqrt(2.5**2 + 81))]
+    tie = spark.createDataFrame([(0, [1.0]), (1, [1.0, 2.0])], "vec_id bigint, embedding array<double>")
+    assert [r.id for r in usable(tie).collect()] == [0]
+
+
 def test_graph_is_hierarchical_and_reachable():
     x = np.random.default_rng(1).normal(size=(3000, 16)).astype(np.float32)
     graph = Graph.build(x)
-    assert [len(m) for m in graph.members] == [3000, 187, 11]
-    assert graph.layers[0].shape == (3000, 32) and graph.layers[1].shape == (187, 16)
-    nodes, far = Graph.unpack(graph.pack()).search(x[:200].astype(float), 64)
-    assert (nodes[:, 0] == np.arange(200)).mean() > 0.99
-    assert (np.diff(far, axis=1)[np.isfinite(far[:, 1:])] >= 0).all()
+    assert [layer.shape for layer in graph.layers] == [(3000, 32), (187, 16), (11, 16)]
+    for layer in graph.layers:
+        assert all(len(set(row[row >= 0])) == (row >= 0).sum() and i not in row for i, row in enumerate(layer))
+        seen, open_ = {0}, [0]
+        while open_:
+            for j in layer[open_.pop()].tolist():
+                if j >= 0 and j not in seen:
+                    seen.add(j)
+                    open_.append(j)
+        assert len(seen) >= 0.99 * len(layer)
+    found = Graph.unpack(graph.pack()).search(x[:200].astype(float), 64)
+    assert (found[:, 0] == np.arange(200)).mean() > 0.99
+    far = ((x[found] - x[:200, None]) ** 2).sum(2)
+    assert (np.diff(far, axis=1) >= -1e-5).all()
+
+
+@pytest.mark.parametrize("size", [1, 50, 64, 130, 500])
+def test_recall_on_clusters(size):
+    """Groups of near vectors, larger than the pool that neighbours are chosen from."""
+    rng = np.random.default_rng(size)
+    centres = rng.normal(size=(6000 // size, 64))
+    x = np.repeat(centres, size, 0) + (0.1 * rng.normal(size=(len(centres) * size, 64)) if size > 1 else 0)
+    asked = rng.choice(len(x), 100, False)
+    found = Graph.build(x.astype(np.float32)).search(x[asked], 128)
+    want = np.argsort(((x[asked][:, None] - x[None]) ** 2).sum(2), 1)[:, :10]
+    assert np.mean([len(set(f[:10]) & set(w)) / 10 for f, w in zip(found.tolist(), want.tolist(), strict=True)]) >= 0.95
