@@ -1,12 +1,22 @@
 """Personal data: overlapping candidate spans, boosted trees, calibrated thresholds.
 
 Generators of high recall propose spans: the four base patterns before their
-checks, and looser ones for spelled-out addresses and for runs of digits with
-any punctuation. A span that a base pattern finds and its check accepts is
-always reported. For the rest, gradient-boosted trees over features of format
-and context give the probability that a candidate of its kind is personal
-data; per kind the smallest threshold with the wanted precision selects what
-is added, and of overlapping additions the best one stays.
+checks, and looser ones for spelled-out addresses, for written-apart IPs and
+for runs of digits with any punctuation. A span that a base pattern finds and
+its check accepts is always reported. For the rest, gradient-boosted trees
+over features of format and context give the probability that a candidate of
+its kind is personal data; per kind the smallest threshold with the wanted
+precision selects what is added, and of overlapping additions the best one
+stays.
+
+There are no labelled spans. The loose generators also find what a base
+pattern accepts; those are the positive examples, with the marks that base
+patterns need (an at sign, a plus and country code, the kind of separator, dots
+between the parts) hidden from the features. Candidates that something speaks
+against (letters or digits right beside them, a failed checksum or range, the
+shape of a date, a cue for another kind) are the negative ones. Of the others,
+which nothing speaks for or against, UNKNOWN are taken to be something else.
+Thresholds are calibrated on documents that the trees have not seen.
 
 Everything is DataFrame and SQL functions. The trees learn from all
 candidates: features are small integers, so one aggregation gives every
@@ -39,9 +49,11 @@ BASE = (
     r"[0-9](?:(?![\x20-](?![0-9]))[\x200-9-])++",
     r"\+[0-9][\x20().0-9-]+[0-9]",
 )
+_AT, _DOT = r" ?(?:@|[(\[]at[)\]]| at ) ?", r" ?(?:\.|[(\[]dot[)\]]| dot ) ?"
 LOOSE = (
-    rf"(?<![{_LOCAL}])[{_LOCAL}]++ ?(?:@|[(\[]at[)\]]) ?[{_HOST}]++ ?(?:\.|[(\[]dot[)\]]) ?[{_HOST}]++",
+    rf"(?<![{_LOCAL}])[{_LOCAL}]++{_AT}[{_HOST}]++{_DOT}[{_HOST}]++(?:{_DOT}[{_HOST}]++)?(?:{_DOT}[{_HOST}]++)?",
     r"[+(]{0,2}[0-9][0-9 ().:/_-]{5,60}[0-9]",
+    r"(?<![0-9.])[0-9]{1,3}" + r"(?: ?[(\[]?(?:\.| dot |dot)[)\]]? ?)[0-9]{1,3}" * 3 + r"(?![0-9])",
 )
 #: Checks that the base patterns' matches must pass, over a match m.
 CHECKS = (
@@ -52,13 +64,19 @@ CHECKS = (
 )
 #: Words near a candidate that hint at its kind.
 CUES = ("e-?mail|mailto|contact|write to", r"\bip\b|host|server|address", "card|visa|credit|payment", "phone|call|tel\\b|mobile|fax")
-FEATURES = ("gen", "digits", "sep", "lead", "prev", "next", "cue")
+FEATURES = ("kind", "digits", "sep", "groups", "last", "prev", "next", "cue", "valid")
+#: Endings of host names that are not countries'.
+DOMAINS = ("com", "org", "net", "edu", "gov", "info", "io", "biz")
 #: Matches in one block of positions.
 BLOCK = 128
 #: Values that each feature takes at most; their product bounds what the driver gets.
-SIZES = (6, 22, 6, 4, 5, 5, 5)
+SIZES = (4, 22, 3, 7, 6, 5, 5, 3, 2)
 CELLS = int(np.prod(SIZES))
-TREES, DEPTH, RATE, PRECISION = 24, 3, 0.4, 0.95
+#: Share of candidates without evidence that count as something else; one document in so many calibrates the thresholds.
+UNKNOWN, FOLDS = 0.2, 3
+TREES, DEPTH, RATE, PRECISION = 24, 4, 0.4, 0.95
+#: Positive examples that a threshold must have been held against.
+LEAST_HELD = 5
 
 
 def _char_class(c: str) -> str:
@@ -72,16 +90,25 @@ def _bound(name: str, value: str, body: str) -> str:
 
 def _spans(gen: int) -> str:
     """SQL for the spans of generator `gen`, from its matches m{gen} and the text between them g{gen}."""
-    kind = f"{gen}" if gen < 4 else "0" if gen == 4 else "CASE WHEN digits BETWEEN 12 AND 19 THEN 2 ELSE 3 END"
+    kind = f"{gen}" if gen < 4 else "0" if gen == 4 else "1" if gen == 6 else "CASE WHEN all_ BETWEEN 12 AND 19 THEN 2 ELSE 3 END"
     check = CHECKS[gen] if gen < 4 else "false"
-    digits = "least(21, length(regexp_replace(m, '[^0-9]', '')))"
-    marks = "regexp_replace(m, '[0-9A-Za-z]', '')"
-    sep = f"CASE WHEN {marks} = '' THEN 0 WHEN {marks} RLIKE '^[.]+$' THEN 1 WHEN {marks} RLIKE '^[ ]+$' THEN 2 WHEN {marks} RLIKE '^-+$' THEN 3 WHEN {marks} RLIKE '^[ ()+-]+$' THEN 4 ELSE 5 END"
-    lead = "CASE WHEN m RLIKE '^[+]' THEN 1 WHEN m RLIKE '^[3-6]' THEN 2 WHEN m RLIKE '^[0-9(]' THEN 3 ELSE 0 END"
+    bare = "regexp_replace(m, '^[+][0-9]{1,3}(?=[^0-9])[ .(-]*', '')"  # without a country code
+    marks = "regexp_replace(b, '[0-9A-Za-z]', '')"
+    runs = "filter(split(b, '[^0-9]+'), p -> p != '')"
+    beside = f"{_char_class('right(c, 1)')}", f"{_char_class(f'left(g{gen}[s.i + 1], 1)')}"
     cue = "CASE " + " ".join(f"WHEN c RLIKE '(?i){w}' THEN {i + 1}" for i, w in enumerate(s.replace("\\", "\\\\") for s in CUES)) + " ELSE 0 END"
-    body = f"""named_struct('kind', {kind}, 'start', s.a, 'end', s.a + length(m), 'ok', coalesce({check}, false),
-        'gen', {gen}, 'digits', digits, 'sep', {sep}, 'lead', {lead}, 'prev', {_char_class("right(c, 1)")}, 'next', {_char_class(f"left(g{gen}[s.i + 1], 1)")}, 'cue', {cue})"""
-    each = _bound("m", f"m{gen}[s.i]", _bound("c", f"right(g{gen}[s.i], 24)", _bound("digits", digits, body)))
+    valid = f"""CASE k WHEN 0 THEN lower(regexp_extract(m, '([A-Za-z0-9-]+)$', 1)) RLIKE '^({"|".join(DOMAINS)}|[a-z]{{2}})$'
+        WHEN 1 THEN forall(filter(split(m, '[^0-9]+'), p -> p != ''), p -> coalesce(try_cast(concat('0', trim(LEADING '0' FROM p)) AS int), 999) <= 255)
+        WHEN 2 THEN luhn_check(regexp_replace(m, '[^0-9]', '')) ELSE all_ BETWEEN 7 AND 15 END"""
+    digits = "k >= 2"  # of the other kinds' formats only the check counts
+    body = f"""named_struct('kind', k, 'start', s.a, 'end', s.a + length(m), 'ok', coalesce({check}, false), 'gen', {gen},
+        'digits', CASE WHEN {digits} THEN least(21, aggregate(r, 0, (t, p) -> t + length(p))) ELSE 0 END,
+        'sep', CASE WHEN NOT {digits} OR {marks} = '' THEN 0 WHEN {marks} RLIKE '^(.)\\\\1*$' THEN 1 ELSE 2 END,
+        'groups', CASE WHEN {digits} THEN least(6, size(r)) ELSE 0 END, 'last', CASE WHEN {digits} THEN least(5, length(element_at(r, -1))) ELSE 0 END,
+        'prev', {beside[0]}, 'next', {beside[1]}, 'cue', CASE WHEN q = 0 THEN 0 WHEN q = k + 1 THEN 1 ELSE 2 END, 'valid', cast(coalesce({valid}, false) AS int),
+        'date', m RLIKE '^((19|20)[0-9]{{2}}[-/.][0-9]{{1,2}}[-/.][0-9]{{1,2}}|[0-9]{{1,2}}[-/.][0-9]{{1,2}}[-/.]((19|20)[0-9]{{2}}|[0-9]{{2}}))$')"""
+    each = _bound("k", kind, _bound("b", bare, _bound("r", f"CASE WHEN {digits} THEN {runs} ELSE array('') END", _bound("q", cue, body))))
+    each = _bound("m", f"m{gen}[s.i]", _bound("c", f"right(g{gen}[s.i], 24)", _bound("all_", "length(regexp_replace(m, '[^0-9]', ''))", each)))
     # Where a match begins: sums of lengths over whole blocks before it, then within its block, so time stays near linear in the matches.
     lengths = f"zip_with(m{gen}, slice(g{gen}, 1, size(m{gen})), (m, g) -> length(g) + length(m))"
     sums = f"transform(sequence(0, (size(l) - 1) DIV {BLOCK}), b -> aggregate(slice(l, b * {BLOCK} + 1, {BLOCK}), 0, (t, x) -> t + x))"
@@ -98,7 +125,7 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     text = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     found = text.select("*", *(F.regexp_extract_all("text", F.lit(patterns[g]), F.lit(0)).alias(f"m{g}") for g in gens))
     between = found.select("doc_id", *(f"m{g}" for g in gens), *(F.when(F.size(f"m{g}") > 0, F.split("text", patterns[g], -1)).alias(f"g{g}") for g in gens))
-    shape = "array<struct<kind:int,start:int,end:int,ok:boolean,gen:int,digits:int,sep:int,lead:int,prev:int,next:int,cue:int>>"
+    shape = "array<struct<kind:int,start:int,end:int,ok:boolean,gen:int,digits:int,sep:int,groups:int,last:int,prev:int,next:int,cue:int,valid:int,date:boolean>>"
     return between.select("doc_id", F.expr("concat(" + ", ".join(f"cast({_spans(g)} AS {shape})" for g in gens) + ")").alias("c"))
 
 
@@ -152,28 +179,36 @@ class Trees:
 
 
 def train(found: DataFrame, precision: float = PRECISION) -> tuple[Trees, list[float]] | None:
-    """Trees and per-kind thresholds from all candidates: those that agree with an accepted base span against the others."""
-    fields = ", ".join(f"'{f}', x.{f}" for f in ("kind", *FEATURES))
-    hit = _bound("base", "filter(c, y -> y.ok)", f"transform(c, x -> named_struct({fields}, 'hit', cast(x.ok OR exists(base, b -> b.kind = x.kind AND b.start <= x.start AND x.end <= b.end) AS bigint)))")
-    hit = found.select(F.explode(F.expr(hit)).alias("x")).select("x.*")
-    cells = hit.groupBy("kind", *FEATURES).agg(F.sum("hit").alias("pos"), F.count("*").alias("n")).collect()
+    """Trees and per-kind thresholds from all candidates that no base check accepts by itself."""
+    fields = ", ".join(f"'{f}', x.{f}" for f in FEATURES)
+    hit = "exists(base, b -> b.kind = x.kind AND ((b.start <= x.start AND x.end <= b.end) OR (x.start <= b.start AND b.end <= x.end)))"
+    against = "x.prev IN (2, 3) OR x.next IN (2, 3) OR x.valid = 0 OR x.date OR x.cue = 2"
+    label = f"CASE WHEN {hit} THEN 0 WHEN {against} THEN 1 WHEN x.cue = 1 THEN 3 ELSE 2 END"  # personal, something else, unknown, hinted at
+    each = _bound("base", "filter(c, y -> y.ok)", f"transform(filter(c, x -> NOT x.ok), x -> named_struct({fields}, 'label', {label}))")
+    seen = found.select(F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(FOLDS)).alias("fold"), F.explode(F.expr(each)).alias("x")).select("fold", "x.*").where("label < 3")
+    held = F.col("fold") == 0
+    sums = [F.sum((F.col("label") == i).cast("int") * cond.cast("int")).alias(f"n{i}{name}") for i in range(3) for name, cond in (("fit", ~held), ("held", held))]
+    cells = seen.groupBy(*FEATURES).agg(*sums).collect()
     x = np.array([[r[f] for f in FEATURES] for r in cells], np.int64).reshape(-1, len(FEATURES))
-    pos = np.array([r["pos"] for r in cells], float)
-    neg = np.array([r["n"] for r in cells], float) - pos
-    if not pos.sum() or not neg.sum():
-        return None
     order = np.lexsort(x.T)
-    x, pos, neg = x[order], pos[order], neg[order]
-    kind = np.array([r["kind"] for r in cells])[order]
-    trees = Trees(x, pos, neg)
+    count = {name: np.array([r[name] for r in cells], float)[order] if len(cells) else np.zeros(0) for name in (f"n{i}{p}" for i in range(3) for p in ("fit", "held"))}
+    x = x[order]
+    pos, neg = ({p: count[f"n0{p}"] for p in ("fit", "held")}, {p: count[f"n1{p}"] + UNKNOWN * count[f"n2{p}"] for p in ("fit", "held")})
+    if not pos["fit"].sum() or not neg["fit"].sum():
+        return None
+    trees = Trees(x, pos["fit"], neg["fit"])
     score, limits = trees.scores(x), []
     for k in range(len(KINDS)):
-        mine = np.flatnonzero(kind == k)
+        mine = np.flatnonzero(x[:, 0] == k)
         mine = mine[np.argsort(-score[mine], kind="stable")]
-        right, total = np.cumsum(pos[mine]), np.cumsum(pos[mine] + neg[mine])
+        right, total = np.cumsum(pos["held"][mine]), np.cumsum(pos["held"][mine] + neg["held"][mine])
         last = np.append(np.diff(score[mine]) != 0, True) if len(mine) else np.zeros(0, bool)  # cells of one score go together
-        good = np.flatnonzero(last & (right >= precision * total))
-        limits.append(float(score[mine[good[-1]]]) - 1e-9 if len(good) else float("inf"))
+        good = np.flatnonzero(last & (right >= precision * total) & (right >= LEAST_HELD) & (score[mine] > 0))
+        if not len(good):
+            limits.append(float("inf"))
+            continue
+        least = float(score[mine[good[-1]]])  # the limit lies between it and the next lower score, as SQL rounds
+        limits.append((least + max([least - 0.1, *(float(s) for s in score[mine] if s < least)])) / 2)
     return trees, limits
 
 
