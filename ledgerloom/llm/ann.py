@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import mapped, saved
 
 #: Vectors of one shard on average; where there are fewer than that for each core, shards are smaller, down to LEAST.
 SHARD, LEAST = 1 << 16, 8192
@@ -226,7 +226,7 @@ def build_index(vectors: DataFrame, shard_rows: int = SHARD, keep: int = 11) ->
 
     # Equal vectors spread over shards like any others, so a vector that a third of the rows share fills no shard.
     dealt = vectors.select(F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard"), "id", "vector")
-    return dealt.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(built, "shard int, graph binary, rows binary")
+    return dealt.repartition(shards, "shard").sortWithinPartitions("shard").transform(mapped, built, "shard int, graph binary, rows binary")
 
 
 def search_index(index: DataFrame, queries: DataFrame, k: int = 10, beam: int = BEAM) -> DataFrame:
@@ -270,7 +270,7 @@ def search_index(index: DataFrame, queries: DataFrame, k: int = 10, beam: int =
 
     # Within a task a shard's row comes before the queries, which stream past it.
     met = held.unionByName(asked).repartition(shards + 1, "shard").sortWithinPartitions("shard", F.col("graph").isNull(), "id").select("shard", "graph", "rows", "id", "vector")
-    each = met.mapInArrow(found, "query_id long, vec_id long, score double")
+    each = met.transform(mapped, found, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return each.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

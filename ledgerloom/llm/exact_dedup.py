@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ASCII_LOWER
+from .common import ASCII_LOWER, mapped
 
 #: Bytes of text that one table holds before it spills.
 TABLE_BYTES = 48 << 20
@@ -195,7 +195,7 @@ def kept_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
 
         return _batches(grace(rows(), table_bytes), schema)
 
-    return renamed.mapInArrow(first, out).repartition("_digest").mapInArrow(last, out)
+    return renamed.transform(mapped, first, out).repartition("_digest").transform(mapped, last, out)
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -224,7 +224,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             found = [text_digest(x) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["doc_id", "digest"])
 
-    joined = slim.mapInArrow(digests, schema).join(groups, F.col("digest") == F.col("g_digest"), "left")
+    joined = slim.transform(mapped, digests, schema).join(groups, F.col("digest") == F.col("g_digest"), "left")
     alone = F.col("g_digest").isNull()
     top = alone | F.col("doc_id").eqNullSafe(F.col("g_keep"))
     rows = joined.select(

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import mapped, saved
 
 LINK = "child bigint, root bigint"
 
@@ -72,7 +72,7 @@ def _round(links: DataFrame) -> DataFrame:
 def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     """`links` (child, root: any two long nodes) to one row per linked node that is not the smallest of its component: child, root."""
     tidy = links.select(F.greatest("child", "root").alias("child"), F.least("child", "root").alias("root")).where("child != root")
-    now = saved(tidy.mapInArrow(_contracted, LINK).distinct(), "links")
+    now = saved(tidy.transform(mapped, _contracted, LINK).distinct(), "links")
 
     def mark(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("child", "root")), F.lit(0))).first())

@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import mapped
+
 THRESHOLD = 0.8
 _WORD = re.compile(r"[a-z0-9]+")
 #: Notices by which public licences are declared.
@@ -108,4 +110,4 @@ def scan(docs: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPLATES, thr
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.string(), pa.float64(), pa.int64(), pa.string()), strict=True)], names=["doc_id", "license", "dice", "n_units", "licenses"])
 
-    return slim.mapInArrow(scanned, "doc_id bigint, license string, dice double, n_units bigint, licenses string")
+    return slim.transform(mapped, scanned, "doc_id bigint, license string, dice double, n_units bigint, licenses string")

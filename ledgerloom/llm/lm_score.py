@@ -45,7 +45,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import mapped, saved
 from .wordcode import CodeIndex, chunks, word_codes
 
 #: Words of the head make up one in HEAD of the tokens; so many of them at most are moved by clustering, the others are placed once it is done.
@@ -96,7 +96,7 @@ def token_counts(texts: DataFrame) -> DataFrame:
         if held:
             yield merged()
 
-    return texts.mapInArrow(counted, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
+    return texts.transform(mapped, counted, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
 
 
 # ---- texts as numbers ----------------------------------------------------------------------------------------------------
@@ -156,7 +156,7 @@ def numbered(docs: DataFrame, known: Broadcast) -> DataFrame:
 
     schema = T.StructType([*(docs.schema[c] for c in kept), *T._parse_datatype_string(_NUMBERED).fields])
     # Numbers of rows are fixed once they are written.
-    return saved(docs.mapInArrow(coded, schema).withColumn("row", F.monotonically_increasing_id()), "numbered")
+    return saved(docs.transform(mapped, coded, schema).withColumn("row", F.monotonically_increasing_id()), "numbered")
 
 
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
@@ -222,7 +222,7 @@ def _contexts(texts: DataFrame, label: np.ndarray, clustered: int, kinds: int) -
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], names=["block", "counts"])
 
     # The driver gets one row a block of clustered words.
-    table = texts.select("short", "more").mapInArrow(counted, "block int, counts binary").repartition("block").mapInArrow(summed, "block int, counts binary")
+    table = texts.select("short", "more").transform(mapped, counted, "block int, counts binary").repartition("block").transform(mapped, summed, "block int, counts binary")
     context, pairs = np.zeros((blocks, BLOCK, 2 * kinds + 1)), np.zeros((kinds, kinds))
     for row in table.collect():
         got = np.frombuffer(zlib.decompress(row["counts"]), np.int64)
@@ -355,8 +355,8 @@ def _placed(texts: DataFrame, heads: Broadcast, label: np.ndarray, pairs: np.nda
                 rest = codes[last], context[last]
         yield from chosen(*rest)
 
-    few = texts.select("short", "more", "codes").mapInArrow(met, "code bigint, few binary, many binary")
-    return few.repartition("code").sortWithinPartitions("code").mapInArrow(best, "code bigint, n bigint, kind int")
+    few = texts.select("short", "more", "codes").transform(mapped, met, "code bigint, few binary, many binary")
+    return few.repartition("code").sortWithinPartitions("code").transform(mapped, best, "code bigint, n bigint, kind int")
 
 
 def _resolved(texts: DataFrame, tail: DataFrame, label: np.ndarray) -> DataFrame:
@@ -395,11 +395,11 @@ def _resolved(texts: DataFrame, tail: DataFrame, label: np.ndarray) -> DataFrame
             known, logs = np.bincount(of[right], n > 0, len(batch)).astype(np.int64), np.bincount(of[right], np.log10(n + 0.5), len(batch))
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(known, pa.int64()), pa.array(logs, pa.float64()), _binary(cells, sides)], names=["row", "held_out", "tail_known", "tail_logs", "cells"])
 
-    words = some.select("row", "codes").mapInArrow(listed, "of bigint, place int, code bigint")
+    words = some.select("row", "codes").transform(mapped, listed, "of bigint, place int, code bigint")
     met = words.join(tail, "code", "left").select("of", F.struct("place", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("kind", F.lit(other)).alias("kind")).alias("w"))
     lists = met.groupBy("of").agg(F.collect_list("w").alias("w"))
     both = some.select("row", "held_out", "moves").join(lists, F.col("row") == F.col("of")).select("row", "held_out", "moves", "w")
-    return saved(both.mapInArrow(joined, "row bigint, held_out boolean, tail_known bigint, tail_logs double, cells binary"), "tail-words")
+    return saved(both.transform(mapped, joined, "row bigint, held_out boolean, tail_known bigint, tail_logs double, cells binary"), "tail-words")
 
 
 def _cell_counts(resolved: DataFrame, kinds: int) -> np.ndarray:
@@ -414,7 +414,7 @@ def _cell_counts(resolved: DataFrame, kinds: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["cell", "n"])
 
     pairs = np.zeros(kinds * kinds)
-    for r in resolved.select("cells").mapInArrow(counted, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+    for r in resolved.select("cells").transform(mapped, counted, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).collect():
         pairs[r["cell"]] = r["n"]
     return pairs.reshape(kinds, kinds)
 
@@ -542,8 +542,8 @@ def score_texts(texts: DataFrame, model: Model, resolved: DataFrame) -> DataFram
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(gain, pa.float64())], names=["of", "tail_known", "tail_logs", "gain"])
 
     kind = texts.schema["doc_id"].dataType.simpleString()
-    head = texts.select("short", "more", "row", "doc_id", "held_out").mapInArrow(scored, f"row bigint, doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, logs double, moves double")
-    rest = resolved.select("row", "tail_known", "tail_logs", "cells").mapInArrow(gained, "of bigint, tail_known bigint, tail_logs double, gain double")
+    head = texts.select("short", "more", "row", "doc_id", "held_out").transform(mapped, scored, f"row bigint, doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, logs double, moves double")
+    rest = resolved.select("row", "tail_known", "tail_logs", "cells").transform(mapped, gained, "of bigint, tail_known bigint, tail_logs double, gain double")
     logs = F.col("logs") + F.coalesce("tail_logs", F.lit(0.0))
     return head.join(rest, F.col("row") == F.col("of"), "left").select(
         "doc_id",

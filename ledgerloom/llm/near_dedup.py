@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_LOWER, saved
+from .common import ASCII_LOWER, mapped, saved
 from .graph import components, stars
 from .wordcode import chunks, mixed, paired, word_codes
 
@@ -98,7 +98,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             prints = np.fromiter((majority(shingle_hashes(x.as_py() or b"", words)) for x in texts), np.uint64, len(texts))
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(prints.view(np.int64))], names=["doc_id", "text_hash", "fp"])
 
-    return slim.mapInArrow(printed, "doc_id bigint, text_hash bigint, fp bigint")
+    return slim.transform(mapped, printed, "doc_id bigint, text_hash bigint, fp bigint")
 
 
 def block_masks(prints: int, distance: int) -> list[int]:
@@ -207,7 +207,7 @@ def _bucketed(keyed: DataFrame, lanes: list[str], distance: int, bucket: int) ->
             child, root = stars(rows[a, 1], rows[b, 1])
             yield pa.RecordBatch.from_arrays([pa.array(child), pa.array(root)], names=["child", "root"])
 
-    return keyed.select("key", "root", *lanes).repartition("key").sortWithinPartitions("key").mapInArrow(found, "child bigint, root bigint")
+    return keyed.select("key", "root", *lanes).repartition("key").sortWithinPartitions("key").transform(mapped, found, "child bigint, root bigint")
 
 
 def links(prints: DataFrame, distance: int = 4, bucket: int = BUCKET) -> DataFrame:
@@ -361,7 +361,7 @@ def _families(nodes: DataFrame, similarity: float, bucket: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(child), pa.array(root)], names=["child", "root"])
 
     keyed = _cut(nodes.select(F.explode("bands").alias("key"), "node", "size", *LANES), ["node"], bucket)
-    return components(keyed.select("key", "node", "size", *LANES).repartition("key").sortWithinPartitions("key").mapInArrow(found, "child bigint, root bigint"))
+    return components(keyed.select("key", "node", "size", *LANES).repartition("key").sortWithinPartitions("key").transform(mapped, found, "child bigint, root bigint"))
 
 
 def set_links(sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.ndarray]:
@@ -414,7 +414,7 @@ def _wanted(slim: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
                 seen.update(nodes[some].tolist() if len(seen) < 1 << 17 else ())
                 yield pa.RecordBatch.from_arrays([pa.array(nodes[some]), pa.array([sets[i].tobytes() for i in some], pa.binary())], names=["node", "shingles"])
 
-    return slim.select("text").mapInArrow(made, "node bigint, shingles binary").groupBy("node").agg(F.first("shingles").alias("shingles"))
+    return slim.select("text").transform(mapped, made, "node bigint, shingles binary").groupBy("node").agg(F.first("shingles").alias("shingles"))
 
 
 def _verified(members: DataFrame, similarity: float, shingles: int) -> DataFrame:
@@ -440,7 +440,7 @@ def _verified(members: DataFrame, similarity: float, shingles: int) -> DataFrame
                 sets.append(np.frombuffer(value.as_py(), np.uint64))
         yield from linked()
 
-    return cut.repartition("key").sortWithinPartitions("key", "node").mapInArrow(found, "child bigint, root bigint")
+    return cut.repartition("key").sortWithinPartitions("key", "node").transform(mapped, found, "child bigint, root bigint")
 
 
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, bucket: int = BUCKET, family: int = FAMILY) -> DataFrame:
@@ -469,7 +469,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_hash", "node", "size", *LANES, "bands"])
 
-    rows = saved(slim.mapInArrow(printed, f"doc_id bigint, text_hash bigint, node bigint, size bigint, {lanes}, bands array<bigint>"), "shingle-prints")
+    rows = saved(slim.transform(mapped, printed, f"doc_id bigint, text_hash bigint, node bigint, size bigint, {lanes}, bands array<bigint>"), "shingle-prints")
     nodes = saved(rows.groupBy("node").agg(F.min("doc_id").alias("least"), *(F.first(c).alias(c) for c in ("size", *LANES, "bands"))), "nodes")
     families = _families(nodes, similarity, bucket)
     members = families.select(F.col("root").alias("key"), F.col("child").alias("node")).unionByName(families.select(F.col("root").alias("key"), F.col("root").alias("node")).distinct())

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import mapped
 from .tokenizing import encoded, ids_crc32, narrow, wide
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
@@ -127,7 +128,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int
             yield _pieces((group << GROUP_BITS) + used, keys, ids, capacity)[0]
 
     drawn = F.pmod(F.xxhash64("doc_id", F.length("text"), F.lit(seed)), F.lit(groups)).alias("grp")
-    return slim.select(drawn, "doc_id", "text").mapInArrow(coded, "grp bigint, doc_id bigint, ids binary").repartition(-(-groups // TASK_GROUPS), "grp").sortWithinPartitions("grp", "doc_id", F.crc32("ids")).mapInArrow(sequences, PIECES)
+    return slim.select(drawn, "doc_id", "text").transform(mapped, coded, "grp bigint, doc_id bigint, ids binary").repartition(-(-groups // TASK_GROUPS), "grp").sortWithinPartitions("grp", "doc_id", F.crc32("ids")).transform(mapped, sequences, PIECES)
 
 
 def _pieces(first: int, keys: list, values: list[bytes], capacity: int) -> tuple[pa.RecordBatch, int]:

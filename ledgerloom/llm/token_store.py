@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import saved, scratch_path
+from .common import mapped, saved, scratch_path
 from .tokenizing import encoded, ids_crc32, narrow, wide
 
 STORED = "doc_id bigint, n_tokens bigint, file_start bigint, file_no int, ids array<int>"
@@ -64,13 +64,13 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
                 first = last
 
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    held = saved(slim.mapInArrow(coded, "doc_id bigint, n int, crc bigint, ids binary"), "encoded")
+    held = saved(slim.transform(mapped, coded, "doc_id bigint, n int, crc bigint, ids binary"), "encoded")
     total = held.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     ranged = held.repartitionByRange(files or max(1, -(-total // FILE_IDS)), "doc_id", "crc")
     (
         ranged.sortWithinPartitions("doc_id", "crc")
         .select("doc_id", "n", "ids")
-        .mapInArrow(rows, STORED)
+        .transform(mapped, rows, STORED)
         .write.option("compression", "zstd")
         .option("orc.create.index", "true")
         .option("orc.row.index.stride", "1000")
@@ -102,7 +102,7 @@ def token_digest(tokens: DataFrame) -> DataFrame:
             crcs = [ids_crc32(flat[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(crcs, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return tokens.mapInArrow(digest, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    return tokens.transform(mapped, digest, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 def token_store(docs: DataFrame, tokenizer_path: str, end_id: int = 0, path: str | None = None) -> DataFrame:

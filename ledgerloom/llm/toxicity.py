@@ -1,18 +1,25 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-Two bigram models, one of toxic and one of ordinary text, share the counts
-they back off to: P_c(w | v) interpolates the class's discounted bigrams with
-the class's discounted words, and those with continuation counts pooled over
-both classes, so an expression that one class has not seen costs it no more
-than the other. Expressions too rare, or too alike in both classes, to tell
-them apart have shared counts at every level. A text's feature is the difference of the two
-log-likelihoods, normalised by its length; a logistic curve, fitted on
-labelled texts that the counts leave out, turns it into a probability.
+Two bigram models, one of toxic and one of ordinary text. Expressions whose
+rates the classes clearly tell apart have counts of their own in each class;
+all others, the rare ones above all, back off to counts that both share:
+
+    P_c(w | v) = f_c(v, w) + (1 - sum of f_c(v, .)) * P_c(w)
+    P_c(w)     = g_c(w) + B * P(w)
+
+f_c are discounted relative frequencies of the pairs that are told apart,
+g_c those of words (their own where told apart, else the pooled ones, scaled so
+that P_c sums to one), B the mass that discounting leaves, and P the
+continuation counts of both classes: the share of different words that a word
+follows. Each P_c(. | v) sums to one over all words known and one unknown. A
+text's feature is the difference of the two log-likelihoods, normalised by its
+length; a logistic curve, fitted on labelled texts that the counts leave out,
+turns it into a probability.
 
 Learning uses at most SAMPLE labelled rows of each class (those with the
-smallest hash of their id), so what is broadcast is bounded: the sample's ids
-and count tables of fixed size that codes are folded into. All texts are
-scored whole, in one pass without a shuffle.
+smallest hash of their id), so what is broadcast is bounded: the sample's ids,
+its words seen twice and its pairs told apart, all by their whole 64-bit
+codes. All texts are scored whole, in one pass without a shuffle.
 
 Defined cases: a null or empty text, or one without letters, gets the score
 of a text without evidence. Conflicting labels of a document count as toxic;
@@ -22,7 +29,6 @@ labels of both classes every score is 0. An empty table gives no rows.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,30 +38,36 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
-from .wordcode import LETTERS, chunks, paired, word_codes
+from .common import mapped, saved
+from .wordcode import LETTERS, CodeIndex, chunks, paired, word_codes
 
 #: Labelled rows of each class that a model learns from at most.
 SAMPLE = 20_000
-#: Slots of the word and bigram tables, as powers of two.
-WORD_BITS, PAIR_BITS = 18, 19
 #: One labelled row in so many fits the curve instead of the counts.
 CURVE_FOLD = 4
 #: Counts taken off an expression, counts added before classes are compared, and how far apart they have to be.
-DISCOUNT, PRIOR, WORD_FACTOR, PAIR_FACTOR = 1.0, 3.0, 4.0, 20.0
-#: Pairs that a task gathers before it hands them on.
-PAIRS_HELD = 1_000_000
-#: Word slots in one block of summed tables.
-BLOCK = 4096
+DISCOUNT, PRIOR, WORD_FACTOR, PAIR_FACTOR = 0.75, 3.0, 4.0, 20.0
+#: Pairs that a task gathers before it hands them on, and how often a pair has to be seen to be told apart.
+PAIRS_HELD, LEAST_PAIR = 1_000_000, 8
+#: What stands before a text's first word.
+BEGIN = np.uint64(0)
 
 
 @dataclass
 class Model:
-    """For both classes, word probabilities by word slot and discounted probabilities by pair slot; back-off weights by word slot."""
+    """For both classes: probabilities of words by number, the unknown word last; of pairs told apart; and what contexts leave to words, by number, the begin last."""
 
-    words: np.ndarray
-    weights: np.ndarray
-    pairs: np.ndarray
+    words: CodeIndex
+    pairs: CodeIndex
+    unigram: np.ndarray
+    follow: np.ndarray
+    left: np.ndarray
+
+    def probabilities(self, codes: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """P_c(word | before) for both classes."""
+        word, context, pair = self.words.find(codes), self.words.find(before), self.pairs.find(paired(before, codes))
+        context = np.where(before == BEGIN, self.left.shape[1] - 1, np.where(context < 0, self.left.shape[1] - 2, context))
+        return self.follow[:, pair] + self.left[:, context] * self.unigram[:, word]
 
     def evidence(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """For each text: toxic minus ordinary log-likelihood, and the number of words."""
@@ -64,10 +76,8 @@ class Model:
             codes, of = word_codes(some, LETTERS)
             if not len(codes):
                 continue
-            word, before, pair = _slots(codes, of)
-            p = self.pairs[:, pair] + self.weights[before] * self.words[:, word]
-            logs = np.log(p[1]) - np.log(p[0])
-            gain[first : first + len(some)] = np.bincount(of, logs, len(some))
+            p = self.probabilities(codes, _before(codes, of))
+            gain[first : first + len(some)] = np.bincount(of, np.log(p[1]) - np.log(p[0]), len(some))
             count[first : first + len(some)] = np.bincount(of, minlength=len(some))
         return gain, count
 
@@ -85,12 +95,10 @@ class Classifier:
         return 1 / (1 + np.exp(-np.clip(_features(*self.model.value.evidence(texts)) @ self.curve, -40, 40)))
 
 
-def _slots(codes: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Slots of each word, of the word before it (0: a text begins) and of the two."""
+def _before(codes: np.ndarray, of: np.ndarray) -> np.ndarray:
     before = np.roll(codes, 1)
-    before[np.diff(of, prepend=-1) != 0] = 0
-    word = (codes >> np.uint64(64 - WORD_BITS)).astype(np.int64)
-    return word, (before >> np.uint64(64 - WORD_BITS)).astype(np.int64), (paired(before, codes) >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
+    before[np.diff(of, prepend=-1) != 0] = BEGIN
+    return before
 
 
 def _features(gain: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -110,127 +118,104 @@ def _sliced(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of one task: words by slot, and pairs by their own slot and both words' slots."""
-    words = np.zeros((2, 1 << WORD_BITS), np.int64)
-    pairs: list[list[np.ndarray]] = [[], []]
+    """Pairs of one task, the begin of a text with its first word included, with their counts by class."""
+    held: list[tuple[np.ndarray, ...]] = []
     size = 0
 
-    def merged() -> Iterator[pa.RecordBatch]:
-        for c in (0, 1):
-            if pairs[c]:
-                key, n = np.unique(np.concatenate(pairs[c]), return_counts=True)
-                zero = np.zeros(len(n), np.int64)
-                both = (n, zero) if c == 0 else (zero, n)
-                yield pa.RecordBatch.from_arrays([pa.array((key >> (2 * WORD_BITS)) + 1), pa.array(key & ((1 << 2 * WORD_BITS) - 1)), *map(pa.array, both)], names=["pair", "words", "ordinary", "toxic"])
+    def merged() -> pa.RecordBatch:
+        before, word, kind = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.lexsort((word, before))
+        before, word, kind = before[order], word[order], kind[order]
+        new = np.append(True, (before[1:] != before[:-1]) | (word[1:] != word[:-1]))
+        at = np.cumsum(new) - 1
+        counts = [np.bincount(at, kind == c).astype(np.int64) for c in (0, 1)]
+        return pa.RecordBatch.from_arrays([*(pa.array(x[new].view(np.int64)) for x in (before, word)), *map(pa.array, counts)], names=["before", "word", "ordinary", "toxic"])
 
     for batch in _sliced(batches):
-        label = np.asarray(batch.column(1).to_pylist(), np.int64)
+        label = np.asarray(batch.column(1).to_pylist(), np.int8)
         for first, some in chunks(_bytes(batch.column(0))):
             codes, of = word_codes(some, LETTERS)
-            word, before, pair = _slots(codes, of)
-            kind = label[first + of]
-            for c in (0, 1):
-                mine = kind == c
-                words[c] += np.bincount(word[mine], minlength=1 << WORD_BITS)
-                pairs[c].append((pair[mine] << (2 * WORD_BITS)) | (before[mine] << WORD_BITS) | word[mine])
+            held.append((_before(codes, of), codes, label[first + of]))
             size += len(codes)
             if size > PAIRS_HELD:
-                yield from merged()
-                pairs, size = [[], []], 0
-    yield from merged()
-    seen = np.flatnonzero(words.any(0))
-    yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(seen), np.int64)), pa.array(seen), pa.array(words[0][seen]), pa.array(words[1][seen])], names=["pair", "words", "ordinary", "toxic"])
-
+                yield merged()
+                held, size = [], 0
+    if size:
+        yield merged()
 
-def _tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One task's part of the tables by word slot, in blocks, and its pairs seen more than once.
 
-    Tables: words (2), distinct pairs by first word (2), pairs by first word (2), distinct pairs by second word (1).
-    """
-    table = np.zeros((7, 1 << WORD_BITS), np.int64)
-    for batch in batches:
-        pair, both = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        n = np.stack([batch.column(2).to_numpy(), batch.column(3).to_numpy()])
-        single = pair == 0
-        for c in (0, 1):
-            table[c] += np.bincount(both[single], n[c, single], 1 << WORD_BITS).astype(np.int64)
-        pair, both, n = pair[~single] - 1, both[~single], n[:, ~single]
-        before, word = both >> WORD_BITS, both & ((1 << WORD_BITS) - 1)
-        for c in (0, 1):
-            table[2 + c] += np.bincount(before[n[c] > 0], minlength=1 << WORD_BITS)
-            table[4 + c] += np.bincount(before, n[c], 1 << WORD_BITS).astype(np.int64)
-        table[6] += np.bincount(word, minlength=1 << WORD_BITS)
-        often = np.flatnonzero(n.sum(0) > 1)  # a pair seen once is all discount and tells the classes nothing
-        rows = np.stack([pair[often], before[often], *n[:, often]], 1)
-        for a in range(0, len(rows), 1 << 16):
-            yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([zlib.compress(rows[a : a + (1 << 16)].tobytes(), 1)], pa.binary())], names=["block", "data"])
-    for block in range(table.shape[1] // BLOCK):
-        part = table[:, block * BLOCK : (block + 1) * BLOCK]
-        if part.any():
-            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], names=["block", "data"])
-
-
-def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for block, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            part = np.frombuffer(zlib.decompress(data), np.int64)
-            total[block] = total[block] + part if block in total else part
-    for block, part in total.items():
-        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], names=["block", "data"])
-
-
-def _counts(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The tables of `_tables` over the whole sample, and the pairs: slot, first word's slot, and both classes' counts."""
-    parts = sample.mapInArrow(_counted, "pair bigint, words bigint, ordinary bigint, toxic bigint")
-    summed = parts.groupBy("pair", "words").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
-    made = saved(summed.mapInArrow(_tables, "block int, data binary"), "toxicity-counts")
-    table, pairs = np.zeros((7, 1 << WORD_BITS)), [np.zeros((0, 4), np.int64)]
-    blocks = made.where("block >= 0").repartition("block").mapInArrow(_summed, "block int, data binary")
-    for row in blocks.toLocalIterator():
-        table[:, row.block * BLOCK : (row.block + 1) * BLOCK] = np.frombuffer(zlib.decompress(row.data), np.int64).reshape(7, BLOCK)
-    for row in made.where("block < 0").toLocalIterator():
-        pairs.append(np.frombuffer(zlib.decompress(row.data), np.int64).reshape(-1, 4))
-    return table, np.concatenate(pairs)
-
-
-def _rates(counts: np.ndarray, totals: np.ndarray, factor: float) -> np.ndarray:
-    """Class rates of expressions, after discounting; the pooled rate for both where the classes differ by less than `factor`.
-
-    An expression's counts are compared with those that pooling would give it, both raised by PRIOR, so that
-    rare expressions share their counts and only ones that a class clearly prefers tell the classes apart.
-    """
+def _apart(counts: np.ndarray, totals: np.ndarray, factor: float) -> np.ndarray:
+    """Whether classes differ by the factor: counts against what pooling would give them, both raised by PRIOR."""
     totals = np.maximum(totals, 1)
-    pooled = counts.sum(0) / totals.sum(0)
-    ratio = (counts + PRIOR) / (pooled * totals + PRIOR)
-    apart = np.maximum(ratio[1] / ratio[0], ratio[0] / ratio[1]) > factor
-    return np.maximum(np.where(apart, counts / totals, pooled) - DISCOUNT / totals.min(0), 0)
-
-
-def _model(table: np.ndarray, pairs: np.ndarray) -> Model:
-    words, context, shared = table[0:2], table[4:6], table[6]
-    backoff = (shared + 0.5) / (shared.sum() + 0.5 * len(shared))
-    kept = _rates(words, words.sum(1, keepdims=True), WORD_FACTOR)
-    unigram = kept + (1 - kept.sum(1).mean()) * backoff
-    before = pairs[:, 1]
-    follow = _rates(pairs[:, 2:].T.astype(float), context[:, before], PAIR_FACTOR)
-    slots, held = np.zeros((2, 1 << PAIR_BITS)), np.zeros((2, 1 << WORD_BITS))
+    ratio = (counts + PRIOR) / (counts.sum(0) / totals.sum(0) * totals + PRIOR)
+    return np.maximum(ratio[1] / ratio[0], ratio[0] / ratio[1]) > factor
+
+
+def _by_code(df: DataFrame, codes: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
+    """The codes and both classes' counts of a bounded table."""
+    table = df.toArrow()
+    return [table[c].to_numpy().view(np.uint64) for c in codes], np.stack([table["ordinary"].to_numpy(), table["toxic"].to_numpy()]).astype(float)
+
+
+def learn(sample: DataFrame) -> Model:
+    """The model of `sample` (text, toxic)."""
+    sums = [F.sum(c).alias(c) for c in ("ordinary", "toxic")]
+    pairs = saved(sample.transform(mapped, _counted, "before bigint, word bigint, ordinary bigint, toxic bigint").groupBy("before", "word").agg(*sums), "toxicity-pairs")
+    words = saved(pairs.groupBy("word").agg(*sums, F.count("*").alias("after")), "toxicity-words")
+    total = words.agg(*sums, F.sum("after").alias("after"), F.count("*").alias("types"), F.sum(F.least(F.col("ordinary") + F.col("toxic"), F.lit(DISCOUNT))).alias("taken")).first()
+    seen = words.where("ordinary + toxic > 1").toArrow()  # a word seen once tells the classes nothing: it is as the unknown one
+    codes, n, after = seen["word"].to_numpy().view(np.uint64), np.stack([seen["ordinary"].to_numpy(), seen["toxic"].to_numpy()]).astype(float), seen["after"].to_numpy().astype(float)
+    totals = np.array([[total["ordinary"] or 0], [total["toxic"] or 0]], float)
+    once = (total["types"] or 0) - len(codes)
+
+    # Words. Those seen once share what is left of them with the unknown word.
+    mass = float(np.maximum(totals.sum(), 1))
+    shared = np.append(after + 0.5, (total["after"] or 0) - after.sum() + 0.5 * (once + 1))
+    shared /= shared.sum()
+    apart = _apart(n, totals, WORD_FACTOR)
+    pooled = np.maximum(n.sum(0) - DISCOUNT, 0) / mass
+    own = np.maximum(n - DISCOUNT, 0) / np.maximum(totals, 1)
+    backoff = max((total["taken"] or 0) + once * (1 - DISCOUNT), 1e-3) / mass  # words seen once give all they have
+    told, rest = (own * apart).sum(1, keepdims=True), (pooled * ~apart).sum()
+    scale = np.maximum(1 - backoff - told, 0) / max(rest, 1e-12)
+    kept = np.where(apart, own, scale * pooled)
+    unigram = np.concatenate([kept, np.zeros((2, 1))], 1)
+    unigram += (1 - unigram.sum(1, keepdims=True)) * shared
+
+    # Pairs, by what follows each of their first words.
+    (before, word), count = _by_code(pairs.where(f"ordinary + toxic >= {LEAST_PAIR}"), ["before", "word"])
+    firsts = pairs.join(F.broadcast(pairs.where(f"ordinary + toxic >= {LEAST_PAIR}").select("before").distinct()), "before", "left_semi")
+    (context,), around = _by_code(firsts.groupBy("before").agg(*sums), ["before"])
+    order = np.argsort(context)
+    context, around = context[order], around[:, order]
+    at = np.searchsorted(context, before)
+    mine = _apart(count, around[:, at], PAIR_FACTOR) if len(at) else np.zeros(0, bool)
+    before, word, at = before[mine], word[mine], at[mine]
+    follow = np.maximum(count[:, mine] - DISCOUNT, 0) / np.maximum(around[:, at], 1)
+    known = CodeIndex(codes)
+    place = np.where(before == BEGIN, len(codes) + 1, known.find(before))
+    left = np.ones((2, len(codes) + 2))  # by number, for unknown words, and for the begin
     for c in (0, 1):
-        np.add.at(slots[c], pairs[:, 0], follow[c])
-        np.add.at(held[c], before, follow[c])
-    # What discounting leaves goes to the words, by one weight per context for both classes.
-    weights = np.clip(1 - held.mean(0), 0.05, 1)
-    return Model(unigram.astype(np.float32), weights.astype(np.float32), slots.astype(np.float32))
+        left[c] -= np.bincount(place, follow[c], len(codes) + 2)
+    return Model(known, CodeIndex(paired(before, word)), unigram.astype(np.float32), np.concatenate([follow, np.zeros((2, 1))], 1).astype(np.float32), left.astype(np.float32))
 
 
 def _fit_curve(x: np.ndarray, y: np.ndarray, odds: float) -> np.ndarray:
-    """Logistic regression by Newton steps with a small ridge; `odds` corrects for how the classes were sampled."""
+    """Logistic regression by Newton steps with a small ridge, halved until they help; `odds` corrects for how the classes were sampled."""
     curve = np.zeros(x.shape[1])
-    for _ in range(30):
+
+    def loss(w: np.ndarray) -> float:
+        z = x @ w
+        return float(np.logaddexp(0, z).sum() - y @ z + 5e-3 * (w @ w))
+
+    for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ curve, -30, 30)))
         step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 1e-2 * np.eye(x.shape[1]), x.T @ (y - p) - 1e-2 * curve)
-        curve += step
-        if np.abs(step).max() < 1e-6:
+        size, here = 1.0, loss(curve)
+        while size > 1e-6 and loss(curve + size * step) > here:
+            size /= 2
+        curve = curve + size * step
+        if np.abs(size * step).max() < 1e-6:
             break
     curve[0] += np.log(odds)
     return curve
@@ -246,14 +231,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Classifier:
     drawn = [marked.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for c in (0, 1)]
     chosen = F.broadcast(drawn[0].unionByName(drawn[1]))  # 2 * sample rows at most
     texts = docs.select(F.col("doc_id").alias("key"), "text").join(chosen, F.col("key") == F.col("doc_id")).select("text", "toxic", (F.pmod(F.xxhash64("key", F.lit(1)), F.lit(CURVE_FOLD)) == 0).alias("curve"))
-    shared = spark.sparkContext.broadcast(_model(*_counts(texts.where("NOT curve").select("text", "toxic"))))
+    shared = spark.sparkContext.broadcast(learn(texts.where("NOT curve").select("text", "toxic")))
 
     def evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             gain, count = shared.value.evidence(_bytes(batch.column(0)))
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(gain), pa.array(count)], names=["toxic", "gain", "count"])
 
-    seen = texts.where("curve").select("text", "toxic").mapInArrow(evidence, "toxic int, gain double, count double").toArrow()
+    seen = texts.where("curve").select("text", "toxic").transform(mapped, evidence, "toxic int, gain double, count double").toArrow()
     y = seen["toxic"].to_numpy().astype(np.float64)
     odds = (sizes[1] / min(sizes[1], sample)) / (sizes[0] / min(sizes[0], sample))
     return Classifier(shared, _fit_curve(_features(seen["gain"].to_numpy(), seen["count"].to_numpy()), y, odds))
@@ -267,7 +252,7 @@ def score(docs: DataFrame, model: Classifier, id_col: str = "doc_id", text_col:
         for batch in _sliced(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.scores(_bytes(batch.column(1))))], names=["doc_id", "score"])
 
-    return slim.mapInArrow(scored, "doc_id bigint, score double")
+    return slim.transform(mapped, scored, "doc_id bigint, score double")
 
 
 def drop_toxic(docs: DataFrame, model: Classifier, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
@@ -279,4 +264,4 @@ def drop_toxic(docs: DataFrame, model: Classifier, threshold: float = 0.3, text_
             yield batch.filter(pa.array(model.scores(_bytes(batch.column(at))) < threshold))
 
     renamed = docs.toDF(*(f"c{i}" for i in range(len(names))))
-    return renamed.mapInArrow(kept, renamed.schema).toDF(*names)
+    return renamed.transform(mapped, kept, renamed.schema).toDF(*names)

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerloom.llm import toxicity
 from ledgerloom.llm.lm_score import exchange, likelihood, lm_scores
 from ledgerloom.llm.queries import op1_toxicity, op4_lm_score
 from ledgerloom.llm.toxicity import drop_toxic, fit, score
@@ -221,6 +222,79 @@ def test_toxicity_learns(spark):
     assert kept == {i for i, s in got.items() if s < 0.3}
 
 
+def by_definition(rows):
+    """Kneser-Ney probabilities from the written formulas, over (text, toxic) rows: P(class, word, before), None being unknown and the begin."""
+    pairs = [Counter(), Counter()]
+    for text, c in rows:
+        found = [w for w in re.split("[^a-z]+", text.lower()) if w]
+        pairs[c].update(zip([None, *found], found))
+    both = pairs[0] + pairs[1]
+    n = [Counter(), Counter()]
+    for c in (0, 1):
+        for (_, w), k in pairs[c].items():
+            n[c][w] += k
+    total, all_ = [sum(n[c].values()) for c in (0, 1)], n[0] + n[1]
+    after = Counter(w for _, w in both)
+
+    def apart(counts, totals, factor):
+        ratio = [(counts[c] + toxicity.PRIOR) / (sum(counts) / sum(totals) * totals[c] + toxicity.PRIOR) for c in (0, 1)]
+        return max(ratio[1] / ratio[0], ratio[0] / ratio[1]) > factor
+
+    d, mass = toxicity.DISCOUNT, sum(total)
+    known = [w for w in all_ if all_[w] > 1]
+    once = len(all_) - len(known)
+    shared = {w: after[w] + 0.5 for w in known} | {None: sum(after.values()) - sum(after[w] for w in known) + 0.5 * (once + 1)}
+    shared = {w: x / sum(shared.values()) for w, x in shared.items()}
+    told = {w for w in known if apart([n[c][w] for c in (0, 1)], total, toxicity.WORD_FACTOR)}
+    backoff = (sum(min(k, d) for k in all_.values()) + once * (1 - d)) / mass
+    rest = sum((all_[w] - d) / mass for w in known if w not in told)
+    unigram = [{}, {}]
+    for c in (0, 1):
+        own = {w: max(n[c][w] - d, 0) / total[c] for w in told}
+        scale = max(1 - backoff - sum(own.values()), 0) / rest
+        kept = own | {w: scale * (all_[w] - d) / mass for w in known if w not in told} | {None: 0.0}
+        unigram[c] = {w: kept[w] + (1 - sum(kept.values())) * shared[w] for w in kept}
+    follow = [{}, {}]
+    around = [Counter(), Counter()]
+    for c in (0, 1):
+        for (v, _), k in pairs[c].items():
+            around[c][v] += k
+    for (v, w), k in both.items():
+        counts, totals = [pairs[c][v, w] for c in (0, 1)], [max(around[c][v], 1) for c in (0, 1)]
+        if k >= toxicity.LEAST_PAIR and apart(counts, totals, toxicity.PAIR_FACTOR):
+            for c in (0, 1):
+                follow[c][v, w] = max(counts[c] - d, 0) / totals[c]
+
+    def p(c, w, v):
+        w = w if w in unigram[c] else None
+        return follow[c].get((v, w), 0.0) + (1 - sum(x for (u, _), x in follow[c].items() if u == v)) * unigram[c][w]
+
+    return p, [*known, None], len(follow[0])
+
+
+def test_probabilities_follow_the_formulas(spark, monkeypatch):
+    """Word by word as defined, and each context's sum to one, for both classes."""
+    monkeypatch.setattr(toxicity, "PAIR_FACTOR", 3.0)
+    rng = np.random.default_rng(4)
+    plain, rude = [f"w{c}" for c in "abcdefghijkl"], ["vile", "nasty"]
+    rows = []
+    for i in range(120):
+        c = int(i % 3 == 0)
+        found = list(rng.choice(plain, 30, p=np.arange(12, 0, -1) / 78))
+        found = [x for w in found for x in ([w, str(rng.choice(rude))] if c and w == "wa" and rng.random() < 0.8 else [w, "rarely" + "abcdefghij"[i % 10] * (i % 7)] if rng.random() < 0.02 else [w])]
+        rows.append((" ".join(found), c))
+    model = toxicity.learn(spark.createDataFrame(rows, "text string, toxic int"))
+    p, known, pairs = by_definition(rows)
+    assert pairs > 1
+    code = lambda w: word_codes([(w or "zzzz").encode()], LETTERS)[0]
+    for v in [*known, "begin"]:
+        before = np.zeros(1, np.uint64) if v == "begin" else code(v)
+        got = np.stack([model.probabilities(code(w), before)[:, 0] for w in known])
+        want = np.array([[p(c, w, None if v == "begin" else v or "zzzz") for c in (0, 1)] for w in known])
+        assert np.allclose(got, want, rtol=1e-4)
+        assert np.allclose(got.sum(0), 1, atol=1e-4)
+
+
 def test_toxicity_defined_cases(spark, hard, empty, clashing):
     docs, labels = toxic_docs(spark)
     model = fit(docs, labels)
