@@ -17,10 +17,12 @@ def parser() -> argparse.ArgumentParser:
     db.add_parser("refresh-analytics")
     vector = db.add_parser("enable-vector")
     vector.add_argument("--profile", default="default")
+    vector.add_argument("--model")
+    vector.add_argument("--dimensions", type=int)
 
-    def bounds(p: argparse.ArgumentParser) -> None:
-        p.add_argument("--from-date", type=date.fromisoformat)
-        p.add_argument("--to-date", type=date.fromisoformat)
+    def bounds(p: argparse.ArgumentParser, *names: str) -> None:
+        for end, name in zip(("from", "to"), names or ("--from-date", "--to-date"), strict=True):
+            p.add_argument(name, type=date.fromisoformat, dest=f"{end}_date")
 
     def forms(p: argparse.ArgumentParser) -> None:
         p.add_argument("--form-type", default="all", choices=["all", "10-K", "10-Q"])
@@ -28,7 +30,7 @@ def parser() -> argparse.ArgumentParser:
     ingest = commands.add_parser("ingest").add_subparsers(dest="family", required=True)
     for name in ("13f", "periodic"):
         p = ingest.add_parser(name)
-        p.add_argument("--mode", choices=["dev", "full", "daily"], default="dev")
+        p.add_argument("--mode", choices=["dev", "full", "daily"], required=True)
         bounds(p)
         p.add_argument("--limit-filings", type=int)
         p.add_argument("--dry-run", action="store_true")
@@ -42,12 +44,14 @@ def parser() -> argparse.ArgumentParser:
         p = again.add_parser(name)
         p.add_argument("--accession")
         bounds(p)
+        if name == "13f":
+            p.add_argument("--skip-analytics-refresh", action="store_true")
     backfill = commands.add_parser("embeddings").add_subparsers(dest="action", required=True).add_parser("backfill").add_subparsers(dest="family", required=True)
     p = backfill.add_parser("periodic")
     for option in ("--profile", "--cik", "--ticker", "--model"):
         p.add_argument(option)
     forms(p)
-    bounds(p)
+    bounds(p, "--filed-from", "--filed-to")
     p.add_argument("--limit", type=int)
     p.add_argument("--batch-size", type=int)
     p.add_argument("--rebuild", action="store_true")
@@ -59,7 +63,7 @@ def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     settings = load_settings()
     logging.basicConfig(level=settings.log_level, format="%(asctime)s %(levelname)s %(name)s %(message)s")
-    from .operators.embedding import HashEmbedder, Profile, Selection
+    from .operators.embedding import Profile, Selection, embedder
     from .plans import backfill, ingest, refresh
     from .plans.fetch import Fetcher
     from .plans.store import Store
@@ -74,7 +78,8 @@ def main(argv: list[str] | None = None) -> int:
         elif args.action == "refresh-analytics":
             print("\n".join(refresh.refresh_views(store)))
         else:
-            return int(not backfill.store_available(store))
+            profile = backfill.enable_vectors(store, Profile(args.profile, model=args.model or settings.embedding_model, embedding_dimension=args.dimensions or settings.embedding_dimension))
+            print(f"{profile.profile_name}: {profile.model}, {profile.embedding_dimension} dimensions")
         return 0
     if args.command == "ingest":
         options = ingest.Options(
@@ -85,10 +90,10 @@ def main(argv: list[str] | None = None) -> int:
         fetcher = Fetcher(settings.user_agent, per_second=settings.requests_per_second, timeout=settings.http_timeout)
         return ingest.run_ingest(spark, store, fetcher, settings.artifacts, options, archive=settings.archive)
     if args.command == "reprocess":
-        return int(ingest.run_reprocess(spark, store, settings.artifacts, family, args.accession, args.from_date, args.to_date).failed > 0)
+        return int(ingest.run_reprocess(spark, store, settings.artifacts, family, args.accession, args.from_date, args.to_date, not getattr(args, "skip_analytics_refresh", False)).failed > 0)
     profile = Profile(args.profile or "default", model=args.model or settings.embedding_model, embedding_dimension=settings.embedding_dimension)
     chosen = Selection(args.cik, args.ticker, args.form_type, args.from_date, args.to_date, args.rebuild, args.limit)
-    counts = backfill.run_backfill(store, profile, HashEmbedder(profile.embedding_dimension), chosen, args.batch_size or settings.embedding_batch, settings.embeddings_enabled, args.dry_run)
+    counts = backfill.run_backfill(store, profile, embedder(settings, profile), chosen, args.batch_size or settings.embedding_batch, settings.embeddings_enabled, args.dry_run)
     print(counts)
     return int(counts.get("failed", 0) > 0)
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .functions import normalise as N
 from .operators import compare, embedding, events, positions, upsert
-from .queries import Query, query, table
+from .queries import query, table
 from .sources import artifacts, holdings_xml, index, reports, submission
 
 E, C, L = F.expr, F.col, F.lit
@@ -344,8 +344,3 @@ def reprocess_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-16, FLT-04, SRT-08: stored filings of a family in order, the first fifty."""
     chosen = artifacts.filings_to_reprocess(filings(spark, sf_dir), "13F", None, date(1996, 1, 1), date(1997, 6, 30))
     return index.in_order(chosen, 50).select("accession_number", "filed_date")
-
-
-def registered() -> list[Query]:
-    """Importing this module registers its queries."""
-    return [filing_effective]

@@ -102,6 +102,28 @@ class ServiceEmbedder:
         raise EmbeddingError("no attempts allowed")
 
 
+def post_json(url: str, headers: dict[str, str], payload: dict, timeout: float) -> tuple[int, dict]:
+    """Status and parsed body; a connection that fails counts as a service that is away."""
+    import json
+    from urllib.error import HTTPError, URLError
+    from urllib.request import Request, urlopen
+
+    try:
+        with urlopen(Request(url, json.dumps(payload).encode(), headers), timeout=timeout) as answer:
+            return answer.status, json.loads(answer.read())
+    except HTTPError as error:
+        return error.code, {}
+    except (URLError, TimeoutError):
+        return 503, {}
+
+
+def embedder(settings, profile: Profile, post: Callable = post_json) -> Provider:
+    """The service that settings name, else hashed words."""
+    if not settings.embedding_url:
+        return HashEmbedder(profile.embedding_dimension)
+    return ServiceEmbedder(settings.embedding_url, settings.embedding_key, profile.model, profile.embedding_dimension, post, timeout=settings.embedding_timeout)
+
+
 def response_vectors(body: dict, count: int, dimension: int) -> list[list[float]]:
     """Vectors in order of their index; their number and dimension have to be right (TXT-12)."""
     data = sorted(body.get("data") or [], key=lambda d: int(d.get("index", 0)))

@@ -9,9 +9,10 @@ from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
-from ..operators.embedding import Profile, Provider, Selection, candidates, embed, upsert_profile
+from ..operators.embedding import MAX_INDEXED_DIMENSION, EmbeddingError, Profile, Provider, Selection, candidates, embed, upsert_profile
 from ..operators.upsert import upsert_latest
 from ..schemas import KEYS, ddl
+from ..scratch import staged
 from .store import Store
 
 
@@ -41,12 +42,11 @@ def run_backfill(store: Store, profile: Profile, provider: Provider, chosen: Sel
             todo = todo.orderBy("chunk_key").limit(chosen.limit)
         counts = {"candidates": tally.get(True, 0), "skipped": tally.get(False, 0)}
         if not dry_run and counts["candidates"]:
-            done = embed(todo, profile, provider, batch).persist()  # the provider is asked once
+            done = staged(embed(todo, profile, provider, batch))  # the provider is asked once
             rows = done.where("error IS NULL").select("chunk_key", F.lit(profile.profile_name).alias("profile_name"), "content_hash", "embedding_input_hash", "embedding", F.lit(started).alias("embedded_at"), F.lit(seq).cast("long").alias("ingest_seq"))
             store.write("chunk_embeddings", upsert_latest(store.read("chunk_embeddings"), rows, KEYS["chunk_embeddings"]))
             both = done.agg(F.count_if(F.col("error").isNull()), F.count_if(F.col("error").isNotNull())).first()
             counts |= {"embedded": both[0], "failed": both[1]}
-            done.unpersist()
         _log(store, run_id, profile, chosen, "dry_run" if dry_run else "failed" if counts.get("failed") else "completed", started, counts)
         return counts
     except Exception as problem:
@@ -54,6 +54,19 @@ def run_backfill(store: Store, profile: Profile, provider: Provider, chosen: Sel
         raise
 
 
+def enable_vectors(store: Store, profile: Profile) -> Profile:
+    """Make the tables and the profile that search by vectors needs (TXT-15); more dimensions than an index takes are refused."""
+    if not profile.indexable:
+        raise EmbeddingError(f"an index takes {MAX_INDEXED_DIMENSION} dimensions at most, not {profile.embedding_dimension}: choose a smaller dimension for this profile")
+    if not store_available(store):
+        store.migrate()
+    seq = int(datetime.now(timezone.utc).timestamp() * 1e6)
+    profiles, vectors = upsert_profile(store.read("embedding_profiles"), store.read("chunk_embeddings"), profile, seq)
+    store.write("chunk_embeddings", vectors, sort_by=["profile_name", "chunk_key"])
+    store.write("embedding_profiles", profiles)
+    return profile
+
+
 def store_available(store: Store) -> bool:
     """Whether the tables that embeddings need exist (TXT-15)."""
     return all(store.exists(t) for t in ("periodic_chunks", "embedding_profiles", "chunk_embeddings"))

@@ -82,14 +82,6 @@ def effective_with_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- identities, positions, changes ---------------------------------------------------------------------------------------
 
 
-@query("""SELECT c_custkey, coalesce(nullif(c_name, ''), min(o_orderpriority)) AS canonical_name, coalesce(string_agg(DISTINCT o_orderpriority, ',' ORDER BY o_orderpriority), '') AS aliases,
-    min(o_orderdate)::DATE AS first_seen, max(o_orderdate)::DATE AS last_seen FROM customer LEFT JOIN orders ON o_custkey = c_custkey AND o_orderstatus = 'F' GROUP BY c_custkey, c_name""")
-def identities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """VIW-03, JON-03, AGG-02."""
-    orders = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").groupBy("o_custkey").agg(F.min("o_orderpriority").alias("least"), F.sort_array(F.collect_set("o_orderpriority")).alias("names"), F.min("o_orderdate").alias("a"), F.max("o_orderdate").alias("b"))
-    joined = table(spark, sf_dir, "customer").join(orders, F.col("o_custkey") == F.col("c_custkey"), "left")
-    return joined.select("c_custkey", F.coalesce(F.nullif(F.col("c_name"), F.lit("")), "least").alias("canonical_name"), F.coalesce(F.array_join("names", ","), F.lit("")).alias("aliases"), F.to_date("a").alias("first_seen"), F.to_date("b").alias("last_seen"))
-
 
 def line_items(spark: SparkSession, sf_dir: str, unit: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(
@@ -117,14 +109,6 @@ def filer_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quarter_positions(spark, sf_dir)
 
 
-@query("""SELECT year(l_shipdate)::INT AS period, l_suppkey AS filer, p_brand AS brand, l_returnflag AS flag, sum(l_extendedprice::DECIMAL(20,2))::DECIMAL(38,2) AS value, max(p_name) AS name, count(*) AS n
-    FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY ALL""")
-def brand_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """VIW-04 at a coarser grain, JON-04."""
-    items = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part"), F.col("p_partkey") == F.col("l_partkey"))
-    keys = [F.year("l_shipdate").alias("period"), F.col("l_suppkey").alias("filer"), F.col("p_brand").alias("brand"), F.col("l_returnflag").alias("flag")]
-    return positions.rollup(items, keys, {"value": F.col("l_extendedprice").cast("decimal(20,2)")}, {"name": F.col("p_name")}, "n")
-
 
 @query(f"""WITH p AS ({_POSITIONS}), w AS (SELECT *, lag(period) OVER k AS previous_period, coalesce(lag(value) OVER k, 0)::DECIMAL(38,2) AS pv, coalesce(lag(shares) OVER k, 0)::DECIMAL(38,2) AS ps
     FROM p WINDOW k AS (PARTITION BY filer, security, put_call_key ORDER BY period))
@@ -353,26 +337,6 @@ def anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").join(pending, F.col("o_custkey") == F.col("c_custkey"), "left_anti").select("c_custkey", "c_name")
 
 
-@query("SELECT s_suppkey, s_name FROM supplier WHERE EXISTS (SELECT 1 FROM nation WHERE n_nationkey = s_nationkey AND upper(n_name) LIKE '%1%')")
-def exists_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """FLT-08, FLT-09."""
-    nations = table(spark, sf_dir, "nation").where(F.col("n_name").ilike("%1%"))
-    return table(spark, sf_dir, "supplier").join(nations, F.col("n_nationkey") == F.col("s_nationkey"), "left_semi").select("s_suppkey", "s_name")
-
-
-@query("SELECT c_custkey, (SELECT min(o_orderpriority) FROM orders WHERE o_custkey = c_custkey) AS ticker FROM customer")
-def scalar_min(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JON-12."""
-    least = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.min("o_orderpriority").alias("ticker"))
-    return table(spark, sf_dir, "customer").join(least, F.col("o_custkey") == F.col("c_custkey"), "left").select("c_custkey", "ticker")
-
-
-@query("""SELECT c_custkey, t.ticker, t.tickers FROM customer LEFT JOIN LATERAL (SELECT min(o_orderpriority) AS ticker, string_agg(DISTINCT o_orderpriority, ',' ORDER BY o_orderpriority) AS tickers FROM orders WHERE o_custkey = c_custkey) t ON true""")
-def lateral_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """VIW-07, JON-11, AGG-03."""
-    symbols = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.min("o_orderpriority").alias("ticker"), F.array_join(F.sort_array(F.collect_set("o_orderpriority")), ",").alias("tickers"))
-    return table(spark, sf_dir, "customer").join(symbols, F.col("o_custkey") == F.col("c_custkey"), "left").select("c_custkey", "ticker", "tickers")
-
 
 @query("""SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1""")
 def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -506,13 +470,6 @@ def fts_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.postings(table(spark, sf_dir, "documents"), "doc_id", "text", drop=()).groupBy("token").agg(F.count("*").alias("docs"), F.sum("tf").alias("tf"))
 
 
-@query("""SELECT d.doc_id, (l.doc_id IS NULL OR l.toxic IS DISTINCT FROM 0 OR l.quality IS DISTINCT FROM 1) AS needed FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id AND l.quality >= 0""")
-def needs_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """TXT-13, FLT-13, JON-13."""
-    labels = table(spark, sf_dir, "labels").where("quality >= 0").withColumnRenamed("doc_id", "k")
-    same = F.col("toxic").eqNullSafe(F.lit(0)) & F.col("quality").eqNullSafe(F.lit(1))
-    return table(spark, sf_dir, "documents").join(labels, F.col("k") == F.col("doc_id"), "left").select("doc_id", (~same).alias("needed"))
-
 
 @query("""SELECT doc_id, sha256('periodic-chunk-v1' || chr(10) || concat_ws(chr(10), 'Company: ' || source, 'CIK: ' || doc_id, 'Ticker: unknown', 'Form: ' || lang, 'Filed date: unknown', 'Report period: ' || n_chars, 'Accession: ' || doc_id,
     'Section: ' || source || ' - ' || lang, 'Item: ' || lang, 'Chunk ordinal: 1', '', text)) AS input_hash FROM documents""")
@@ -542,12 +499,6 @@ def html_title(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.page_texts(table(spark, sf_dir, "pages"), "page_id", "html").select("page_id", "title")
 
 
-@query(r"""SELECT doc_id, contains(lower(text), 'the ') AS found, CASE WHEN contains(text, 'the ') THEN length(regexp_extract(text, '(?s)^(.*)the ', 1))::INT END AS last_start FROM documents""")
-def sections_last_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """TXT-03's rule: the last match counts, here of a plain word."""
-    last = F.length(F.regexp_extract("text", r"(?s)^(.*)the ", 1))
-    return table(spark, sf_dir, "documents").select("doc_id", F.contains(F.lower("text"), F.lit("the ")).alias("found"), F.when(F.contains("text", F.lit("the ")), last).alias("last_start"))
-
 
 def queries() -> dict[str, Query]:
     return dict(QUERIES)

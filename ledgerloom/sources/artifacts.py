@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from pathlib import Path
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,16 +15,27 @@ def artifact_path(root: str, accession: str, role: str, filename: str) -> str:
 
 
 def save_artifact(root: str, accession: str, role: str, url: str, filename: str, body: bytes, content_type: str | None = None) -> dict:
-    """Write the document (over an earlier one) and describe it."""
-    path = Path(artifact_path(root, accession, role, filename))
-    path.parent.mkdir(parents=True, exist_ok=True)
-    path.write_bytes(body)
-    return {"accession_number": accession, "role": role, "url": url, "filename": filename, "path": str(path), "sha256": hashlib.sha256(body).hexdigest(), "content_type": content_type, "size_bytes": len(body)}
-
-
-def read_artifacts(spark: SparkSession, root: str) -> DataFrame:
-    """accession_number, role, filename, content, sha256 and size of all cached documents, read in parallel."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{root}/raw/filings")
+    """Write the document (over an earlier one), to any Hadoop file system, and describe it."""
+    path = artifact_path(root, accession, role, filename)
+    context = SparkSession.getActiveSession().sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(context._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        stream.write(bytearray(body))
+    finally:
+        stream.close()
+    return {"accession_number": accession, "role": role, "url": url, "filename": filename, "path": path, "sha256": hashlib.sha256(body).hexdigest(), "content_type": content_type, "size_bytes": len(body)}
+
+
+def read_artifacts(spark: SparkSession, root: str, accessions: Sequence[str] | None = None) -> DataFrame:
+    """accession_number, role, filename, content, sha256 and size of cached documents, of some filings or of all, read in parallel."""
+    folder = f"{root}/raw/filings"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    folders = [folder] if accessions is None else [f for f in (f"{folder}/{a}" for a in accessions) if files.exists(path(f))]
+    if not folders:
+        return spark.createDataFrame([], "accession_number string, role string, filename string, path string, content binary, sha256 string, size_bytes bigint")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folders)
     place = r"/raw/filings/([^/]+)/([^/]+?)__([^/]+)$"
     return files.select(*(F.regexp_extract("path", place, i).alias(n) for i, n in enumerate(("accession_number", "role", "filename"), 1)), "path", "content", F.sha2("content", 256).alias("sha256"), F.col("length").alias("size_bytes"))
 

@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from ledgerloom import queries as Q
+from ledgerloom import filing_queries, queries as Q
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -41,3 +41,28 @@ def test_entry_point():
 def test_filters_reach_the_scan(spark, sf_dir):
     plan = Q.year_positions(spark, sf_dir, 1998)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(l_shipdate" in plan and "l_tax" not in plan
+
+
+def test_the_filer_reaches_the_scan(spark, sf_dir):
+    plan = Q.year_positions(spark, sf_dir, 1998, 5)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(l_suppkey,5)" in plan
+
+
+def test_compare_from_sql(spark, sf_dir):
+    """The table function gives what the operator gives, for every filter."""
+    from ledgerloom.operators import compare, events
+    from ledgerloom.plans.refresh import register_compare
+
+    held = filing_queries.held(spark, sf_dir).cache()
+    effective = events.effective_filings(filing_queries.filings(spark, sf_dir), filing_queries.holders(spark, sf_dir)).cache()
+    held.createOrReplaceTempView("filer_positions")
+    effective.createOrReplaceTempView("effective_filings")
+    register_compare(spark)
+    now, then = [r.report_period for r in held.where("cik = '5'").select("report_period").distinct().orderBy("report_period").limit(2).collect()][::-1]
+    for which, put_call in (("all", None), ("shares_only", None), ("options_only", "put"), ("nonsense", None)):
+        got = spark.sql(f"SELECT * FROM compare_positions('5', DATE '{now}', DATE '{then}', '{which}', {'NULL' if put_call is None else repr(put_call)})")
+        want = compare.compare_filer(held, effective, "5", str(now), str(then), which, put_call)
+        assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+    assert spark.sql(f"SELECT * FROM compare_positions('5', DATE '{now}', DATE '{then}')").count() > 0
+    held.unpersist()
+    effective.unpersist()

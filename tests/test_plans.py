@@ -12,7 +12,7 @@ from ledgerloom.operators.embedding import EmbeddingError, HashEmbedder, Profile
 from ledgerloom.operators.search import cosine_top, match_all, postings, search_index
 from ledgerloom.operators.upsert import artifact_fingerprint, processing_state
 from ledgerloom.plans import ingest
-from ledgerloom.plans.backfill import run_backfill
+from ledgerloom.plans.backfill import enable_vectors, run_backfill
 from ledgerloom.plans.fetch import Fetcher, folder_transport
 from ledgerloom.plans.refresh import register_top_positions, register_views
 from ledgerloom.plans.store import Store
@@ -70,7 +70,7 @@ def test_ingest_and_refresh(spark, world):
     assert store.read("thirteenf_holdings").count() == 2
     assert str(store.read("filings").first().acceptance_datetime) == "2024-05-15 12:30:45"
     positions = store.read("filer_positions").collect()
-    assert {(p.issuer_name, p.put_call_key, int(p.total_value_usd)) for p in positions} == {("APPLE INC", "NONE", 150), ("NVIDIA CORP", "PUT", 0)}
+    assert {(p.issuer_name, p.put_call_key, int(p.total_value_usd)) for p in positions} == {("APPLE INC", "NONE", 150), ("NVIDIA CORP", "PUT", 300)}
     assert ingest.load_checkpoint(store, ingest.HOLDINGS, "daily").accession_number == ACCESSION
     register_views(store)
     register_top_positions(spark)
@@ -161,3 +161,33 @@ def test_command_line():
     assert parser().parse_args(["reprocess", "13f", "--accession", "x"]).accession == "x"
     assert parser().parse_args(["embeddings", "backfill", "periodic", "--rebuild", "--limit", "5"]).limit == 5
     assert parser().parse_args(["db", "enable-vector"]).profile == "default"
+    assert parser().parse_args(["reprocess", "13f", "--skip-analytics-refresh"]).skip_analytics_refresh
+    assert parser().parse_args(["embeddings", "backfill", "periodic", "--filed-from", "2024-01-02"]).from_date == date(2024, 1, 2)
+    with pytest.raises(SystemExit):
+        parser().parse_args(["ingest", "13f"])
+
+
+def test_embedder_by_settings():
+    from ledgerloom.config import Settings
+    from ledgerloom.operators.embedding import embedder
+
+    profile = Profile(model="m", embedding_dimension=2)
+    assert isinstance(embedder(Settings(), profile), HashEmbedder)
+    asked = []
+    service = embedder(Settings(embedding_url="u", embedding_key="k"), profile, lambda *a: asked.append(a) or (200, {"data": [{"index": 0, "embedding": [1, 2]}]}))
+    assert service(["x"]) == [[1.0, 2.0]] and asked[0][0] == "u" and asked[0][2] == {"model": "m", "input": ["x"]}
+
+
+def test_enable_vectors(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    with pytest.raises(EmbeddingError):
+        enable_vectors(store, Profile(embedding_dimension=2001))
+    enable_vectors(store, Profile(model="m", embedding_dimension=2000))
+    assert [(r.profile_name, r.embedding_dimension) for r in store.read("embedding_profiles").collect()] == [("default", 2000)]
+
+
+def test_places_of_filings(spark):
+    """By date and accession number, without one task for all of them."""
+    rows = [("b", date(2024, 1, 2)), ("a", date(2024, 1, 2)), ("c", date(2024, 1, 1)), ("z", None), ("d", date(2024, 1, 3))]
+    got = {r.accession_number: r.place for r in ingest.numbered(spark.createDataFrame(rows, "accession_number string, filed_date date")).collect()}
+    assert got == {"z": 1, "c": 2, "a": 3, "b": 4, "d": 5}
