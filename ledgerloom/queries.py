@@ -210,7 +210,7 @@ def _compared(spark: SparkSession, sf_dir: str, filer: int | None = None, where:
     sides = [year_positions(spark, sf_dir, y, filer) for y in (1998, 1997)]
     if where is not None:
         sides = [s.where(where) for s in sides]
-    found = compare.compare(*sides, F.lit("1998-12-31").cast("date"), F.lit("1997-12-31").cast("date"), stage=staged)
+    found = compare.compare(*sides, F.lit("1998-12-31").cast("date"), F.lit("1997-12-31").cast("date"), **({"stage": staged} if filer is None else {}))
     return found.select(*_COMPARED)
 
 
@@ -496,7 +496,7 @@ def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(r"""SELECT page_id, nullif(trim(regexp_replace(replace(replace(replace(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g')), '') AS title FROM pages""")
 def html_title(spark: SparkSession, sf_dir: str) -> DataFrame:
     """TXT-02."""
-    return reports.page_texts(table(spark, sf_dir, "pages"), "page_id", "html").select("page_id", "title")
+    return reports.page_texts(table(spark, sf_dir, "pages"), "page_id", "html", text=False)
 
 
 

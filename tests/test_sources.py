@@ -87,9 +87,22 @@ def test_report(spark):
     assert got["c"].error and got["d"].error is None and got["d"].chunks == []
 
 
-@pytest.mark.parametrize(("raw", "scale", "want"), [("(1,234)", None, "-1234"), ("$ 5.5 %", 3, "5500"), ("—", None, None), ("-", 2, None), ("NaN", None, None), ("Infinity", None, None), ("1e3", None, "1000"), ("abc", None, None), ("9" * 40, None, None), ("", None, None), ("2024", None, "2024")])
-def test_numeric_value(raw, scale, want):
-    assert R.numeric_value(raw, scale) == (None if want is None else Decimal(want))
+def test_numeric_value(spark):
+    cases = [("(1,234)", None, "-1234"), ("$ 5.5 %", 3, "5500"), ("—", None, None), ("-", 2, None), ("NaN", None, None), ("Infinity", None, None), ("1e3", None, "1000"), ("2.5E-2", 3, "25"), ("12", -2, "0.12")]
+    cases += [("abc", None, None), ("9" * 40, None, None), ("", None, None), ("2024", None, "2024"), (" ( 7 ) ", 1, "-70"), (None, 1, None), ("5", 999, None), (".5", None, "0.5"), ("1,2.3.4", None, None)]
+    df = spark.createDataFrame([(i, r, s) for i, (r, s, _) in enumerate(cases)], "i int, raw string, scale int")
+    got = {r.i: r.v for r in df.select("i", R.numeric_value(F.col("raw"), F.col("scale")).alias("v")).collect()}
+    assert got == {i: None if want is None else Decimal(want) for i, (_, _, want) in enumerate(cases)}
+
+
+def test_reader_of_odd_markup():
+    """Unclosed and misnested elements, nested facts, repeated contexts and titles with markup."""
+    r = R.Reader().read('<title>A<b>c</b></title><p>x<ix:nonNumeric name="a:B">one <ix:nonFraction name="c">2</ix:nonFraction> three</p></ix:nonNumeric><br>y<script>no</script></i>')
+    assert r.title_text() is None and r.text() == "A\nc\nx\none\n2\nthree\ny"
+    assert [(f["concept"], f["raw_value"]) for f in r.facts] == [("a:B", "one 2 three"), ("c", "2")]
+    two = "".join(f'<context id="k"><entity></entity><entity><m:member dimension="d">late</m:member></entity><period><startdate>{d}</startdate><startdate>x</startdate></period></context>' for d in (1, 2))
+    assert R.Reader().read(two).contexts == {"k": {"id": "k", "dimensions": {}, "entity": True, "period": True, "start": "2"}}
+    assert R.Reader().read('<ix:nonnumeric name="n"/><ix:nonnumeric name="m">open').facts[1]["raw_value"] == "open"
 
 
 @settings(max_examples=300, deadline=None)
