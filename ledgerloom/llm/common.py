@@ -65,6 +65,11 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def parts_for(df: DataFrame, rows: int, times: int = 1) -> int:
+    """How many partitions `times` as many rows as `df` has are dealt to: about `rows` each, whatever the session's setting."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() * times // rows))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

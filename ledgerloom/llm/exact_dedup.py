@@ -30,8 +30,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ASCII_LOWER, mapped
+from .common import ASCII_LOWER, mapped, parts_for
 
+#: Documents that one partition of contents holds on average.
+PART_ROWS = 8192
 #: Bytes of text that one table holds before it spills.
 TABLE_BYTES = 48 << 20
 FANOUT = 16
@@ -195,7 +197,7 @@ def kept_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
 
         return _batches(grace(rows(), table_bytes), schema)
 
-    return renamed.transform(mapped, first, out).repartition("_digest").transform(mapped, last, out)
+    return renamed.transform(mapped, first, out).repartition(parts_for(docs, PART_ROWS), "_digest").transform(mapped, last, out)
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

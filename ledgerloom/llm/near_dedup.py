@@ -8,8 +8,9 @@ different fingerprints within `distance` bits:
    differ in at most d bits agree in b - d whole blocks at least, so each
    fingerprint goes to one bucket per choice of b - d blocks and no pair is
    missed. The number of blocks follows from the number of fingerprints.
-2. For every bucket a table holds each fingerprint's Hamming distances to
-   PIVOTS reference fingerprints. By the triangle inequality two fingerprints
+2. A table holds each fingerprint's Hamming distances to PIVOTS reference
+   fingerprints. It is made once, before work is dealt out, and its rows travel
+   with the fingerprints, a byte a pivot. By the triangle inequality two fingerprints
    within d bits differ by at most d in every coordinate; pairs that differ by
    more in any are discarded.
 3. Survivors are verified bit by bit.
@@ -44,15 +45,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_LOWER, mapped, saved
+from .common import ASCII_LOWER, mapped, parts_for, saved
 from .graph import components, stars
 from .wordcode import chunks, mixed, paired, word_codes
 
 PIVOTS = 16
 #: Fingerprints that one bucket holds before it is cut into chunks.
 BUCKET = 20_000
-#: Rows that a task links at once, but for one bucket.
-ROWS = 100_000
+#: Rows that a task links at once, but for one bucket, and rows that it gets.
+ROWS, PART_ROWS = 100_000, 400_000
 #: Buckets up to this size test all pairs at once.
 SMALL = 12
 #: Chance pairs per fingerprint that the choice of blocks allows for.
@@ -121,6 +122,24 @@ def distance_table(prints: np.ndarray, reference: np.ndarray) -> np.ndarray:
     return np.stack([np.bitwise_count(prints ^ r).sum(1, dtype=np.int16) for r in reference], 1)
 
 
+#: The table's rows as two longs.
+PIVOT_LONGS = ["p0", "p1"]
+
+
+def with_pivots(prints: DataFrame, lane: str = "fp") -> DataFrame:
+    """`prints` with each fingerprint's row of the pivot distance table."""
+    at = prints.columns.index(lane)
+
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reference = pivots()
+        for batch in batches:
+            table = distance_table(batch.column(at).to_numpy().view(np.uint64)[:, None], reference).astype(np.uint8).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(np.ascontiguousarray(table[:, i])) for i in range(len(PIVOT_LONGS)))], names=[*batch.schema.names, *PIVOT_LONGS])
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in prints.schema) + "".join(f", {p} bigint" for p in PIVOT_LONGS)
+    return prints.transform(mapped, measured, schema)
+
+
 def close(prints: np.ndarray, table: np.ndarray, i: np.ndarray | int, j: np.ndarray, distance: int) -> np.ndarray:
     """Which of the pairs (i, j) are within the distance: by the table first, then survivors by their bits."""
     passed = np.flatnonzero((np.abs(table[i] - table[j]) <= distance).all(-1))
@@ -128,9 +147,8 @@ def close(prints: np.ndarray, table: np.ndarray, i: np.ndarray | int, j: np.ndar
     return passed[np.bitwise_count(left ^ prints[j[passed]]).sum(1, dtype=np.int16) <= distance]
 
 
-def bucket_links(prints: np.ndarray, distance: int, reference: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def bucket_links(prints: np.ndarray, distance: int, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Row numbers of links that connect whatever pairs within the distance connect in one bucket."""
-    table = distance_table(prints, reference)
     left, a, b = np.arange(len(prints)), [], []
     while len(left) > 1:
         frontier, left = [left[0]], left[1:]
@@ -145,18 +163,17 @@ def bucket_links(prints: np.ndarray, distance: int, reference: np.ndarray) -> tu
     return (np.concatenate(a), np.concatenate(b)) if a else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
-def sorted_links(keys: np.ndarray, prints: np.ndarray, distance: int, reference: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def sorted_links(keys: np.ndarray, prints: np.ndarray, distance: int, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Row numbers of links within each run of equal keys."""
     starts = np.concatenate([[0], np.flatnonzero(np.diff(keys)) + 1])
     sizes = np.diff(np.append(starts, len(keys)))
     a, b = [], []
     for s, n in zip(starts[sizes > SMALL], sizes[sizes > SMALL], strict=True):
-        i, j = bucket_links(prints[s : s + n], distance, reference)
+        i, j = bucket_links(prints[s : s + n], distance, table[s : s + n])
         a.append(s + i)
         b.append(s + j)
     rows = np.flatnonzero(np.repeat((sizes > 1) & (sizes <= SMALL), sizes))
-    table = distance_table(prints[rows], reference)
-    prints, keys = prints[rows], keys[rows]
+    prints, keys, table = prints[rows], keys[rows], table[rows]
     for lag in range(1, SMALL):
         i = np.flatnonzero(keys[:-lag] == keys[lag:]) if len(keys) > lag else np.zeros(0, np.int64)
         if not len(i):
@@ -196,25 +213,22 @@ def _whole_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         yield np.concatenate(held)
 
 
-def _bucketed(keyed: DataFrame, lanes: list[str], distance: int, bucket: int) -> DataFrame:
-    """`keyed` (key, root, lanes) to links (child, root) between roots that pairs within the distance, sharing a key, connect."""
-    keyed = _cut(keyed, lanes, bucket)
+def links(prints: DataFrame, distance: int = 4, bucket: int = BUCKET) -> DataFrame:
+    """`prints` (fp, all different) to links (child, root) that connect what pairs within `distance` bits connect."""
+    prints = saved(with_pivots(prints.select("fp")), "pivot-table")
+    masks = [m - 2**64 if m >= 2**63 else m for m in block_masks(prints.count(), distance)]
+    keys = F.explode(F.array(*(F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m).cast("long"))) for i, m in enumerate(masks))))
+    keyed = _cut(prints.select(keys.alias("key"), "fp", *PIVOT_LONGS), ["fp"], bucket)
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reference = pivots(len(lanes))
         for rows in _whole_runs(batches):
-            a, b = sorted_links(rows[:, 0], np.ascontiguousarray(rows[:, 2:]).view(np.uint64), distance, reference)
+            table = np.ascontiguousarray(rows[:, 2:]).view(np.uint8).astype(np.int16)
+            a, b = sorted_links(rows[:, 0], np.ascontiguousarray(rows[:, 1:2]).view(np.uint64), distance, table)
             child, root = stars(rows[a, 1], rows[b, 1])
             yield pa.RecordBatch.from_arrays([pa.array(child), pa.array(root)], names=["child", "root"])
 
-    return keyed.select("key", "root", *lanes).repartition("key").sortWithinPartitions("key").transform(mapped, found, "child bigint, root bigint")
-
-
-def links(prints: DataFrame, distance: int = 4, bucket: int = BUCKET) -> DataFrame:
-    """`prints` (fp, all different) to links (child, root) that connect what pairs within `distance` bits connect."""
-    masks = [m - 2**64 if m >= 2**63 else m for m in block_masks(prints.count(), distance)]
-    keys = F.explode(F.array(*(F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m).cast("long"))) for i, m in enumerate(masks))))
-    return _bucketed(prints.select(keys.alias("key"), F.col("fp").alias("root"), "fp"), ["fp"], distance, bucket)
+    dealt = keyed.select("key", "fp", *PIVOT_LONGS).repartition(parts_for(prints, PART_ROWS, len(masks)), "key")
+    return dealt.sortWithinPartitions("key").transform(mapped, found, "child bigint, root bigint")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, distance: int = 4) -> DataFrame:
@@ -361,7 +375,7 @@ def _families(nodes: DataFrame, similarity: float, bucket: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(child), pa.array(root)], names=["child", "root"])
 
     keyed = _cut(nodes.select(F.explode("bands").alias("key"), "node", "size", *LANES), ["node"], bucket)
-    return components(keyed.select("key", "node", "size", *LANES).repartition("key").sortWithinPartitions("key").transform(mapped, found, "child bigint, root bigint"))
+    return components(keyed.select("key", "node", "size", *LANES).repartition(parts_for(nodes, PART_ROWS, BANDS), "key").sortWithinPartitions("key").transform(mapped, found, "child bigint, root bigint"))
 
 
 def set_links(sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.ndarray]:

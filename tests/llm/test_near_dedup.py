@@ -6,7 +6,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.graph import components
-from ledgerloom.llm.near_dedup import BUCKET, block_masks, bucket_links, drop_near_duplicates, drop_similar, links, near_duplicates, pivots, set_links, similar_groups, sorted_links
+from ledgerloom.llm.near_dedup import BUCKET, block_masks, bucket_links, distance_table, drop_near_duplicates, drop_similar, links, near_duplicates, pivots, set_links, similar_groups, sorted_links
 
 
 def fingerprint(text, words=4):
@@ -95,11 +95,11 @@ def test_bucket_links_equal_all_pairs():
     prints = np.array(clustered_prints(3, 200), np.uint64)[:, None]
     keys = np.repeat(np.arange(40), 5)[: len(prints)]
     for k, p in ((keys, prints), (np.zeros(len(prints), np.int64), prints)):
-        a, b = sorted_links(k, p, 4, pivots())
+        a, b = sorted_links(k, p, 4, distance_table(p, pivots()))
         want = [(i, j) for i, x in enumerate(p[:, 0]) for j, y in enumerate(p[:, 0]) if i < j and k[i] == k[j] and (int(x) ^ int(y)).bit_count() <= 4]
         items = range(len(p))
         assert roots(items, zip(a.tolist(), b.tolist(), strict=True)) == roots(items, want)
-    assert len(bucket_links(prints, 4, pivots())[0]) < len(prints)
+    assert len(bucket_links(prints, 4, distance_table(prints, pivots()))[0]) < len(prints)
 
 
 def test_components_of_paths_stars_and_rings(spark):
