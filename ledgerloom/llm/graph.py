@@ -3,6 +3,10 @@
 Each round first merges, inside every task, the links it holds into stars.
 Nothing but a count and a checksum reaches the driver; rounds are written to
 the shared folder, so no lineage grows.
+
+Defined cases: nodes are longs, any two may be linked, in any order and more
+than once; links with a null side or from a node to itself are ignored. Without
+links there are no rows.
 """
 
 from __future__ import annotations
