@@ -29,9 +29,16 @@ def first_present(*texts: Column) -> Column:
     return F.coalesce(*map(present, texts))
 
 
+#: Lower-case letters that full case folding changes further, by the rule of the language's own table.
+FOLDS = {c: c.casefold() for c in map(chr, range(0x80, 0x10000)) if c.lower() == c != c.casefold()}
+
+
 def folded(text: Column) -> Column:
-    """Lower case that also folds sharp s, for comparing names."""
-    return F.replace(F.lower(text), F.lit("ß"), F.lit("ss"))
+    """Full case folding, for comparing names: lower case, and further where a text holds letters that it changes."""
+    low = F.lower(text)
+    table = F.create_map(*(F.lit(x) for pair in FOLDS.items() for x in pair))
+    each = F.transform(F.split(low, ""), lambda c: F.coalesce(F.try_element_at(table, c), c))
+    return F.when(low.rlike(f"[{''.join(FOLDS)}]"), F.array_join(each, "")).otherwise(low)
 
 
 def security_key(issuer: Column, title: Column, cusip: Column, figi: Column) -> Column:

@@ -2,9 +2,10 @@
 
 A RESET discards what came before it, a SUPPLEMENT adds to the last RESET,
 anything else is ignored; without a RESET nothing counts. The state of a group
-therefore needs no sort: the last RESET is a maximum and the latest event that
-counts is another, so both are aggregations that combine before the shuffle,
-and a group of any size stays distributed.
+therefore needs no order of all its events: the last RESET is a maximum and the
+latest event that counts is another, so both are aggregations that combine
+before the shuffle (sorted by group within a task, as what they hold is a whole
+row), and a group of any size stays distributed.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ def effective_members(events: DataFrame, group: Sequence[str], order: Sequence[s
 
 
 def latest_row(df: DataFrame, group: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The row of each group that is last in order (WIN-02, SNK-03): an aggregation, not a sort."""
+    """The row of each group that is last in order (WIN-02, SNK-03): an aggregation, combined before its shuffle."""
     return df.groupBy(*group).agg(F.max_by(F.struct(*df.columns), F.struct(*order)).alias("_r")).select("_r.*")
 
 

@@ -132,6 +132,12 @@ def test_scalar_rules(spark):
     assert tuple(r) == ("strasse und co", "0", None, "a", "b:c", None, "plain", None, date(2024, 5, 15), True, None, None)
 
 
+def test_case_folding(spark):
+    texts = ["Straße", "ΟΔΟΣ ς", "ﬁne ﬂag", "ſtone", "ŉ ǰ ΐ", "Ꭰ ꭰ", "PLAIN", "", "İstanbul", "ẞ"]
+    got = {r.t: r.f for r in spark.createDataFrame([(t,) for t in texts], "t string").select("t", N.folded(F.col("t")).alias("f")).collect()}
+    assert got == {t: t.casefold() for t in texts}
+
+
 def test_settings(tmp_path):
     (tmp_path / ".env").write_text("# note\nLEDGERLOOM_STORE='x y'\nLEDGERLOOM_HTTP_TIMEOUT=5\nLEDGERLOOM_EMBEDDINGS_ENABLED=yes\n")
     got = load_settings({"LEDGERLOOM_HTTP_TIMEOUT": "7.5"}, tmp_path / ".env")
