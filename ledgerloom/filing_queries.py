@@ -16,8 +16,11 @@ from pyspark.sql import functions as F
 
 from .functions import normalise as N
 from .operators import compare, embedding, events, positions, upsert
+from .plans.store import Store
 from .queries import query, table
+from .scratch import scratch_path
 from .sources import artifacts, holdings_xml, index, reports, submission
+from .streaming import incremental
 
 E, C, L = F.expr, F.col, F.lit
 
@@ -190,18 +193,39 @@ def _joined(lines: Column, by: str) -> Column:
     return F.array_join(lines, by)
 
 
+def _month_indexes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An index file's text a month, with lines that are no entries."""
+    day = F.when(E("crc32(accession_number) % 2 = 0"), F.date_format("filed_date", "yyyyMMdd")).otherwise(F.date_format("filed_date", "yyyy-MM-dd"))
+    line = F.concat_ws("|", "cik", F.concat(L(" "), "company_name"), "form_type", day, F.concat("archive_path", L(" ")))
+    months = filings(spark, sf_dir).groupBy(F.date_trunc("month", "filed_date").alias("month")).agg(F.collect_list(line).alias("lines"))
+    return months.select(F.concat(L("Description: index\r\n1|2|3|4|5\r\n--------\r\n"), _joined(C("lines"), "\r\n"), L("\r\nfour|fields|are|few\r\n\r\n")).alias("text"))
+
+
 @query(f"""WITH f AS ({_FILINGS[1]}) SELECT cik, company_name, form_type, filed_date, accession_number, 'https://x/' || archive_path AS submission_url,
     'https://x/edgar/data/' || cik || '/' || accession_number AS filing_directory_url, 'https://x/edgar/data/' || cik || '/' || accession_number || '/index.json' AS index_url FROM f""")
 def index_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-06, SRC-07, SRC-08, SCL-20: indexes of a month are written out, with lines that are no entries, and read back from bytes."""
-    day = F.when(E("crc32(accession_number) % 2 = 0"), F.date_format("filed_date", "yyyyMMdd")).otherwise(F.date_format("filed_date", "yyyy-MM-dd"))
-    line = F.concat_ws("|", "cik", F.concat(L(" "), "company_name"), "form_type", day, F.concat("archive_path", L(" ")))
-    months = filings(spark, sf_dir).groupBy(F.date_trunc("month", "filed_date").alias("month")).agg(F.collect_list(line).alias("lines"))
-    text = F.concat(L("Description: index\r\n1|2|3|4|5\r\n--------\r\n"), _joined(C("lines"), "\r\n"), L("\r\nfour|fields|are|few\r\n\r\n"))
-    got = index.index_entries(months.select(index.decoded(text.cast("binary")).alias("text")), archive="https://x")
+    texts = _month_indexes(spark, sf_dir).select(index.decoded(C("text").cast("binary")).alias("text"))
+    got = index.index_entries(texts, archive="https://x")
     return got.select("cik", "company_name", "form_type", "filed_date", "accession_number", "submission_url", "filing_directory_url", "index_url")
 
 
+@query(f"WITH f AS ({_FILINGS[1]}) SELECT accession_number, cik, form_type, filed_date FROM f")
+def stream_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-01 to STR-03: indexes arrive in a folder, in two lots of which the second repeats the first; a stream parses them and upserts batches."""
+    folder = scratch_path(spark, "stream")
+    store = Store(spark, f"{folder}/store")
+
+    def apply(batch: DataFrame, number: int) -> None:
+        rest = {f.name: L(None).cast(f.dataType) for f in store.read("filings").schema if f.name not in batch.columns}
+        incremental.upserting(store, "filings", ["accession_number"])(batch.withColumns(rest), number)
+
+    for texts in (_month_indexes(spark, sf_dir).where(E("length(text) % 2 = 0")), _month_indexes(spark, sf_dir)):
+        texts.write.mode("append").option("maxRecordsPerFile", 1).text(f"{folder}/in")
+        incremental.run_available(incremental.index_stream(spark, f"{folder}/in", "https://x"), apply, f"{folder}/progress")
+    return store.read("filings").select("accession_number", "cik", "form_type", "filed_date")
+
+
 @query(f"""SELECT {_KEY.replace("{s}", "VARCHAR")} AS accession_number, o_orderdate + INTERVAL 1 SECOND * (o_orderkey % 60)::INT AS accepted, CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE 'primary_' || o_orderkey || '.xml' END AS primary_file,
     CASE WHEN o_orderpriority IN ('5-LOW', '4-NOT SPECIFIED') THEN NULL ELSE 'info table.xml' END AS table_file, CASE WHEN o_orderpriority = '5-LOW' THEN 'no XML documents' END AS problem,
     CASE WHEN o_orderkey % 2 = 0 THEN 'b_10k.htm' ELSE 'a_other.html' END AS report_file, CASE WHEN o_orderpriority = '5-LOW' THEN 1 WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 2 ELSE 3 END AS n_data, CASE WHEN o_orderpriority = '5-LOW' THEN 3 WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 4 ELSE 5 END AS n_documents FROM orders""")

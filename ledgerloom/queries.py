@@ -487,7 +487,14 @@ def vector_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select("vec_id", N.vector_literal(thousandths).alias("literal"))
 
 
-@query()
+_TITLE = r"nullif(trim(regexp_replace(replace(replace(replace(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g')), '')"
+_TAGLESS = r"regexp_replace(regexp_replace(regexp_replace(html, '(?s)<script.*?</script>|<style.*?</style>', chr(10), 'g'), '(?s)<!--.*?-->', chr(10), 'g'), '<[^>]*>', chr(10), 'g')"
+for _entity, _char in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
+    _TAGLESS = f"replace({_TAGLESS}, '{_entity}', '{_char}')"
+
+
+@query(rf"""WITH t AS (SELECT page_id, {_TITLE} AS title, array_to_string([x FOR x IN [trim(regexp_replace(y, '\s+', ' ', 'g')) FOR y IN string_split({_TAGLESS}, chr(10))] IF x <> ''], chr(10)) AS txt FROM pages)
+    SELECT page_id, title, sha256(txt) AS text_hash, length(txt)::INT AS n_chars FROM t""")
 def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """TXT-01, TXT-02."""
     return reports.page_texts(table(spark, sf_dir, "pages"), "page_id", "html").select("page_id", "title", F.sha2("text", 256).alias("text_hash"), F.length("text").alias("n_chars"))

@@ -5,18 +5,22 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """`df` written once and read back, for what several branches of a plan read: nothing stays in executors' memory."""
-    spark = df.sparkSession
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder; a local one is made only for local sessions that name none."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
         named = tempfile.mkdtemp(prefix="ledgerloom-")
         spark.sparkContext.setCheckpointDir(named)
-    path = f"{named.rstrip('/')}/staged-{uuid.uuid4().hex}"
+    return f"{named.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """`df` written once and read back, for what several branches of a plan read: nothing stays in executors' memory."""
+    path = scratch_path(df.sparkSession, "staged")
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
