@@ -58,13 +58,15 @@ def compare(current: DataFrame, prior: DataFrame, current_period: Column, prior_
 
     Both have the columns of positions and accession_number. `stage` may persist or write what several branches read.
     """
-    now, then = stage(_side(_prepared(current), "c")), stage(_side(_prepared(prior), "p"))
+    now, then = (_side(_prepared(df), side).withColumn(f"{side}_held", F.lit(True)) for df, side in ((current, "c"), (prior, "p")))
 
     def on(columns: list[str]) -> Column:
         return _all([F.col(f"c_{c}") == F.col(f"p_{c}") for c in columns])
 
-    exact = now.join(then, on(KEY))
-    c_left, p_left = stage(now.join(then, on(KEY), "left_anti")), stage(then.join(now, on(KEY), "left_anti"))
+    # One join gives the exact matches and what both sides have left.
+    joined = stage(now.join(then, on(KEY), "full_outer"))
+    exact = joined.where("c_held AND p_held")
+    c_left, p_left = joined.where("p_held IS NULL").select(*now.columns), joined.where("c_held IS NULL").select(*then.columns)
     cleared = KEY if strict_keys else KEY[:2]
 
     def rest(df: DataFrame, matched: DataFrame, side: str) -> DataFrame:
@@ -73,7 +75,7 @@ def compare(current: DataFrame, prior: DataFrame, current_period: Column, prior_
 
     kinds = ["cik", "put_call_key", "shares_principal_type_key"]
     by_ident = stage(_single(c_left.join(p_left, on([*kinds, "ident"]))))
-    c_rest, p_rest = stage(rest(c_left, by_ident, "c")), stage(rest(p_left, by_ident, "p"))
+    c_rest, p_rest = rest(c_left, by_ident, "c"), rest(p_left, by_ident, "p")
 
     c_value, p_value = F.col("c_total_value_usd"), F.col("p_total_value_usd")
     alike = (F.col("p_issuer_name") == F.col("c_issuer_name")) | (F.col("p_token") == F.col("c_token"))
