@@ -1,10 +1,10 @@
 """Token ids of whole documents in ORC files, in ascending document order.
 
-Layout: documents are encoded where they are read; their ids, two bytes each
-where the vocabulary allows it, go to a scratch table, so that no encoding is
-repeated. That table is range-partitioned and sorted by id, and each task
-writes one file. A file's rows hold the document id, the id count, where the
-document starts within its file, the file's number and the ids as 32-bit
+Layout: quantiles of the ids give ranges, found from the ids alone. Documents
+are encoded where they are read, each gets the number of its range, and only
+ids travel, two bytes each where the vocabulary allows it. A range is sorted by
+id, and each task writes one file. A file's rows hold the document id, the id
+count, where the document starts within its file, the file's number and the ids as 32-bit
 integers, which ORC stores with run-length encoding. Every stripe carries row
 indexes and a Bloom filter on the document id, so a reader prunes stripes by
 range or by key, and stripes are read in parallel. The global start of a
@@ -27,49 +27,75 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import mapped, saved, scratch_path
+from .common import mapped, parts_for, scratch_path
 from .tokenizing import encoded, ids_crc32, narrow, wide
 
 STORED = "doc_id bigint, n_tokens bigint, file_start bigint, file_no int, ids array<int>"
-#: Ids in one batch that a task hands back, and ids that one file holds on average.
-BATCH_IDS, FILE_IDS = 1 << 20, 1 << 22
+#: Ids in one batch that a task hands back, and documents that one range holds on average.
+BATCH_IDS, RANGE_DOCS = 1 << 20, 8192
+#: Stands for a null id: they sort first.
+_NULL = -(2**63)
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", files: int | None = None) -> None:
-    """Encode `docs` and write the ORC files to `path`. `files`: how many ranges; by default they follow the number of ids."""
+def _bounds(keys: DataFrame, ranges: int) -> list[int]:
+    """Ends of all ranges but the last; an id with more rows than a range ends several of them."""
+    if ranges < 2:
+        return []
+    shares = F.array(*(F.lit(i / ranges) for i in range(1, ranges)))
+    return keys.agg(F.percentile_approx("doc_id", shares, max(10_000, 10 * ranges)).alias("b")).first()["b"] or []
+
+
+def _ranges(ids: np.ndarray, crcs: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The range of each document: by id, and where an id fills several ranges, by checksum among those."""
+    low, high = np.searchsorted(bounds, ids, "left"), np.searchsorted(bounds, ids, "right")
+    return (low + (((high - low + 1) * crcs) >> 32)).astype(np.int32)
+
+
+def _dealing_keys(spark: SparkSession, ranges: int) -> list[int]:
+    """For each range a number that Spark's hash partitioning deals to the task of that number."""
+    place = F.pmod(F.hash(F.col("id").cast("int")), F.lit(ranges))
+    found = {r["place"]: r["key"] for r in spark.range(ranges * 40).groupBy(place.alias("place")).agg(F.min("id").cast("int").alias("key")).collect()}
+    return [found.get(r, r) for r in range(ranges)]
+
+
+def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", ranges: int | None = None) -> None:
+    """Encode `docs` and write the ORC files to `path`. `ranges`: how many; by default they follow the number of documents."""
+    spark = docs.sparkSession
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    keys = slim.select(F.coalesce("doc_id", F.lit(_NULL)).alias("doc_id"))
+    ranges = ranges or parts_for(keys, RANGE_DOCS)
+    bounds, deal = np.array(_bounds(keys, ranges), np.int64), np.array(_dealing_keys(spark, ranges), np.int32)
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, len(batch), 512):
                 part = batch.slice(at, 512)
                 ids = list(encoded(tokenizer_path, part.column(1).cast(pa.binary()).to_pylist(), end_id))
-                crcs, counts = map(ids_crc32, ids), map(len, ids)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counts, pa.int32()), pa.array(crcs, pa.int64()), pa.array(map(narrow, ids), pa.binary())], names=["doc_id", "n", "crc", "ids"])
+                crcs = np.fromiter(map(ids_crc32, ids), np.int64, len(ids))
+                own = _ranges(part.column(0).fill_null(_NULL).to_numpy(), crcs, bounds)
+                yield pa.RecordBatch.from_arrays([pa.array(deal[own]), pa.array(own), part.column(0), pa.array(map(len, ids), pa.int32()), pa.array(crcs), pa.array(map(narrow, ids), pa.binary())], names=["deal", "range_no", "doc_id", "n", "crc", "ids"])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        number, start = TaskContext.get().partitionId(), 0
+        range_no, start = None, 0
         for got in batches:
-            counts = np.asarray(got.column(1).to_numpy(), np.int64)
+            own, counts = got.column(0).to_numpy(), np.asarray(got.column(2).to_numpy(), np.int64)
             ends = np.cumsum(counts)
             first = 0
             while first < len(got):
-                last = max(first + 1, int(np.searchsorted(ends, ends[first] - counts[first] + BATCH_IDS, side="right")))
+                if own[first] != range_no:
+                    range_no, start = own[first], 0
+                last = min(int(np.searchsorted(own, range_no, "right")), max(first + 1, int(np.searchsorted(ends, ends[first] - counts[first] + BATCH_IDS, side="right"))))
                 offsets = np.concatenate([[0], ends[first:last] - ends[first] + counts[first]])
-                ids = np.concatenate([wide(x.as_buffer()) for x in got.column(2)[first:last]])
+                ids = np.concatenate([wide(x.as_buffer()) for x in got.column(3)[first:last]])
                 lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids.view(np.int32)))
-                yield pa.RecordBatch.from_arrays([got.column(0)[first:last], pa.array(counts[first:last]), pa.array(start + offsets[:-1]), pa.array([number] * (last - first), pa.int32()), lists], names=["doc_id", "n_tokens", "file_start", "file_no", "ids"])
+                yield pa.RecordBatch.from_arrays([got.column(1)[first:last], pa.array(counts[first:last]), pa.array(start + offsets[:-1]), pa.array(own[first:last]), lists], names=["doc_id", "n_tokens", "file_start", "file_no", "ids"])
                 start += int(offsets[-1])
                 first = last
 
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    held = saved(slim.transform(mapped, coded, "doc_id bigint, n int, crc bigint, ids binary"), "encoded")
-    total = held.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    ranged = held.repartitionByRange(files or max(1, -(-total // FILE_IDS)), "doc_id", "crc")
+    dealt = slim.transform(mapped, coded, "deal int, range_no int, doc_id bigint, n int, crc bigint, ids binary").repartition(ranges, "deal")
     (
-        ranged.sortWithinPartitions("doc_id", "crc")
-        .select("doc_id", "n", "ids")
+        dealt.sortWithinPartitions("range_no", "doc_id", "crc")
+        .select("range_no", "doc_id", "n", "ids")
         .transform(mapped, rows, STORED)
         .write.option("compression", "zstd")
         .option("orc.create.index", "true")

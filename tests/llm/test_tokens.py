@@ -10,7 +10,8 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from ledgerloom.llm.packing import first_fit_decreasing, pack, packed
-from ledgerloom.llm.token_store import read_tokens, token_store, write_tokens
+from ledgerloom.llm.common import scratch_path
+from ledgerloom.llm.token_store import read_tokens, token_digest, token_store, write_tokens
 from ledgerloom.llm.tokenizing import TextEncoder
 
 FILES = ("word_bpe_49k.json", "byte_bpe_50k.json")
@@ -75,7 +76,7 @@ def test_store(spark, sf_dir, texts, hard, empty):
 
 def test_store_prunes_and_keeps_ids(spark, sf_dir, texts, tmp_path):
     path, out = public_tokenizers.path("byte_bpe_50k.json"), f"file://{tmp_path}/tokens"
-    write_tokens(spark.read.parquet(f"{sf_dir}/documents.parquet"), out, path, files=3)
+    write_tokens(spark.read.parquet(f"{sf_dir}/documents.parquet"), out, path, ranges=3)
     stored = read_tokens(spark, out)
     assert stored.where("doc_id = 7").first().ids == plain_ids(path, texts[7], 0)
     import pyarrow.orc as orc
@@ -91,6 +92,19 @@ def test_store_prunes_and_keeps_ids(spark, sf_dir, texts, tmp_path):
     assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:], strict=False))
 
 
+def test_an_id_may_fill_several_ranges(spark):
+    """Rows of one id, and of none, are dealt to several tasks and still stored in order of id and checksum."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    docs = [(5, f"row {i}") for i in range(60)] + [(None, f"none {i}") for i in range(20)] + [(i, f"text {i}") for i in range(10)]
+    for ranges in (1, 4, 9):
+        out = f"{scratch_path(spark, 'several')}"
+        write_tokens(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3), out, path, ranges=ranges)
+        stored = read_tokens(spark, out)
+        check_store(token_digest(stored), docs)
+        assert stored.select("doc_id").where("doc_id = 5").count() == 61
+        assert len({r.file_no for r in spark.read.orc(out).where("doc_id = 5").collect()}) >= min(ranges, 2)
+
+
 def check_pieces(got, docs, capacity=2048, path=None):
     path = path or public_tokenizers.path("word_bpe_49k.json")
     want = sorted((key is not None, key or 0, plain_ids(path, text, 1)) for key, text in docs)
