@@ -42,7 +42,8 @@ def search_index(index: DataFrame, words: Sequence[str], n_docs: int, limit: int
     df = F.broadcast(rows.groupBy("token").agg(F.count("*").alias("df")))  # one row per search word
     weight = F.sum(F.col("tf") / F.col("length") * F.log(F.lit(float(n_docs)) / F.col("df") + 1))
     found = rows.join(df, "token").groupBy("id").agg(F.count("*").alias("n"), weight.alias("rank")).where(F.col("n") == len(wanted)).select("id", "rank")
-    return found.orderBy(F.desc("rank"), "id").limit(limit) if limit else found
+    ranked = found.orderBy(F.desc("rank"), "id")
+    return ranked.limit(limit) if limit else ranked
 
 
 def dot(a: Column, b: Column) -> Column:

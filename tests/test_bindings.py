@@ -44,7 +44,11 @@ def test_filters_reach_the_scan(spark, sf_dir):
 
 
 def test_the_filer_reaches_the_scan(spark, sf_dir):
-    plan = Q.year_positions(spark, sf_dir, 1998, 5)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.maxMetadataStringLength", 1000)
+    try:
+        plan = Q.year_positions(spark, sf_dir, 1998, 5)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert "EqualTo(l_suppkey,5)" in plan
 
 

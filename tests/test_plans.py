@@ -70,7 +70,7 @@ def test_ingest_and_refresh(spark, world):
     assert store.read("thirteenf_holdings").count() == 2
     assert str(store.read("filings").first().acceptance_datetime) == "2024-05-15 12:30:45"
     positions = store.read("filer_positions").collect()
-    assert {(p.issuer_name, p.put_call_key, int(p.total_value_usd)) for p in positions} == {("APPLE INC", "NONE", 150), ("NVIDIA CORP", "PUT", 300)}
+    assert {(p.issuer_name, p.put_call_key, int(p.total_value_usd)) for p in positions} == {("APPLE INC", "NONE", 150), ("NVIDIA CORP", "PUT", 50)}
     assert ingest.load_checkpoint(store, ingest.HOLDINGS, "daily").accession_number == ACCESSION
     register_views(store)
     register_top_positions(spark)
