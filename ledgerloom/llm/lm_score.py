@@ -184,8 +184,8 @@ def _kinds(number: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarra
 # ---- clustering ----------------------------------------------------------------------------------------------------------
 
 
-def _contexts(texts: DataFrame, label: np.ndarray, clustered: int, kinds: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """How often each clustered word follows and precedes each class, other than itself; itself; and class bigrams of the head.
+def _contexts(texts: DataFrame, label: np.ndarray, clustered: int, kinds: int, tail: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """How often each clustered word follows and precedes each class, other than itself; itself; and class bigrams, with or without those of words outside the head (`tail`).
 
     `label`: classes by number, then that of words outside the head. Over all of `texts` (short, more).
     """
@@ -198,7 +198,8 @@ def _contexts(texts: DataFrame, label: np.ndarray, clustered: int, kinds: int) -
         for _, number, _ in _parts(batches):
             kind, before = _kinds(number, label)
             left = np.concatenate([[0], number[:-1]])
-            pairs += np.bincount((before * kinds + kind)[(left >= 0) & (number >= 0)], minlength=kinds * kinds)
+            counted_ = slice(None) if tail else (left >= 0) & (number >= 0)
+            pairs += np.bincount((before * kinds + kind)[counted_], minlength=kinds * kinds)
             if clustered:
                 mine = np.flatnonzero((number > 0) & (number <= clustered))
                 word, after = (number[mine].astype(np.int64) - 1) * width, np.append(kind[1:], label[0])[mine]
@@ -505,7 +506,7 @@ def lm_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_co
         tail = tail.withColumn("kind", F.lit(other))
     resolved = _resolved(texts, tail, label)
 
-    _, _, pairs = _contexts(training, label, 0, kinds + 2)
+    _, _, pairs = _contexts(training, label, 0, kinds + 2, tail=False)
     pairs = pairs + _cell_counts(resolved.where("NOT held_out"), kinds + 2)
     mass = np.bincount(label[:-1], np.concatenate([[ends], n]) + 0.5, kinds + 2)
     types = np.bincount(label[:-1], minlength=kinds + 2)
