@@ -70,6 +70,16 @@ def parts_for(df: DataFrame, rows: int, times: int = 1) -> int:
     return max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() * times // rows))
 
 
+#: A core that would get fewer rows than this on average may get none, as readers deal out whole row groups.
+FEW_ROWS = 4096
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """`df` over all cores: a table too small for its row groups to occupy them is dealt out row by row, any other stays as it is read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.count() < FEW_ROWS * cores else df
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -101,8 +101,40 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(documents(spark, sf_dir))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .token_counts import token_counts
+
+    return token_counts(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"), limit=1024)
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with faults put in by a checksum of conversation and turn: rows dropped, emptied, cut, repeated or given to the user."""
+    known = rows.select("conv_id", "turn", *(F.coalesce(c, F.lit(" ")).alias(c) for c in ("role", "text")))
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), F.lit(" ")), F.lit(":"), F.coalesce(F.col("turn").cast("string"), F.lit(" ")))
+    drawn = known.withColumn("_damage", F.crc32(key.cast("binary")) % 20).where("_damage <> 0")
+    text = F.when(F.col("_damage") == 1, "").when(F.col("_damage") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    twice = F.explode(F.when(F.col("_damage") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    return drawn.select("conv_id", "turn", F.when(F.col("_damage") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"), twice.alias("_copy")).drop("_copy")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .conversations import EMPTY_SHA256, repair_digests, turns_of
+
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    found = repair_digests(turns_of(damaged(rows)))
+    all_ids = rows.select("conv_id").distinct()
+    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return all_ids.join(found, F.col("conv_id").eqNullSafe(F.col("conv")), "left").select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.lit(EMPTY_SHA256)).alias("repaired_sha256"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .whitening import whiten
+
+    return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), k=4)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_mixing, op3_licenses, op4_lm_score, op5_packing, op6_token_store, op7_ann, op8_pii, op9_near_dedup, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_toxicity, op2_mixing, op3_licenses, op4_lm_score, op5_packing, op6_token_store, op7_ann, op8_pii, op9_near_dedup, op10_exact_dedup, op11_token_counts, op12_conversation_repair, op13_whitening)}
 
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

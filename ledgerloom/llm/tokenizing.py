@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import json
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 
@@ -141,17 +141,14 @@ class TextEncoder:
         line = (raw == 0x0A) & shown & _VISIBLE[after]
         return stop | word | line | np.roll(line, 1)
 
-    def encode_many(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of all texts, one after another, and how many each text has."""
-        if not (self.led or self.dropped):
-            each = [self.tokenizer.encode((x or b"").decode("utf-8"), add_special_tokens=False).ids for x in texts]
-            return np.array([i for ids in each for i in ids], np.uint32), np.array([len(ids) for ids in each], np.int64)
+    def _pieces(self, texts: list[bytes | None]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+        """All texts joined, where each piece begins, its size, and the number of its text."""
         data = b"\0".join(x or b"" for x in texts)
         if self.dropped:
             data = data.translate(ASCII_LOWER)
         lengths = np.fromiter((len(x or b"") for x in texts), np.int64, len(texts))
         if not data:
-            return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
+            return data, *(np.zeros(0, np.int64) for _ in range(3))
         raw = np.frombuffer(data, np.uint8)
         begins = np.cumsum(lengths + 1) - lengths - 1
         edge = self._cuts(raw)
@@ -168,17 +165,49 @@ class TextEncoder:
         if self.dropped:
             real &= ~((sizes == 1) & _SPACE[raw[starts]])
         starts, sizes = starts[real], sizes[real]
+        return data, starts, sizes, np.searchsorted(begins, starts, side="right") - 1
+
+    def _library_ids(self, texts: list[bytes | None]) -> list[list[int]]:
+        return [self.tokenizer.encode((x or b"").decode("utf-8"), add_special_tokens=False).ids for x in texts]
+
+    def encode_many(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of all texts, one after another, and how many each text has."""
+        if not (self.led or self.dropped):
+            each = self._library_ids(texts)
+            return np.array([i for ids in each for i in ids], np.uint32), np.array([len(ids) for ids in each], np.int64)
+        data, starts, sizes, of = self._pieces(texts)
         slots = self._slots(data, starts, sizes)
         n, from_ = self.table.size[slots], self.table.first[slots]
         ends = np.cumsum(n, dtype=np.int64)
         total = int(ends[-1]) if len(ends) else 0
         at = np.arange(total) + np.repeat(from_ - (ends - n), n)
-        of = np.searchsorted(begins, starts, side="right") - 1
         return self.table.pool[at], np.bincount(of, n, len(texts)).astype(np.int64)
 
+    def count_many(self, texts: list[bytes | None]) -> np.ndarray:
+        """How many ids each text has; the ids themselves are not gathered."""
+        if not (self.led or self.dropped):
+            return np.array([len(ids) for ids in self._library_ids(texts)], np.int64)
+        data, starts, sizes, of = self._pieces(texts)
+        return np.bincount(of, self.table.size[self._slots(data, starts, sizes)], len(texts)).astype(np.int64)
+
+    def split(self, text: bytes, size: int) -> Iterator[bytes]:
+        """`text` in parts of about `size` bytes, cut where a piece may begin; a stretch without such a place stays whole."""
+        raw, at = np.frombuffer(text, np.uint8), 0
+        while (self.led or self.dropped) and len(raw) - at > size:
+            width, cut = size, 0
+            while not cut:
+                cuts = np.flatnonzero(self._cuts(raw[at : at + width])[8:-8])  # its ends look around the corner
+                cut = at + 8 + int(cuts[-1]) if len(cuts) else len(raw) if at + width >= len(raw) else 0
+                width *= 2
+            yield text[at:cut]
+            at = cut
+        yield text[at:]
+
     def _slots(self, data: bytes, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Where the table holds each piece, which it does by then."""
         table = self.table
+        if not len(starts):
+            return np.zeros(0, np.int64)
         if table.held > PIECES or table.used > POOL:
             table.clear()
         codes = piece_codes(data, starts, sizes)

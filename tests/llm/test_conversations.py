@@ -1,0 +1,201 @@
+import hashlib
+import itertools
+import re
+import zlib
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerloom.llm import conversations as C
+from ledgerloom.llm import queries
+
+GRAMMAR = re.compile(r"(s?(ua)+)?")
+BLANKS = "\x20\x09\x0a\x0b\x0c\x0d"
+
+
+def faults(rows):
+    seen, out = set(), []
+    for role, text in rows:
+        bare = text.rstrip(BLANKS)
+        out.append("blank" if not bare else "duplicate" if (role, text) in seen else "truncated" if bare[-1] not in ".!?" else "")
+        seen.add((role, text))
+    return out
+
+
+def exhaustive(rows):
+    """(cost, audit, repaired rows), from all ways to edit with two insertions at most in each gap."""
+    kinds, best = faults(rows), None
+    inserts = [[], *([r] for r in ("user", "assistant")), *map(list, itertools.product(("user", "assistant"), repeat=2))]
+
+    def walk(i, cost, audit, out):
+        nonlocal best
+        if best and cost > best[0]:
+            return
+        for put in inserts:
+            c, a, o = cost + 3 * len(put), audit + "I" * len(put), out + [(r, "") for r in put]
+            if i == len(rows):
+                if GRAMMAR.fullmatch("".join(r[:1] or "?" for r, _ in o)) and (best is None or (c, a) < best[:2]):
+                    best = (c, a, o)
+                continue
+            role, text = rows[i]
+            walk(i + 1, c + 4, a + "D", o)
+            if kinds[i] not in ("blank", "duplicate"):
+                more = 3 * (kinds[i] == "truncated")
+                walk(i + 1, c + more, a + "K", o + [(role, text)])
+                for other in ("user", "assistant"):
+                    walk(i + 1, c + 3 + more, a + "R", o + [(other, text)])
+
+    walk(0, 0, "", [])
+    return best
+
+
+def shortest(rows):
+    """The same by Dijkstra over (rows used, grammar state): quick enough for long conversations."""
+    import heapq
+
+    kinds = faults(rows)
+    to = {"": "u", "s": "u", "u": "a", "a": "u"}
+    heap, done = [(0, "", 0, "", ())], set()
+    while heap:
+        cost, audit, i, state, out = heapq.heappop(heap)
+        if i == len(rows) and state in ("", "a"):
+            return cost, audit, out
+        if (i, state) in done:
+            continue
+        done.add((i, state))
+        nxt = to[state]
+        name = {"u": "user", "a": "assistant"}[nxt]
+        heapq.heappush(heap, (cost + 3, audit + "I", i, nxt, (*out, (name, ""))))
+        if i < len(rows):
+            role, text = rows[i]
+            heapq.heappush(heap, (cost + 4, audit + "D", i + 1, state, out))
+            if kinds[i] not in ("blank", "duplicate"):
+                more = 3 * (kinds[i] == "truncated")
+                heapq.heappush(heap, (cost + 3 + more, audit + "R", i + 1, nxt, (*out, (name, text))))
+                if role[:1] == nxt or (role[:1] == "s" and state == ""):
+                    heapq.heappush(heap, (cost + more, audit + "K", i + 1, role[:1], (*out, (role, text))))
+    raise AssertionError
+
+
+def expected(rows):
+    """Contract's row of one conversation; rows are (turn, role, text), in order."""
+    kinds, turns = faults([r[1:] for r in rows]), [t for t, *_ in rows if t is not None]
+    cost, audit, out = shortest([r[1:] for r in rows])
+    return {
+        "gaps": max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0,
+        **{k: kinds.count(k) for k in ("blank", "duplicate", "truncated")},
+        "illegal": sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in itertools.pairwise(rows)),
+        "cost": cost,
+        "audit": audit,
+        "repaired_sha256": hashlib.sha256("\n".join(f"{r}:{t}" for r, t in out).encode()).hexdigest(),
+    }
+
+
+def damage(rows):
+    for conv, turn, role, text in rows:
+        role, text = (" " if x is None else x for x in (role, text))
+        h = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        if h == 0:
+            continue
+        text = "" if h == 1 else re.sub("[.!?]", "", text) if h == 2 else text
+        role = "user" if h == 4 else role
+        yield from [(conv, turn, role, text)] * (2 if h == 3 else 1)
+
+
+def by_conversation(rows):
+    found = defaultdict(list)
+    for conv, turn, role, text in rows:
+        found[conv].append((turn, role, text))
+    key = lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), hashlib.md5(r[2].encode()).digest())
+    return {conv: sorted(some, key=key) for conv, some in found.items()}
+
+
+def got(df, key="conv"):
+    return {r[key]: {k: v for k, v in r.asDict().items() if k != key} for r in df.collect()}
+
+
+TEXTS = ["Fine.", "Cut", "", "Good!"]
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3])
+def test_the_search_used_here_is_exhaustive(n):
+    """Dijkstra, against which the operator is held, equals trying everything."""
+    options = list(itertools.product(["system", "user", "assistant", "tool"], ["Fine.", "Cut", ""]))
+    for i, rows in enumerate(itertools.product(options, repeat=n)):
+        if n == 3 and i % 37:
+            continue
+        assert shortest(list(rows))[:2] == exhaustive(list(rows))[:2], rows
+
+
+def test_all_short_conversations(spark):
+    options = list(itertools.product(["system", "user", "assistant", "x"], ["Fine.", "Cut", ""]))
+    rows, conv = [], 0
+    for n in (1, 2, 3):
+        for some in itertools.product(options, repeat=n):
+            rows += [(conv, i, *r) for i, r in enumerate(some)]
+            conv += 1
+    found = got(C.repair_digests(C.turns_of(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string"))))
+    want = {c: expected(r) for c, r in by_conversation(rows).items()}
+    assert found == want
+
+
+def test_long_conversations_span_tasks(spark, monkeypatch):
+    """A conversation that fills most of the table, with repeats, gaps, ties and null turns, dealt to many tasks."""
+    import random
+
+    draw = random.Random(5)
+    rows = [(7, draw.choice([None, *range(3000)]), draw.choice(["user", "assistant", "assistant", "system", "tool"]), f"{draw.choice(['word', 'text'])} {draw.randrange(900)}{draw.choice(['.', '', '?'])}") for _ in range(2500)]
+    rows += [(7, 50, "user", "the same.")] * 700
+    rows += [(c, t, draw.choice(["user", "assistant"]), f"{c} {t}.") for c in range(20, 60) for t in range(6)]
+    rows += [(None, 1, "user", "no id"), (None, None, None, None)]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(5)
+    monkeypatch.setattr(C, "RANGE_ROWS", 300)
+    found = got(C.repair_digests(C.turns_of(df)))
+    clean = [(c, t, " " if r is None else r, " " if x is None else x) for c, t, r, x in rows]
+    assert found == {c: expected(r) for c, r in by_conversation(clean).items()}
+
+
+def test_repaired_rows_follow_the_grammar(spark, sf_dir):
+    turns = C.turns_of(queries.damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
+    audits = C.diagnosed(turns).cache()
+    out = defaultdict(list)
+    for r in C.repaired(turns, audits, 3).collect():
+        out[r.conv].append((r.place, r.role[:1], r.edit))
+    assert out
+    for some in out.values():
+        assert [p for p, *_ in sorted(some)] == list(range(len(some)))
+        assert GRAMMAR.fullmatch("".join(r for _, r, _ in sorted(some)))
+    for r in audits.collect():
+        assert [e for *_, e in sorted(out.get(r.conv, []))] == [e for e in r.audit if e != "D"]
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_query_equals_brute_force(spark, sf):
+    folder = f"/root/testdata/{sf}"
+    rows = [tuple(r) for r in spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    want = {c: expected(r) for c, r in by_conversation(damage(rows)).items()}
+    nothing = expected([])
+    found = got(queries.op12_conversation_repair(spark, folder), "conv_id")
+    assert found == {c: want.get(c, nothing) for c in {r[0] for r in rows}}
+
+
+def test_odd_rows(spark, tmp_path):
+    rows = [(None, None, None, None), (1, None, "user", "x" * 300_000), (1, 3, "", "\x85."), (2, -4, "system", "a.\x0b"), (2, 9, "User", "b!"), (2, 9, "User", "b!"), (3, 0, "s", None)]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    clashing = df.withColumns({n: F.lit(1) for n in ("conv", "audit", "digest", "kind", "_damage", "_first", "part", "at", "sha256")})
+    clashing.write.parquet(f"{tmp_path}/conversations.parquet")
+    want = {c: expected(r) for c, r in by_conversation(damage(rows)).items()}
+    nothing = expected([])
+    found = got(queries.op12_conversation_repair(spark, f"file://{tmp_path}"), "conv_id")
+    assert found == {c: want.get(c, nothing) for c in {r[0] for r in rows}}
+    df.limit(0).write.parquet(f"{tmp_path}/none/conversations.parquet")
+    assert queries.op12_conversation_repair(spark, f"file://{tmp_path}/none").collect() == []
+
+
+def test_layers_join_as_they_are_solved():
+    """Any cut of any row of kinds gives the same layer."""
+    for kinds in itertools.product([0, 4, 8, 12, 5, 7, 11], repeat=4):
+        whole = C.solved(bytes(kinds), 0)
+        for cut in (1, 2, 3):
+            assert C.joined(C.solved(bytes(kinds[:cut]), 0), [C.solved(bytes(kinds[cut:]), e) for e in range(4)]) == whole
