@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 
 from .functions import normalise as N
 from .operators import compare, embedding, events, positions, upsert
+from .plans.refresh import refresh_views
 from .plans.store import Store
 from .queries import query, table
+from .schemas import ddl
 from .scratch import scratch_path
 from .sources import artifacts, holdings_xml, index, reports, submission
 from .streaming import incremental
@@ -193,11 +195,11 @@ def _joined(lines: Column, by: str) -> Column:
     return F.array_join(lines, by)
 
 
-def _month_indexes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An index file's text a month, with lines that are no entries."""
+def _month_indexes(spark: SparkSession, sf_dir: str, some: Column | bool = True) -> DataFrame:
+    """An index file's text a month, of some filings, with lines that are no entries."""
     day = F.when(E("crc32(accession_number) % 2 = 0"), F.date_format("filed_date", "yyyyMMdd")).otherwise(F.date_format("filed_date", "yyyy-MM-dd"))
     line = F.concat_ws("|", "cik", F.concat(L(" "), "company_name"), "form_type", day, F.concat("archive_path", L(" ")))
-    months = filings(spark, sf_dir).groupBy(F.date_trunc("month", "filed_date").alias("month")).agg(F.collect_list(line).alias("lines"))
+    months = filings(spark, sf_dir).where(L(some) if some is True else some).groupBy(F.date_trunc("month", "filed_date").alias("month")).agg(F.collect_list(line).alias("lines"))
     return months.select(F.concat(L("Description: index\r\n1|2|3|4|5\r\n--------\r\n"), _joined(C("lines"), "\r\n"), L("\r\nfour|fields|are|few\r\n\r\n")).alias("text"))
 
 
@@ -210,20 +212,63 @@ def index_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("cik", "company_name", "form_type", "filed_date", "accession_number", "submission_url", "filing_directory_url", "index_url")
 
 
-@query(f"WITH f AS ({_FILINGS[1]}) SELECT accession_number, cik, form_type, filed_date FROM f")
+def _streamed(spark: SparkSession, sf_dir: str, folder: str, lots: list[Column | bool], apply) -> None:
+    """Index files of entries arrive in `folder`, lot by lot; a stream parses them and goes on where it stopped."""
+    for lot in lots:
+        _month_indexes(spark, sf_dir, lot).write.mode("append").option("maxRecordsPerFile", 1).text(f"{folder}/in")
+        incremental.run_available(incremental.index_stream(spark, f"{folder}/in", "https://x"), apply, f"{folder}/progress")
+
+
+def _filled(batch: DataFrame, name: str) -> DataFrame:
+    """`batch` with the columns of a stored table, null where it has none."""
+    schema = batch.sparkSession.createDataFrame([], ddl(name)).schema
+    return batch.select(*((C(f.name) if f.name in batch.columns else L(None)).cast(f.dataType).alias(f.name) for f in schema))
+
+
+@query(f"WITH f AS ({_FILINGS[1]}) SELECT accession_number, cik, company_name, form_type, filed_date FROM f")
 def stream_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STR-01 to STR-03: indexes arrive in a folder, in two lots of which the second repeats the first; a stream parses them and upserts batches."""
+    """STR-01, STR-03: a run has stored half of the filings under wrong names; a stream then brings all of them in two lots, of which the second repeats the first."""
     folder = scratch_path(spark, "stream")
     store = Store(spark, f"{folder}/store")
+    store.migrate()
+    run = filings(spark, sf_dir).where("crc32(accession_number) % 2 = 0").withColumns({"company_name": L("wrong"), "ingest_seq": L(upsert.clock())})
+    store.upsert("filings", _filled(run, "filings"))
+    put = incremental.upserting(store, "filings", ["accession_number"])
+    _streamed(spark, sf_dir, folder, [C("filed_date") < "1995-01-01", True], lambda batch, number: put(_filled(batch, "filings"), number))
+    return store.read("filings").select("accession_number", "cik", "company_name", "form_type", "filed_date")
+
+
+@query(f"""WITH f AS ({_FILINGS[1]}), m AS (SELECT max(filed_date) - INTERVAL 7 DAY AS bound FROM f WHERE filed_date < DATE '1995-03-05'),
+    l AS (SELECT filed_date, filed_date < DATE '1995-03-05' OR filed_date >= bound AS kept, filed_date BETWEEN DATE '1995-02-20' AND DATE '1995-03-04' AND filed_date < bound AS late FROM f, m WHERE filed_date < DATE '1995-03-05' OR filed_date >= DATE '1995-02-20')
+    SELECT filed_date, count(*) FILTER (WHERE kept) AS n_kept, count(*) FILTER (WHERE late) AS n_late FROM l GROUP BY filed_date""")
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-02: a second lot begins before the first one ended; entries up to seven days behind are stored, those further behind counted."""
+    folder = scratch_path(spark, "late")
+    store = Store(spark, f"{folder}/store")
+    store.migrate()
+    put = incremental.upserting_until(store, "filings", "late_filings", ["accession_number"], "filed_date", 7)
+    _streamed(spark, sf_dir, folder, [C("filed_date") < "1995-03-05", C("filed_date") >= "1995-02-20"], lambda batch, number: put(_filled(batch, "filings"), number))
+    kept = store.read("filings").groupBy("filed_date").agg(F.count("*").alias("n_kept"))
+    return kept.join(store.read("late_filings"), "filed_date", "full").select("filed_date", F.coalesce("n_kept", L(0)).alias("n_kept"), F.coalesce("n", L(0)).alias("n_late"))
 
-    def apply(batch: DataFrame, number: int) -> None:
-        rest = {f.name: L(None).cast(f.dataType) for f in store.read("filings").schema if f.name not in batch.columns}
-        incremental.upserting(store, "filings", ["accession_number"])(batch.withColumns(rest), number)
 
-    for texts in (_month_indexes(spark, sf_dir).where(E("length(text) % 2 = 0")), _month_indexes(spark, sf_dir)):
-        texts.write.mode("append").option("maxRecordsPerFile", 1).text(f"{folder}/in")
-        incremental.run_available(incremental.index_stream(spark, f"{folder}/in", "https://x"), apply, f"{folder}/progress")
-    return store.read("filings").select("accession_number", "cik", "form_type", "filed_date")
+@query(f"WITH {_WORLD} SELECT {', '.join(_HELD)} FROM pos")
+def stored_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-02 to SNK-09, SNK-20, STR-04: filings, holdings and names come in two batches, each in one commit over all tables; after the second, which holds late resets, views are refreshed for its filers alone."""
+    store = Store(spark, f"{scratch_path(spark, 'filings')}/store")
+    store.migrate()
+    rows = {"filings": filings(spark, sf_dir), "thirteenf_filings": holders(spark, sf_dir), "thirteenf_holdings": _made(spark, sf_dir, _HOLDINGS, "lineitem")}
+    with store.commit():
+        store.upsert("security_references", _filled(securities(spark, sf_dir).withColumn("ingest_seq", L(1)), "security_references"))
+        store.upsert("filers", _filled(_made(spark, sf_dir, _FILERS, "customer").withColumn("ingest_seq", L(1)), "filers"))
+    for step, lot in enumerate(("% 10 <> 3", "% 10 = 3")):
+        batch = {n: _filled(df.where(f"CAST(accession_number AS INT) {lot}").withColumn("ingest_seq", L(step)), n) for n, df in rows.items()}
+        with store.commit():
+            store.upsert("filings", batch["filings"])
+            store.upsert("thirteenf_filings", batch["thirteenf_filings"])
+            store.replace("thirteenf_holdings", batch["filings"], batch["thirteenf_holdings"], "accession_number")
+            refresh_views(store, batch["filings"].select("cik").distinct())
+    return store.read("filer_positions").select(*_HELD)
 
 
 @query(f"""SELECT {_KEY.replace("{s}", "VARCHAR")} AS accession_number, o_orderdate + INTERVAL 1 SECOND * (o_orderkey % 60)::INT AS accepted, CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE 'primary_' || o_orderkey || '.xml' END AS primary_file,

@@ -136,16 +136,15 @@ def response_vectors(body: dict, count: int, dimension: int) -> list[list[float]
     return vectors
 
 
-def upsert_profile(current: DataFrame, embeddings: DataFrame, profile: Profile, seq: int) -> tuple[DataFrame, DataFrame]:
-    """Profiles and embeddings after `profile` is set; any change of its settings discards its embeddings (SNK-15)."""
-    spark = current.sparkSession
+def upsert_profile(current: DataFrame, profile: Profile, seq: int) -> tuple[DataFrame, bool]:
+    """Profiles after `profile` is set, and whether its settings changed, which makes its embeddings worthless (SNK-15)."""
     fields = ["profile_name", "provider", "model", "embedding_dimension", "distance_metric", "template_version"]
-    row = spark.createDataFrame([(*(getattr(profile, f) for f in fields), seq)], current.schema)
-    same = current.join(row.select(*fields), fields, "left_semi")
-    others = current.where(F.col("profile_name") != profile.profile_name)
-    stale = row.select("profile_name").join(same.select("profile_name"), "profile_name", "left_anti")
-    kept = same.unionByName(row.join(same.select("profile_name"), "profile_name", "left_anti").select(*current.columns))
-    return others.unionByName(kept), embeddings.join(F.broadcast(stale), "profile_name", "left_anti").select(*embeddings.columns)
+    values = [getattr(profile, f) for f in fields]
+    known = current.where(F.col("profile_name") == profile.profile_name).select(*fields).first()  # the key: one row
+    if known is not None and list(known) == values:
+        return current, False
+    row = current.sparkSession.createDataFrame([(*values, seq)], current.schema)
+    return current.where(F.col("profile_name") != profile.profile_name).unionByName(row), known is not None
 
 
 def candidates(chunks: DataFrame, filings: DataFrame, reports: DataFrame, tickers: DataFrame, embeddings: DataFrame, profile: Profile, chosen: Selection = Selection()) -> DataFrame:

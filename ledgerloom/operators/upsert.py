@@ -8,6 +8,7 @@ duplicates, within a batch too, resolve to the row ingested last.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +18,11 @@ from .events import latest_row
 SEQ = "ingest_seq"
 
 
+def clock() -> int:
+    """The `ingest_seq` that a batch begins at: greater than any before, with room to number its rows. Runs and streams share it."""
+    return int(datetime.now(timezone.utc).timestamp() * 1000) << 20
+
+
 def upsert_latest(current: DataFrame, batch: DataFrame, key: Sequence[str], seq: str = SEQ, frozen: Sequence[str] = ()) -> DataFrame:
     """The latest row per key; columns in `frozen` keep the value of the earliest row (a conflict does not update them)."""
     both = current.unionByName(batch)
@@ -36,7 +42,7 @@ def upsert_span(current: DataFrame, batch: DataFrame, key: Sequence[str], last:
 
 def replace_children(current: DataFrame, batch: DataFrame, parents: DataFrame, key: Sequence[str]) -> DataFrame:
     """Children of the written parents are exactly those of the batch; others stay (SNK-06, SNK-09)."""
-    return current.join(parents.select(*key).distinct(), [*key], "left_anti").unionByName(batch)
+    return current.join(parents.select(*key).distinct(), [*key], "left_anti").select(*current.columns).unionByName(batch)
 
 
 def insert_missing(current: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -10,8 +10,7 @@ from datetime import datetime, timezone
 from pyspark.sql import functions as F
 
 from ..operators.embedding import MAX_INDEXED_DIMENSION, EmbeddingError, Profile, Provider, Selection, candidates, embed, upsert_profile
-from ..operators.upsert import upsert_latest
-from ..schemas import KEYS, ddl
+from ..schemas import ddl
 from ..scratch import staged
 from .store import Store
 
@@ -20,7 +19,16 @@ def _log(store: Store, run_id: str, profile: Profile, chosen: Selection, status:
     now = datetime.now(timezone.utc).replace(tzinfo=None)
     filters = json.dumps({k: str(v) for k, v in asdict(chosen).items() if v is not None}, sort_keys=True)
     row = (run_id, profile.profile_name, status, filters, None, *(counts.get(k, 0) for k in ("candidates", "embedded", "skipped", "failed")), started, None if status == "running" else now, error, int(now.timestamp() * 1e6))
-    store.write("embedding_runs", upsert_latest(store.read("embedding_runs"), store.spark.createDataFrame([row], ddl("embedding_runs")), KEYS["embedding_runs"]))
+    store.upsert("embedding_runs", store.spark.createDataFrame([row], ddl("embedding_runs")))
+
+
+def set_profile(store: Store, profile: Profile, seq: int) -> None:
+    """Store the profile; where its settings changed, its embeddings go, in the same commit, and no other profile's files are touched (SNK-15)."""
+    with store.commit():
+        profiles, changed = upsert_profile(store.read("embedding_profiles"), profile, seq)
+        store.write("embedding_profiles", profiles)
+        if changed:
+            store.drop_first("chunk_embeddings", profile.profile_name)
 
 
 def run_backfill(store: Store, profile: Profile, provider: Provider, chosen: Selection = Selection(), batch: int = 64, enabled: bool = True, dry_run: bool = False) -> dict[str, int]:
@@ -29,9 +37,7 @@ def run_backfill(store: Store, profile: Profile, provider: Provider, chosen: Sel
         raise RuntimeError("embeddings are not enabled")
     started, run_id = datetime.now(timezone.utc).replace(tzinfo=None), uuid.uuid4().hex
     seq = int(started.timestamp() * 1e6)
-    profiles, vectors = upsert_profile(store.read("embedding_profiles"), store.read("chunk_embeddings"), profile, seq)
-    store.write("chunk_embeddings", vectors)
-    store.write("embedding_profiles", profiles)
+    set_profile(store, profile, seq)
     counts: dict[str, int] = {}
     _log(store, run_id, profile, chosen, "running", started, counts)
     try:
@@ -44,7 +50,7 @@ def run_backfill(store: Store, profile: Profile, provider: Provider, chosen: Sel
         if not dry_run and counts["candidates"]:
             done = staged(embed(todo, profile, provider, batch))  # the provider is asked once
             rows = done.where("error IS NULL").select("chunk_key", F.lit(profile.profile_name).alias("profile_name"), "content_hash", "embedding_input_hash", "embedding", F.lit(started).alias("embedded_at"), F.lit(seq).cast("long").alias("ingest_seq"))
-            store.write("chunk_embeddings", upsert_latest(store.read("chunk_embeddings"), rows, KEYS["chunk_embeddings"]))
+            store.upsert("chunk_embeddings", rows)
             both = done.agg(F.count_if(F.col("error").isNull()), F.count_if(F.col("error").isNotNull())).first()
             counts |= {"embedded": both[0], "failed": both[1]}
         _log(store, run_id, profile, chosen, "dry_run" if dry_run else "failed" if counts.get("failed") else "completed", started, counts)
@@ -61,9 +67,7 @@ def enable_vectors(store: Store, profile: Profile) -> Profile:
     if not store_available(store):
         store.migrate()
     seq = int(datetime.now(timezone.utc).timestamp() * 1e6)
-    profiles, vectors = upsert_profile(store.read("embedding_profiles"), store.read("chunk_embeddings"), profile, seq)
-    store.write("chunk_embeddings", vectors, sort_by=["profile_name", "chunk_key"])
-    store.write("embedding_profiles", profiles)
+    set_profile(store, profile, seq)
     return profile
 
 
