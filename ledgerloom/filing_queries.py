@@ -18,7 +18,7 @@ from .functions import normalise as N
 from .operators import compare, embedding, events, positions, upsert
 from .plans.refresh import refresh_views
 from .plans.store import Store
-from .queries import query, table
+from .queries import dealt, query, table
 from .schemas import ddl
 from .scratch import scratch_path
 from .sources import artifacts, holdings_xml, index, reports, submission
@@ -276,7 +276,7 @@ def stored_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     CASE WHEN o_orderkey % 2 = 0 THEN 'b_10k.htm' ELSE 'a_other.html' END AS report_file, CASE WHEN o_orderpriority = '5-LOW' THEN 1 WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 2 ELSE 3 END AS n_data, CASE WHEN o_orderpriority = '5-LOW' THEN 3 WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 4 ELSE 5 END AS n_documents FROM orders""")
 def submission_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-09 to SRC-12: envelopes are written out, by tags or by labelled lines, and read back."""
-    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", F.lpad(C("o_orderkey").cast("string"), 10, "0").alias("key"), F.date_format(E("o_orderdate + make_interval(0, 0, 0, 0, 0, 0, o_orderkey % 60)"), "yyyyMMddHHmmss").alias("at"), E(_FORM).alias("form"))
+    rows = dealt(table(spark, sf_dir, "orders")).select("o_orderkey", "o_orderpriority", F.lpad(C("o_orderkey").cast("string"), 10, "0").alias("key"), F.date_format(E("o_orderdate + make_interval(0, 0, 0, 0, 0, 0, o_orderkey % 60)"), "yyyyMMddHHmmss").alias("at"), E(_FORM).alias("form"))
 
     def doc(kind: Column, number: Column, name: Column) -> Column:
         return F.concat(L("<DOCUMENT>\n<TYPE>"), kind, L("\n<SEQUENCE>"), number, L("\n<FILENAME> "), name, L("\n<DESCRIPTION>d\n<TEXT>x</TEXT>\n</DOCUMENT>\n"))
@@ -316,7 +316,7 @@ def holdings_xml_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     late = C("l_orderkey") % 2 == 0
     info = F.when(late, F.concat(L('<ns1:informationTable xmlns:ns1="urn:a">'), F.replace("body", L("@"), L("ns1:")), L("</ns1:informationTable>"))).otherwise(F.concat(L('<informationTable xmlns="urn:a">'), F.replace("body", L("@"), L("")), L("</informationTable>")))
     cover = L("<edgarSubmission><headerData><filerInfo><periodOfReport>12-31-2022</periodOfReport></filerInfo></headerData><formData><coverPage><isAmendment>false</isAmendment></coverPage></formData></edgarSubmission>")
-    made = tables.select(F.lpad(C("l_orderkey").cast("string"), 10, "0").alias("accession_number"), L("13F-HR").alias("form_type"), F.when(late, E("DATE '2023-01-03'")).otherwise(E("DATE '2023-01-02'")).alias("filed_date"), cover.alias("primary_xml"), info.alias("info_xml"))
+    made = dealt(tables, table(spark, sf_dir, "orders").count()).select(F.lpad(C("l_orderkey").cast("string"), 10, "0").alias("accession_number"), L("13F-HR").alias("form_type"), F.when(late, E("DATE '2023-01-03'")).otherwise(E("DATE '2023-01-02'")).alias("filed_date"), cover.alias("primary_xml"), info.alias("info_xml"))
     found = holdings_xml.parse_holdings_reports(made).where("error IS NULL").select("accession_number", F.explode("holdings").alias("h")).select("accession_number", "h.*")
     return found.select("accession_number", "holding_sequence", "issuer_name", "class_title", "security_reference_key", "put_call", "value_reported", "value_unit", "value_usd", "shares_principal_amount")
 
@@ -338,7 +338,7 @@ def cover_page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     filer = F.concat(tag("periodOfReport", day), tag("filer", tag("name", L("Fallback Filer"))))
     xml = tag("edgarSubmission", F.concat(tag("headerData", tag("filerInfo", filer)), tag("formData", F.concat(tag("coverPage", cover), tag("summaryPage", summary)))))
     form = F.when(C("o_orderpriority") == "4-NOT SPECIFIED", "13F-NT").when(C("o_orderpriority") == "2-HIGH", "13F-HR/A").otherwise("13F-HR")
-    made = table(spark, sf_dir, "orders").select(F.lpad(key.cast("string"), 10, "0").alias("accession_number"), form.alias("form_type"), E("DATE '2024-01-01'").alias("filed_date"), xml.alias("primary_xml"), L(None).cast("string").alias("info_xml"))
+    made = dealt(table(spark, sf_dir, "orders")).select(F.lpad(key.cast("string"), 10, "0").alias("accession_number"), form.alias("form_type"), E("DATE '2024-01-01'").alias("filed_date"), xml.alias("primary_xml"), L(None).cast("string").alias("info_xml"))
     return holdings_xml.parse_holdings_reports(made).select("accession_number", "report_period", "is_notice", "is_amendment", "amendment_type_code", "filing_manager_name", "table_value_total_reported", "is_confidential_omitted", C("error").alias("problem"))
 
 
@@ -352,7 +352,7 @@ def _report_html(spark: SparkSession, sf_dir: str) -> DataFrame:
         L('<p>ITEM&nbsp;1 - BUSINESS</p><p>We sell '), text, L('.</p><p>Worth <ix:nonFraction name="us-gaap:Assets" contextRef="c1" unitRef="usd" decimals="-3" scale="3">'), amount, L("</ix:nonFraction></p>"),
         L('<p>item 1a. risk   factors</p><p>None of <ix:nonNumeric name="DocumentPeriodEndDate" contextRef="c2">'), F.date_format("o_orderdate", "yyyy-MM-dd"), L("</ix:nonNumeric></p></body></html>"),
     )
-    return table(spark, sf_dir, "orders").select(F.lpad(key, 10, "0").alias("accession_number"), L("10-K").alias("form_type"), E("DATE '2024-01-01'").alias("filed_date"), html.cast("binary").alias("html"))
+    return dealt(table(spark, sf_dir, "orders")).select(F.lpad(key, 10, "0").alias("accession_number"), L("10-K").alias("form_type"), E("DATE '2024-01-01'").alias("filed_date"), html.cast("binary").alias("html"))
 
 
 _AMOUNT = "replace(format('{:,.2f}', o_totalprice), ' ', '')"

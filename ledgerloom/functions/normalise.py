@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -100,11 +99,6 @@ def parsed_int(text: Column) -> Column:
     return F.trim(text).try_cast("int")
 
 
-def malformed(raw: Column, parse: Callable[[Column], Column]) -> Column:
-    """Whether a text is there but `parse` gives nothing for it (SCL-14, SCL-16)."""
-    return present(raw).isNotNull() & parse(present(raw)).isNull()
-
-
 def tidy_cik(cik: Column) -> Column:
     """Without leading zeros; all zeros are one zero (SCL-21)."""
     bare = F.trim(cik)

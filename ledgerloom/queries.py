@@ -38,6 +38,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(df: DataFrame, rows: int | None = None, least: int = 200_000) -> DataFrame:
+    """`df`, of about `rows`, over all cores: fewer than `least` a core may be one row group or one shuffled partition, which a single task would parse."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if (df.count() if rows is None else rows) < least * cores else df
+
+
 # ---- amendment resolution -------------------------------------------------------------------------------------------------
 
 

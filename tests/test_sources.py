@@ -87,12 +87,12 @@ def test_report(spark):
     assert got["c"].error and got["d"].error is None and got["d"].chunks == []
 
 
-def test_numeric_value(spark):
+def test_numeric_value():
     cases = [("(1,234)", None, "-1234"), ("$ 5.5 %", 3, "5500"), ("—", None, None), ("-", 2, None), ("NaN", None, None), ("Infinity", None, None), ("1e3", None, "1000"), ("2.5E-2", 3, "25"), ("12", -2, "0.12")]
-    cases += [("abc", None, None), ("9" * 40, None, None), ("", None, None), ("2024", None, "2024"), (" ( 7 ) ", 1, "-70"), (None, 1, None), ("5", 999, None), (".5", None, "0.5"), ("1,2.3.4", None, None)]
-    df = spark.createDataFrame([(i, r, s) for i, (r, s, _) in enumerate(cases)], "i int, raw string, scale int")
-    got = {r.i: r.v for r in df.select("i", R.numeric_value(F.col("raw"), F.col("scale")).alias("v")).collect()}
-    assert got == {i: None if want is None else Decimal(want) for i, (_, _, want) in enumerate(cases)}
+    cases += [("abc", None, None), ("9" * 40, None, None), ("", None, None), ("2024", None, "2024"), (" ( 7 ) ", 1, "-70"), ("1e9999", -9990, "1000000000"), ("1e500", None, None), ("0.00000000005", None, "0.0000000001"), ("9" * 28, None, "9" * 28), ("9" * 28, 1, None), ("5", 999, None), (".5", None, "0.5"), ("1,2.3.4", None, None)]
+    assert [R.numeric_value(raw, scale) for raw, scale, _ in cases] == [None if want is None else Decimal(want) for *_, want in cases]
+    assert [R.whole_number(x) for x in (" 7 ", "-3", "7.0", "x", None, "2147483648")] == [7, -3, None, None, None, None]
+    assert [R.day(x) for x in ("2024-02-29", " 20240229", "2023-02-29", "2024-0229", "", None)] == [date(2024, 2, 29)] * 2 + [None] * 4
 
 
 def test_reader_of_odd_markup():
