@@ -18,21 +18,19 @@ def tokens(text: Column, drop: Sequence[str] = ()) -> Column:
 
 
 def postings(docs: DataFrame, id_col: str, text_col: str, drop: Sequence[str] = STOP_WORDS) -> DataFrame:
-    """token, id, term frequency and document length: the inverted index, to be written partitioned by a hash of the token."""
+    """token, id, document length and term frequency, without stemming and positions (`textindex` has both). A document's words are counted where it is read."""
     words = docs.select(F.col(id_col).alias("id"), tokens(F.col(text_col), drop).alias("t"))
-    # A document's tokens are all in its own row, so they are counted there, sorted, with nothing shuffled.
-    runs = words.select("id", F.size("t").alias("length"), F.array_sort("t").alias("t"))
-    starts = F.filter(F.sequence(F.lit(0), F.col("length") - 1), lambda i: (i == 0) | (F.get("t", i) != F.get("t", F.greatest(i - 1, F.lit(0)))))
-    begun = runs.where("length > 0").withColumn("s", starts)
-    ends = F.concat(F.slice("s", 2, F.size("s")), F.array("length"))
-    counted = F.zip_with("s", ends, lambda a, b: F.struct(F.get("t", a).alias("token"), (b - a).cast("long").alias("tf")))
-    return begun.select("id", "length", F.explode(counted).alias("p")).select("p.token", "id", "length", "p.tf")
+    each = words.select("id", F.size("t").alias("length"), F.explode("t").alias("token"))
+    return each.groupBy("token", "id", "length").agg(F.count("*").alias("tf"))
 
 
 def match_all(docs: DataFrame, id_col: str, text_col: str, words: Sequence[str]) -> DataFrame:
     """Documents that hold every word, with the summed term frequency: a filter over the scan, without a shuffle."""
-    found = docs.select(F.col(id_col), tokens(F.col(text_col)).alias("_t")).where(F.expr(" AND ".join(f"array_contains(_t, '{w.lower()}')" for w in words)))
-    return found.select(id_col, F.size(F.filter("_t", lambda t: t.isin(*[w.lower() for w in words]))).cast("long").alias("hits"))
+    wanted = [w.lower() for w in words]
+    found = docs.select(F.col(id_col), tokens(F.col(text_col)).alias("_t"))
+    for w in wanted:
+        found = found.where(F.array_contains("_t", F.lit(w)))
+    return found.select(id_col, F.size(F.filter("_t", lambda t: t.isin(*wanted))).cast("long").alias("hits"))
 
 
 def search_index(index: DataFrame, words: Sequence[str], n_docs: int, limit: int | None = None) -> DataFrame:

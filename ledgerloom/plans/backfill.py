@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..operators.embedding import MAX_INDEXED_DIMENSION, EmbeddingError, Profile, Provider, Selection, candidates, embed, upsert_profile
 from ..schemas import ddl
 from ..scratch import staged
+from .indexes import LISTS, VECTORS, index_vectors
 from .store import Store
 
 
@@ -28,7 +29,9 @@ def set_profile(store: Store, profile: Profile, seq: int) -> None:
         profiles, changed = upsert_profile(store.read("embedding_profiles"), profile, seq)
         store.write("embedding_profiles", profiles)
         if changed:
-            store.drop_first("chunk_embeddings", profile.profile_name)
+            for table in ("chunk_embeddings", VECTORS, LISTS):
+                store.drop_first(table, profile.profile_name)
+            store.manifest()["marks"].pop(f"vectors {profile.profile_name}", None)
 
 
 def run_backfill(store: Store, profile: Profile, provider: Provider, chosen: Selection = Selection(), batch: int = 64, enabled: bool = True, dry_run: bool = False) -> dict[str, int]:
@@ -61,13 +64,14 @@ def run_backfill(store: Store, profile: Profile, provider: Provider, chosen: Sel
 
 
 def enable_vectors(store: Store, profile: Profile) -> Profile:
-    """Make the tables and the profile that search by vectors needs (TXT-15); more dimensions than an index takes are refused."""
+    """Make the tables, the profile and the index that search by vectors needs (TXT-15); more dimensions than an index takes are refused."""
     if not profile.indexable:
         raise EmbeddingError(f"an index takes {MAX_INDEXED_DIMENSION} dimensions at most, not {profile.embedding_dimension}: choose a smaller dimension for this profile")
     if not store_available(store):
         store.migrate()
     seq = int(datetime.now(timezone.utc).timestamp() * 1e6)
     set_profile(store, profile, seq)
+    index_vectors(store, profile)
     return profile
 
 

@@ -14,8 +14,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import normalise as N
-from .operators import chunks, compare, events, positions, quality, search, upsert
-from .scratch import staged
+from .operators import chunks, compare, events, positions, quality, search, textindex, upsert
+from .operators.embedding import Profile
+from .plans import indexes
+from .plans.store import Store
+from .scratch import scratch_path, staged
 from .sources import calendar, index, reports
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -476,6 +479,71 @@ def fts_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.postings(table(spark, sf_dir, "documents"), "doc_id", "text", drop=()).groupBy("token").agg(F.count("*").alias("docs"), F.sum("tf").alias("tf"))
 
 
+def _stem_sql(word: str) -> str:
+    """Porter's first step on a column of the other engine, in subqueries `w`, `bare`, `plain`."""
+    def mended(by: int) -> str:
+        cut = f"left(bare, length(bare) - {by})"
+        return f"""CASE WHEN regexp_matches({cut}, '(at|bl|iz)$') THEN {cut} || 'e' WHEN length({cut}) > 1 AND right({cut}, 1) = left(right({cut}, 2), 1) AND NOT regexp_matches(right({cut}, 1), '[aeiouylsz]') THEN left({cut}, length({cut}) - 1)
+            WHEN regexp_matches({cut}, '^[^aeiouy]+[aeiouy][^aeiouywx]$') THEN {cut} || 'e' ELSE {cut} END"""
+
+    return f"""bare AS (SELECT *, regexp_replace(regexp_replace({word}, '(ss|i)es$', '\\1'), '([^s])s$', '\\1') AS bare FROM w),
+        plain AS (SELECT *, CASE WHEN bare LIKE '%eed' THEN CASE WHEN regexp_matches(bare, '[aeiouy][^aeiouy].*eed$') THEN left(bare, length(bare) - 1) ELSE bare END WHEN regexp_matches(bare, '[aeiouy].*ed$') THEN {mended(2)}
+            WHEN regexp_matches(bare, '[aeiouy].*ing$') THEN {mended(3)} ELSE bare END AS plain FROM bare),
+        tok AS (SELECT doc_id, length, position, regexp_replace(plain, '([aeiouy].*)y$', '\\1i') AS token FROM plain)"""
+
+
+_STOPPED = ", ".join(f"'{w}'" for w in search.STOP_WORDS)
+_TOKENS = rf"""t AS (SELECT doc_id, [x FOR x IN regexp_split_to_array(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}]+') IF x <> ''] AS ws FROM documents),
+    u AS (SELECT doc_id, len(ws) AS length, unnest(ws) AS word, unnest(range(len(ws))) AS position FROM t), w AS (SELECT * FROM u WHERE word NOT IN ({_STOPPED})), {_stem_sql('word')}"""
+
+
+def _word_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index of all documents, written and read again."""
+    path = scratch_path(spark, "words")
+    textindex.write_index(table(spark, sf_dir, "documents"), "doc_id", "text", path)
+    return spark.read.parquet(path)
+
+
+@query(f"""WITH {_TOKENS}, p AS (SELECT doc_id, token, length, count(*) AS tf FROM tok WHERE token IN ('thi', 'er') GROUP BY ALL), d AS (SELECT token, count(*) AS df FROM p GROUP BY token)
+    SELECT doc_id, round(sum(tf / length * ln((SELECT count(*) FROM documents)::DOUBLE / df + 1)), 9) AS rank FROM p JOIN d USING (token) GROUP BY doc_id HAVING count(*) = 2""")
+def fts_index_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TXT-09: the stored index, of stems, asked for two inflected words."""
+    found = textindex.ranked(_word_index(spark, sf_dir), "this Ering", table(spark, sf_dir, "documents").count())
+    return found.select(F.col("id").alias("doc_id"), F.round("rank", 9).alias("rank"))
+
+
+@query(f"""WITH {_TOKENS} SELECT a.doc_id, count(*) AS hits FROM tok a JOIN tok b ON a.doc_id = b.doc_id AND b.position = a.position + 1 JOIN tok c ON a.doc_id = c.doc_id AND c.position = a.position + 2
+    WHERE a.token = 'anea' AND b.token = 'eriner' AND c.token = 'thanea' GROUP BY a.doc_id""")
+def fts_phrase(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TXT-09: a phrase, by positions."""
+    return textindex.phrase(_word_index(spark, sf_dir), "Anea eriner, thaneas").withColumnRenamed("id", "doc_id")
+
+
+@query(f"""WITH {_TOKENS} SELECT token, count(*) AS tf, count(DISTINCT doc_id) AS docs, sum(position)::BIGINT AS places FROM tok GROUP BY token""")
+def fts_stems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TXT-09: all of the stored index, summed by stem."""
+    rows = _word_index(spark, sf_dir)
+    places = F.aggregate("positions", F.lit(0).cast("long"), lambda s, x: s + x)
+    return rows.groupBy("token").agg(F.sum(F.size("positions")).alias("tf"), F.count("*").alias("docs"), F.sum(places).alias("places"))
+
+
+_NEAR = "list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[])"
+
+
+@query(f"""SELECT query_id, vec_id, similarity FROM (SELECT b.vec_id AS query_id, a.vec_id, round({_NEAR}, 6) AS similarity, row_number() OVER (PARTITION BY b.vec_id ORDER BY {_NEAR} DESC, a.vec_id) AS place
+    FROM embeddings a JOIN embeddings b ON b.vec_id IN (0, 7)) WHERE place <= 10""")
+def vector_index_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TXT-10: the stored index of two profiles; an exact search of one reads the lists that may hold a neighbour."""
+    vectors = table(spark, sf_dir, "embeddings")
+    store, profile = Store(spark, scratch_path(spark, "vectors")), Profile("first", embedding_dimension=64)
+    rows = vectors.select(F.col("vec_id").cast("string").alias("chunk_key"), F.lit(None).cast("string").alias("content_hash"), F.lit(None).cast("string").alias("embedding_input_hash"), "embedding", F.lit(None).cast("timestamp").alias("embedded_at"), F.lit(1).cast("long").alias("ingest_seq"))
+    for name in ("first", "second"):
+        store.upsert("chunk_embeddings", rows.withColumn("profile_name", F.lit(name)))
+    indexes.index_vectors(store, profile)
+    asked = {r.vec_id: r.embedding for r in vectors.where("vec_id IN (0, 7)").collect()}
+    found = [indexes.similar_chunks(store, profile, v, 10, exact=True).select(F.lit(q).cast("long").alias("query_id"), F.col("id").cast("long").alias("vec_id"), F.round("similarity", 6).alias("similarity")) for q, v in asked.items()]
+    return found[0].unionByName(found[1])
+
 
 @query("""SELECT doc_id, sha256('periodic-chunk-v1' || chr(10) || concat_ws(chr(10), 'Company: ' || source, 'CIK: ' || doc_id, 'Ticker: unknown', 'Form: ' || lang, 'Filed date: unknown', 'Report period: ' || n_chars, 'Accession: ' || doc_id,
     'Section: ' || source || ' - ' || lang, 'Item: ' || lang, 'Chunk ordinal: 1', '', text)) AS input_hash FROM documents""")

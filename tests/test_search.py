@@ -1,0 +1,133 @@
+"""Stored indexes of words and vectors: stems, phrases, recall, pruned reads, rows newer than the index."""
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerloom.operators import textindex, vectorindex
+from ledgerloom.operators.embedding import EmbeddingError, Profile
+from ledgerloom.operators.search import match_all
+from ledgerloom.plans.backfill import set_profile
+from ledgerloom.plans.indexes import LISTS, chunks_with, index_vectors, index_words, similar_chunks
+from ledgerloom.plans.store import Store
+from ledgerloom.schemas import ddl
+
+STEMS = {"caresses": "caress", "ponies": "poni", "cats": "cat", "feed": "feed", "agreed": "agree", "plastered": "plaster", "bled": "bled", "motoring": "motor", "sing": "sing", "conflated": "conflate", "troubled": "trouble", "sized": "size", "hopping": "hop", "falling": "fall", "hissing": "hiss", "failing": "fail", "filing": "file", "happy": "happi", "sky": "sky", "": "", "s": "s", "2024": "2024", "straße": "straße"}
+
+
+def test_stems(spark):
+    df = spark.createDataFrame([(w,) for w in STEMS], "w string")
+    assert {r.w: r.s for r in df.select("w", textindex.stem(F.col("w")).alias("s")).collect()} == STEMS
+
+
+DOCS = [(1, "The filings of risks and risk: filed risk."), (2, "Risks were filed"), (3, "no such words"), (4, None), (5, ""), (6, "risk to risk to file"), (7, "o'neil's risk\tfiling")]
+
+
+@pytest.fixture(scope="module")
+def words(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("words") / "index")
+    textindex.write_index(spark.createDataFrame(DOCS, "id int, text string"), "id", "text", path, buckets=16)
+    return spark.read.parquet(path)
+
+
+def test_ranked(spark, words):
+    got = {r.id: r["rank"] for r in textindex.ranked(words, "Filing RISK", len(DOCS), buckets=16).collect()}
+    tf = {1: (3, 2, 8), 2: (1, 1, 3), 6: (2, 1, 5), 7: (1, 1, 5)}  # risk, file, words
+    weight = math.log(len(DOCS) / 4 + 1)
+    assert got.keys() == tf.keys() and all(math.isclose(got[i], (a + b) / n * weight) for i, (a, b, n) in tf.items())
+    assert [r.id for r in textindex.ranked(words, "files risk", len(DOCS), 2, 16).collect()] == sorted(got, key=lambda i: (-got[i], i))[:2]
+    assert textindex.ranked(words, "the of", len(DOCS), buckets=16).collect() == [] and textindex.ranked(words, "", len(DOCS), buckets=16).collect() == []
+    assert [r.id for r in textindex.ranked(words, "o'neil", len(DOCS), buckets=16).collect()] == [7]
+
+
+def test_phrases(words):
+    def hits(text):
+        return {r.id: r.hits for r in textindex.phrase(words, text, 16).collect()}
+
+    assert hits("risk to risk") == {1: 2, 6: 1}  # any word may stand between
+    assert hits("risk risk") == {} and hits("filed risk") == {1: 1} and hits("filing of risk") == {1: 1}
+    assert hits("the") == {} and hits("nothing here") == {}
+
+
+def test_only_the_buckets_of_the_words_are_read(words):
+    rows = textindex.rows_of(words, ["risk"], 16)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [bucket" in plan
+    assert "EqualTo(token,risk)" in plan or "In(token, [risk])" in plan
+    assert len(rows.inputFiles()) <= len(words.inputFiles())
+    rows.collect()
+    read = {p.split("bucket=")[1].split("/")[0] for p in [r.f for r in rows.select(F.input_file_name().alias("f")).distinct().collect()]}
+    assert len(read) == 1
+
+
+def test_words_are_quoted(spark):
+    df = spark.createDataFrame([(1, "o neil"), (2, "neil")], "id int, text string")
+    assert [r.id for r in match_all(df, "id", "text", ["neil"]).collect()] == [1, 2]
+    assert match_all(df, "id", "text", ["o'neil", "') OR true --"]).collect() == []
+
+
+def embeddings(spark, store, vectors, seq=1, name="p", first=0):
+    schema = spark.createDataFrame([], ddl("chunk_embeddings")).schema
+    rows = [(f"k{first + i:06d}", name, None, None, None if v is None else [float(x) for x in v], None, seq) for i, v in enumerate(vectors)]
+    store.upsert("chunk_embeddings", spark.createDataFrame(rows, schema))
+
+
+def exact_keys(vectors, query, k=10):
+    v = np.asarray(vectors, np.float64)
+    s = v @ query / np.linalg.norm(v, axis=1) / np.linalg.norm(query)
+    return [f"k{i:06d}" for i in np.lexsort((np.arange(len(s)), -s))[:k]]
+
+
+@pytest.mark.parametrize("kind", ["gaussian", "clusters"])
+def test_recall_and_exact_search(spark, tmp_path, kind):
+    rng = np.random.default_rng(1)
+    vectors = rng.standard_normal((3000, 24)) if kind == "gaussian" else np.repeat(rng.standard_normal((60, 24)), 50, 0) + 0.1 * rng.standard_normal((3000, 24))
+    vectors = vectors.astype(np.float32)
+    store, profile = Store(spark, str(tmp_path / "store")), Profile("p", embedding_dimension=24)
+    store.migrate()
+    set_profile(store, profile, 1)
+    embeddings(spark, store, [*vectors, None, [0.0] * 24, [float("nan")] * 24])
+    embeddings(spark, store, vectors[:5] + 1, name="other")
+    assert similar_chunks(store, profile, vectors[3], 5).count() == 5  # no index yet
+    index_vectors(store, profile)
+    queries = [0, 17, 900, 1500, 2999, *range(100, 140)]
+    asked = spark.createDataFrame([(q, [float(x) for x in vectors[q]]) for q in queries], "query_id int, v array<double>")
+    lists = vectorindex.read_lists(store.read_set(LISTS, "p"))
+    index = store.read_set("chunk_vectors", "p")
+    assert index.count() == 3000 and 1 <= lists.probes < len(lists.centroids)
+    found = {}
+    for r in vectorindex.search_many(index, lists, asked).collect():
+        found.setdefault(r.query_id, set()).add(r.id)
+    assert np.mean([len(found[q] & set(exact_keys(vectors, vectors[q]))) / 10 for q in queries]) >= 0.95
+    for q in queries[:2]:
+        assert [r.id for r in similar_chunks(store, profile, vectors[q], exact=True).collect()] == exact_keys(vectors, vectors[q])
+        assert len(set(r.id for r in similar_chunks(store, profile, vectors[q]).collect()) & set(exact_keys(vectors, vectors[q]))) >= 8
+    plan = vectorindex.search(index, lists, vectors[0])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [list" in plan or "PartitionFilters: [isnotnull(list" in plan
+    # A chunk written again and a new one are found at once, the old vector no longer.
+    embeddings(spark, store, [-vectors[0], vectors[0] * 2], seq=2, first=0)
+    top = [r.id for r in similar_chunks(store, profile, vectors[0], 3).collect()]
+    assert top[0] == "k000001" and "k000000" not in top
+    set_profile(store, Profile("p", model="new", embedding_dimension=24), 3)
+    assert similar_chunks(store, profile, vectors[0]).collect() == []
+
+
+def test_odd_indexes(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    store.migrate()
+    index_vectors(store, Profile("none", embedding_dimension=2))
+    assert similar_chunks(store, Profile("none", embedding_dimension=2), [1.0, 0.0]).collect() == []
+    for bad in (Profile("p", embedding_dimension=2001), Profile("p", embedding_dimension=2, distance_metric="l2")):
+        with pytest.raises(EmbeddingError):
+            index_vectors(store, bad)
+    for n in (1, 2):
+        embeddings(spark, store, [[1.0, float(i)] for i in range(n)], name=f"n{n}")
+        index_vectors(store, Profile(f"n{n}", embedding_dimension=2))
+        assert [r.id for r in similar_chunks(store, Profile(f"n{n}", embedding_dimension=2), [1.0, 0.0], exact=True).collect()] == ["k000000", "k000001"][:n]
+    schema = spark.createDataFrame([], ddl("periodic_chunks")).schema
+    store.write("periodic_chunks", spark.createDataFrame([tuple({"chunk_key": f"c{i}", "chunk_text": t}.get(f.name) for f in schema) for i, t in DOCS], schema))
+    index_words(store)
+    assert [r.id for r in chunks_with(store, "risk to risk", as_phrase=True).collect()] == ["c1", "c6"]
+    assert {r.id for r in chunks_with(store, "risk file").collect()} == {"c1", "c2", "c6", "c7"}
