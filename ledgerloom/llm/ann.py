@@ -1,6 +1,6 @@
 """Approximate nearest neighbours: one navigable small-world graph per shard.
 
-Vectors are dealt to shards of bounded size by a hash of their id. A shard's
+Vectors are dealt to shards of bounded size, in rows and in bytes, by a hash of their id. A shard's
 graph is hierarchical: every vector is in layer 0, and one in BRANCH of a
 layer's vectors is in the next. Vectors are inserted in a drawn order, those of
 the upper layers first, a block at a time. A new one chooses, among the POOL
@@ -13,6 +13,11 @@ numbers with a fixed number of places per vector. A search keeps a small beam
 in the upper layers, hands all of it down, and keeps a wide one in layer 0;
 many queries walk together, as numpy arrays.
 
+How wide that beam has to be depends on the data. When a shard's graph is made,
+PROBES of its vectors are searched for with beams of growing width until RECALL
+of their true neighbours are found, which one matrix product gives; a shard
+where the widest beam falls short is searched exhaustively.
+
 Graphs are built once and written as one row per shard. Every query visits
 every shard, in blocks that stream past one loaded shard at a time, so the
 queries are never in memory together. Each shard gives a query its k nearest,
@@ -29,7 +34,9 @@ Defined cases: vectors that are null, empty, zero, or hold null or non-finite
 components take no part, nor do rows without an id, nor vectors of another
 length than most have (of lengths as common, the smallest). Of rows that
 repeat an id the smallest vector, component by component, counts. A query returns all candidates where there are fewer
-than k. An empty table gives no rows. Other columns are ignored.
+than k. An empty table gives no rows. Other columns are ignored. Components too large
+or small for single precision are scaled within the graph; scores are measured on
+what was given.
 """
 
 from __future__ import annotations
@@ -48,6 +55,10 @@ from .common import mapped, saved
 SHARD, LEAST = 1 << 16, 8192
 #: Neighbours per vector in layer 0 (half in others), nearest ones to choose from, and beams of a search in the upper layers and in layer 0.
 PLACES, POOL, UPPER, BEAM, BRANCH = 32, 48, 16, 128, 16
+#: Bytes of a shard's vectors, in single and in double precision.
+SHARD_BYTES = 100 << 20
+#: Beams are doubled up to MOST; vectors that a beam is measured with, and the share of their KNOWN neighbours that it has to find.
+MOST, PROBES, KNOWN, RECALL = 1024, 128, 10, 0.97
 NODES = 64  # queries that walk together
 INSERTED = 256  # vectors inserted together
 
@@ -55,23 +66,53 @@ INSERTED = 256  # vectors inserted together
 class Graph:
     """A shard's vectors in the order of insertion, neighbour arrays of the first so many by layer, and the row that each vector was."""
 
-    def __init__(self, vectors: np.ndarray, layers: list[np.ndarray], rows: np.ndarray):
-        self.vectors, self.layers, self.rows = vectors, layers, rows
+    def __init__(self, vectors: np.ndarray, layers: list[np.ndarray], rows: np.ndarray, scale: float = 1.0, beam: int | None = BEAM):
+        """`beam`: the width that a search needs, None where only an exhaustive one will do."""
+        self.vectors, self.layers, self.rows, self.scale, self.beam = vectors, layers, rows, scale, beam
 
     @classmethod
     def build(cls, vectors: np.ndarray, seed: int = 3) -> Graph:
         order = np.random.default_rng(seed).permutation(len(vectors))
-        ordered, layers = np.ascontiguousarray(vectors[order], np.float32), []
+        most = float(np.abs(vectors).max(initial=0.0))
+        scale = 1.0 if 1e-9 < most < 1e9 or not most else 1.0 / most
+        ordered, layers = np.ascontiguousarray(vectors[order] * scale, np.float32), []
         while True:
             count = max(1, len(vectors) // BRANCH ** len(layers))
             layers.append(_inserted(ordered[:count], PLACES if not layers else PLACES // 2))
             if count <= BRANCH:
-                return cls(ordered, layers, order)
+                return cls(ordered, layers, order, scale)
+
+    def measured(self, beam: int, recall: float = RECALL) -> Graph:
+        """The graph with the least of `beam`, twice that and so on that finds `recall` of the true neighbours of drawn vectors."""
+        asked = np.random.default_rng(5).choice(len(self.vectors), min(PROBES, len(self.vectors)), replace=False)
+        q, k = self.vectors[asked].astype(np.float64) / self.scale, min(KNOWN, len(self.vectors) - 1)
+        if not k:
+            return self
+        true = self.exhaustive(q, k + 1)
+        self.beam = beam
+        while self.beam:
+            found = np.concatenate([self.search(q[a : a + NODES], self.beam)[:, : k + 1] for a in range(0, len(q), NODES)])
+            hits = [len((set(f.tolist()) & set(t.tolist())) - {own}) / k for f, t, own in zip(found, true, self.rows[asked].tolist(), strict=True)]
+            if np.mean(hits) >= recall or self.beam >= len(self.vectors):
+                break
+            self.beam = self.beam * 2 if self.beam * 2 <= MOST else None
+        return self
+
+    def exhaustive(self, queries: np.ndarray, count: int) -> np.ndarray:
+        """For each query the `count` nearest rows of all, in order."""
+        q, count = queries * self.scale, min(count, len(self.vectors))
+        far = np.concatenate([np.einsum("nd,nd->n", x, x) - 2 * (q @ x.T) for a in range(0, len(self.vectors), 8192) for x in [self.vectors[a : a + 8192].astype(np.float64)]], 1)
+        some = np.argpartition(far, count - 1, 1)[:, :count]
+        return self.rows[np.take_along_axis(some, np.argsort(np.take_along_axis(far, some, 1), 1, kind="stable"), 1)]
+
+    def found(self, queries: np.ndarray, least: int) -> np.ndarray:
+        """Rows near each query (-1: none), at least `least` where there are so many, by the graph or all of them measured."""
+        return self.search(queries, max(self.beam, least)) if self.beam else self.exhaustive(queries, 4 * least + 32)
 
     def pack(self) -> bytes:
         import pickle
 
-        return pickle.dumps((self.vectors, self.layers, self.rows), pickle.HIGHEST_PROTOCOL)
+        return pickle.dumps((self.vectors, self.layers, self.rows, self.scale, self.beam), pickle.HIGHEST_PROTOCOL)
 
     @classmethod
     def unpack(cls, data: bytes) -> Graph:
@@ -81,7 +122,7 @@ class Graph:
 
     def search(self, queries: np.ndarray, beam: int) -> np.ndarray:
         """For each query the rows that its final beam holds (-1: none), nearest first."""
-        q = queries.astype(np.float32)
+        q = (queries * self.scale).astype(np.float32)
         at = np.broadcast_to(np.arange(len(self.layers[-1])), (len(q), len(self.layers[-1])))  # the top layer's, all of them
         for level in range(len(self.layers) - 1, 0, -1):
             at = self._beam(q, at, level, min(UPPER, len(self.layers[level])))
@@ -191,9 +232,10 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-def build_index(vectors: DataFrame, shard_rows: int = SHARD, keep: int = 11) -> DataFrame:
+def build_index(vectors: DataFrame, shard_rows: int = SHARD, keep: int = 11, beam: int = BEAM, recall: float = RECALL) -> DataFrame:
     """`vectors` (id, vector) to one row per shard: its number, its graph, its vectors as stored, and up to `keep` smallest ids of each."""
-    count = vectors.count()
+    count, width = vectors.agg(F.count("*"), F.max(F.size("vector"))).first()
+    shard_rows = min(shard_rows, max(KNOWN + 1, SHARD_BYTES // (12 * (width or 1))))
     shards = max(1, math.ceil(count / shard_rows), min(vectors.sparkSession.sparkContext.defaultParallelism, count // LEAST))
 
     def built(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,7 +262,7 @@ def build_index(vectors: DataFrame, shard_rows: int = SHARD, keep: int = 11) ->
         order = np.lexsort((ids, of))
         place = np.arange(len(order)) - np.searchsorted(of[order], of[order])
         order = order[place < keep]
-        graph = Graph.build(distinct.astype(np.float32))
+        graph = Graph.build(distinct).measured(beam, recall)
         names = (of[order].astype(np.int32), ids[order])
         return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([graph.pack()], pa.binary()), pa.array([pickle.dumps((distinct, names))], pa.binary())], names=["shard", "graph", "rows"])
 
@@ -229,7 +271,7 @@ def build_index(vectors: DataFrame, shard_rows: int = SHARD, keep: int = 11) ->
     return dealt.repartition(shards, "shard").sortWithinPartitions("shard").transform(mapped, built, "shard int, graph binary, rows binary")
 
 
-def search_index(index: DataFrame, queries: DataFrame, k: int = 10, beam: int = BEAM) -> DataFrame:
+def search_index(index: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     """`queries` (id, vector) to query_id, rank, vec_id, score: the k nearest found over all shards, the query's own id aside."""
     shards = index.select(F.max("shard")).first()[0]
     if shards is None:
@@ -256,7 +298,7 @@ def search_index(index: DataFrame, queries: DataFrame, k: int = 10, beam: int =
                         yield nearest(graph, distinct, names, part.column(3).to_numpy(), _matrix(part.column(4)))
 
     def nearest(graph: Graph, distinct: np.ndarray, names: tuple, ids: np.ndarray, q: np.ndarray) -> pa.RecordBatch:
-        nodes = graph.search(q, max(beam, 2 * k))
+        nodes = graph.found(q, 2 * k)
         ends = np.searchsorted(names[0], np.arange(len(distinct) + 1))
         out = []
         for own, vector, mine in zip(ids, q, nodes, strict=True):
@@ -278,5 +320,5 @@ def search_index(index: DataFrame, queries: DataFrame, k: int = 10, beam: int =
 def nearest_neighbours(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", shard_rows: int = SHARD, beam: int = BEAM) -> DataFrame:
     """The k nearest rows found for each row that `is_query`, a condition on the column `id`, selects."""
     rows = usable(vectors, id_col, vector_col)
-    index = saved(build_index(rows, shard_rows, k + 1), "ann-index")
-    return search_index(index, rows.where(is_query), k, beam)
+    index = saved(build_index(rows, shard_rows, k + 1, beam), "ann-index")
+    return search_index(index, rows.where(is_query), k)

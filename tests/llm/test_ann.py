@@ -95,3 +95,41 @@ def test_recall_on_clusters(size):
     found = Graph.build(x.astype(np.float32)).search(x[asked], 128)
     want = np.argsort(((x[asked][:, None] - x[None]) ** 2).sum(2), 1)[:, :10]
     assert np.mean([len(set(f[:10]) & set(w)) / 10 for f, w in zip(found.tolist(), want.tolist(), strict=True)]) >= 0.95
+
+
+def test_the_beam_follows_the_data():
+    """Data of many dimensions need a wider beam than the least; where none does, the shard is searched exhaustively."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(6000, 128))
+    asked = rng.choice(len(x), 60, False)
+    want = np.argsort(((x[asked][:, None] - x[None]) ** 2).sum(2), 1)[:, 1:11]
+
+    def recall(graph):
+        return np.mean([len(set(f.tolist()) & set(w)) / 10 for f, w in zip(graph.found(x[asked], 20), want.tolist(), strict=True)])
+
+    graph = Graph.build(x)
+    graph.beam = 16
+    low = np.mean([len(set(f[:11].tolist()) & set(w)) / 10 for f, w in zip(graph.search(x[asked], 16), want.tolist(), strict=True)])
+    assert low < 0.9 and graph.measured(16).beam > 16 and recall(graph) >= 0.95
+    again = Graph.unpack(graph.pack())
+    assert (again.beam, again.scale) == (graph.beam, graph.scale)
+    graph.measured(16, recall=1.1)
+    assert graph.beam is None and recall(graph) == 1.0
+
+
+def test_components_beyond_single_precision(spark):
+    rows = [(i, [1e200 * (i + 1), 1e200]) for i in range(30)] + [(100, [1e200 * 100, 0.0])]
+    got = nearest_neighbours(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), F.col("id") == 0, k=3).orderBy("rank").collect()
+    assert len(got) == 3
+    tiny = [(i, [1e-120 * (i + 1), 1e-120]) for i in range(30)]
+    assert [r.vec_id for r in nearest_neighbours(spark.createDataFrame(tiny, "vec_id bigint, embedding array<double>"), F.col("id") == 0, k=3).orderBy("rank").collect()] == [1, 2, 3]
+
+
+def test_shards_are_bounded_in_bytes(spark, monkeypatch):
+    from ledgerloom.llm import ann
+
+    monkeypatch.setattr(ann, "SHARD_BYTES", 12 * 64 * 100)
+    rng = np.random.default_rng(8)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(500, 64)))]
+    index = ann.build_index(usable(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")))
+    assert index.select("shard").distinct().count() == 5
