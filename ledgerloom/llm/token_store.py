@@ -1,15 +1,16 @@
 """Token ids of whole documents in ORC files, in ascending document order.
 
-Layout: quantiles of the ids give ranges, found from the ids alone. Documents
-are encoded where they are read, each gets the number of its range, and only
+Layout: quantiles of the ids give ranges, found from the ids alone; there are
+never more than MOST_RANGES, so plan and driver stay small whatever the number of
+documents. Documents are encoded where they are read (a small table is dealt out first), each gets the number of its range, and only
 ids travel, two bytes each where the vocabulary allows it. A range is sorted by
-id, and each task writes one file. A file's rows hold the document id, the id
-count, where the document starts within its file, the file's number and the ids as 32-bit
+id, and each task writes one file of several stripes, or a few where a range is large. A file's rows hold the document id, the id
+count, where the document starts within its range, the range's number and the ids as 32-bit
 integers, which ORC stores with run-length encoding. Every stripe carries row
 indexes and a Bloom filter on the document id, so a reader prunes stripes by
 range or by key, and stripes are read in parallel. The global start of a
-document is its file's base, a running sum over one total per file, plus its
-start within the file.
+document is its range's base, a running sum over one total per range, plus its
+start within the range.
 
 Defined cases: a null text counts as empty; every document, empty ones too,
 ends with the end id. A null document id sorts first. Rows that repeat an id
@@ -27,12 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import mapped, parts_for, scratch_path
+from .common import mapped, parts_for, scratch_path, spread
 from .tokenizing import encoded, ids_crc32, narrow, wide
 
 STORED = "doc_id bigint, n_tokens bigint, file_start bigint, file_no int, ids array<int>"
-#: Ids in one batch that a task hands back, and documents that one range holds on average.
-BATCH_IDS, RANGE_DOCS = 1 << 20, 8192
+#: Ids in one batch that a task hands back, documents of a range on average, ranges at most, and rows of a file at most.
+BATCH_IDS, RANGE_DOCS, MOST_RANGES, FILE_ROWS = 1 << 20, 1 << 16, 1 << 14, 1 << 20
+#: Bytes of a stripe: several tasks read one file.
+STRIPE = 16 << 20
 #: Stands for a null id: they sort first.
 _NULL = -(2**63)
 
@@ -58,12 +61,12 @@ def _dealing_keys(spark: SparkSession, ranges: int) -> list[int]:
     return [found.get(r, r) for r in range(ranges)]
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", ranges: int | None = None) -> None:
-    """Encode `docs` and write the ORC files to `path`. `ranges`: how many; by default they follow the number of documents."""
+def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", ranges: int | None = None, stripe: int = STRIPE) -> None:
+    """Encode `docs` and write the ORC files to `path`. `ranges`: how many; by default they follow the number of documents up to MOST_RANGES."""
     spark = docs.sparkSession
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     keys = slim.select(F.coalesce("doc_id", F.lit(_NULL)).alias("doc_id"))
-    ranges = ranges or parts_for(keys, RANGE_DOCS)
+    ranges = ranges or min(MOST_RANGES, parts_for(keys, RANGE_DOCS))
     bounds, deal = np.array(_bounds(keys, ranges), np.int64), np.array(_dealing_keys(spark, ranges), np.int32)
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,12 +95,15 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
                 start += int(offsets[-1])
                 first = last
 
-    dealt = slim.transform(mapped, coded, "deal int, range_no int, doc_id bigint, n int, crc bigint, ids binary").repartition(ranges, "deal")
+    dealt = spread(slim).transform(mapped, coded, "deal int, range_no int, doc_id bigint, n int, crc bigint, ids binary").repartition(ranges, "deal")
     (
         dealt.sortWithinPartitions("range_no", "doc_id", "crc")
         .select("range_no", "doc_id", "n", "ids")
         .transform(mapped, rows, STORED)
         .write.option("compression", "zstd")
+        .option("maxRecordsPerFile", FILE_ROWS)
+        .option("orc.stripe.size", stripe)
+        .option("orc.rows.between.memory.checks", 256)  # rows are large: look often whether a stripe is full
         .option("orc.create.index", "true")
         .option("orc.row.index.stride", "1000")
         .option("orc.bloom.filter.columns", "doc_id")
@@ -107,7 +113,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
-    """The stored documents with their global `start`. The driver gets one total per file."""
+    """The stored documents with their global `start`. The driver gets one total per range, MOST_RANGES at most."""
     stored = spark.read.schema(STORED).orc(path)
     bases, total = [], 0
     for row in sorted(stored.groupBy("file_no").agg(F.sum("n_tokens").alias("n")).collect(), key=lambda r: r["file_no"]):

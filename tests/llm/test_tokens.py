@@ -92,6 +92,48 @@ def test_store_prunes_and_keeps_ids(spark, sf_dir, texts, tmp_path):
     assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:], strict=False))
 
 
+def test_stripes_of_a_file_are_read_in_parallel(spark, sf_dir, texts, tmp_path, monkeypatch):
+    """Several stripes a file, several files a range: tasks read stretches of a file, and the documents are the same."""
+    from ledgerloom.llm import token_store as T
+
+    path, out = public_tokenizers.path("byte_bpe_50k.json"), f"file://{tmp_path}/tokens"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    copies = range(0, 600_000, 100_000)
+    more = docs.selectExpr("explode(sequence(0L, 500000L, 100000L)) AS k", "*").selectExpr("doc_id + k AS doc_id", "text")
+    write_tokens(more, out, path, ranges=1, stripe=1 << 16)
+    import pyarrow.orc as orc
+
+    (file,) = tmp_path.glob("tokens/*.orc")
+    stripes = orc.ORCFile(file).nstripes
+    assert stripes >= 3
+    spark.conf.set("spark.sql.files.maxPartitionBytes", file.stat().st_size // 3)
+    spark.conf.set("spark.sql.files.openCostInBytes", 0)
+    try:
+        got = token_digest(read_tokens(spark, out))
+        tasks = {r.p for r in spark.read.orc(out).selectExpr("spark_partition_id() AS p").collect()}
+        assert len(tasks) >= 2
+        check_store(got, [(i + k, t) for k in copies for i, t in texts.items()])
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    monkeypatch.setattr(T, "FILE_ROWS", 70)
+    write_tokens(docs, f"{out}-small", path, ranges=2)
+    assert len(list(tmp_path.glob("tokens-small/*.orc"))) > 2
+    check_store(token_digest(read_tokens(spark, f"{out}-small")), texts.items())
+
+
+def test_ranges_are_bounded(spark, texts, monkeypatch):
+    from ledgerloom.llm import token_store as T
+
+    monkeypatch.setattr(T, "MOST_RANGES", 3)
+    monkeypatch.setattr(T, "RANGE_DOCS", 5)
+    out = scratch_path(spark, "bounded")
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    write_tokens(docs, out, public_tokenizers.path("byte_bpe_50k.json"))
+    assert {r.file_no for r in spark.read.orc(out).select("file_no").distinct().collect()} == {0, 1, 2}
+    check_store(token_digest(read_tokens(spark, out)), texts.items())
+
+
 def test_an_id_may_fill_several_ranges(spark):
     """Rows of one id, and of none, are dealt to several tasks and still stored in order of id and checksum."""
     path = public_tokenizers.path("byte_bpe_50k.json")
