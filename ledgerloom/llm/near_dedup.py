@@ -251,6 +251,8 @@ FAMILY = 1 << 20
 HASHES, BANDS, BAND = 128, 25, 5
 #: Deviations by which the sketches of a pair at the threshold may differ from their mean: exceeded about twice in a million.
 SLACK = 5.0
+#: Bits of the bitmap that picks texts whose sets are compared, at most: 16 MB on the driver and in each worker.
+BITMAP = 1 << 27
 
 
 def shingle_sets(texts: list[bytes | None], words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -407,9 +409,11 @@ def set_links(sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np
 def _wanted(slim: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """The shingle sets of the `wanted` nodes (node, all different), and of a few more, as node and bytes: made again from the texts.
 
-    A bitmap of 16 to 32 bits a wanted node picks them before anything is shuffled.
+    A bitmap picks them before anything is shuffled: of 16 to 32 bits a wanted node, but never more than BITMAP in all.
+    With more nodes than that is sharp for, more sets than the wanted ones are made and shuffled, in the worst case all
+    of them once; the join by node leaves the wanted ones.
     """
-    size = 1 << max(10, int(16 * wanted.count()).bit_length())
+    size = 1 << min(BITMAP.bit_length() - 1, max(10, int(16 * wanted.count()).bit_length()))
     at = F.col("node").bitwiseAND(F.lit(size - 1))
     words_ = wanted.select(F.shiftright(at, 6).alias("word"), F.expr(f"shiftleft(1L, int((node & {size - 1}L) & 63))").alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
     bitmap = np.zeros(size // 64, np.uint64)

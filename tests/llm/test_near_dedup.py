@@ -164,6 +164,20 @@ def test_dense_family_equals_brute_force(spark, family):
     assert got == roots(range(120), similar)
 
 
+def test_a_full_bitmap_loses_nothing(spark, monkeypatch):
+    """Beyond its bound the bitmap picks too many texts, never too few."""
+    from ledgerloom.llm import near_dedup as N
+
+    monkeypatch.setattr(N, "BITMAP", 64)
+    rng = np.random.default_rng(12)
+    rows = []
+    for family in range(40):
+        words = [f"w{family}x{w}" for w in rng.integers(0, 10_000, 120)]
+        rows += [(family * 10, " ".join(words)), (family * 10 + 1, " ".join([*words, "end"])), (family * 10 + 2, " ".join(words[:40]))]
+    got = {r.doc_id: r.component_id for r in similar_groups(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {i: i - (i % 10 == 1) for i, _ in rows}
+
+
 def test_set_links_equal_all_pairs():
     rng = np.random.default_rng(5)
     for n in (2, 30, 80):
