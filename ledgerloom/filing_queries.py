@@ -9,6 +9,7 @@ the rows held.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,9 +17,10 @@ from pyspark.sql import functions as F
 
 from .functions import normalise as N
 from .operators import compare, embedding, events, positions, upsert
+from .plans import backfill, ingest
 from .plans.refresh import refresh_views
 from .plans.store import Store
-from .queries import dealt, query, table
+from .queries import SQL, dealt, query, table
 from .schemas import ddl
 from .scratch import scratch_path
 from .sources import artifacts, holdings_xml, index, reports, submission
@@ -188,6 +190,28 @@ def filing_embedding_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding.candidates(chunks, some, made, symbols, known, profile, chosen).select("chunk_key", C("embedding_input_hash").alias("input_hash"), "needed")
 
 
+_CHOSEN = f"""f AS ({_FILINGS[1]}), r AS ({_REPORTS[1]}), t AS ({_TICKERS[1]}), c AS ({_CHUNKS[1].replace("sha2_256(", "sha256(")}),
+    j AS (SELECT c.*, f.company_name, f.cik, f.form_type, f.filed_date, coalesce(r.report_period, f.period_of_report) AS report_period, (SELECT min(ticker) FROM t WHERE t.cik = f.cik) AS ticker FROM c JOIN f USING (accession_number) JOIN r USING (accession_number)
+        WHERE f.form_type IN ('13F-HR', '13F-HR/A') AND f.filed_date BETWEEN DATE '1995-06-01' AND DATE '1999-12-31')"""
+
+
+@query(f"WITH {_CHOSEN} SELECT chunk_key, profile_name, sha256('periodic-chunk-v1' || chr(10) || concat_ws(chr(10), {_PARTS})) AS input_hash FROM j, (VALUES ('first'), ('second')) p(profile_name) WHERE profile_name = 'second' OR chunk_key <= (SELECT chunk_key FROM j ORDER BY chunk_key LIMIT 1 OFFSET 24)")
+def backfill_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TXT-14, TXT-15, SNK-13 to SNK-15, SRT-09: a profile stops at its limit, another embeds everything in lots; the first then changes, which drops what it had, and stops at its limit again."""
+    store = Store(spark, f"{scratch_path(spark, 'backfill')}/store")
+    store.migrate()
+    chunks = spark.sql(_CHUNKS[0].replace("FROM documents", "FROM {source}").replace("sha2_256(text)", "sha2(text, 256)"), source=table(spark, sf_dir, "documents"))
+    with store.commit():
+        store.upsert("filings", _filled(filings(spark, sf_dir).withColumn("ingest_seq", L(1)), "filings"))
+        store.upsert("periodic_reports", _filled(_made(spark, sf_dir, _REPORTS, "orders").withColumn("ingest_seq", L(1)), "periodic_reports"))
+        store.replace("periodic_chunks", chunks, _filled(chunks, "periodic_chunks"), "accession_number")
+        store.write("company_tickers", _filled(tickers(spark, sf_dir), "company_tickers"))
+    few = embedding.Selection(form_type="13F-HR", filed_from=date(1995, 6, 1), filed_to=date(1999, 12, 31), limit=25)
+    for name, chosen, dimension in (("first", few, 4), ("second", replace(few, limit=None), 4), ("first", few, 5)):
+        backfill.run_backfill(store, embedding.Profile(name, embedding_dimension=dimension), embedding.HashEmbedder(dimension), chosen)
+    return store.read("chunk_embeddings").where(F.size("embedding") == F.when(C("profile_name") == "first", 5).otherwise(4)).select("chunk_key", "profile_name", C("embedding_input_hash").alias("input_hash"))
+
+
 # ---- sources --------------------------------------------------------------------------------------------------------------
 
 
@@ -308,6 +332,28 @@ _ISSUER = "CASE WHEN l_partkey % 3 = 0 THEN 'Straße  ' || p_name ELSE p_name ||
     put_call, v AS value_reported, CASE WHEN late THEN 'USD' ELSE 'THOUSANDS_USD' END AS value_unit, (v * CASE WHEN late THEN 1 ELSE 1000 END)::DECIMAL(20,2) AS value_usd, q AS shares_principal_amount FROM x""")
 def holdings_xml_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-13, SCL-09 to SCL-11, SCL-16, SCL-17: information tables are written out as XML, some with prefixes, and parsed."""
+    found = holdings_xml.parse_holdings_reports(_holdings_xml(spark, sf_dir)).where("error IS NULL").select("accession_number", F.explode("holdings").alias("h")).select("accession_number", "h.*")
+    return found.select(*_LINE)
+
+
+@query(SQL["holdings_xml_rows"])
+def loaded_holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PIP-05, SNK-02 to SNK-11: the same tables go through the loader, with a half of the filings written twice, and are read from the store."""
+    store = Store(spark, f"{scratch_path(spark, 'loaded')}/store")
+    store.migrate()
+    key = C("accession_number").cast("int")
+    made = _holdings_xml(spark, sf_dir).withColumns({"cik": (key % 40).cast("string"), "company_name": F.concat(L("Company "), (key % 40).cast("string")), "place": key, **{c: L(None).cast("string") for c in ("archive_path", "submission_url", "filing_directory_url", "index_url", "primary_document_filename", "information_table_filename")}, "acceptance_datetime": L(None).cast("timestamp")})
+    for some in (L(True), key % 2 == 0):
+        with store.commit():
+            ingest.load_filings(store, ingest.HOLDINGS, holdings_xml.parse_holdings_reports(made.where(some)), None)
+    return store.read("thirteenf_holdings").select(*_LINE)
+
+
+_LINE = ["accession_number", "holding_sequence", "issuer_name", "class_title", "security_reference_key", "put_call", "value_reported", "value_unit", "value_usd", "shares_principal_amount"]
+
+
+def _holdings_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Filings with cover page and information table as XML, one for each order."""
     lines = spark.sql(f"SELECT *, {_LINES} AS n, {_ISSUER} AS issuer FROM {{l}} JOIN {{p}} ON p_partkey = l_partkey", l=table(spark, sf_dir, "lineitem"), p=table(spark, sf_dir, "part"))
     tag = lambda name, value: F.concat(L(f"<@{name}>"), value, L(f"</@{name}>"))
     one = tag("infoTable", F.concat(tag("nameOfIssuer", F.replace("issuer", L("&"), L("&amp;"))), tag("titleOfClass", F.concat(L(" "), "p_type", L("\n"))), tag("cusip", F.concat(L("ab"), C("l_partkey").cast("string"))), tag("value", C("l_extendedprice").cast("decimal(20,2)").cast("string")),
@@ -316,9 +362,7 @@ def holdings_xml_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     late = C("l_orderkey") % 2 == 0
     info = F.when(late, F.concat(L('<ns1:informationTable xmlns:ns1="urn:a">'), F.replace("body", L("@"), L("ns1:")), L("</ns1:informationTable>"))).otherwise(F.concat(L('<informationTable xmlns="urn:a">'), F.replace("body", L("@"), L("")), L("</informationTable>")))
     cover = L("<edgarSubmission><headerData><filerInfo><periodOfReport>12-31-2022</periodOfReport></filerInfo></headerData><formData><coverPage><isAmendment>false</isAmendment></coverPage></formData></edgarSubmission>")
-    made = dealt(tables, table(spark, sf_dir, "orders").count()).select(F.lpad(C("l_orderkey").cast("string"), 10, "0").alias("accession_number"), L("13F-HR").alias("form_type"), F.when(late, E("DATE '2023-01-03'")).otherwise(E("DATE '2023-01-02'")).alias("filed_date"), cover.alias("primary_xml"), info.alias("info_xml"))
-    found = holdings_xml.parse_holdings_reports(made).where("error IS NULL").select("accession_number", F.explode("holdings").alias("h")).select("accession_number", "h.*")
-    return found.select("accession_number", "holding_sequence", "issuer_name", "class_title", "security_reference_key", "put_call", "value_reported", "value_unit", "value_usd", "shares_principal_amount")
+    return dealt(tables, table(spark, sf_dir, "orders").count()).select(F.lpad(C("l_orderkey").cast("string"), 10, "0").alias("accession_number"), L("13F-HR").alias("form_type"), F.when(late, E("DATE '2023-01-03'")).otherwise(E("DATE '2023-01-02'")).alias("filed_date"), cover.alias("primary_xml"), info.alias("info_xml"))
 
 
 @query("""SELECT lpad(o_orderkey::VARCHAR, 10, '0') AS accession_number, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderdate::DATE END AS report_period, o_orderpriority = '4-NOT SPECIFIED' AS is_notice, o_orderpriority IN ('2-HIGH', '3-MEDIUM') AS is_amendment,
