@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.normalise import identifier, primary_token
@@ -39,132 +39,90 @@ def with_provenance(positions: DataFrame, effective: DataFrame) -> DataFrame:
     return positions.join(latest, ["cik", "report_period"], "left")
 
 
-def _prepared(positions: DataFrame) -> DataFrame:
-    return positions.withColumns({"ident": identifier(F.col("figi"), F.col("cusip")), "token": primary_token(F.col("issuer_name"))}).select(*KEY, *FIELDS)
-
-
-def _side(df: DataFrame, side: str) -> DataFrame:
-    return df.select(*(F.col(c).alias(f"{side}_{c}") for c in df.columns))
+def _prepared(positions: DataFrame, side: str) -> DataFrame:
+    return positions.select("*", identifier(F.col("figi"), F.col("cusip")).alias("ident"), primary_token(F.col("issuer_name")).alias("token"), F.lit(side).alias("side")).select("side", *KEY, *FIELDS)
 
 
 def _single(pairs: DataFrame) -> DataFrame:
     """Pairs that are the only candidate of both their sides, counted by filer and key."""
-    counts = [F.count("*").over(Window.partitionBy(f"{s}_cik", f"{s}_security_reference_key")) for s in "cp"]
-    return pairs.withColumns({"_nc": counts[0], "_np": counts[1]}).where("_nc = 1 AND _np = 1").drop("_nc", "_np")
+    counts = (f"count(*) OVER (PARTITION BY {s}_cik, {s}_security_reference_key) AS _n{s}" for s in "cp")
+    return pairs.selectExpr("*", *counts).where("_nc = 1 AND _np = 1").drop("_nc", "_np")
+
+
+def _across(aggregate: str, of: str, what: str, by: str) -> str:
+    """An aggregate of `what` over the other side's rows of a group, for rows of either side; `of` says which rows count."""
+    each = (f"{aggregate}(CASE WHEN side = '{s}' AND {of} THEN {what} END) OVER (PARTITION BY {by})" for s in "pc")
+    return "CASE WHEN side = 'c' THEN {} ELSE {} END".format(*each)
 
 
-def compare(current: DataFrame, prior: DataFrame, current_period: Column, prior_period: Column, strict_keys: bool = False, stage: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+def _paired(both: DataFrame, strict_keys: bool) -> DataFrame:
+    """Rows of both sides with what the first two passes make of them, by windows alone: `partner` of the other side, `strategy`, and `left` for the third pass."""
+    names = ", ".join([*KEY, *FIELDS])
+    group, own = "cik, put_call_key, shares_principal_type_key, ident", "side, cik, security_reference_key"
+    known = " AND ".join(f"{c} IS NOT NULL" for c in KEY)
+    exact = both.selectExpr("*", f"{_across('max', known, f'struct({names})', ', '.join(KEY))} AS _same").selectExpr("*", "_same IS NULL AND ident IS NOT NULL AS _open")
+    counted = exact.selectExpr("*", f"CASE WHEN _open THEN {_across('count', '_open', '1', group)} ELSE 0 END AS _n").selectExpr("*", f"sum(_n) OVER (PARTITION BY {own}) AS _total")
+    # A row with one candidate in all, whose candidate has one in all, is half of a pair.
+    mated = counted.selectExpr("*", f"{_across('max', '_open AND _total = 1', f'struct({names})', group)} AS _mate").selectExpr("*", "_open AND _n = 1 AND _total = 1 AND _mate IS NOT NULL AS _half")
+    cleared = "_half" if strict_keys else f"max(_half) OVER (PARTITION BY {own})"
+    return mated.selectExpr(
+        "side", *KEY, *FIELDS, "CASE WHEN _same IS NOT NULL THEN _same WHEN _half THEN _mate END AS partner", "CASE WHEN _same IS NOT NULL THEN 'exact_security_reference_key' WHEN _half THEN 'figi_or_cusip' END AS strategy", f"_same IS NULL AND NOT {cleared} AS left"
+    )
+
+
+def compare(current: DataFrame, prior: DataFrame, current_period: str, prior_period: str, strict_keys: bool = False, stage: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """Current against prior positions: one row per matched pair and per new or disposed position.
 
-    Both have the columns of positions and accession_number. `stage` may persist or write what several branches read.
+    Both have the columns of positions and accession_number, and a key once. `stage` may persist or write the
+    table that the branches read. Each side is read once: both go through the first two passes as one table.
     """
-    now, then = (_side(_prepared(df), side).withColumn(f"{side}_held", F.lit(True)) for df, side in ((current, "c"), (prior, "p")))
+    rows = stage(_paired(_prepared(current, "c").unionByName(_prepared(prior, "p")), strict_keys))
+    names = [*KEY, *FIELDS]
+    early = rows.where("side = 'c' AND partner IS NOT NULL").selectExpr(*(f"{c} AS c_{c}" for c in names), *(f"partner.{c} AS p_{c}" for c in names), "strategy")
+    left = rows.where("left")
+    c, p = (left.where(f"side = '{s}' AND total_shares_principal_amount <> 0").selectExpr(*(f"{n} AS {s}_{n}" for n in names)) for s in "cp")
+    same = [f"c_{n} = p_{n}" for n in ("cik", "put_call_key", "shares_principal_type_key", "total_shares_principal_amount")]
+    near = "abs(c_total_value_usd - p_total_value_usd) <= greatest(c_total_value_usd, p_total_value_usd) * 0.5"
+    renamed = _single(c.join(p, F.expr(" AND ".join([*same, near, "(p_issuer_name = c_issuer_name OR p_token = c_token)"]))))
+    cleared = KEY if strict_keys else KEY[:2]
+    gone = renamed.selectExpr("inline(array({}))".format(", ".join(f"struct('{s}' AS side, {', '.join(f'{s}_{n} AS {n}' for n in cleared)})" for s in "cp")))
+    alone = left.join(gone, ["side", *cleared], "left_anti")
+    pairs = early.unionByName(renamed.selectExpr("*", "'issuer_or_primary_token_same_shares' AS strategy"))
+    return pairs.selectExpr(*_matched()).unionByName(alone.selectExpr(*_one_sided(current_period, prior_period)))
 
-    def on(columns: list[str]) -> Column:
-        return _all([F.col(f"c_{c}") == F.col(f"p_{c}") for c in columns])
 
-    # One join gives the exact matches and what both sides have left.
-    joined = stage(now.join(then, on(KEY), "full_outer"))
-    exact = joined.where("c_held AND p_held")
-    c_left, p_left = joined.where("p_held IS NULL").select(*now.columns), joined.where("c_held IS NULL").select(*then.columns)
-    cleared = KEY if strict_keys else KEY[:2]
+def _row(c: Callable[[str], str], p: Callable[[str], str], first: Callable[[str], str], now: str, before: str, previous_key: str, new: str, gone: str, strategy: str) -> list[str]:
+    """The columns of the result, where `c`, `p` and `first` give a field of the current, the prior and the leading side."""
+    out = {n: first(n) for n in ("cik", "canonical_filer_name")} | {"report_period": now, "previous_report_period": before, "security_reference_key": first("security_reference_key"), "previous_security_reference_key": previous_key, "issuer_name": first("issuer_name")}
+    for n in ("class_title", "cusip", "figi"):
+        out |= {n: first(n), f"previous_{n}": p(n)}
+    out |= {"put_call": f"nullif({first('put_call_key')}, 'NONE')", "shares_principal_type": f"nullif({first('shares_principal_type_key')}, 'UNKNOWN')", "current_accession_number": c("accession_number"), "prior_accession_number": p("accession_number")}
+    for amount, name, change in (("total_value_usd", "value_usd", "value_change_usd"), ("total_shares_principal_amount", "shares_principal_amount", "share_change")):
+        had = [f"CAST(coalesce({s(amount)}, 0) AS {MONEY})" for s in (c, p)]
+        out |= {f"current_{name}": had[0], f"prior_{name}": had[1], change: f"CAST({had[0]} - {had[1]} AS {MONEY})"}
+    out |= {"new_position": new, "disposed_position": gone, "match_strategy": strategy}
+    return [f"{value} AS {name}" for name, value in out.items()]
+
+
+def _matched() -> list[str]:
+    def first(name: str) -> str:
+        return f"coalesce(c_{name}, p_{name})" if name == "canonical_filer_name" else f"c_{name}"
+
+    return _row(lambda n: f"c_{n}", lambda n: f"p_{n}", first, "c_report_period", "p_report_period", "p_security_reference_key", "false", "false", "strategy")
+
+
+def _one_sided(current_period: str, prior_period: str) -> list[str]:
+    """New positions are on the current side alone, disposed ones on the prior side."""
+
+    def of(side: str) -> Callable[[str], str]:
+        return lambda n: f"CASE WHEN side = '{side}' THEN {n} END"
 
-    def rest(df: DataFrame, matched: DataFrame, side: str) -> DataFrame:
-        names = [f"{side}_{c}" for c in cleared]
-        return df.join(matched.select(*names), names, "left_anti")
-
-    kinds = ["cik", "put_call_key", "shares_principal_type_key"]
-    by_ident = stage(_single(c_left.join(p_left, on([*kinds, "ident"]))))
-    c_rest, p_rest = rest(c_left, by_ident, "c"), rest(p_left, by_ident, "p")
-
-    c_value, p_value = F.col("c_total_value_usd"), F.col("p_total_value_usd")
-    alike = (F.col("p_issuer_name") == F.col("c_issuer_name")) | (F.col("p_token") == F.col("c_token"))
-    near = F.abs(c_value - p_value) <= F.greatest(c_value, p_value) * F.lit("0.5").cast("decimal(2,1)")
-    renamed = stage(_single(c_rest.where("c_total_shares_principal_amount != 0").join(p_rest, on([*kinds, "total_shares_principal_amount"]) & near & alike)))
-
-    parts = [
-        _matched(exact, "exact_security_reference_key"),
-        _matched(by_ident, "figi_or_cusip"),
-        _matched(renamed, "issuer_or_primary_token_same_shares"),
-        _one_sided(rest(c_rest, renamed, "c"), "c", current_period, prior_period),
-        _one_sided(rest(p_rest, renamed, "p"), "p", current_period, prior_period),
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
-
-
-def _all(conditions: list[Column]) -> Column:
-    out = conditions[0]
-    for c in conditions[1:]:
-        out = out & c
-    return out
-
-
-def _row(c: Callable[[str], Column], p: Callable[[str], Column], first: Callable[[str], Column], now: Column, before: Column, previous_key: Column, new: bool, gone: bool, strategy: str) -> list[Column]:
-    zero = F.lit(0).cast(MONEY)
-    value = [F.coalesce(s("total_value_usd"), zero).cast(MONEY) for s in (c, p)]
-    shares = [F.coalesce(s("total_shares_principal_amount"), zero).cast(MONEY) for s in (c, p)]
-    return [
-        first("cik").alias("cik"),
-        first("canonical_filer_name").alias("canonical_filer_name"),
-        now.alias("report_period"),
-        before.alias("previous_report_period"),
-        first("security_reference_key").alias("security_reference_key"),
-        previous_key.alias("previous_security_reference_key"),
-        first("issuer_name").alias("issuer_name"),
-        first("class_title").alias("class_title"),
-        p("class_title").alias("previous_class_title"),
-        first("cusip").alias("cusip"),
-        p("cusip").alias("previous_cusip"),
-        first("figi").alias("figi"),
-        p("figi").alias("previous_figi"),
-        F.nullif(first("put_call_key"), F.lit("NONE")).alias("put_call"),
-        F.nullif(first("shares_principal_type_key"), F.lit("UNKNOWN")).alias("shares_principal_type"),
-        c("accession_number").alias("current_accession_number"),
-        p("accession_number").alias("prior_accession_number"),
-        value[0].alias("current_value_usd"),
-        value[1].alias("prior_value_usd"),
-        (value[0] - value[1]).cast(MONEY).alias("value_change_usd"),
-        shares[0].alias("current_shares_principal_amount"),
-        shares[1].alias("prior_shares_principal_amount"),
-        (shares[0] - shares[1]).cast(MONEY).alias("share_change"),
-        F.lit(new).alias("new_position"),
-        F.lit(gone).alias("disposed_position"),
-        F.lit(strategy).alias("match_strategy"),
-    ]
-
-
-def _matched(pairs: DataFrame, strategy: str) -> DataFrame:
-    def c(name: str) -> Column:
-        return F.col(f"c_{name}")
-
-    def p(name: str) -> Column:
-        return F.col(f"p_{name}")
-
-    def first(name: str) -> Column:
-        return F.coalesce(c(name), p(name)) if name == "canonical_filer_name" else c(name)
-
-    return pairs.select(*_row(c, p, first, c("report_period"), p("report_period"), p("security_reference_key"), False, False, strategy))
-
-
-def _one_sided(rows: DataFrame, side: str, current_period: Column, prior_period: Column) -> DataFrame:
-    types = dict(rows.dtypes)
-
-    def have(name: str) -> Column:
-        return F.col(f"{side}_{name}")
-
-    def lack(name: str) -> Column:
-        return F.lit(None).cast(types[f"{side}_{name}"])
-
-    if side == "c":
-        return rows.select(*_row(have, lack, have, have("report_period"), prior_period, lack("security_reference_key"), True, False, "new_position"))
-    return rows.select(*_row(lack, have, have, current_period, have("report_period"), have("security_reference_key"), False, True, "disposed_position"))
+    periods = [f"CASE WHEN side = '{s}' THEN report_period ELSE DATE '{d}' END" for s, d in (("c", current_period), ("p", prior_period))]
+    return _row(of("c"), of("p"), lambda n: n, *periods, of("p")("security_reference_key"), "side = 'c'", "side = 'p'", "CASE WHEN side = 'c' THEN 'new_position' ELSE 'disposed_position' END")
 
 
 def compare_filer(positions: DataFrame, effective: DataFrame, cik: str, current: str, prior: str, which: str = ALL, put_call: str | None = None, strict_keys: bool = False) -> DataFrame:
     """One filer's portfolio at two report periods."""
     chosen = positions.where((F.col("cik") == cik) & position_filter(which, put_call))
     sides = [with_provenance(chosen.where(F.col("report_period") == F.lit(d).cast("date")), effective) for d in (current, prior)]
-    return compare(*sides, F.lit(current).cast("date"), F.lit(prior).cast("date"), strict_keys)
+    return compare(*sides, current, prior, strict_keys)

@@ -219,7 +219,7 @@ def _compared(spark: SparkSession, sf_dir: str, filer: int | None = None, where:
     sides = [year_positions(spark, sf_dir, y, filer) for y in (1998, 1997)]
     if where is not None:
         sides = [s.where(where) for s in sides]
-    found = compare.compare(*sides, F.lit("1998-12-31").cast("date"), F.lit("1997-12-31").cast("date"), stage=staged)
+    found = compare.compare(*sides, "1998-12-31", "1997-12-31", stage=staged)
     return found.select(*_COMPARED)
 
 
