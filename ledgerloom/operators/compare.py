@@ -55,19 +55,54 @@ def _across(aggregate: str, of: str, what: str, by: str) -> str:
     return "CASE WHEN side = 'c' THEN {} ELSE {} END".format(*each)
 
 
-def _paired(both: DataFrame, strict_keys: bool) -> DataFrame:
+_NAMES = ", ".join([*KEY, *FIELDS])
+_OWN = "side, cik, security_reference_key"
+#: What makes two positions that are left one, beside equal kinds and share counts.
+_NEAR = "abs({c}total_value_usd - {p}total_value_usd) <= greatest({c}total_value_usd, {p}total_value_usd) * 0.5 AND ({p}issuer_name = {c}issuer_name OR {p}token = {c}token)"
+
+
+def paired_sql(source: str, strict_keys: bool = False) -> str:
     """Rows of both sides with what the first two passes make of them, by windows alone: `partner` of the other side, `strategy`, and `left` for the third pass."""
-    names = ", ".join([*KEY, *FIELDS])
-    group, own = "cik, put_call_key, shares_principal_type_key, ident", "side, cik, security_reference_key"
-    known = " AND ".join(f"{c} IS NOT NULL" for c in KEY)
-    exact = both.selectExpr("*", f"{_across('max', known, f'struct({names})', ', '.join(KEY))} AS _same").selectExpr("*", "_same IS NULL AND ident IS NOT NULL AS _open")
-    counted = exact.selectExpr("*", f"CASE WHEN _open THEN {_across('count', '_open', '1', group)} ELSE 0 END AS _n").selectExpr("*", f"sum(_n) OVER (PARTITION BY {own}) AS _total")
-    # A row with one candidate in all, whose candidate has one in all, is half of a pair.
-    mated = counted.selectExpr("*", f"{_across('max', '_open AND _total = 1', f'struct({names})', group)} AS _mate").selectExpr("*", "_open AND _n = 1 AND _total = 1 AND _mate IS NOT NULL AS _half")
-    cleared = "_half" if strict_keys else f"max(_half) OVER (PARTITION BY {own})"
-    return mated.selectExpr(
-        "side", *KEY, *FIELDS, "CASE WHEN _same IS NOT NULL THEN _same WHEN _half THEN _mate END AS partner", "CASE WHEN _same IS NOT NULL THEN 'exact_security_reference_key' WHEN _half THEN 'figi_or_cusip' END AS strategy", f"_same IS NULL AND NOT {cleared} AS left"
-    )
+    group, known = "cik, put_call_key, shares_principal_type_key, ident", " AND ".join(f"{c} IS NOT NULL" for c in KEY)
+    steps = [
+        f"{_across('max', known, f'struct({_NAMES})', ', '.join(KEY))} AS _same",
+        "_same IS NULL AND ident IS NOT NULL AS _open",
+        f"CASE WHEN _open THEN {_across('count', '_open', '1', group)} ELSE 0 END AS _n",
+        f"sum(_n) OVER (PARTITION BY {_OWN}) AS _total",
+        # A row with one candidate in all, whose candidate has one in all, is half of a pair.
+        f"{_across('max', '_open AND _total = 1', f'struct({_NAMES})', group)} AS _mate",
+        "_open AND _n = 1 AND _total = 1 AND _mate IS NOT NULL AS _half",
+    ]
+    for step in steps:
+        source = f"(SELECT *, {step} FROM {source})"
+    cleared = "_half" if strict_keys else f"max(_half) OVER (PARTITION BY {_OWN})"
+    return f"""SELECT side, {_NAMES}, CASE WHEN _same IS NOT NULL THEN _same WHEN _half THEN _mate END AS partner, CASE WHEN _same IS NOT NULL THEN 'exact_security_reference_key' WHEN _half THEN 'figi_or_cusip' END AS strategy,
+        _same IS NULL AND NOT {cleared} AS left FROM {source}"""
+
+
+def one_filer_sql(source: str, current_period: str, prior_period: str) -> str:
+    """The comparison of one filer's sides as a single pass over `source`: candidates of the third pass are gathered by share count, which one filer's portfolio bounds."""
+    group, live = "cik, put_call_key, shares_principal_type_key, total_shares_principal_amount", "left AND total_shares_principal_amount <> 0"
+    near = _NEAR.format(c="", p="o.")
+
+    def others(more: str = "") -> str:
+        return f"CASE WHEN {live} THEN filter({_across('collect_list', live, f'struct({_NAMES}{more})', group)}, o -> {near}) END"
+
+    steps = [f"{others()} AS _near", f"sum(coalesce(size(_near), 0)) OVER (PARTITION BY {_OWN}) AS _sum", f"{others(', _sum')} AS _again", "coalesce(size(_near) = 1 AND _sum = 1 AND _again[0]._sum = 1, false) AS _half", f"left AND NOT max(_half) OVER (PARTITION BY {_OWN}) AS _alone"]
+    inner = f"({paired_sql(source)})"
+    for step in steps:
+        inner = f"(SELECT *, {step} FROM {inner})"
+    mate = f"coalesce(partner, CASE WHEN _half THEN named_struct({', '.join(f'{chr(39)}{n}{chr(39)}, _near[0].{n}' for n in [*KEY, *FIELDS])}) END)"
+    joined = f"(SELECT side, {_NAMES}, {mate} AS o, coalesce(strategy, CASE WHEN _half THEN 'issuer_or_primary_token_same_shares' END) AS strategy FROM {inner} WHERE _alone OR (side = 'c' AND (partner IS NOT NULL OR _half)))"
+
+    def prior(name: str) -> str:
+        return f"CASE WHEN side = 'p' THEN {name} ELSE o.{name} END"
+
+    def first(name: str) -> str:
+        return f"coalesce({name}, o.{name})" if name == "canonical_filer_name" else name
+
+    row = _row(lambda n: f"CASE WHEN side = 'c' THEN {n} END", prior, first, current_period, prior_period, prior("security_reference_key"), "strategy IS NULL AND side = 'c'", "side = 'p'", "coalesce(strategy, CASE WHEN side = 'c' THEN 'new_position' ELSE 'disposed_position' END)")
+    return f"SELECT {', '.join(row)} FROM {joined}"
 
 
 def compare(current: DataFrame, prior: DataFrame, current_period: str, prior_period: str, strict_keys: bool = False, stage: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
@@ -76,14 +111,14 @@ def compare(current: DataFrame, prior: DataFrame, current_period: str, prior_per
     Both have the columns of positions and accession_number, and a key once. `stage` may persist or write the
     table that the branches read. Each side is read once: both go through the first two passes as one table.
     """
-    rows = stage(_paired(_prepared(current, "c").unionByName(_prepared(prior, "p")), strict_keys))
+    both = _prepared(current, "c").unionByName(_prepared(prior, "p"))
+    rows = stage(both.sparkSession.sql(paired_sql("{both}", strict_keys), both=both))
     names = [*KEY, *FIELDS]
     early = rows.where("side = 'c' AND partner IS NOT NULL").selectExpr(*(f"{c} AS c_{c}" for c in names), *(f"partner.{c} AS p_{c}" for c in names), "strategy")
     left = rows.where("left")
     c, p = (left.where(f"side = '{s}' AND total_shares_principal_amount <> 0").selectExpr(*(f"{n} AS {s}_{n}" for n in names)) for s in "cp")
     same = [f"c_{n} = p_{n}" for n in ("cik", "put_call_key", "shares_principal_type_key", "total_shares_principal_amount")]
-    near = "abs(c_total_value_usd - p_total_value_usd) <= greatest(c_total_value_usd, p_total_value_usd) * 0.5"
-    renamed = _single(c.join(p, F.expr(" AND ".join([*same, near, "(p_issuer_name = c_issuer_name OR p_token = c_token)"]))))
+    renamed = _single(c.join(p, F.expr(" AND ".join([*same, _NEAR.format(c="c_", p="p_")]))))
     cleared = KEY if strict_keys else KEY[:2]
     gone = renamed.selectExpr("inline(array({}))".format(", ".join(f"struct('{s}' AS side, {', '.join(f'{s}_{n} AS {n}' for n in cleared)})" for s in "cp")))
     alone = left.join(gone, ["side", *cleared], "left_anti")

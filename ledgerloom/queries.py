@@ -17,6 +17,7 @@ from .functions import normalise as N
 from .operators import chunks, compare, events, positions, quality, search, textindex, upsert
 from .operators.embedding import Profile
 from .plans import indexes
+from .plans.refresh import register_compare
 from .plans.store import Store
 from .scratch import scratch_path, staged
 from .sources import calendar, index, reports
@@ -253,7 +254,17 @@ def compare_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_one_filer(spark, sf_dir).orderBy(F.desc(F.abs("value_change_usd")), "security_reference_key", F.asc_nulls_first("put_call")).limit(20)
 
 
-for _name in ("compare_one_filer", "compare_ranked"):
+@query(_compare_sql("l_suppkey = 5"))
+def compare_from_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """VIW-06: the table function `compare_positions`, over views of the same positions."""
+    both = year_positions(spark, sf_dir, 1998).unionByName(year_positions(spark, sf_dir, 1997))
+    both.drop("accession_number").createOrReplaceTempView("filer_positions")
+    both.select("cik", "report_period", "accession_number", F.lit(False).alias("is_notice")).distinct().createOrReplaceTempView("effective_filings")
+    register_compare(spark)
+    return spark.sql("SELECT * FROM compare_positions('5', DATE '1998-12-31', DATE '1997-12-31')").select(*_COMPARED)
+
+
+for _name in ("compare_one_filer", "compare_ranked", "compare_from_sql"):
     SQL[_name] = SQL[_name].replace("GROUP BY ALL HAVING l_suppkey = 5", "AND l_suppkey = 5 GROUP BY ALL")
 SQL["compare_all_filers"] = SQL["compare_all_filers"].replace(" HAVING true", "")
 

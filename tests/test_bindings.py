@@ -69,3 +69,8 @@ def test_compare_from_sql(spark, sf_dir):
         assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
     held.unpersist()
     effective.unpersist()
+
+
+def test_the_table_function_reads_positions_once(spark, sf_dir):
+    plan = Q.compare_from_sql(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("l_shipdate#") and sum("Relation [l_orderkey" in line for line in plan.splitlines()) <= 4  # two periods of the positions, and of the filings that name them
