@@ -21,6 +21,7 @@ repeat a document are each reported. An empty table gives no rows.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -136,18 +137,34 @@ class Templates:
         grams, size = self.grams[t], min(int(self.sizes[t]), len(mine))
         needed = self.threshold * (size + self.sizes[t]) / 2 - 1e-9
         inside = np.concatenate([[0], np.cumsum((mine >= 0) & (self.has[np.maximum(mine, 0), t] > 0))])
+        seen: dict[int, int] = {}
+        both, at = 0, None  # how many bigrams the window shares, and where it stands
+        codes = mine.tolist()
         for start in np.flatnonzero(inside[size:] - inside[:-size] >= needed).tolist():
-            seen = Counter(mine[start : start + size].tolist())
-            both = sum(min(n, seen[g]) for g, n in grams.items() if g in seen)
+            if at is None or start - at >= size:
+                seen = Counter(codes[start : start + size])
+                both = sum(min(n, seen[g]) for g, n in grams.items() if g in seen)
+            else:  # the window moves on: some bigrams leave, as many come
+                for i in range(at, start):
+                    gone, come = codes[i], codes[i + size]
+                    both -= seen[gone] <= grams.get(gone, 0)
+                    seen[gone] -= 1
+                    seen[come] = seen.get(come, 0) + 1
+                    both += seen[come] <= grams.get(come, 0)
+            at = start
             if both >= needed:
                 yield 2 * both / (size + int(self.sizes[t])), int(self.sizes[t]), start, self.known[t][0]
 
     def _best(self, found: list[tuple[float, int, int, str]]) -> list[tuple[float, str, int]]:
-        taken: list[tuple[int, int]] = []
+        """Matches, best first, that overlap no better one; those taken lie apart, so only the neighbours on either side are looked at."""
+        starts: list[int] = []
+        ends: list[int] = []
         out = []
         for dice, size, start, name in sorted(found, key=lambda m: (-m[0], -m[1], m[2], m[3])):
-            if all(start + size < a or b < start for a, b in taken):
-                taken.append((start, start + size))
+            i = bisect_right(starts, start)
+            if (i == 0 or ends[i - 1] < start) and (i == len(starts) or start + size < starts[i]):
+                starts.insert(i, start)
+                ends.insert(i, start + size)
                 out.append((dice, name, start))
         return out
 
