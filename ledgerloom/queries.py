@@ -487,7 +487,7 @@ def fts_and_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT token, count(DISTINCT doc_id) AS docs, count(*) AS tf FROM t WHERE token <> '' GROUP BY token""")
 def fts_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """TXT-09's index, summed over all tokens."""
-    return search.postings(table(spark, sf_dir, "documents"), "doc_id", "text", drop=()).groupBy("token").agg(F.count("*").alias("docs"), F.sum("tf").alias("tf"))
+    return search.postings(dealt(table(spark, sf_dir, "documents").select("doc_id", "text"), least=20_000), "doc_id", "text", drop=()).groupBy("token").agg(F.count("*").alias("docs"), F.sum("tf").alias("tf"))
 
 
 def _stem_sql(word: str) -> str:
@@ -511,7 +511,7 @@ _TOKENS = rf"""t AS (SELECT doc_id, [x FOR x IN regexp_split_to_array(lower(coal
 def _word_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The index of all documents, written and read again."""
     path = scratch_path(spark, "words")
-    textindex.write_index(table(spark, sf_dir, "documents"), "doc_id", "text", path)
+    textindex.write_index(dealt(table(spark, sf_dir, "documents").select("doc_id", "text"), least=20_000), "doc_id", "text", path)
     return spark.read.parquet(path)
 
 
