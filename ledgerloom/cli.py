@@ -34,6 +34,8 @@ def parser() -> argparse.ArgumentParser:
         bounds(p)
         p.add_argument("--limit-filings", type=int)
         p.add_argument("--dry-run", action="store_true")
+        p.add_argument("--mirror", help="a Parquet table of url and content to read documents from, in place of the archive")
+        p.add_argument("--tasks", type=int, default=1, help="fetch in so many Spark tasks, which share the rate")
         if name == "13f":
             p.add_argument("--skip-analytics-refresh", action="store_true")
         else:
@@ -64,7 +66,7 @@ def main(argv: list[str] | None = None) -> int:
     settings = load_settings()
     logging.basicConfig(level=settings.log_level, format="%(asctime)s %(levelname)s %(name)s %(message)s")
     from .operators.embedding import Profile, Selection, embedder
-    from .plans import backfill, ingest, refresh
+    from .plans import acquire, backfill, ingest, refresh
     from .plans.fetch import Fetcher
     from .plans.store import Store
     from .session import session
@@ -85,9 +87,15 @@ def main(argv: list[str] | None = None) -> int:
         options = ingest.Options(
             family, args.mode, args.from_date, args.to_date, getattr(args, "form_type", "all"), not getattr(args, "exclude_amendments", False), args.limit_filings, args.dry_run, not getattr(args, "skip_analytics_refresh", True)
         )
-        if not settings.user_agent:
+        if not settings.user_agent and not args.mirror:
             raise SystemExit("LEDGERLOOM_USER_AGENT has to name who is asking")
-        fetcher = Fetcher(settings.user_agent, per_second=settings.requests_per_second, timeout=settings.http_timeout)
+        agent, rate, timeout = settings.user_agent, settings.requests_per_second, settings.http_timeout
+        if args.mirror:
+            fetcher = acquire.mirror(spark.read.parquet(args.mirror))
+        elif args.tasks > 1:
+            fetcher = acquire.fetching(lambda share: Fetcher(agent, per_second=share, timeout=timeout), rate, args.tasks)
+        else:
+            fetcher = Fetcher(agent, per_second=rate, timeout=timeout)
         return ingest.run_ingest(spark, store, fetcher, settings.artifacts, options, archive=settings.archive)
     if args.command == "reprocess":
         return int(ingest.run_reprocess(spark, store, settings.artifacts, family, args.accession, args.from_date, args.to_date, not getattr(args, "skip_analytics_refresh", False)).failed > 0)

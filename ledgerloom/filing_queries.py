@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .functions import normalise as N
 from .operators import compare, embedding, events, positions, upsert
-from .plans import backfill, ingest
+from .plans import acquire, backfill, ingest
 from .plans.refresh import refresh_views
 from .plans.store import Store
 from .queries import SQL, dealt, query, table
@@ -349,6 +349,57 @@ def loaded_holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read("thirteenf_holdings").select(*_LINE)
 
 
+_SITE, _FIRST_END = "https://x/edgar", date(2021, 6, 30)
+#: How filings of the site fare: no XML in the envelope, a primary document that the site lacks, all there.
+_FARE = "CASE WHEN o_orderpriority = '5-LOW' THEN 'none' WHEN o_orderkey % 7 = 0 THEN 'lost' ELSE 'good' END"
+
+
+def _site(spark: SparkSession, sf_dir: str, suffix: str) -> DataFrame:
+    """An archive as a table of addresses and contents: indexes by quarter, directories of some filings, envelopes, covers and tables of holdings."""
+    key, filer = _KEY.replace("{s}", "STRING"), _FILER.replace("{s}", "STRING")
+    rows = table(spark, sf_dir, "orders").select(E(key).alias("key"), E(f"concat('{_SITE}/data/', {filer}, '/', {key})").alias("place"), E(filer).alias("cik"), E("CAST(o_orderdate AS DATE) + INTERVAL 25 YEAR").cast("date").alias("day"), (C("o_orderpriority") == "4-NOT SPECIFIED").alias("notice"), E(_FARE).alias("fare"), (C("o_orderkey") % 2 == 0).alias("listed"))
+    form = F.when(C("notice"), "13F-NT").otherwise("13F-HR")
+    line = F.concat_ws("|", "cik", F.concat(L("Company "), "cik", L(suffix)), form, F.date_format("day", "yyyy-MM-dd"), F.concat(L("edgar/data/"), "cik", L("/"), "key", L(".txt")))
+    quarters = rows.groupBy(F.concat(L(f"{_SITE}/full-index/"), F.year("day").cast("string"), L("/QTR"), F.quarter("day").cast("string"), L("/master.idx")).alias("url")).agg(F.concat(L("top\n----\n"), _joined(F.collect_list(line), "\n")).alias("content"))
+
+    def doc(kind: Column, name: str) -> Column:
+        return F.concat(L("<DOCUMENT>\n<TYPE>"), kind, L(f"\n<SEQUENCE>1\n<FILENAME>{name}\n</DOCUMENT>\n"))
+
+    none = C("fare") == "none"
+    envelope = F.concat(L("<ACCESSION-NUMBER>"), "key", L("\n<ACCEPTANCE-DATETIME>"), F.date_format("day", "yyyyMMdd"), L("101112\n"), F.when(none, doc(form, "note.htm")).otherwise(doc(form, "cover.xml")), F.when(none | C("notice"), "").otherwise(doc(L("INFORMATION TABLE"), "table.xml")))
+    cover = F.concat(L("<edgarSubmission><headerData><filerInfo><periodOfReport>"), F.date_format("day", "MM-dd-yyyy"), L("</periodOfReport></filerInfo></headerData><formData><coverPage><isAmendment>false</isAmendment></coverPage></formData></edgarSubmission>"))
+    parts = [rows.where("listed").select(F.concat("place", L("/index.json")).alias("url"), L("{}").alias("content")), rows.select(F.concat("place", L(".txt")).alias("url"), envelope.alias("content")), rows.where("fare = 'good'").select(F.concat("place", L("/cover.xml")).alias("url"), cover.alias("content"))]
+    tables = _holdings_xml(spark, sf_dir).join(rows.where("fare != 'none' AND NOT notice").select("key", "place"), C("accession_number") == C("key")).select(F.concat("place", L("/table.xml")).alias("url"), C("info_xml").alias("content"))
+    site = quarters
+    for part in (*parts, tables):
+        site = site.unionByName(part)
+    return site.select("url", C("content").cast("binary").alias("content"))
+
+
+@query(f"""WITH o AS (SELECT *, {_KEY.replace("{s}", "VARCHAR")} AS k, {_FILER.replace("{s}", "VARCHAR")} AS cik, (o_orderdate::DATE + INTERVAL 25 YEAR)::DATE AS day, {_FARE} AS fare, o_orderpriority = '4-NOT SPECIFIED' AS notice FROM orders),
+    l AS (SELECT l_orderkey, count(*) AS n, sum(l_extendedprice::DECIMAL(20,2)) AS v FROM lineitem GROUP BY l_orderkey),
+    w AS (SELECT o.*, n, v, CASE WHEN fare = 'none' THEN 'ValueError: no XML documents' WHEN fare = 'lost' THEN 'NotFound: {_SITE}/data/' || cik || '/' || k || '/cover.xml' WHEN NOT notice AND n IS NULL THEN 'NotFound: {_SITE}/data/' || cik || '/' || k || '/table.xml' END AS error FROM o LEFT JOIN l ON l_orderkey = o_orderkey),
+    c AS (SELECT max((day, k)) AS upto FROM w WHERE error IS NULL AND day <= DATE '{_FIRST_END}')
+    SELECT k AS accession_number, CASE WHEN error IS NULL THEN 'SUCCESS' ELSE 'FAILED' END AS status, error, CASE WHEN error IS NULL THEN 'Company ' || cik || CASE WHEN (day, k) <= (SELECT upto FROM c) THEN '' ELSE ' II' END END AS company_name,
+    CASE WHEN error IS NULL THEN day END AS report_period, CASE WHEN error IS NULL THEN day + INTERVAL 36672 SECOND END AS accepted, CASE WHEN error IS NULL THEN CASE WHEN notice THEN 0 ELSE n END END AS n_holdings,
+    CASE WHEN error IS NULL AND NOT notice THEN (v * CASE WHEN day < DATE '2023-01-03' THEN 1000 ELSE 1 END)::DECIMAL(38,2) END AS value_usd, CASE WHEN error IS NULL THEN 2 + (NOT notice)::INT + (o_orderkey % 2 = 0)::INT END AS n_artifacts FROM w""")
+def ingested_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PIP-01 to PIP-07, SRC-04, SRC-05, SRC-15, SNK-01, SNK-11, SNK-12, SET-03, SCL-30: a full run over an archive up to a day, a second one that goes on from its checkpoint while the index has other names, then everything parsed again from what was cached."""
+    folder = scratch_path(spark, "ingested")
+    store = Store(spark, f"{folder}/store")
+    store.migrate()
+    for end, suffix in ((_FIRST_END, ""), (date(2030, 12, 31), " II")):
+        ingest.run_ingest(spark, store, acquire.mirror(_site(spark, sf_dir, suffix)), folder, ingest.Options(mode="full", start=date(2016, 1, 1), end=end, refresh=False), archive="https://x")
+    ingest.run_reprocess(spark, store, folder, ingest.HOLDINGS, refresh=False)
+    one = ["accession_number"]
+    lines = store.read("thirteenf_holdings").groupBy(*one).agg(F.count("*").alias("n"), F.sum("value_usd").cast("decimal(38,2)").alias("value_usd"))
+    kept = store.read("filing_artifacts").groupBy(*one).agg(F.count("*").alias("n_artifacts"))
+    found = store.read("filings").select(*one, "company_name", C("period_of_report").alias("report_period"), C("acceptance_datetime").alias("accepted"))
+    state = store.read("filing_processing").select(*one, "status", "error")
+    joined = state.join(found, one, "left").join(lines, one, "left").join(kept, one, "left")
+    return joined.select(*one, "status", "error", "company_name", "report_period", "accepted", F.when(C("company_name").isNotNull(), F.coalesce("n", L(0))).alias("n_holdings"), "value_usd", "n_artifacts")
+
+
 _LINE = ["accession_number", "holding_sequence", "issuer_name", "class_title", "security_reference_key", "put_call", "value_reported", "value_unit", "value_usd", "shares_principal_amount"]
 
 
