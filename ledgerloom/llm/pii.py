@@ -22,7 +22,9 @@ Everything is DataFrame and SQL functions. The trees learn from all
 candidates: features are small integers, so one aggregation gives every
 combination with its counts (CELLS at most, whatever the size of the corpus),
 from which the driver grows the trees; they are applied as one CASE
-expression. Positions are counted from the lengths of what lies between the
+expression. A generator's spans never overlap and come in order, so what a span
+touches is found by halving its list: time stays near linear in the spans of a
+text. Positions are counted from the lengths of what lies between the
 matches, in code points. The patterns are free of nested repetition of
 variable length, so that their time stays linear and the stack flat.
 
@@ -88,6 +90,22 @@ def _bound(name: str, value: str, body: str) -> str:
     return f"transform(array({value}), {name} -> {body})[0]"
 
 
+def _touched(spans: str, x: str = "x") -> str:
+    """SQL for the elements of `spans`, which are in order and apart from each other, that share a place with `x`: from the first one that ends behind its start to the last one that starts before its end."""
+
+    def first(test: str) -> str:
+        middle = "shiftright(s.lo + s.hi, 1)"
+        halve = f"CASE WHEN s.lo >= s.hi THEN s WHEN get({spans}, {middle}).{test} THEN named_struct('lo', s.lo, 'hi', {middle}) ELSE named_struct('lo', {middle} + 1, 'hi', s.hi) END"
+        return f"aggregate(sequence(0, cast(log2(size({spans}) + 1) AS int) + 1), named_struct('lo', 0, 'hi', size({spans})), (s, i) -> {halve}, s -> s.lo)"
+
+    from_, to = first(f"end > {x}.start"), first(f"start >= {x}.end")
+    return f"CASE WHEN size({spans}) = 0 THEN {spans} ELSE {_bound('p', from_, f'slice({spans}, p + 1, {to} - p)')} END"
+
+
+#: Base spans of a text, a list for each kind.
+_BY_KIND = "array(" + ", ".join(f"filter(c, y -> y.ok AND y.kind = {k})" for k in range(len(KINDS))) + ")"
+
+
 def _spans(gen: int) -> str:
     """SQL for the spans of generator `gen`, from its matches m{gen} and the text between them g{gen}."""
     kind = f"{gen}" if gen < 4 else "0" if gen == 4 else "1" if gen == 6 else "CASE WHEN all_ BETWEEN 12 AND 19 THEN 2 ELSE 3 END"
@@ -181,10 +199,10 @@ class Trees:
 def train(found: DataFrame, precision: float = PRECISION) -> tuple[Trees, list[float]] | None:
     """Trees and per-kind thresholds from all candidates that no base check accepts by itself."""
     fields = ", ".join(f"'{f}', x.{f}" for f in FEATURES)
-    hit = "exists(base, b -> b.kind = x.kind AND ((b.start <= x.start AND x.end <= b.end) OR (x.start <= b.start AND b.end <= x.end)))"
+    hit = f"exists({_touched('bases[x.kind]')}, b -> (b.start <= x.start AND x.end <= b.end) OR (x.start <= b.start AND b.end <= x.end))"
     against = "x.prev IN (2, 3) OR x.next IN (2, 3) OR x.valid = 0 OR x.date OR x.cue = 2"
     label = f"CASE WHEN {hit} THEN 0 WHEN {against} THEN 1 WHEN x.cue = 1 THEN 3 ELSE 2 END"  # personal, something else, unknown, hinted at
-    each = _bound("base", "filter(c, y -> y.ok)", f"transform(filter(c, x -> NOT x.ok), x -> named_struct({fields}, 'label', {label}))")
+    each = _bound("bases", _BY_KIND, f"transform(filter(c, x -> NOT x.ok), x -> named_struct({fields}, 'label', {label}))")
     seen = found.select(F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(FOLDS)).alias("fold"), F.explode(F.expr(each)).alias("x")).select("fold", "x.*").where("label < 3")
     held = F.col("fold") == 0
     sums = [F.sum((F.col("label") == i).cast("int") * cond.cast("int")).alias(f"n{i}{name}") for i in range(3) for name, cond in (("fit", ~held), ("held", held))]
@@ -220,11 +238,12 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     if learned:
         trees, limits = learned
         limit = "CASE x.kind " + " ".join(f"WHEN {k} THEN {'1e300' if v == float('inf') else repr(v)}D" for k, v in enumerate(limits)) + " END"
-        near = "b.start < x.end AND x.start < b.end"
         better = "named_struct('a', b.over, 'b', b.end - b.start, 'c', -b.start, 'd', -b.kind) > named_struct('a', x.over, 'b', x.end - x.start, 'c', -x.start, 'd', -x.kind)"
-        scored = f"transform(filter(c, x -> NOT x.ok), x -> named_struct('kind', x.kind, 'start', x.start, 'end', x.end, 'over', ({trees.sql('x')}) - ({limit})))"
-        added = f"array_distinct(filter(filter({scored}, x -> x.over >= 0), x -> NOT exists(base, b -> {near})))"
-        rest = _bound("good", added, f"transform(filter(good, x -> NOT exists(good, b -> {near} AND {better})), x -> named_struct('start', x.start, 'kind', x.kind, 'end', x.end))")
+        scored = f"transform(filter(c, x -> NOT x.ok), x -> named_struct('gen', x.gen, 'kind', x.kind, 'start', x.start, 'end', x.end, 'over', ({trees.sql('x')}) - ({limit})))"
+        apart = _bound("bases", _BY_KIND, f"filter(filter({scored}, x -> x.over >= 0), x -> NOT exists(bases, l -> size({_touched('l')}) > 0))")
+        rivals = f"transform(sequence(0, {len(BASE) + len(LOOSE) - 1}), g -> filter(good, y -> y.gen = g))"
+        best = f"filter(good, x -> NOT exists(rivals, l -> exists({_touched('l')}, b -> {better})))"
+        rest = _bound("good", apart, _bound("rivals", rivals, f"array_distinct(transform({best}, x -> named_struct('start', x.start, 'kind', x.kind, 'end', x.end)))"))
     else:
         rest = "cast(array() AS array<struct<start:int,kind:int,end:int>>)"
     spans = found.select("doc_id", F.expr(_bound("base", "filter(c, x -> x.ok)", f"named_struct('base', {base}, 'rest', {rest})")).alias("s")).select("doc_id", "s.base", "s.rest")
