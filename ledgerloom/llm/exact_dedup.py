@@ -26,17 +26,19 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ASCII_LOWER, mapped, parts_for
+from .common import ASCII_LOWER, mapped, parts_for, shuffle_parts
 
 #: Documents that one partition of contents holds on average.
 PART_ROWS = 8192
 #: Bytes of text that one table holds before it spills.
 TABLE_BYTES = 48 << 20
 FANOUT = 16
+#: Rows with the same id and text that one block writes out.
+BLOCK = 100_000
 
 
 def normalised(text: str | None) -> bytes:
@@ -237,7 +239,10 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.lower(F.hex("digest")).alias("text_sha256"),
         F.coalesce(top & (F.col("g_ties") > 1), F.lit(False)).alias("tied"),
     )
-    # Only rows that repeat the id that stays are ordered, to leave one of them.
-    nth = F.row_number().over(Window.partitionBy("text_sha256", "doc_id").orderBy("group_size"))
-    tied = rows.where("tied").withColumn("kept", nth == 1)
-    return rows.where("not tied").unionByName(tied).drop("tied")
+    # Rows that repeat the id that stays are the same in every column: they are counted, and written out again in blocks, of which the first row stays.
+    same = ["doc_id", "keep_id", "group_size", "text_sha256"]
+    counted = rows.where("tied").groupBy(*same).agg(F.count("*").alias("n"))
+    blocks = counted.select(*same, "n", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / BLOCK))).alias("block"))
+    upto = F.least("n", (F.col("block") + 1) * BLOCK) - 1
+    tied = blocks.repartition(shuffle_parts(docs.sparkSession), "text_sha256", "block").select(*same, F.explode(F.sequence(F.col("block") * BLOCK, upto)).alias("nth")).withColumn("kept", F.col("nth") == 0)
+    return rows.where("not tied").drop("tied").unionByName(tied.drop("nth"))

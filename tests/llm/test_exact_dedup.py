@@ -4,7 +4,7 @@ import random
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from ledgerloom.llm import queries
+from ledgerloom.llm import exact_dedup, queries
 from ledgerloom.llm.exact_dedup import Group, combined, drop_exact_duplicates, exact_duplicates, grace, text_digest
 
 
@@ -38,6 +38,23 @@ def test_hard_rows(hard, clashing):
     assert {r.doc_id for r in kept.where("text = 'alpha BETA gamma delta epsilon.'").collect()} == {11}
 
 
+def test_a_third_of_the_rows_are_one_row(spark, monkeypatch):
+    """Each of them is written out, in blocks, and one stays; ids may be null."""
+    monkeypatch.setattr(exact_dedup, "BLOCK", 7)
+    rows = [(9, "Same text")] * 100 + [(3, "same text")] * 4 + [(None, "no id")] * 22 + [(i, f"text {i % 50}") for i in range(100, 200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = exact_duplicates(docs).groupBy("doc_id", "keep_id", "group_size", "text_sha256", "kept").count().collect()
+    groups = brute(rows)
+    sha = {hashlib.sha256(t.encode()).hexdigest(): ids for t, ids in groups.items()}
+    for r in got:
+        ids = sha[r.text_sha256]
+        top = max((i for i in ids if i is not None), default=None)
+        assert (r.keep_id, r.group_size) == (top, len(ids))
+        assert r["count"] == (1 if r.kept else ids.count(r.doc_id) - (r.doc_id == top))
+    assert sum(r["count"] for r in got) == len(rows)
+    assert sum(r["count"] for r in got if r.kept) == len(groups)
+
+
 def test_empty(empty):
     assert exact_duplicates(empty).collect() == []
     assert drop_exact_duplicates(empty).columns == empty.columns
