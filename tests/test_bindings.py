@@ -74,3 +74,24 @@ def test_compare_from_sql(spark, sf_dir):
 def test_the_table_function_reads_positions_once(spark, sf_dir):
     plan = Q.compare_from_sql(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("l_shipdate#") and sum("Relation [l_orderkey" in line for line in plan.splitlines()) <= 4  # two periods of the positions, and of the filings that name them
+
+
+def _odd(spark, tmp_path, table, rows, name):
+    """A binding on a table of `rows` and its SQL on the same."""
+    rows.write.parquet(f"{tmp_path}/{table}.parquet")
+    connection = duckdb.connect()
+    connection.sql(f"CREATE VIEW {table} AS SELECT * FROM '{tmp_path}/{table}.parquet/*.parquet'")
+    df = Q.QUERIES[name](spark, str(tmp_path))
+    want = connection.sql(Q.SQL[name])
+    return plain(df.collect()), plain(want.project(", ".join(f'"{c}"' for c in df.columns)).fetchall())
+
+
+_PAGES = ["<title>a&quot;b &amp</title><p>x &amp y&amp;lt;</p>", "<title>&amp;gt; &nbsp;c&#65;</title><p>&copy;&middot;&eacute;&quot;</p>", "<p>no\xa0break\r\n \f here</p>", "<title> </title>", "", None]
+
+
+@pytest.mark.parametrize("name", ["html_text"])
+def test_odd_pages(spark, tmp_path, name):
+    """Character references that the SQL does not name, or that lack their semicolon, stay as they are."""
+    rows = spark.createDataFrame(list(enumerate(_PAGES)), "page_id long, html string")
+    got, want = _odd(spark, tmp_path, "pages", rows, name)
+    assert got == want
