@@ -89,7 +89,7 @@ def _odd(spark, tmp_path, table, rows, name):
 _PAGES = ["<title>a&quot;b &amp</title><p>x &amp y&amp;lt;</p>", "<title>&amp;gt; &nbsp;c&#65;</title><p>&copy;&middot;&eacute;&quot;</p>", "<p>no\xa0break\r\n \f here</p>", "<title> </title>", "", None]
 
 
-@pytest.mark.parametrize("name", ["html_text"])
+@pytest.mark.parametrize("name", ["html_text", "html_title"])
 def test_odd_pages(spark, tmp_path, name):
     """Character references that the SQL does not name, or that lack their semicolon, stay as they are."""
     rows = spark.createDataFrame(list(enumerate(_PAGES)), "page_id long, html string")
