@@ -95,3 +95,10 @@ def test_odd_pages(spark, tmp_path, name):
     rows = spark.createDataFrame(list(enumerate(_PAGES)), "page_id long, html string")
     got, want = _odd(spark, tmp_path, "pages", rows, name)
     assert got == want
+
+
+def test_halves_of_floats(spark, tmp_path):
+    """0.3195 as a float, times a thousand, is the float 319.5; as a double it is less."""
+    rows = spark.createDataFrame([(0, [0.3195, -0.3195, 0.0005, -0.0004, 1.5]), (1, []), (2, None), (3, [None, 2.0])], "vec_id long, embedding array<float>")
+    got, want = _odd(spark, tmp_path, "embeddings", rows, "vector_literal")
+    assert got == want
