@@ -3,13 +3,16 @@
 Texts are cut only where the file's own pre-tokenizer always cuts, so the ids
 of the pieces, joined, are the ids of the text. The pieces of a run of texts
 have 64-bit codes, which are looked up in a table of bounded size, all at once
-in numpy, and the ids are gathered. A piece that the table lacks is encoded by
-the tokenizers library: plain Latin-1 words go straight to its BPE model,
-everything else through its full `encode`.
+in numpy, and the ids are gathered. A code only says where to look: the table
+holds the bytes of its pieces (of long ones a SHA-256), and a piece that finds
+another one under its code goes on to its next code. A piece that the table
+lacks is encoded by the tokenizers library: plain Latin-1 words go straight to
+its BPE model, everything else through its full `encode`.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import zlib
 from collections.abc import Callable, Iterator
@@ -17,7 +20,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 
 from .common import ASCII_LOWER, ASCII_SPACES
-from .wordcode import chunks, piece_codes
+from .wordcode import FIRST_BYTES, chunks, mixed, piece_codes
 
 #: Pieces and ids that a table keeps from one run of texts to the next; a fuller one is begun anew.
 PIECES, POOL = 850_000, 4_000_000
@@ -31,8 +34,28 @@ _VISIBLE = np.zeros(256, bool)
 _VISIBLE[0x21:0x7F] = _VISIBLE[0xC3:0xE0] = True
 
 
+#: Longer pieces are told apart by their SHA-256.
+_LONG = 64
+
+
+def short_keys(data: bytes, starts: np.ndarray, sizes: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """Where the bytes stand that tell each piece from all others of its size: a digest behind `data` for long ones, else the piece itself."""
+    long = np.flatnonzero(sizes > _LONG)
+    if not len(long):
+        return data, starts, sizes
+    digests = [hashlib.sha256(data[a : a + n]).digest() for a, n in zip(starts[long].tolist(), sizes[long].tolist(), strict=True)]
+    at, width = starts.copy(), sizes.copy()
+    at[long], width[long] = len(data) + 32 * np.arange(len(long)), 32
+    return data + b"".join(digests), at, width
+
+
+def _eights(data) -> np.ndarray:
+    """Eight bytes from each place of `data` but its last eight."""
+    return np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+
+
 class PieceTable:
-    """Ids of pieces by their codes: open addressing with linear probing, and one pool that holds the ids."""
+    """Ids of pieces by their codes: open addressing with linear probing, one pool that holds the ids, and one of the pieces' keys."""
 
     def __init__(self, bits: int = 21):
         self.bits = bits
@@ -44,6 +67,23 @@ class PieceTable:
         self.size = np.full(1 << self.bits, -1, np.int32)  # -1: an empty slot
         self.pool = np.zeros(1 << 16, np.uint32)
         self.used = self.held = 0
+        self.length = np.zeros(1 << self.bits, np.int64)  # of the piece
+        self.key_at = np.zeros(1 << self.bits, np.int64)
+        self.keys = np.zeros(1 << 20, np.uint8)
+        self.keyed = 0
+
+    def others(self, slots: np.ndarray, data: bytes, at: np.ndarray, width: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Numbers of the pieces that are not those which their slots hold. `at`, `width`: their keys in `data`, which ends in eight bytes more."""
+        mine, held = _eights(data), _eights(self.keys)
+        wrong = self.length[slots] != sizes
+        left, here, there, size = np.flatnonzero(~wrong), at, self.key_at[slots], width
+        here, there, size = here[left], there[left], size[left]
+        while len(left):
+            differ = ((mine[here] ^ held[there]) & FIRST_BYTES[np.minimum(size, 8)]) != 0
+            wrong[left[differ]] = True
+            more = np.flatnonzero(size > 8)
+            left, here, there, size = left[more], here[more] + 8, there[more] + 8, size[more] - 8
+        return np.flatnonzero(wrong)
 
     def find(self, codes: np.ndarray) -> np.ndarray:
         """The slot of each code, -1 where it is not held."""
@@ -60,23 +100,31 @@ class PieceTable:
             left = left[taken & ~hit]
         return found
 
-    def add(self, codes: np.ndarray, ids: list[int], counts: list[int]) -> None:
-        """New, all different codes; `ids` are those of all of them, one after another."""
+    def add(self, codes: np.ndarray, ids: list[int], counts: list[int], keys: list[bytes], lengths: np.ndarray) -> None:
+        """New, all different codes; `ids` are those of all of them, one after another; `keys` and `lengths` are the pieces'."""
         sizes = np.array(counts, np.int32)
+        joined = np.frombuffer(b"".join(keys), np.uint8)
+        if self.keyed + len(joined) + 8 > len(self.keys):
+            self.keys = np.concatenate([self.keys[: self.keyed], np.zeros(self.keyed + 2 * len(joined) + 8, np.uint8)])
+        self.keys[self.keyed : self.keyed + len(joined)] = joined
+        widths = np.fromiter(map(len, keys), np.int64, len(keys))
+        key_at = self.keyed + np.cumsum(widths) - widths
+        self.keyed += len(joined)
         if 2 * (self.held + len(codes)) > len(self.codes):
             old = np.flatnonzero(self.size >= 0)
-            kept = self.codes[old], self.first[old], self.size[old]
+            kept = self.codes[old], self.first[old], self.size[old], self.length[old], self.key_at[old]
             width = 1 << (4 * (self.held + len(codes))).bit_length()
             self.codes, self.first, self.size = np.zeros(width, np.uint64), np.zeros(width, np.int32), np.full(width, -1, np.int32)
+            self.length, self.key_at = np.zeros(width, np.int64), np.zeros(width, np.int64)
             self._place(*kept)
         if self.used + len(ids) > len(self.pool):
             self.pool = np.concatenate([self.pool[: self.used], np.zeros(self.used + 2 * len(ids), np.uint32)])
         self.pool[self.used : self.used + len(ids)] = ids
-        self._place(codes, (self.used + np.cumsum(sizes) - sizes).astype(np.int32), sizes)
+        self._place(codes, (self.used + np.cumsum(sizes) - sizes).astype(np.int32), sizes, lengths, key_at)
         self.used += len(ids)
         self.held += len(codes)
 
-    def _place(self, codes: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> None:
+    def _place(self, codes: np.ndarray, first: np.ndarray, sizes: np.ndarray, lengths: np.ndarray, key_at: np.ndarray) -> None:
         mask = len(self.codes) - 1
         slots, left = (codes & np.uint64(mask)).astype(np.int64), np.arange(len(codes))
         while len(left):
@@ -84,6 +132,7 @@ class PieceTable:
             self.first[slots[free]] = free  # of several that want a slot, the last one stays
             won = free[self.first[slots[free]] == free]
             self.codes[slots[won]], self.size[slots[won]], self.first[slots[won]] = codes[won], sizes[won], first[won]
+            self.length[slots[won]], self.key_at[slots[won]] = lengths[won], key_at[won]
             lost = np.ones(len(codes), bool)
             lost[won] = False
             left = left[lost[left]]
@@ -188,7 +237,8 @@ class TextEncoder:
         if not (self.led or self.dropped):
             return np.array([len(ids) for ids in self._library_ids(texts)], np.int64)
         data, starts, sizes, of = self._pieces(texts)
-        return np.bincount(of, self.table.size[self._slots(data, starts, sizes)], len(texts)).astype(np.int64)
+        slots = self._slots(data, starts, sizes)  # before the table's arrays are looked at: it may grow, or begin anew
+        return np.bincount(of, self.table.size[slots], len(texts)).astype(np.int64)
 
     def split(self, text: bytes, size: int) -> Iterator[bytes]:
         """`text` in parts of about `size` bytes, cut where a piece may begin; a stretch without such a place stays whole."""
@@ -210,21 +260,32 @@ class TextEncoder:
             return np.zeros(0, np.int64)
         if table.held > PIECES or table.used > POOL:
             table.clear()
-        codes = piece_codes(data, starts, sizes)
-        slots = table.find(codes)
-        lacking = np.flatnonzero(slots < 0)
-        if len(lacking):
-            new, first = np.unique(codes[lacking], return_index=True)
-            some = lacking[first]
-            ids: list[int] = []
-            counts: list[int] = []
-            piece: Callable[[bytes], list[int]] = self._piece
-            for a, b in zip(starts[some].tolist(), (starts[some] + sizes[some]).tolist(), strict=True):
-                got = piece(data[a:b])
-                ids += got
-                counts.append(len(got))
-            table.add(new, ids, counts)
-            slots = table.find(codes)
+        data, at, width = short_keys(data, starts, sizes)
+        codes = piece_codes(data, at, width)
+        padded = data + bytes(8)
+        slots = found = table.find(codes)
+        left = np.arange(len(codes))
+        while len(left):  # once, but for pieces that share a code with others
+            lacking = left[found < 0]
+            if len(lacking):
+                new, first = np.unique(codes[lacking], return_index=True)
+                some = lacking[first]
+                ids: list[int] = []
+                counts: list[int] = []
+                keys: list[bytes] = []
+                piece: Callable[[bytes], list[int]] = self._piece
+                for a, n, k, w in zip(*(x[some].tolist() for x in (starts, sizes, at, width)), strict=True):
+                    got = piece(data[a : a + n])
+                    ids += got
+                    counts.append(len(got))
+                    keys.append(data[k : k + w])
+                table.add(new, ids, counts, keys, sizes[some])
+                slots = table.find(codes)  # those of all, as adding may move them
+            left = left[table.others(slots[left], padded, at[left], width[left], sizes[left])]
+            if len(left):
+                codes[left] = mixed(codes[left] + np.uint64(1))
+                slots = table.find(codes)
+                found = slots[left]
         return slots
 
     def encode(self, text: str | None) -> list[int]:

@@ -18,7 +18,7 @@ from .common import ASCII_LOWER, ASCII_SPACES
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _ODD = np.uint64(0xD6E8FEB86659FD93)
 #: Masks of the first n of eight bytes.
-_FIRST = np.array([(1 << (8 * n)) - 1 for n in range(9)], np.uint64)
+FIRST_BYTES = np.array([(1 << (8 * n)) - 1 for n in range(9)], np.uint64)
 #: Longer pieces are hashed one at a time.
 _LONG = 64
 
@@ -46,7 +46,7 @@ def piece_codes(data: bytes, starts: np.ndarray, sizes: np.ndarray) -> np.ndarra
     codes = sizes.astype(np.uint64)
     left, at, size = slice(None), starts, np.minimum(sizes, _LONG)
     for _ in range(_LONG // 8):
-        codes[left] = paired(codes[left], eights[at] & _FIRST[np.minimum(size, 8)])
+        codes[left] = paired(codes[left], eights[at] & FIRST_BYTES[np.minimum(size, 8)])
         more = np.flatnonzero(size > 8)
         if not len(more):
             break

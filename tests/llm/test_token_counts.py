@@ -1,12 +1,14 @@
+import numpy as np
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from ledgerloom.llm import queries, token_counts
+from ledgerloom.llm import queries, token_counts, tokenizing
 from ledgerloom.llm.token_counts import counter
 from ledgerloom.llm.tokenizing import TextEncoder
+from ledgerloom.llm.wordcode import mixed, piece_codes
 
 FILES = ("byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model")
 
@@ -61,3 +63,57 @@ def test_odd_rows(spark, hard, empty, clashing):
     for df in (hard, clashing):
         assert sorted((r.doc_id or -1, r.n_bytes, r.n_tokens) for r in token_counts.token_counts(df, path).collect()) == want
     assert token_counts.token_counts(empty, path).collect() == []
+
+
+def clashing_words():
+    """Two words of sixteen letters, different but under one code of `piece_codes`: their second halves make up for their first ones."""
+    rng = np.random.default_rng(5)
+    letters = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz", np.uint8)
+    halves = letters[rng.integers(0, 26, (2, 4_000_000, 8))].copy().view("<u8")[:, :, 0]
+    factor = np.uint64(0x9E3779B97F4A7C15)
+    first, second = (mixed(np.uint64(16) * factor + h) * factor for h in halves)
+    gap = first - second  # what the second word's second half has to have more than the first one's
+    borrow, low, ok = np.zeros(len(gap), np.int64), [], np.ones(len(gap), bool)
+    for i in range(8):
+        step = (gap >> np.uint64(8 * i) & np.uint64(255)).astype(np.int64) + borrow
+        step, borrow = np.where(step >= 128, step - 256, step), (step >= 128).astype(np.int64)
+        ok &= np.abs(step) <= 25
+        low.append(step)
+    at = int(np.flatnonzero(ok)[0])
+    ends = [97 + max(0, -int(s[at])) for s in low]
+    one = halves[0, at].tobytes() + bytes(ends)
+    two = halves[1, at].tobytes() + bytes(e + int(s[at]) for e, s in zip(ends, low, strict=True))
+    return one, two
+
+
+def test_words_under_one_code():
+    """A code says where to look; what is found there is compared."""
+    words = clashing_words()
+    codes = piece_codes(b"".join(words), np.array([0, 16]), np.array([16, 16]))
+    assert words[0] != words[1] and codes[0] == codes[1]
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for order in (words, words[::-1]):
+        texts = [order[0], order[1], b"x. " + order[1] + b"," + order[0], b"-" * 100, b"-" * 101]
+        ids, n = TextEncoder(public_tokenizers.path("byte_bpe_50k.json")).encode_many(texts)
+        want = [plain.encode(t.decode(), add_special_tokens=False).ids for t in texts]
+        assert ids.tolist() == [i for w in want for i in w] and n.tolist() == [len(w) for w in want]
+
+
+def test_the_table_grows_while_codes_clash():
+    words = clashing_words()
+    encoder = TextEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    encoder.table.bits = 3
+    encoder.table.clear()
+    texts = [words[0], *(f"w{'abcdefghij'[i % 10]}{'k' * (i // 10)}".encode() for i in range(200)), words[1], words[0]]
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for _ in range(2):
+        assert encoder.count_many(texts).tolist() == [len(plain.encode(t.decode(), add_special_tokens=False).ids) for t in texts]
+
+
+def test_counts_of_a_table_begun_anew(monkeypatch):
+    """A fuller table is dropped between runs; counts are those of the new one."""
+    monkeypatch.setattr(tokenizing, "PIECES", 20)
+    encoder, plain = TextEncoder(public_tokenizers.path("byte_bpe_50k.json")), library("byte_bpe_50k.json")
+    for i in range(6):
+        texts = [f"{'abcdefghijklmnop'[(i + j) % 16]}x{'qwertz'[i]} and{'yz' * j} unbelievably{j}, " for j in range(30)]
+        assert encoder.count_many([t.encode() for t in texts]).tolist() == [plain(t) for t in texts]
