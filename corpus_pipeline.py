@@ -35,7 +35,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group connected by pairs whose sets of five-word shingles are similar by 0.8 or more."""
+    """One document of each group connected by pairs whose sets of five-word shingles are similar by 0.8 or more; candidates by SimHash and pivot distance tables, beyond their reach by minimum hashes."""
     return drop_similar(docs, words=5, similarity=0.8)
 
 

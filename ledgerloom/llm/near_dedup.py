@@ -20,13 +20,15 @@ one fingerprint, comparing only with those not reached yet, and emit a
 spanning forest. A bucket of more than BUCKET fingerprints is cut into chunks
 of which every two meet in a task of their own: all pairs are still tested.
 
-For a similarity threshold (`similar_groups`) distances are larger than blocks
-and pivots can tell apart: at a Jaccard similarity of 0.8 a sixth of the bits
-differ, as few blocks agree as by chance, and no pivot's distances are further
-apart. There texts that share a band of minimum hashes and whose sketches
-allow the similarity are joined into families, and in each family the Jaccard
-similarity of whole shingle sets decides. Of pairs just at 0.8 about one in
-20,000 shares no band.
+For a similarity threshold (`similar_groups`) the same search comes first: texts
+whose fingerprints are within `DISTANCE` bits, found by blocks and pivot tables,
+are candidates. Pairs further apart than that are left to a second one, as at a
+Jaccard similarity of 0.8 a sixth of the bits differ, as few blocks agree as by
+chance, and no pivot's distances are further apart: texts that share a band of
+minimum hashes and whose sketches allow the similarity. Both kinds of candidates
+make families, and in each family the Jaccard similarity of whole shingle sets
+decides. Of pairs just at 0.8 about one in 20,000 shares no band; it is found if
+its fingerprints are close.
 
 Defined cases: a null text counts as empty. Texts without words have
 fingerprint zero and are linked like any other; texts shorter than a shingle
@@ -251,6 +253,8 @@ FAMILY = 1 << 20
 HASHES, BANDS, BAND = 128, 25, 5
 #: Deviations by which the sketches of a pair at the threshold may differ from their mean: exceeded about twice in a million.
 SLACK = 5.0
+#: Bits by which fingerprints of candidates differ at most.
+DISTANCE = 4
 #: Bits of the bitmap that picks texts whose sets are compared, at most: 16 MB on the driver and in each worker.
 BITMAP = 1 << 27
 
@@ -367,8 +371,18 @@ def _sketch_links(rows: np.ndarray, similarity: float) -> tuple[np.ndarray, np.n
     return np.concatenate(a), np.concatenate(b)
 
 
+def _print_links(nodes: DataFrame, bucket: int, distance: int = DISTANCE) -> DataFrame:
+    """`nodes` (node, fp) to links (child, root) that connect what pairs of fingerprints within `distance` bits connect."""
+    heads = saved(nodes.groupBy("fp").agg(F.min("node").alias("head")), "print-heads")
+    same = nodes.join(heads, "fp").where("node != head").select(F.col("node").alias("child"), F.col("head").alias("root"))
+    near = links(heads.select("fp"), distance, bucket)
+    for side in ("child", "root"):
+        near = near.join(heads.select(F.col("fp").alias(side), F.col("head").alias(f"{side}_node")), side)
+    return same.unionByName(near.select(F.col("child_node").alias("child"), F.col("root_node").alias("root")))
+
+
 def _families(nodes: DataFrame, similarity: float, bucket: int) -> DataFrame:
-    """`nodes` (node, size, lanes, bands) to child and root: families that hold all pairs of nodes whose bands and sketches allow the similarity."""
+    """`nodes` (node, fp, size, lanes, bands) to child and root: families that hold all pairs of nodes whose fingerprints are close, or whose bands and sketches allow the similarity."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _whole_runs(batches):
@@ -377,7 +391,8 @@ def _families(nodes: DataFrame, similarity: float, bucket: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(child), pa.array(root)], names=["child", "root"])
 
     keyed = _cut(nodes.select(F.explode("bands").alias("key"), "node", "size", *LANES), ["node"], bucket)
-    return components(keyed.select("key", "node", "size", *LANES).repartition(parts_for(nodes, PART_ROWS, BANDS), "key").sortWithinPartitions("key").transform(mapped, found, "child bigint, root bigint"))
+    banded = keyed.select("key", "node", "size", *LANES).repartition(parts_for(nodes, PART_ROWS, BANDS), "key").sortWithinPartitions("key").transform(mapped, found, "child bigint, root bigint")
+    return components(_print_links(nodes.select("node", "fp"), bucket).unionByName(banded))
 
 
 def set_links(sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.ndarray]:
@@ -464,9 +479,10 @@ def _verified(members: DataFrame, similarity: float, shingles: int) -> DataFrame
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, bucket: int = BUCKET, family: int = FAMILY) -> DataFrame:
     """doc_id, component_id and text_hash of texts connected by pairs whose shingle sets have a Jaccard similarity of the threshold at least.
 
-    Equal sets are one node. Nodes meet in buckets of equal bands of minimum hashes; what sketches and sizes allow to be
-    similar there makes families, by spanning links, never by all pairs. A family's whole shingle sets then meet once, in
-    chunks of `family` shingles, of which every two share a task.
+    Equal sets are one node. Nodes whose SimHash fingerprints are close, by pivot distance tables, make families; so does,
+    for what is further apart, whatever sketches and sizes allow to be similar in buckets of equal bands of minimum hashes.
+    Both give spanning links, never all pairs. A family's whole shingle sets then meet once, in chunks of `family`
+    shingles, of which every two share a task.
     """
     slim = _slim(docs, id_col, text_col)
     lanes = ", ".join(f"{c} bigint" for c in LANES)
@@ -481,14 +497,15 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 columns = [
                     *(c.slice(first, len(texts)) for c in batch.columns[:2]),
                     pa.array([_node(x) for x in sets], pa.int64()),
+                    pa.array(np.fromiter(map(majority, sets), np.uint64, len(sets)).view(np.int64)),
                     pa.array(sizes, pa.int64()),
                     *(pa.array(np.ascontiguousarray(drawn[:, i])) for i in range(len(LANES))),
                     pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * BANDS), pa.array(bands(signed).view(np.int64).reshape(-1))),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_hash", "node", "size", *LANES, "bands"])
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_hash", "node", "fp", "size", *LANES, "bands"])
 
-    rows = saved(slim.transform(mapped, printed, f"doc_id bigint, text_hash bigint, node bigint, size bigint, {lanes}, bands array<bigint>"), "shingle-prints")
-    nodes = saved(rows.groupBy("node").agg(F.min("doc_id").alias("least"), *(F.first(c).alias(c) for c in ("size", *LANES, "bands"))), "nodes")
+    rows = saved(slim.transform(mapped, printed, f"doc_id bigint, text_hash bigint, node bigint, fp bigint, size bigint, {lanes}, bands array<bigint>"), "shingle-prints")
+    nodes = saved(rows.groupBy("node").agg(F.min("doc_id").alias("least"), *(F.first(c).alias(c) for c in ("fp", "size", *LANES, "bands"))), "nodes")
     families = _families(nodes, similarity, bucket)
     members = families.select(F.col("root").alias("key"), F.col("child").alias("node")).unionByName(families.select(F.col("root").alias("key"), F.col("root").alias("node")).distinct())
     sets = _wanted(slim, members.select("node"), words)

@@ -5,6 +5,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from ledgerloom.llm import near_dedup
 from ledgerloom.llm.graph import components
 from ledgerloom.llm.near_dedup import BUCKET, block_masks, bucket_links, distance_table, drop_near_duplicates, drop_similar, links, near_duplicates, pivots, set_links, similar_groups, sorted_links
 
@@ -236,3 +237,45 @@ def test_links_that_the_first_text_of_a_bucket_does_not_give(spark):
     assert set_similarity(rows[0][1], rows[1][1]) >= 0.8 > set_similarity(rows[0][1], rows[3][1])
     got = similar_groups(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
     assert len(got) == 30 and {r.component_id for r in got} == {0}
+
+
+def test_candidates_by_fingerprints(spark):
+    """Nodes whose fingerprints are within four bits are linked, and those of one fingerprint."""
+    rng = random.Random(3)
+    prints = [rng.getrandbits(64) for _ in range(40)]
+    prints += [p ^ sum(1 << b for b in rng.sample(range(64), n)) for p in prints[:20] for n in (0, 3, 4, 7)]
+    nodes = [(i * 7 + 5, p - 2**64 if p >= 2**63 else p) for i, p in enumerate(prints)]
+    got = near_dedup._print_links(spark.createDataFrame(nodes, "node bigint, fp bigint"), BUCKET).collect()
+    root = {n: n for n, _ in nodes}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, (a, _) in enumerate(nodes):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= 4:
+                root[find(a)] = find(nodes[j][0])
+    want = {frozenset(n for n, _ in nodes if find(n) == r) for r in set(map(find, root))}
+    own = {n: n for n in root}
+
+    def top(x):
+        while own[x] != x:
+            x = own[x]
+        return x
+
+    for r in got:
+        own[top(r.child)] = top(r.root)
+    assert {frozenset(n for n in own if top(n) == r) for r in set(map(top, own))} == want
+
+
+def test_the_stage_searches_fingerprints_by_pivot_tables(spark, monkeypatch):
+    """Every different fingerprint of the texts takes part in the search by blocks and pivot tables."""
+    asked = []
+    real = near_dedup.links
+    monkeypatch.setattr(near_dedup, "links", lambda prints, *how: asked.append((prints.count(), how[0])) or real(prints, *how))
+    words = [f"w{i}" for i in range(60)]
+    rows = [(0, " ".join(words)), (1, " ".join([*words, "more"])), (2, " ".join(words[::-1])), (3, " ".join(words))]
+    kept = drop_similar(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 2] and asked == [(3, 4)]
