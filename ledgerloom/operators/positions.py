@@ -14,10 +14,10 @@ POSITION_KEY = ["cik", "security_reference_key", "put_call_key", "shares_princip
 def filer_identities(filers: DataFrame, filings: DataFrame, thirteenf: DataFrame) -> DataFrame:
     """Canonical name and sorted aliases per filer; aliases are empty, not null, where there are none."""
     own = filings.where(F.col("filing_family") == "13F").select("cik", "accession_number", "company_name")
-    named = own.join(thirteenf.select("accession_number", "filing_manager_name"), "accession_number", "left")
+    named = own.join(thirteenf.select("accession_number", "filing_manager_name").hint("merge"), "accession_number", "left")
     aliases = named.groupBy("cik").agg(F.min("company_name").alias("least_name"), F.sort_array(F.collect_set("company_name")).alias("company_name_aliases"), F.sort_array(F.collect_set("filing_manager_name")).alias("filing_manager_aliases"))
     none = F.array().cast("array<string>")
-    return filers.join(aliases, "cik", "left").select(
+    return filers.join(aliases.hint("merge"), "cik", "left").select(
         "cik",
         F.coalesce(F.nullif(F.col("filer_name"), F.lit("")), "least_name").alias("canonical_filer_name"),
         "first_seen_filed_date",
@@ -42,7 +42,7 @@ def filer_positions(effective: DataFrame, identities: DataFrame, securities: Dat
         {"total_value_usd": F.col("value_usd"), "total_value_reported": F.col("value_reported"), "total_shares_principal_amount": F.col("shares_principal_amount")},
         {"_manager": F.col("filing_manager_name"), "_company": F.col("company_name")},
     )
-    named = summed.join(identities.select("cik", "canonical_filer_name"), "cik", "left").join(securities.select("security_reference_key", "issuer_name", "class_title", "cusip", "figi"), "security_reference_key")
+    named = summed.join(identities.select("cik", "canonical_filer_name"), "cik", "left").join(securities.select("security_reference_key", "issuer_name", "class_title", "cusip", "figi").hint("merge"), "security_reference_key")
     return named.select(
         "report_period",
         "cik",

@@ -225,3 +225,21 @@ def test_late_rows_are_kept_for_seven_days_and_counted_beyond(spark, store, tmp_
     assert [k for k, in rows_of(store, "filings", ["accession_number"])] == list("abcdfgh")
     assert dict(rows_of(store, "filings", ["accession_number", "company_name"]))["a"] == "again"
     assert rows_of(store, "late_filings", ["filed_date", "n"]) == [(date(2024, 1, 12), 2), (date(2024, 1, 24), 1)]
+
+
+def test_growing_tables_are_not_broadcast(spark, tmp_path):
+    """Small files may hold many rows: tables that grow with the filings are merged, whatever Spark takes their size for."""
+    from ledgerloom.operators import events, positions, upsert
+    from ledgerloom.schemas import ddl
+
+    def made(name):
+        schema = spark.createDataFrame([], ddl(name)).schema
+        spark.range(9).select(*(F.col("id").cast("string").cast(f.dataType).alias(f.name) if f.dataType.simpleString() in ("string", "bigint", "int") else F.lit(None).cast(f.dataType).alias(f.name) for f in schema)).write.parquet(f"{tmp_path}/{name}")
+        return spark.read.schema(schema).parquet(f"{tmp_path}/{name}")
+
+    filings, thirteenf, holdings, filers, securities = (made(n) for n in ("filings", "thirteenf_filings", "thirteenf_holdings", "filers", "security_references"))
+    identities = positions.filer_identities(filers, filings, thirteenf)
+    held = positions.filer_positions(events.effective_holdings(filings, thirteenf, holdings), identities, securities)
+    for df, merged in ((identities, 2), (held, 6), (upsert.replace_children(holdings, holdings, filings, ["accession_number"]), 1)):
+        plan = df._jdf.queryExecution().sparkPlan().toString()
+        assert plan.count("SortMergeJoin") == merged and plan.count("BroadcastHashJoin") == (1 if df is held else 0)  # the one: names by filer
