@@ -105,6 +105,13 @@ def test_reader_of_odd_markup():
     assert R.Reader().read('<ix:nonnumeric name="n"/><ix:nonnumeric name="m">open').facts[1]["raw_value"] == "open"
 
 
+def test_reader_counts_no_lines():
+    """Lines cost time and are never asked for; tidy and untidy ends of tags close the same elements."""
+    tidy, untidy = (R.Reader().read(f"<div>\n<p>a\n<ix:nonNumeric name='n'>b</ix:nonNumeric>{end}</div>c") for end in ("</p>", ""))
+    assert tidy.getpos()[0] == untidy.getpos()[0] == 1
+    assert tidy.text() == untidy.text() == "a\nb\nc" and tidy.facts == untidy.facts
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text("ab \n", max_size=200), st.integers(1, 40), st.integers(0, 50))
 def test_chunks_cover_the_text(text, size, overlap):
