@@ -23,7 +23,9 @@ from .common import ASCII_LOWER, ASCII_SPACES
 from .wordcode import FIRST_BYTES, chunks, mixed, piece_codes
 
 #: Pieces and ids that a table keeps from one run of texts to the next; a fuller one is begun anew.
-PIECES, POOL = 850_000, 4_000_000
+PIECES, POOL = 450_000, 3_000_000
+#: Bytes of texts that are looked up at once: what is worked with meanwhile takes some hundred times as much.
+RUN_BYTES = 1 << 18
 
 _SPACE = np.zeros(256, bool)
 _SPACE[list(ASCII_SPACES)] = True
@@ -57,7 +59,7 @@ def _eights(data) -> np.ndarray:
 class PieceTable:
     """Ids of pieces by their codes: open addressing with linear probing, one pool that holds the ids, and one of the pieces' keys."""
 
-    def __init__(self, bits: int = 21):
+    def __init__(self, bits: int = 16):
         self.bits = bits
         self.clear()
 
@@ -67,8 +69,8 @@ class PieceTable:
         self.size = np.full(1 << self.bits, -1, np.int32)  # -1: an empty slot
         self.pool = np.zeros(1 << 16, np.uint32)
         self.used = self.held = 0
-        self.length = np.zeros(1 << self.bits, np.int64)  # of the piece
-        self.key_at = np.zeros(1 << self.bits, np.int64)
+        self.length = np.zeros(1 << self.bits, np.int32)  # of the piece
+        self.key_at = np.zeros(1 << self.bits, np.int32)
         self.keys = np.zeros(1 << 20, np.uint8)
         self.keyed = 0
 
@@ -105,7 +107,7 @@ class PieceTable:
         sizes = np.array(counts, np.int32)
         joined = np.frombuffer(b"".join(keys), np.uint8)
         if self.keyed + len(joined) + 8 > len(self.keys):
-            self.keys = np.concatenate([self.keys[: self.keyed], np.zeros(self.keyed + 2 * len(joined) + 8, np.uint8)])
+            self.keys = np.concatenate([self.keys[: self.keyed], np.zeros(self.keyed // 4 + 2 * len(joined) + 8, np.uint8)])
         self.keys[self.keyed : self.keyed + len(joined)] = joined
         widths = np.fromiter(map(len, keys), np.int64, len(keys))
         key_at = self.keyed + np.cumsum(widths) - widths
@@ -113,12 +115,12 @@ class PieceTable:
         if 2 * (self.held + len(codes)) > len(self.codes):
             old = np.flatnonzero(self.size >= 0)
             kept = self.codes[old], self.first[old], self.size[old], self.length[old], self.key_at[old]
-            width = 1 << (4 * (self.held + len(codes))).bit_length()
+            width = 1 << (2 * (self.held + len(codes))).bit_length()
             self.codes, self.first, self.size = np.zeros(width, np.uint64), np.zeros(width, np.int32), np.full(width, -1, np.int32)
-            self.length, self.key_at = np.zeros(width, np.int64), np.zeros(width, np.int64)
+            self.length, self.key_at = np.zeros(width, np.int32), np.zeros(width, np.int32)
             self._place(*kept)
         if self.used + len(ids) > len(self.pool):
-            self.pool = np.concatenate([self.pool[: self.used], np.zeros(self.used + 2 * len(ids), np.uint32)])
+            self.pool = np.concatenate([self.pool[: self.used], np.zeros(self.used // 4 + 2 * len(ids), np.uint32)])
         self.pool[self.used : self.used + len(ids)] = ids
         self._place(codes, (self.used + np.cumsum(sizes) - sizes).astype(np.int32), sizes, lengths, key_at)
         self.used += len(ids)
@@ -305,7 +307,7 @@ def encoder(path: str) -> TextEncoder:
 def encoded(path: str, texts: list[bytes | None], end_id: int):
     """For each text its ids and `end_id`, as little-endian unsigned 32-bit numbers."""
     encode, end = encoder(path).encode_many, np.array([end_id], "<u4")
-    for _, some in chunks(texts):
+    for _, some in chunks(texts, RUN_BYTES):
         ids, counts = encode(some)
         ends = np.cumsum(counts)
         for a, b in zip((ends - counts).tolist(), ends.tolist(), strict=True):

@@ -117,3 +117,12 @@ def test_counts_of_a_table_begun_anew(monkeypatch):
     for i in range(6):
         texts = [f"{'abcdefghijklmnop'[(i + j) % 16]}x{'qwertz'[i]} and{'yz' * j} unbelievably{j}, " for j in range(30)]
         assert encoder.count_many([t.encode() for t in texts]).tolist() == [plain(t) for t in texts]
+
+
+def test_a_table_takes_memory_by_what_it_holds():
+    """Each worker keeps one from stage to stage: some 100 bytes a piece, whatever it may grow to."""
+    encoder, plain = TextEncoder(public_tokenizers.path("word_bpe_49k.json")), library("word_bpe_49k.json")
+    texts = [" ".join(f"w{i}q{j}" for j in range(400)) for i in range(100)]
+    assert encoder.count_many([t.encode() for t in texts]).tolist() == [plain(t) for t in texts]
+    arrays = [x for x in vars(encoder.table).values() if hasattr(x, "nbytes")]
+    assert encoder.table.held >= 40_000 and sum(x.nbytes for x in arrays) < 8 << 20
