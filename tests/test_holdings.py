@@ -9,7 +9,7 @@ from ledgerloom.operators.compare import compare_filer
 from ledgerloom.operators.events import effective_filings, effective_holdings
 from ledgerloom.operators.positions import filer_identities, filer_positions, position_changes, report_summaries
 from ledgerloom.schemas import ddl
-from ledgerloom.sources.holdings_xml import parse_holdings_reports
+from ledgerloom.sources.holdings_xml import InformationTable, parse_holdings_reports, table_rows
 
 PERIOD = date(2024, 3, 31)
 
@@ -183,3 +183,29 @@ def test_xml(spark):
     assert got["e"].is_notice and got["e"].holdings == [] and got["e"].error is None
     assert all(got[k].error for k in "fghij")
     assert (got["i"].error, got["j"].error) == ("a holding has an invalid number", "invalid table_value_total")
+
+
+PLAIN_COVER = "<edgarSubmission><headerData><filerInfo><periodOfReport>03-31-2024</periodOfReport></filerInfo></headerData></edgarSubmission>"
+ONE_LINE = "<nameOfIssuer>A</nameOfIssuer><titleOfClass>B</titleOfClass><cusip>C</cusip>"
+
+
+def test_tables_are_parsed_once_when_errors_are_left_out(spark):
+    """A filter on the error is not copied below a shuffle together with the parser."""
+    made = spark.createDataFrame([("a", "13F-HR", date(2024, 5, 1), PLAIN_COVER, f"<t><infoTable>{ONE_LINE}</infoTable></t>")], "accession_number string, form_type string, filed_date date, primary_xml string, info_xml string").repartition(3)
+    found = parse_holdings_reports(made).where("error IS NULL").select("accession_number", "holdings")
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+    assert [len(r.holdings) for r in found.collect()] == [1]
+
+
+def test_a_table_in_an_unknown_encoding_is_its_own_error(spark):
+    rows = [(k, "13F-HR", date(2024, 5, 1), PLAIN_COVER.encode(), f'<?xml version="1.0" encoding="{e}"?><t><infoTable>{ONE_LINE}</infoTable></t>'.encode()) for k, e in (("a", "nope"), ("b", "utf-8"))]
+    made = spark.createDataFrame(rows, "accession_number string, form_type string, filed_date date, primary_xml binary, info_xml binary")
+    assert {r.accession_number: r.error for r in parse_holdings_reports(made).collect()} == {"a": "information table is not XML", "b": None}
+
+
+def test_trees_and_events_give_the_same_texts():
+    places = ["nameOfIssuer", "titleOfClass", "cusip", "figi", "shrsOrPrnAmt/sshPrnamtType", "putCall", "investmentDiscretion", "otherManager", "value", "shrsOrPrnAmt/sshPrnamt", "votingAuthority/Sole", "votingAuthority/Shared", "votingAuthority/None"]
+    odd = ["<cusip> x <i>y</i> z </cusip>", "<cusip>1</cusip><cusip/>", "<cusip>a<!-- b -->c</cusip>", "<cusip><![CDATA[ <d> ]]></cusip>", "<value>1<cusip>2</cusip></value>", "<n:cusip>undeclared</n:cusip>", "<shrsOrPrnAmt>q<sshPrnamt> 7 </sshPrnamt></shrsOrPrnAmt>", "<votingAuthority><Sole>1</Sole><None/></votingAuthority>"]
+    for one in odd:
+        xml = f"<t xmlns='urn:a'><other>{ONE_LINE}</other><infoTable>{one}</infoTable><infoTable/></t>".encode()
+        assert table_rows(xml, "utf-8") == [[row.get(p) or None for p in places] for row in InformationTable().read(xml, "utf-8")]
