@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..scratch import shuffles_dropped
 from ..sources.index import decoded
 from ..sources.submission import documents, holdings_documents, periodic_documents
 from .fetch import Fetcher, FetchError, NotFound
@@ -63,7 +64,8 @@ def fetching(fetcher: Callable[[float], Fetcher], per_second: float = 5.0, tasks
 
 
 def _written(df: DataFrame, path: str) -> DataFrame:
-    df.write.mode("overwrite").parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

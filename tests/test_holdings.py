@@ -1,14 +1,19 @@
 """Golden rows of amendment resolution and comparison, and XML parsing."""
 
+import os
 from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerloom.operators.compare import compare_filer
 from ledgerloom.operators.events import effective_filings, effective_holdings
 from ledgerloom.operators.positions import filer_identities, filer_positions, position_changes, report_summaries
+from ledgerloom.plans import ingest
+from ledgerloom.plans.store import Store
 from ledgerloom.schemas import ddl
+from ledgerloom.scratch import scratch_path, shuffles_dropped
 from ledgerloom.sources.holdings_xml import InformationTable, parse_holdings_reports, table_rows
 
 PERIOD = date(2024, 3, 31)
@@ -209,3 +214,25 @@ def test_trees_and_events_give_the_same_texts():
     for one in odd:
         xml = f"<t xmlns='urn:a'><other>{ONE_LINE}</other><infoTable>{one}</infoTable><infoTable/></t>".encode()
         assert table_rows(xml, "utf-8") == [[row.get(p) or None for p in places] for row in InformationTable().read(xml, "utf-8")]
+
+
+def staged_folders(spark):
+    place = scratch_path(spark, "x").rpartition("/")[0].removeprefix("file:").replace("//", "/")
+    return {n for n in os.listdir(place) if n.startswith("staged-")} if os.path.isdir(place) else set()
+
+
+def test_a_load_leaves_no_staged_filings_and_no_shuffle_files(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}/store", parts=2)
+    store.migrate()
+    rows = [(str(i), "13F-HR", date(2024, 5, 1), PLAIN_COVER, f"<t><infoTable>{ONE_LINE}</infoTable></t>", "1", "Filer", i) for i in range(20)]
+    made = spark.createDataFrame(rows, "accession_number string, form_type string, filed_date date, primary_xml string, info_xml string, cik string, company_name string, place int")
+    made = made.withColumns({c: F.lit(None).cast("string") for c in ("archive_path", "submission_url", "filing_directory_url", "index_url", "primary_document_filename", "information_table_filename")} | {"acceptance_datetime": F.lit(None).cast("timestamp")})
+    before, setting = staged_folders(spark), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    with store.commit():
+        good, bad, stale = ingest.load_filings(store, ingest.HOLDINGS, parse_holdings_reports(made.repartition(3)), None)
+    assert (good, bad, [r.cik for r in stale.collect()]) == (20, 0, ["1"])
+    assert len(staged_folders(spark) - before) == 1  # the filers, which are given back
+    assert store.read("thirteenf_holdings").count() == 20
+    with shuffles_dropped(spark):
+        assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "true"
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == setting
