@@ -2,6 +2,7 @@
 
 from datetime import date
 
+from ledgerloom import filing_queries
 from ledgerloom.cli import parser
 from ledgerloom.plans import ingest
 from ledgerloom.plans.acquire import acquire, fetching, mirror
@@ -69,3 +70,12 @@ def test_what_was_cached_last_counts(spark, tmp_path):
 def test_command_line():
     got = parser().parse_args(["ingest", "13f", "--mode", "full", "--mirror", "m.parquet"])
     assert (got.mirror, got.tasks) == ("m.parquet", 1)
+
+
+def test_a_site_is_built_once(spark, sf_dir):
+    """Whatever a run asks of the mirror reads written tables; no table of holdings is put together anew."""
+    first, second = filing_queries._site(spark, sf_dir, "", " II")
+    for site in (first, second):
+        assert "Window" not in site._jdf.queryExecution().optimizedPlan().toString()
+    other = first.exceptAll(second)
+    assert 0 < other.count() < first.count() and other.where("url NOT LIKE '%/full-index/%'").isEmpty()
