@@ -112,6 +112,45 @@ def test_reader_counts_no_lines():
     assert tidy.text() == untidy.text() == "a\nb\nc" and tidy.facts == untidy.facts
 
 
+class Slow(R.Reader):
+    """Leaves every document to the standard library's parser."""
+
+    def _read_tidy(self, html):
+        return False
+
+
+ODD = ["<p>", "</p>", "<DIV class='a>b'>", "</div>", "<br/>", "<title>", "</title>", "<script>", "</script>", "<style/>", "<b", ">", "<", "&amp;", "&lt;p>", "x", " a\nb ", '<ix:nonFraction name="us:A" contextRef="c1">', "</ix:nonFraction>", '<nonNumeric name="B" contextref="c&amp;2">', "</nonNumeric>", '<nonnumeric name="m"/>', '<xbrli:context id="c1">', "</xbrli:context>", "<entity>", "</entity>", "<period>", "</period>", "<instant>", "</instant>"]
+ODD += ['<m:member dimension="d">', "</m:member>", "<!-- c -->", "<!-->", "<!-- a -- b -->", "<!DOCTYPE html>", "<![CDATA[x]]>", "<?xml a?>", "</ p>", '</p x="1">', "<p a=b>", "<p a='1'b='2'>", '<p a="1" a="2">', "<textarea>", "</>", '"', "-->"]
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.sampled_from(ODD), max_size=15).map("".join))
+def test_tidy_and_odd_documents_are_read_alike(html):
+    fast, slow = R.Reader().read(html), Slow().read(html)
+    assert (fast.pieces, fast.title, fast.contexts, fast.facts) == (slow.pieces, slow.title, slow.contexts, slow.facts)
+
+
+def test_tidy_documents_need_no_slow_parser(monkeypatch):
+    """The standard library's parser took most of the time of `report_facts` and `report_sections`."""
+    want = Slow().read(HTML)
+    monkeypatch.setattr(R.HTMLParser, "feed", None)
+    got = R.Reader().read(HTML.replace("</p>\";", '\";'))  # its script holds markup, which is not tidy
+    assert (got.title_text(), got.text(), got.contexts, got.facts) == (want.title_text(), want.text(), want.contexts, want.facts)
+
+
+def test_only_what_is_asked_is_worked_out(spark, monkeypatch):
+    filings = spark.createDataFrame([("a", "10-K", date(2025, 2, 1), HTML.encode()), ("b", "8-K", None, b"")], "accession_number string, form_type string, filed_date date, html binary")
+    whole = {r.accession_number: r.asDict() for r in R.parse_reports(filings).collect()}
+    assert whole["b"]["facts"] is None and whole["b"]["error"]
+    for parts in (["facts"], ["sections"], []):
+        some = R.parse_reports(filings, parts=parts)
+        assert set(whole["a"]) - set(some.columns) == set(R.PARTS) - set(parts)
+        assert {r.accession_number: r.asDict() for r in some.collect()} == {k: {c: w[c] for c in some.columns} for k, w in whole.items()}
+    monkeypatch.setattr(R, "sections", None)  # would fail
+    monkeypatch.setattr(R, "split_text", None)
+    assert len(R.read_report(HTML.encode(), "10-K", None, parts=["facts"])["facts"]) == 3
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text("ab \n", max_size=200), st.integers(1, 40), st.integers(0, 50))
 def test_chunks_cover_the_text(text, size, overlap):
