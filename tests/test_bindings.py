@@ -52,6 +52,13 @@ def test_the_filer_reaches_the_scan(spark, sf_dir):
     assert "EqualTo(l_suppkey,5)" in plan
 
 
+def test_reports_hand_back_only_what_a_query_reads(spark, sf_dir):
+    for query, part in ((filing_queries.report_facts, "facts"), (filing_queries.report_sections, "sections"), (filing_queries.report_section_texts, "sections")):
+        plan = query(spark, sf_dir)._jdf.queryExecution().analyzed().toString()
+        found = next(line for line in plan.splitlines() if "MapInArrow" in line)
+        assert {p for p in ("sections#", "chunks#", "facts#") if p in found} == {f"{part}#"}
+
+
 def test_compare_from_sql(spark, sf_dir):
     """The table function gives what the operator gives, without and with filters."""
     from ledgerloom.operators import compare, events
