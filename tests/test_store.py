@@ -61,6 +61,35 @@ def test_a_commit_is_all_or_nothing(spark, store):
     assert rows_of(other, "filers", ["filer_name"]) == [("B",)] and other.read("company_tickers").count() == 1
 
 
+def test_a_large_update_goes_in_lots(spark, store, monkeypatch):
+    """All rows of a table and of a batch lay on disk twice as shuffle files; a lot's alone do now, and the result is the same."""
+    monkeypatch.setattr("ledgerloom.plans.store.LOT", 100)
+    sent, written = [], store._written
+    monkeypatch.setattr(store, "_written", lambda table, df: sent.append((table, df.count())) or written(table, df))
+
+    def lines(filings, seq):
+        return frame(spark, "thirteenf_holdings", [{"accession_number": str(n), "holding_sequence": i, "issuer_name": str(seq)} for n in filings for i in range(3)])
+
+    def parents(filings, seq=1):
+        return frame(spark, "filings", [{"accession_number": str(n), "cik": str(seq), "ingest_seq": seq} for n in filings])
+
+    with store.commit():
+        store.upsert("filings", parents(range(200)), size=200)
+        store.replace("thirteenf_holdings", parents(range(200)), lines(range(200), 1), "accession_number", size=600)
+    sizes = {t: [n for table, n in sent if table == t] for t in ("filings", "thirteenf_holdings")}
+    assert [len(sizes[t]) for t in sizes] == [2, 6] and [sum(sizes[t]) for t in sizes] == [200, 600]
+    sent.clear()
+    with store.commit():
+        store.upsert("filings", parents(range(100, 300), 2), keys=parents(range(100, 300)).select("accession_number"), size=200)
+        store.replace("thirteenf_holdings", parents(range(100, 300), 2), lines(range(50, 250), 2).where("accession_number >= 100"), "accession_number", size=450)
+    assert len(sent) == 4 + 8  # no more lots than parts
+    assert rows_of(store, "filings", ["accession_number", "cik"]) == sorted((str(n), "1" if n < 100 else "2") for n in range(300))
+    assert rows_of(store, "thirteenf_holdings", ["accession_number", "holding_sequence", "issuer_name"]) == sorted((str(n), i, "1" if n < 100 else "2") for n in range(250) for i in range(3))
+    some = parents(range(300)).where(store._part_of("filings", 8).isin("1", "5"))
+    with pytest.raises(ValueError, match="beside those of the keys"):  # no row is dropped because its part is in no lot
+        store.replace("thirteenf_holdings", some, lines(range(300), 3), "accession_number", size=900)
+
+
 def test_a_killed_writer_leaves_the_old_state(spark, store):
     """Files of a writer that never came to its commit are not read, and are removed when old."""
     store.upsert("filers", frame(spark, "filers", [filer(1)]))
